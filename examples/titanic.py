@@ -1,0 +1,148 @@
+"""Passenger pipeline (staging -> enriched -> marts) on library operators.
+
+Dataset facts (column names, bucket edges, labels) live here, not in the
+library. ``project(spark, raw)`` wires the models into a :class:`Project`
+with the tests the staging and mart models declare.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratum.functions import columns as C
+from stratum.functions.numeric import pct, rounded
+from stratum.operators import aggregates as A
+from stratum.operators import quality as Q
+from stratum.plans.models import Project
+
+RAW_SCHEMA = T.StructType([
+    T.StructField("PassengerId", T.IntegerType()), T.StructField("Survived", T.IntegerType()),
+    T.StructField("Pclass", T.IntegerType()), T.StructField("Name", T.StringType()),
+    T.StructField("Sex", T.StringType()), T.StructField("Age", T.DoubleType()),
+    T.StructField("SibSp", T.IntegerType()), T.StructField("Parch", T.IntegerType()),
+    T.StructField("Ticket", T.StringType()), T.StructField("Fare", T.DoubleType()),
+    T.StructField("Cabin", T.StringType()), T.StructField("Embarked", T.StringType()),
+])
+
+# Fixed values of the passenger models.
+RENAMES = {"PassengerId": "passenger_id", "Pclass": "passenger_class", "Name": "full_name",
+           "Sex": "gender", "Age": "age", "Survived": "survived", "Ticket": "ticket_number",
+           "Fare": "fare_gbp", "Embarked": "embarkation_code", "SibSp": "siblings_spouses",
+           "Parch": "parents_children"}
+DEFAULT_AGE = 28.0
+DEFAULT_PORT = "S"
+PORTS = {"C": "Cherbourg", "Q": "Queenstown", "S": "Southampton"}
+AGE_GROUPS = [(13, "child"), (18, "teenager"), (60, "adult")]
+AGE_TOP = "senior"
+FARE_TIERS = [(7.9, "budget"), (14.5, "economy"), (31.0, "standard")]
+FARE_TOP = "premium"
+CLASS_LABELS = {1: "First", 2: "Second"}
+CLASS_OTHER = "Third"
+
+
+def stg_titanic(raw: DataFrame) -> DataFrame:
+    r = C.rename(raw, RENAMES, drop=["Cabin"])
+    code = C.fill_const("embarkation_code", DEFAULT_PORT)
+    return r.select(
+        "passenger_id", "passenger_class", "full_name",
+        F.lower("gender").alias("gender"),
+        C.fill_const("age", DEFAULT_AGE).alias("age"),
+        "survived",
+        F.when(F.col("survived") == 1, "survived").otherwise("died").alias("survival_status"),
+        "ticket_number",
+        C.money_round("fare_gbp", 2).alias("fare_gbp"),
+        code.alias("embarkation_code"),
+        # derived from the filled code (S6): NULL ports become Southampton
+        C.code_map(code, PORTS, "Unknown").alias("embarkation_port"),
+        "siblings_spouses", "parents_children",
+        (F.col("siblings_spouses") + F.col("parents_children")).alias("family_size"))
+
+
+def int_passengers_enriched(stg: DataFrame) -> DataFrame:
+    return stg.select(
+        "*",
+        C.thresholds("age", AGE_GROUPS, AGE_TOP).alias("age_group"),
+        C.thresholds("fare_gbp", FARE_TIERS, FARE_TOP).alias("fare_tier"),
+        (F.col("family_size") == 0).alias("is_solo_traveller"),
+        C.code_map("passenger_class", CLASS_LABELS, CLASS_OTHER).alias("class_label"))
+
+
+def fct_survival_by_class(enriched: DataFrame) -> DataFrame:
+    n = F.count(F.lit(1))
+    return A.summarise(enriched, ["passenger_class", "class_label"], {
+        "total_passengers": n,
+        "total_survived": F.sum("survived").cast("long"),
+        "total_died": F.sum(F.lit(1) - F.col("survived")).cast("long"),
+        "survival_rate_pct": pct(F.sum("survived"), n),
+        "avg_fare_gbp": rounded(F.avg(F.col("fare_gbp")).cast("double"), 2),
+        "avg_age": rounded(F.avg("age"), 1),
+        "solo_travellers": F.count_if(F.col("is_solo_traveller")),
+        "female_passengers": F.count_if(F.col("gender") == "female"),
+        "male_passengers": F.count_if(F.col("gender") == "male"),
+    })
+
+
+def fct_survival_by_demographics(enriched: DataFrame) -> DataFrame:
+    n = F.count(F.lit(1))
+    return A.segment_rates(
+        enriched, {"gender": "gender", "age_group": "age_group", "fare_tier": "fare_tier"},
+        {"total": n, "survived": F.sum("survived").cast("long"),
+         "survival_rate_pct": pct(F.sum("survived"), n)})
+
+
+def dq_metrics(raw: DataFrame) -> DataFrame:
+    return Q.metrics(raw, {
+        "total_rows": F.count(F.lit(1)),
+        "null_names": F.count_if(F.col("Name").isNull()),
+        "negative_fares": F.count_if(F.col("Fare") < 0),
+        "invalid_ages": F.count_if((F.col("Age") < 0) | (F.col("Age") > 120)),
+        "unique_passengers": F.count_distinct("PassengerId"),
+    })
+
+
+CHECKS = [
+    Q.Check("no_null_names", "null_names = 0", "concat(null_names, ' nulls found')"),
+    Q.Check("no_negative_fares", "negative_fares = 0", "concat(negative_fares, ' negative fares')"),
+    Q.Check("valid_ages", "invalid_ages = 0", "concat(invalid_ages, ' invalid ages')"),
+    Q.Check("unique_passengers", "unique_passengers = total_rows",
+            "concat(unique_passengers, ' unique of ', total_rows, ' total')"),
+]
+
+
+def project(spark, raw: DataFrame, target_dir: str | None = None) -> Project:
+    p = Project(spark, target_dir)
+    p.source("raw_titanic", lambda: raw)
+    p.model("stg_titanic", ["raw_titanic"], tests={
+        "unique_passenger_id": lambda d: Q.test_unique(d, ["passenger_id"]),
+        "not_null_passenger_id": lambda d: Q.test_not_null(d, "passenger_id"),
+        "accepted_class": lambda d: Q.test_accepted_values(d, "passenger_class", [1, 2, 3]),
+        "accepted_survived": lambda d: Q.test_accepted_values(d, "survived", [0, 1]),
+        "accepted_gender": lambda d: Q.test_accepted_values(d, "gender", ["male", "female"]),
+        "not_null_fare": lambda d: Q.test_not_null(d, "fare_gbp"),
+        "accepted_port": lambda d: Q.test_accepted_values(d, "embarkation_code", ["C", "Q", "S"]),
+    })(lambda raw_titanic: stg_titanic(raw_titanic))
+    p.model("int_passengers_enriched", ["stg_titanic"], tests={
+        "accepted_age_group": lambda d: Q.test_accepted_values(
+            d, "age_group", [v for _, v in AGE_GROUPS] + [AGE_TOP]),
+        "accepted_fare_tier": lambda d: Q.test_accepted_values(
+            d, "fare_tier", [v for _, v in FARE_TIERS] + [FARE_TOP]),
+    })(lambda stg_titanic: int_passengers_enriched(stg_titanic))
+    mat = "table" if target_dir else "view"
+    p.model("fct_survival_by_class", ["int_passengers_enriched"], materialize=mat, tests={
+        "rate_bounds": lambda d: Q.test_bounds(d, "survival_rate_pct", 0, 100),
+    })(lambda int_passengers_enriched: fct_survival_by_class(int_passengers_enriched))
+    p.model("fct_survival_by_demographics", ["int_passengers_enriched"], materialize=mat)(
+        lambda int_passengers_enriched: fct_survival_by_demographics(int_passengers_enriched))
+    p.model("reconcile", ["raw_titanic", "fct_survival_by_class"])(
+        lambda raw_titanic, fct_survival_by_class: Q.reconcile(
+            raw_titanic, fct_survival_by_class, "total_passengers"))
+    p.add_test("reconcile", "totals_match", lambda d: d.filter(~F.col("rows_match")))
+    return p
+
+
+def survival_counts(enriched: DataFrame) -> DataFrame:
+    """Passengers by port x survival status (M-8)."""
+    return (enriched.filter(F.col("embarkation_code").isNotNull())
+            .groupBy("embarkation_port", "survival_status").agg(F.count(F.lit(1)).alias("n")))
