@@ -2,10 +2,9 @@
 
 ``walk_tree`` is a frontier loop: each level is one distributed join of the
 current frontier with the edge table, so a level with millions of nodes is
-still just a shuffle join. Every few levels the accumulated result is
-checkpointed to keep the plan (and recovery after executor loss) short. A
-``max_depth`` guard stops cycles, which the recursive SQL form would follow
-until its own limit.
+still just a join. Each level is checkpointed, which keeps plans (and recovery
+after an executor loss) short. A ``max_depth`` guard stops cycles, which the
+recursive SQL form would follow until its own limit.
 
 ``walk_tree_sql`` is the same walk as one ``WITH RECURSIVE`` statement (Spark
 4.1), handy for small trees and for parity with SQL-first users.
@@ -17,31 +16,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import BROADCAST_MAX_ROWS, fits
 
 
 def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
               separator: str = " → ", max_depth: int = 64,
-              checkpoint_every: int = 4, roots: DataFrame | None = None) -> DataFrame:
+              roots: DataFrame | None = None,
+              broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Walk from roots (``parent`` IS NULL, or ``roots``) down to every descendant.
 
     Returns the edge columns plus ``depth`` (root = 0) and ``path`` (labels
-    joined by ``separator``). Levels deeper than ``max_depth`` are not walked.
+    joined by ``separator``). Levels deeper than ``max_depth`` are not walked,
+    which also ends cycles.
+
+    The child edges are checkpointed once, so the (possibly expensive) edge
+    derivation is not recomputed per level. Each level's frontier is
+    checkpointed too; when it is proven small it is broadcast, so the child
+    table is streamed without a shuffle and a parent with a huge fan-out is no
+    hotter than any other rows. A large frontier takes a shuffle join, where
+    AQE splits skewed partitions.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     start = roots if roots is not None else edges.filter(F.col(parent).isNull())
-    frontier = start.select("*", F.lit(0).alias("depth"),
-                            F.col(label).cast("string").alias("path"))
-    children = edges.filter(F.col(parent).isNotNull())
+    frontier = start.select(*edges.columns, F.lit(0).alias("depth"),
+                            F.col(label).cast("string").alias("path")).checkpoint(eager=True)
+    children = edges.filter(F.col(parent).isNotNull()).checkpoint(eager=True)
     levels = [frontier]
     for depth in range(1, max_depth + 1):
         step = frontier.select(F.col(node).alias("_up"), F.col("path").alias("_path"))
+        if fits(step, broadcast_rows):
+            step = F.broadcast(step)
         nxt = (children.join(step, children[parent] == step["_up"], "inner")
                        .select(*[children[c] for c in edges.columns],
                                F.lit(depth).alias("depth"),
                                F.concat(F.col("_path"), F.lit(separator),
-                                        F.col(label).cast("string")).alias("path")))
-        if depth % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+                                        F.col(label).cast("string")).alias("path"))
+                       .checkpoint(eager=True))
         if nxt.isEmpty():
             break
         levels.append(nxt)

@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import sized_broadcast
-
 
 @dataclass(frozen=True)
 class Check:
@@ -101,8 +99,9 @@ def test_non_negative(df: DataFrame, col: str, report: Sequence[str] = ()) -> Da
 def test_relationships(child: DataFrame, key: str, parent: DataFrame,
                        parent_key: str) -> DataFrame:
     """Child rows whose key has no parent (``left_anti``); NULL keys are not_null's job."""
-    parents = parent.select(F.col(parent_key).alias(key)).distinct()
-    return child.filter(F.col(key).isNotNull()).join(sized_broadcast(parents), key, "left_anti")
+    parents = parent.select(F.col(parent_key).alias(key))
+    # no pre-count: AQE broadcasts the parent keys at run time when they are small
+    return child.filter(F.col(key).isNotNull()).join(parents, key, "left_anti")
 
 
 def row_count_at_least(df: DataFrame, n: int) -> bool:
@@ -136,7 +135,8 @@ def reconcile(source: DataFrame, mart: DataFrame, mart_total: str) -> DataFrame:
     """
     s = source.select(F.lit(1).cast("long").alias("_src"), F.lit(0).cast("long").alias("_mart"))
     m = mart.select(F.lit(0).cast("long").alias("_src"), F.col(mart_total).cast("long").alias("_mart"))
-    both = s.unionByName(m).agg(F.sum("_src").alias("source_rows"), F.sum("_mart").alias("mart_rows"))
+    both = s.unionByName(m).agg(F.coalesce(F.sum("_src"), F.lit(0)).alias("source_rows"),
+                                F.coalesce(F.sum("_mart"), F.lit(0)).alias("mart_rows"))
     return both.withColumn("rows_match", F.col("source_rows") == F.col("mart_rows"))
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, rounded
-from .joins import sized_broadcast
 
 
 def _order(cols: Sequence[Column | str]) -> list[Column]:
@@ -66,12 +65,31 @@ def diff_from_group_mean(df: DataFrame, keys: Sequence[str], value: str,
     AQE, or broadcast when the number of groups is proven small.
     """
     means = df.groupBy(*keys).agg(exact_mean(value).alias("_mean"))
-    joined = df.join(sized_broadcast(means), list(keys), "left")
+    # AQE sees the aggregate's real size at run time and broadcasts it when small
+    joined = df.join(means, list(keys), "left")
     return (joined.withColumn(mean_name, rounded(F.col("_mean"), digits))
                   .withColumn("_diff", F.col(value) - F.col("_mean"))
                   .withColumn(diff_name, rounded(F.col("_diff"), digits)))
 
 
+def top_k_diff_from_mean(df: DataFrame, keys: Sequence[str], value: str, tie: str, k: int,
+                         mean_name: str, diff_name: str, digits: int = 2) -> DataFrame:
+    """The ``k`` rows with the largest ``value - mean(value) per key`` (ties by ``tie``).
+
+    Within a key the mean is constant, so the global top ``k`` is among each
+    key's own top ``k`` by ``value``: those candidates (found with a partial
+    ``WindowGroupLimit`` before any shuffle) are the only rows joined to the
+    means, instead of the whole table.
+    """
+    means = df.groupBy(*keys).agg(exact_mean(value).alias("_mean"))
+    cand = first_per_group(df, keys, [F.col(value).desc(), F.col(tie).asc()], k)
+    scored = (cand.join(means, list(keys))
+                  .withColumn("_diff", F.col(value) - F.col("_mean"))
+                  .withColumn(mean_name, rounded(F.col("_mean"), digits))
+                  .withColumn(diff_name, rounded(F.col("_diff"), digits)))
+    return top_k(scored, [F.col("_diff").desc(), F.col(tie).asc()], k).drop("_mean", "_diff")
+
+
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
     """Sort + limit planned as ``TakeOrderedAndProject`` (O-2, O-4)."""
     return df.orderBy(*_order(order)).limit(k)

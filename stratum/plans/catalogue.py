@@ -562,10 +562,8 @@ FROM orders o JOIN m ON o.o_orderpriority = m.o_orderpriority
 ORDER BY o_totalprice - mean DESC, o_orderkey LIMIT 10""")
 def diff_from_avg(spark, base):
     o_ = _t(spark, base).orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
-    d = W.diff_from_group_mean(o_, ["o_orderpriority"], "o_totalprice",
-                               "class_avg_price", "diff_from_avg")
-    top = W.top_k(d, [F.col("_diff").desc(), F.col("o_orderkey").asc()], 10)
-    return top.select("o_orderkey", "o_orderpriority", "o_totalprice", "class_avg_price", "diff_from_avg")
+    return W.top_k_diff_from_mean(o_, ["o_orderpriority"], "o_totalprice", "o_orderkey", 10,
+                                  "class_avg_price", "diff_from_avg")
 
 
 @query("newest_n", """
