@@ -25,7 +25,7 @@ FACILITY_RULES = [(["restaurant"], "Restaurant"), (["school"], "School"),
 ERAS = [((2010, 2014), "2010-2014"), ((2015, 2019), "2015-2019")]
 RECENT_ERA = (2020, "2020+")
 OLD_ERA = "Before 2010"
-VIOLATION_SPLIT = r"\|"
+VIOLATION_SPLIT = "|"
 
 
 def stg_inspections(raw: DataFrame) -> DataFrame:

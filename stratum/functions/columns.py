@@ -122,11 +122,21 @@ def pg_initcap(col: Column | str) -> Column:
     return F.array_join(cap, "")
 
 
-def split_count(col: Column | str, delimiter_regex: str) -> Column:
-    """Pieces after splitting; NULL or blank text counts as 0 (S9)."""
+def split_count(col: Column | str, delimiter: str, regex: bool = False) -> Column:
+    """Pieces after splitting on ``delimiter``; NULL or blank text counts as 0 (S9).
+
+    Trailing empty pieces count (``'a|b|'`` has 3). A literal delimiter is
+    counted from the length lost by removing it, so no array of pieces is
+    built per row (documents can hold tens of thousands of lines); a regex
+    delimiter needs ``split``.
+    """
     c = _c(col)
-    return (F.when(c.isNull() | (F.trim(c) == ""), F.lit(0))
-            .otherwise(F.size(F.split(c, delimiter_regex))))
+    if regex:
+        pieces = F.size(F.split(c, delimiter))
+    else:
+        removed = F.length(c) - F.length(F.replace(c, F.lit(delimiter), F.lit("")))
+        pieces = (removed / F.lit(len(delimiter))).cast("int") + F.lit(1)
+    return F.when(c.isNull() | (F.trim(c) == ""), F.lit(0)).otherwise(pieces)
 
 
 # ---------------------------------------------------------------- dates, casts (F-9, F-14)

@@ -12,11 +12,18 @@ recursive SQL form would follow until its own limit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .joins import BROADCAST_MAX_ROWS, fits
+from .joins import BROADCAST_MAX_ROWS
+
+
+def _materialise(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` and count its rows in the same job (an ``Observation``)."""
+    obs = Observation()
+    done = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return done, int(obs.get["n"])
 
 
 def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
@@ -31,31 +38,32 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
 
     The child edges are checkpointed once, so the (possibly expensive) edge
     derivation is not recomputed per level. Each level's frontier is
-    checkpointed too; when it is proven small it is broadcast, so the child
+    checkpointed too, its row count observed in the same job; when that count
+    is small the frontier is broadcast, so the child
     table is streamed without a shuffle and a parent with a huge fan-out is no
     hotter than any other rows. A large frontier takes a shuffle join, where
     AQE splits skewed partitions.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     start = roots if roots is not None else edges.filter(F.col(parent).isNull())
-    frontier = start.select(*edges.columns, F.lit(0).alias("depth"),
-                            F.col(label).cast("string").alias("path")).checkpoint(eager=True)
+    frontier, size = _materialise(start.select(*edges.columns, F.lit(0).alias("depth"),
+                                               F.col(label).cast("string").alias("path")))
     children = edges.filter(F.col(parent).isNotNull()).checkpoint(eager=True)
     levels = [frontier]
     for depth in range(1, max_depth + 1):
+        if size == 0:
+            break
         step = frontier.select(F.col(node).alias("_up"), F.col("path").alias("_path"))
-        if fits(step, broadcast_rows):
+        if size <= broadcast_rows:  # the level's row count is known exactly
             step = F.broadcast(step)
-        nxt = (children.join(step, children[parent] == step["_up"], "inner")
-                       .select(*[children[c] for c in edges.columns],
-                               F.lit(depth).alias("depth"),
-                               F.concat(F.col("_path"), F.lit(separator),
-                                        F.col(label).cast("string")).alias("path"))
-                       .checkpoint(eager=True))
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        frontier = nxt
+        frontier, size = _materialise(
+            children.join(step, children[parent] == step["_up"], "inner")
+                    .select(*[children[c] for c in edges.columns],
+                            F.lit(depth).alias("depth"),
+                            F.concat(F.col("_path"), F.lit(separator),
+                                     F.col(label).cast("string")).alias("path")))
+        if size:
+            levels.append(frontier)
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

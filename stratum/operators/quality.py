@@ -143,3 +143,20 @@ def reconcile(source: DataFrame, mart: DataFrame, mart_total: str) -> DataFrame:
 def reconcile_failures(source: DataFrame, mart: DataFrame, mart_total: str) -> DataFrame:
     """The singular-test form: a row only when the counts differ."""
     return reconcile(source, mart, mart_total).filter(~F.col("rows_match")).drop("rows_match")
+
+
+def checksum(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """Cheap change detector (D-15): row count, key sum, newest timestamp."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(key).cast("long").alias("key_sum"),
+                  F.max(ts).alias("max_ts"))
+
+
+def rebuild_needed(current: DataFrame, previous: DataFrame | None) -> bool:
+    """True when there is no previous checksum or any checksum field changed.
+
+    Both frames are the one-row output of :func:`checksum`.
+    """
+    if previous is None:
+        return True
+    a, b = current.collect()[0], previous.collect()[0]
+    return tuple(a) != tuple(b)

@@ -139,3 +139,43 @@ def layer_report(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
                            F.sum("file_size").cast("long").alias("bytes"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def load_table(df: DataFrame, name: str, mode: str = "overwrite",
+               partition_cols: Sequence[str] = ()) -> None:
+    """Catalog table load, replace or append (K-3)."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    w = df.write.mode(mode).format("parquet")
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.saveAsTable(name)
+
+
+def ensure_table(spark: SparkSession, name: str, ddl_columns: str,
+                 partition_cols: Sequence[str] = ()) -> None:
+    """``CREATE TABLE IF NOT EXISTS ... USING parquet`` with a typed column list (K-13)."""
+    part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl_columns}) USING parquet{part}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def write_checked(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write Parquet and verify the read-back row count (K-7).
+
+    The written count is observed during the write (no extra pass over the
+    input); only the read-back count scans the output.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation("write_checked")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    written = int(obs.get["rows"])
+    if mode == "overwrite":
+        read_back = df.sparkSession.read.parquet(path).count()
+        if read_back != written:
+            raise RuntimeError(f"wrote {written} rows but read back {read_back} from {path}")
+    return written

@@ -216,3 +216,46 @@ def test_format_report(spark, tmp_dir):
     rep = report.format_report(spark, df, os.path.join(tmp_dir, "fmt"), ["o_orderkey", "o_totalprice"])
     by = {r["format"]: r for r in rep}
     assert by["parquet"]["bytes"] < by["csv"]["bytes"]
+
+
+def test_catalog_tables_and_checked_write(spark, tmp_dir):
+    layers.drop_table(spark, "audit_runs_t")
+    layers.ensure_table(spark, "audit_runs_t", "id STRING, status STRING, rows_loaded INT")
+    layers.ensure_table(spark, "audit_runs_t", "id STRING, status STRING, rows_loaded INT")
+    assert spark.table("audit_runs_t").count() == 0
+    rows = spark.createDataFrame([("a", "success", 3)], "id string, status string, rows_loaded int")
+    layers.load_table(rows, "audit_runs_t", "append")
+    layers.load_table(rows, "audit_runs_t", "append")
+    assert spark.table("audit_runs_t").count() == 2
+    layers.load_table(rows, "audit_runs_t", "overwrite")
+    assert spark.table("audit_runs_t").count() == 1
+    layers.drop_table(spark, "audit_runs_t")
+    assert layers.write_checked(spark.range(42), os.path.join(tmp_dir, "chk")) == 42
+
+
+def test_checksum_rebuild_decision(spark):
+    a = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))],
+                              "k long, ts timestamp_ntz")
+    b = a.union(spark.createDataFrame([(3, dt.datetime(2024, 1, 3))], "k long, ts timestamp_ntz"))
+    assert Q.rebuild_needed(Q.checksum(a, "k", "ts"), None)
+    assert not Q.rebuild_needed(Q.checksum(a, "k", "ts"), Q.checksum(a, "k", "ts"))
+    assert Q.rebuild_needed(Q.checksum(b, "k", "ts"), Q.checksum(a, "k", "ts"))
+
+
+def test_filter_after_load_plans_like_pushdown(spark):
+    """P-17: filtering a loaded frame is pushed into the scan like a filtered read."""
+    o = files.read_table(spark, SF_SMALL, "orders")
+    late = o.select("o_orderkey", "o_totalprice").filter(F.col("o_totalprice") > 100000)
+    early = o.filter(F.col("o_totalprice") > 100000).select("o_orderkey", "o_totalprice")
+    pick = [ln for ln in report.plan_text(late, "simple").splitlines() if "FileScan" in ln]
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,100000.0)]" in pick[0]
+    strip = lambda t: [ln.split("#")[0] for ln in t.splitlines() if "FileScan" in ln]
+    assert strip(report.plan_text(late, "simple")) == strip(report.plan_text(early, "simple"))
+
+
+def test_split_count_literal_equals_regex(spark):
+    from stratum.functions import columns as C
+    df = spark.createDataFrame([("a|b|",), ("a",), ("",), ("  ",), (None,), ("||",), ("a||b",)], "v string")
+    got = df.select(C.split_count("v", "|").alias("lit"), C.split_count("v", r"\|", regex=True).alias("rx"))
+    rows = [(r["lit"], r["rx"]) for r in got.collect()]
+    assert rows == [(3, 3), (1, 1), (0, 0), (0, 0), (0, 0), (3, 3), (3, 3)]

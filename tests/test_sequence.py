@@ -85,3 +85,17 @@ def test_layout_survives_reuse(spark):
     idx = S.with_row_index(laid)
     rows = sorted(r["_row"] for r in idx.select("_row").collect())
     assert rows == list(range(1, 201))
+
+
+@settings(max_examples=4, deadline=None)
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 80), parts=st.integers(1, 9))
+def test_global_lag_lead_without_keys(spark, seed, n, parts):
+    """W-12: ORDER BY without PARTITION BY, still spread over range partitions."""
+    df = _frame(spark, _rows(seed, n, 3, 0.2))
+    w = Window.orderBy("t", "id")
+    expected = df.select("id", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("nx"),
+                         F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("r"))
+    got = S.sequence_window(df, [], ["t", "id"],
+                            lambda wx: {"p": F.lag("v").over(wx), "nx": F.lead("v").over(wx)},
+                            back=1, ahead=1, running={"r": F.col("v")}, num_partitions=parts)
+    assert _collect(got, ["id", "p", "nx", "r"]) == _collect(expected, ["id", "p", "nx", "r"])
