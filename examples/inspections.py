@@ -137,3 +137,36 @@ CHECKS = [
     Q.Check("null_results_under_10pct", "null_results <= total * 0.1",
             "concat(null_results, ' null results')"),
 ]
+
+
+def pass_by_risk(enriched: DataFrame) -> DataFrame:
+    """Gold pass rate per risk level (M-15)."""
+    m = _measures()
+    return A.summarise(_graded(enriched), ["risk_level"],
+                       {k: m[k] for k in ("total_inspections", "total_passed", "pass_rate_pct",
+                                          "avg_violations")})
+
+
+def medallion(spark, csv_path: str, out: str, run_ts: str):
+    """All-string bronze -> silver by inspection year -> gold marts (M-14)."""
+    from stratum.functions.columns import normalise_names
+    from stratum.operators.windows import dedup
+    from stratum.plans import layers
+    from stratum.sources.files import read_csv_header, read_csv_strings
+
+    b, s, g = f"{out}/bronze", f"{out}/silver", f"{out}/gold"
+    raw = normalise_names(read_csv_strings(spark, csv_path, read_csv_header(spark, csv_path)))
+    layers.write_checked(layers.bronze_stamp(raw, run_ts), b)
+    bronze = spark.read.parquet(b)
+    warn = [Q.Check(c.name, c.rule, c.details, "warn") for c in CHECKS]
+    status = Q.gate(Q.verdicts(raw_metrics(bronze), warn, "inspections_bronze"))
+    staged = dedup(stg_inspections(bronze), ["inspection_id"],
+                   [F.col("inspection_date").desc_nulls_last(), F.col("result"), F.col("business_name")])
+    layers.write_partitioned(int_inspections_enriched(staged), s, ["inspection_year"])
+    silver = spark.read.parquet(s)
+    for name, mart in [("pass_by_risk", pass_by_risk(silver)),
+                       ("yearly_trends", fct_yearly_trends(silver)),
+                       ("top_failing_by_risk", top_failing_by_risk(silver))]:
+        layers.publish(mart, f"{g}/{name}")
+    return status, layers.layer_report(spark, {"bronze": b, "silver": s,
+                                               "gold": f"{g}/pass_by_risk"})

@@ -146,3 +146,29 @@ def survival_counts(enriched: DataFrame) -> DataFrame:
     """Passengers by port x survival status (M-8)."""
     return (enriched.filter(F.col("embarkation_code").isNotNull())
             .groupBy("embarkation_port", "survival_status").agg(F.count(F.lit(1)).alias("n")))
+
+
+def medallion(spark, csv_path: str, out: str, run_ts: str):
+    """Bronze (CSV + lineage) -> silver (clean, dedup, by class) -> gold marts (M-7).
+
+    The bronze checks are reported, not enforced (severity ``warn``), as in
+    the original flow; returns (dq status, layer report frame).
+    """
+    from stratum.operators.windows import dedup
+    from stratum.plans import layers
+    from stratum.sources.files import read_csv_typed
+
+    b, s, g = f"{out}/bronze", f"{out}/silver", f"{out}/gold"
+    layers.write_checked(layers.bronze_stamp(read_csv_typed(spark, csv_path, RAW_SCHEMA), run_ts), b)
+    raw = spark.read.parquet(b)
+    warn = [Q.Check(c.name, c.rule, c.details, "warn") for c in CHECKS]
+    status = Q.gate(Q.verdicts(dq_metrics(raw), warn, "titanic_bronze"))
+    enriched = int_passengers_enriched(stg_titanic(raw.filter(F.col("PassengerId").isNotNull())))
+    silver = dedup(enriched.withColumn("_processed_at", F.lit(run_ts).cast("timestamp_ntz")),
+                   ["passenger_id"], ["fare_gbp", "full_name", "ticket_number"])
+    layers.write_partitioned(silver, s, ["passenger_class"])
+    silver_df = spark.read.parquet(s)
+    layers.publish(fct_survival_by_class(silver_df), f"{g}/survival_by_class")
+    layers.publish(fct_survival_by_demographics(silver_df), f"{g}/survival_by_demographics")
+    return status, layers.layer_report(spark, {"bronze": b, "silver": s,
+                                               "gold": f"{g}/survival_by_class"})

@@ -215,3 +215,28 @@ def test_raw_dq_metrics(raw_inspections):
     v = {x["check_name"]: x["passed"] for x in
          Q.verdicts(I.raw_metrics(raw_inspections), I.CHECKS, "raw").collect()}
     assert v == {"no_null_ids": False, "unique_ids": False, "null_results_under_10pct": False}
+
+
+def test_passenger_medallion(spark, tmp_dir):
+    path = _write(tmp_dir, "titanic.csv", PASSENGERS)
+    status, rep = TI.medallion(spark, path, os.path.join(tmp_dir, "lake"), "2024-06-01 00:00:00")
+    assert status == "dq_warning"
+    layers_ = {r["layer"]: r for r in rep.collect()}
+    assert layers_["bronze"]["n_rows"] == 20 and layers_["silver"]["n_rows"] == 19
+    assert layers_["gold"]["n_rows"] == 3
+    silver = spark.read.parquet(os.path.join(tmp_dir, "lake", "silver"))
+    assert sorted(r[0] for r in silver.select("passenger_class").distinct().collect()) == [1, 2, 3]
+    kept = silver.filter(F.col("passenger_id") == 16).collect()
+    assert [str(r["fare_gbp"]) for r in kept] == ["-16.00"]  # deterministic keep-first by fare
+
+
+def test_inspection_medallion(spark, tmp_dir):
+    path = _write(tmp_dir, "inspections.csv", INSPECTIONS)
+    status, rep = I.medallion(spark, path, os.path.join(tmp_dir, "lake"), "2024-06-01 00:00:00")
+    assert status == "dq_warning"
+    layers_ = {r["layer"]: r["n_rows"] for r in rep.collect()}
+    assert layers_ == {"bronze": 9, "silver": 6, "gold": 3}
+    silver = spark.read.parquet(os.path.join(tmp_dir, "lake", "silver"))
+    kept = silver.filter(F.col("inspection_id") == 101).collect()
+    assert [r["inspection_date"] for r in kept] == [dt.date(2024, 1, 6)]  # newest wins
+    assert silver.filter(F.col("inspection_year").isNull()).count() == 3  # NULL partition (S22)
