@@ -45,13 +45,17 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     shaped.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, col: str, mode: str = "overwrite") -> None:
-    """Range-cluster on ``col`` (K-9) so row-group min/max statistics skip data.
+def write_clustered(df: DataFrame, path: str, col: str, mode: str = "overwrite",
+                    num_files: int | None = None) -> None:
+    """Range-cluster on ``col`` (K-9) so file and row-group min/max statistics skip data.
 
     Spark has no secondary index; clustering is what makes ``col > x`` read
-    only the row groups that can match.
+    only the files and row groups that can match. ``num_files`` fixes the
+    number of ranges (AQE keeps an explicit count); by default AQE sizes them.
     """
-    df.repartitionByRange(F.col(col)).sortWithinPartitions(col).write.mode(mode).parquet(path)
+    ranged = (df.repartitionByRange(num_files, F.col(col)) if num_files
+              else df.repartitionByRange(F.col(col)))
+    ranged.sortWithinPartitions(col).write.mode(mode).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:

@@ -259,3 +259,37 @@ def test_split_count_literal_equals_regex(spark):
     got = df.select(C.split_count("v", "|").alias("lit"), C.split_count("v", r"\|", regex=True).alias("rx"))
     rows = [(r["lit"], r["rx"]) for r in got.collect()]
     assert rows == [(3, 3), (1, 1), (0, 0), (0, 0), (0, 0), (3, 3), (3, 3)]
+
+
+def test_clustered_write_has_disjoint_file_ranges(spark, tmp_dir):
+    """K-9: range clustering gives each file its own value range, so min/max skip files."""
+    path = os.path.join(tmp_dir, "clustered")
+    df = files.read_table(spark, SF_SMALL, "orders").select("o_orderkey", "o_totalprice")
+    layers.write_clustered(df, path, "o_totalprice", num_files=4)
+    per_file = (spark.read.parquet(path).groupBy("_metadata.file_path")
+                .agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))
+                .orderBy("lo").collect())
+    assert len(per_file) == 4
+    assert all(a["hi"] <= b["lo"] for a, b in zip(per_file, per_file[1:]))
+    hit = spark.read.parquet(path).filter(F.col("o_totalprice") > per_file[-1]["lo"])
+    assert hit.select("_metadata.file_path").distinct().count() == 1
+
+
+def test_drop_sparse_columns_and_rows_per_file(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None, "x"), (2, None, None), (3, 5, "z")], "a int, b int, c string")
+    assert A.drop_sparse(df, 0.5).columns == ["a", "c"]
+    path = os.path.join(tmp_dir, "files")
+    spark.range(10).repartition(2).write.parquet(path)
+    counts = audit.rows_per_file(spark.read.parquet(path)).collect()
+    assert len(counts) == 2 and sum(r["n_rows"] for r in counts) == 10
+
+
+def test_hot_key_spreads_over_range_layout(spark):
+    """A key with 90% of the rows is one hash partition, but many range partitions."""
+    from stratum.operators import sequence as S
+    rows = [(0 if i % 10 else i % 7 + 1, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k int, t int")
+    hashed = df.repartition(8, "k").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    laid = S.range_layout(df, ["k", "t"], 8).groupBy("_pid").count().collect()
+    assert max(r["count"] for r in hashed) >= 3600
+    assert max(r["count"] for r in laid) <= 2 * 4000 / 8
