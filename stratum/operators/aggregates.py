@@ -90,9 +90,20 @@ def drop_sparse(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``count(*) - count(distinct keys)`` as one row (A-15)."""
-    return df.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys]))
-                  .alias("duplicate_rows"))
+    """``count(*)``, ``count(distinct keys)`` and their difference, one row (A-15).
+
+    Grouping by the key first (combined map-side) and counting groups avoids a
+    distinct aggregate; keys with a NULL part are not counted as distinct,
+    like ``count(distinct ...)``.
+    """
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    total = F.coalesce(F.sum("_c"), F.lit(0)).cast("long")
+    distinct = F.count_if(complete)
+    return per_key.agg(total.alias("total_rows"), distinct.alias("distinct_keys"),
+                       (total - distinct).alias("duplicate_rows"))
 
 
 def rate_columns(num: str, den: str, name: str, digits: int = 1) -> Column:

@@ -657,13 +657,21 @@ def sequence_cte(spark, base):
 # ============================================================ data quality (D-*)
 
 def lineitem_metrics(li: DataFrame) -> DataFrame:
-    return Q.metrics(li, {
-        "total_rows": _all(),
-        "null_orderkeys": F.count_if(F.col("l_orderkey").isNull()),
-        "negative_prices": F.count_if(F.col("l_extendedprice") < 0),
-        "bad_discounts": F.count_if((F.col("l_discount") < 0) | (F.col("l_discount") > 0.08)),
+    """One metrics row. Rows are first grouped by the line key (combined map-side),
+    so the distinct line count is a count of groups and only the order key needs
+    a distinct aggregate, instead of an Expand over two distinct aggregates."""
+    per_line = li.groupBy("l_orderkey", "l_linenumber").agg(
+        _all().alias("_c"),
+        F.count_if(F.col("l_orderkey").isNull()).alias("_null"),
+        F.count_if(F.col("l_extendedprice") < 0).alias("_neg"),
+        F.count_if((F.col("l_discount") < 0) | (F.col("l_discount") > 0.08)).alias("_bad"))
+    return Q.metrics(per_line, {
+        "total_rows": F.sum("_c").cast("long"),
+        "null_orderkeys": F.sum("_null").cast("long"),
+        "negative_prices": F.sum("_neg").cast("long"),
+        "bad_discounts": F.sum("_bad").cast("long"),
         "unique_orders": F.count_distinct("l_orderkey"),
-        "unique_lines": F.count_distinct("l_orderkey", "l_linenumber"),
+        "unique_lines": F.count_if(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull()),
     })
 
 
@@ -705,9 +713,7 @@ def dq_verdicts(spark, base):
 SELECT COUNT(*) AS total_rows, COUNT(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
        COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows FROM lineitem""")
 def duplicate_count(spark, base):
-    li = _t(spark, base).lineitem
-    k = F.count_distinct("l_orderkey", "l_linenumber")
-    return li.agg(_all().alias("total_rows"), k.alias("distinct_keys"), (_all() - k).alias("duplicate_rows"))
+    return A.duplicate_count(_t(spark, base).lineitem, ["l_orderkey", "l_linenumber"])
 
 
 @query("null_ratio_check", f"""

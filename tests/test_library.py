@@ -202,7 +202,7 @@ def test_plans_push_down_and_limit_windows(spark):
 
 def test_duplicate_and_relationship_tests(spark):
     a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
-    assert A.duplicate_count(a, ["k"]).collect()[0][0] == 2
+    assert A.duplicate_count(a, ["k"]).collect()[0]["duplicate_rows"] == 2
     parent = spark.createDataFrame([(1,)], "k int")
     assert sorted(r["k"] for r in Q.test_relationships(a, "k", parent, "k").collect()) == [2]
     assert Q.row_count_at_least(a, 4) and not Q.row_count_at_least(a, 5)
