@@ -118,11 +118,15 @@ def volume_class(n_rows: Column, small: int = 500) -> Column:
 
 def freshness(df: DataFrame, ts_col: str, table: str, as_of: str,
               max_age_hours: int) -> DataFrame:
-    """Newest timestamp vs. a fixed as-of instant (D-17); one row."""
-    as_of_ts = F.lit(as_of).cast("timestamp_ntz")
+    """Newest timestamp vs. a fixed as-of instant (D-17); one row.
+
+    The age is a TIMESTAMP_NTZ difference, so it does not depend on the
+    session time zone.
+    """
     newest = F.max(F.col(ts_col).cast("timestamp_ntz"))
-    age_h = ((F.unix_micros(as_of_ts.cast("timestamp")) - F.unix_micros(newest.cast("timestamp")))
-             .cast("double") / F.lit(3_600_000_000.0))
+    as_of_ts = F.lit(as_of).cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", newest, as_of_ts)
+    age_h = micros.cast("double") / F.lit(3_600_000_000.0)
     return df.agg(F.lit(table).alias("table_name"), newest.alias("newest_ts"),
                   F.floor(age_h).cast("long").alias("age_hours"),
                   (age_h > F.lit(float(max_age_hours))).alias("is_stale"))
