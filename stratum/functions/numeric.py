@@ -13,7 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-WIDE = "decimal(38,10)"
 
 
 def _c(col: Column | str) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct, rounded
+from ..functions.numeric import rounded
 
 
 def summarise(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column],
@@ -105,6 +105,3 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(total.alias("total_rows"), distinct.alias("distinct_keys"),
                        (total - distinct).alias("duplicate_rows"))
 
-
-def rate_columns(num: str, den: str, name: str, digits: int = 1) -> Column:
-    return pct(F.col(num), F.col(den), digits).alias(name)
