@@ -36,9 +36,19 @@ def rounded(x: Column | str, digits: int) -> Column:
             / F.lit(scale))
 
 
+def cents(col: Column | str) -> Column:
+    """A two-decimal amount as exact integer cents (LONG)."""
+    return F.rint(_c(col).cast("double") * F.lit(100.0)).cast("long")
+
+
+def from_cents(total: Column) -> Column:
+    """Integer cents back to a DOUBLE amount (the nearest double to the exact sum)."""
+    return total.cast("double") / F.lit(100.0)
+
+
 def exact_sum(col: Column | str) -> Column:
     """Order-independent sum of a money column, as DOUBLE."""
-    return F.sum(money(col)).cast("double")
+    return from_cents(F.sum(cents(col)))
 
 
 def exact_mean(col: Column | str) -> Column:

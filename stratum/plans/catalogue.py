@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.numeric import exact_mean, exact_sum, flag_sum, money, pct, rounded
+from ..functions.numeric import cents, exact_mean, exact_sum, flag_sum, from_cents, pct, rounded
 from ..operators import aggregates as A
 from ..operators import hierarchy as H
 from ..operators import quality as Q
@@ -537,12 +537,12 @@ def running_moving(spark, base):
 
     def build(w):
         frame = w.rowsBetween(-2, 0)
-        return {"_m": F.sum(money("value")).over(frame).cast("double")
+        return {"_m": from_cents(F.sum(cents("value")).over(frame))
                 / F.count("value").over(frame).cast("double")}
     out = S.sequence_window(e, ["user_id"], ["ts", "event_id"], build, back=2,
-                            running={"_run": money("value")})
+                            running={"_run": cents("value")})
     return out.select("event_id", "user_id", "ts", "value",
-                      F.col("_run").cast("double").alias("running_total"),
+                      from_cents(F.col("_run")).alias("running_total"),
                       rounded(F.col("_m"), 2).alias("moving_avg_3"))
 
 
