@@ -188,7 +188,16 @@ def sequence_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
         carry = (part.select(PID, *keys, F.sum("_cnt").over(earlier).alias("_seen"),
                              *[F.sum(f"_p{v}").over(earlier).alias(f"_c{v}") for v in vals])
                      .filter(F.col("_seen") > 0).drop("_seen"))
-        idx = with_row_index(laid, starts).join(F.broadcast(carry), [PID, *keys], "left")
+        # fresh names: carry shares lineage with the rows, so same-named columns
+        # would resolve to the same attributes in the join condition
+        ck = {k: f"_ck{i}" for i, k in enumerate(keys)}
+        carry = carry.select(F.col(PID).alias("_cpid"), *[F.col(k).alias(ck[k]) for k in keys],
+                             *[F.col(f"_c{v}") for v in vals])
+        cond = F.col(PID) == F.col("_cpid")
+        for k in keys:  # NULL is a key of its own, as in PARTITION BY
+            cond = cond & F.col(k).eqNullSafe(F.col(ck[k]))
+        idx = (with_row_index(laid, starts).join(F.broadcast(carry), cond, "left")
+               .drop("_cpid", *ck.values()))
     else:
         starts = partition_starts(laid)
         idx = with_row_index(laid, starts)

@@ -18,11 +18,13 @@ def _frame(spark, rows):
     return spark.createDataFrame(rows, "k int, t int, id int, v double")
 
 
-def _rows(seed, n, keys, hot_share):
+def _rows(seed, n, keys, hot_share, null_share=0.0):
     rnd = random.Random(seed)
     out = []
     for i in range(n):
         k = 0 if rnd.random() < hot_share else rnd.randrange(1, keys + 1)
+        if rnd.random() < null_share:
+            k = None
         out.append((k, rnd.randrange(0, 50), i, float(rnd.randrange(-500, 500)) / 4))
     return out
 
@@ -31,11 +33,12 @@ def _collect(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(seed=st.integers(0, 10_000), n=st.integers(1, 120), keys=st.integers(1, 6),
-       parts=st.integers(1, 13), hot=st.sampled_from([0.0, 0.34, 0.9]))
-def test_lag_lead_moving_running_match_plain_windows(spark, seed, n, keys, parts, hot):
-    df = _frame(spark, _rows(seed, n, keys, hot))
+       parts=st.integers(1, 13), hot=st.sampled_from([0.0, 0.34, 0.9]),
+       nulls=st.sampled_from([0.0, 0.5]))
+def test_lag_lead_moving_running_match_plain_windows(spark, seed, n, keys, parts, hot, nulls):
+    df = _frame(spark, _rows(seed, n, keys, hot, nulls))
     w = Window.partitionBy("k").orderBy("t", "id")
     expected = df.select(
         "id", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("nx"),
