@@ -102,3 +102,12 @@ def test_global_lag_lead_without_keys(spark, seed, n, parts):
                             lambda wx: {"p": F.lag("v").over(wx), "nx": F.lead("v").over(wx)},
                             back=1, ahead=1, running={"r": F.col("v")}, num_partitions=parts)
     assert _collect(got, ["id", "p", "nx", "r"]) == _collect(expected, ["id", "p", "nx", "r"])
+
+
+def test_empty_input(spark):
+    df = _frame(spark, [])
+    assert S.global_ntile(df, ["v", "id"], 4, "q", num_partitions=4).count() == 0
+    assert S.exact_median(df, "v", num_partitions=4).collect()[0]["median"] is None
+    got = S.sequence_window(df, ["k"], ["t", "id"], lambda w: {"p": F.lag("v").over(w)},
+                            back=1, ahead=1, running={"r": F.col("v")}, num_partitions=4)
+    assert got.count() == 0
