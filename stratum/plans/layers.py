@@ -183,3 +183,19 @@ def write_checked(df: DataFrame, path: str, mode: str = "overwrite") -> int:
         if read_back != written:
             raise RuntimeError(f"wrote {written} rows but read back {read_back} from {path}")
     return written
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
+               mode: str = "append", batch_size: int = 1000,
+               max_connections: int | None = None) -> None:
+    """Load a frame into a JDBC table (K-3, H7): batched inserts, bounded connections.
+
+    ``max_connections`` coalesces the frame so at most that many tasks (and
+    database connections) write concurrently.
+    """
+    out = df.coalesce(max_connections) if max_connections else df
+    w = (out.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
+         .option("batchsize", str(batch_size)))
+    for k, v in properties.items():
+        w = w.option(k, v)
+    w.save()

@@ -97,3 +97,26 @@ def log_filter(logs: DataFrame, pattern: str, ignore_case: bool = False,
     line = F.concat_ws(" ", F.col("level"), F.col("message"))
     pred = line.rlike(rx)
     return logs.filter(~pred if invert else pred)
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
+              partition_column: str | None = None, lower: int | None = None,
+              upper: int | None = None, num_partitions: int | None = None,
+              fetch_size: int = 10_000) -> DataFrame:
+    """Table or query from a JDBC database (S-6, H7), read in parallel.
+
+    With ``partition_column`` and bounds, Spark issues ``num_partitions``
+    range queries in parallel instead of one full-table query on one task.
+    Filters and projections applied afterwards are pushed into the SQL.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
+        .option("fetchsize", str(fetch_size))
+    for k, v in properties.items():
+        reader = reader.option(k, v)
+    if partition_column:
+        if lower is None or upper is None or not num_partitions:
+            raise ValueError("partitioned JDBC reads need lower, upper and num_partitions")
+        reader = (reader.option("partitionColumn", partition_column)
+                  .option("lowerBound", str(lower)).option("upperBound", str(upper))
+                  .option("numPartitions", str(num_partitions)))
+    return reader.load()
