@@ -25,6 +25,9 @@ FACILITY_RULES = [(["restaurant"], "Restaurant"), (["school"], "School"),
 ERAS = [((2010, 2014), "2010-2014"), ((2015, 2019), "2015-2019")]
 RECENT_ERA = (2020, "2020+")
 OLD_ERA = "Before 2010"
+DEFAULT_FACILITY = "Unknown"
+DEFAULT_CITY = "CHICAGO"
+DEFAULT_STATE = "IL"
 VIOLATION_SPLIT = "|"
 
 
@@ -33,7 +36,7 @@ def stg_inspections(raw: DataFrame) -> DataFrame:
     risk = C.categorise("risk", RISK_RULES, "Unknown")
     result = C.categorise("results", RESULT_RULES, "Other")
     date = C.parse_date(F.col("inspection_date"), "M/d/yyyy")
-    facility = C.pg_initcap(F.trim(C.fill_const("facility_type", "Unknown")))
+    facility = C.pg_initcap(F.trim(C.fill_const("facility_type", DEFAULT_FACILITY)))
     # ids that are missing or not integers are rejected before anything else (S11, S17)
     return (raw.filter(C.safe_cast("inspection_id", "int").isNotNull())
             .select(
@@ -45,8 +48,8 @@ def stg_inspections(raw: DataFrame) -> DataFrame:
                 risk.alias("risk_level"),
                 C.code_map(risk, RISK_RANK, 99).cast("int").alias("risk_rank"),
                 F.trim("address").alias("address"),
-                F.trim(C.fill_const("city", "CHICAGO")).alias("city"),
-                F.trim(C.fill_const("state", "IL")).alias("state"),
+                F.trim(C.fill_const("city", DEFAULT_CITY)).alias("city"),
+                F.trim(C.fill_const("state", DEFAULT_STATE)).alias("state"),
                 F.trim("zip").alias("zip_code"),
                 date.alias("inspection_date"),
                 F.year(date).cast("int").alias("inspection_year"),

@@ -42,7 +42,7 @@ CLASS_LABELS = {1: "First", 2: "Second"}
 CLASS_OTHER = "Third"
 
 
-def stg_titanic(raw: DataFrame) -> DataFrame:
+def stg_passengers(raw: DataFrame) -> DataFrame:
     r = C.rename(raw, RENAMES, drop=["Cabin"])
     code = C.fill_const("embarkation_code", DEFAULT_PORT)
     return r.select(
@@ -113,8 +113,8 @@ CHECKS = [
 
 def project(spark, raw: DataFrame, target_dir: str | None = None) -> Project:
     p = Project(spark, target_dir)
-    p.source("raw_titanic", lambda: raw)
-    p.model("stg_titanic", ["raw_titanic"], tests={
+    p.source("raw_passengers", lambda: raw)
+    p.model("stg_passengers", ["raw_passengers"], tests={
         "unique_passenger_id": lambda d: Q.test_unique(d, ["passenger_id"]),
         "not_null_passenger_id": lambda d: Q.test_not_null(d, "passenger_id"),
         "accepted_class": lambda d: Q.test_accepted_values(d, "passenger_class", [1, 2, 3]),
@@ -122,22 +122,22 @@ def project(spark, raw: DataFrame, target_dir: str | None = None) -> Project:
         "accepted_gender": lambda d: Q.test_accepted_values(d, "gender", ["male", "female"]),
         "not_null_fare": lambda d: Q.test_not_null(d, "fare_gbp"),
         "accepted_port": lambda d: Q.test_accepted_values(d, "embarkation_code", ["C", "Q", "S"]),
-    })(lambda raw_titanic: stg_titanic(raw_titanic))
-    p.model("int_passengers_enriched", ["stg_titanic"], tests={
+    })(lambda raw_passengers: stg_passengers(raw_passengers))
+    p.model("int_passengers_enriched", ["stg_passengers"], tests={
         "accepted_age_group": lambda d: Q.test_accepted_values(
             d, "age_group", [v for _, v in AGE_GROUPS] + [AGE_TOP]),
         "accepted_fare_tier": lambda d: Q.test_accepted_values(
             d, "fare_tier", [v for _, v in FARE_TIERS] + [FARE_TOP]),
-    })(lambda stg_titanic: int_passengers_enriched(stg_titanic))
+    })(lambda stg_passengers: int_passengers_enriched(stg_passengers))
     mat = "table" if target_dir else "view"
     p.model("fct_survival_by_class", ["int_passengers_enriched"], materialize=mat, tests={
         "rate_bounds": lambda d: Q.test_bounds(d, "survival_rate_pct", 0, 100),
     })(lambda int_passengers_enriched: fct_survival_by_class(int_passengers_enriched))
     p.model("fct_survival_by_demographics", ["int_passengers_enriched"], materialize=mat)(
         lambda int_passengers_enriched: fct_survival_by_demographics(int_passengers_enriched))
-    p.model("reconcile", ["raw_titanic", "fct_survival_by_class"])(
-        lambda raw_titanic, fct_survival_by_class: Q.reconcile(
-            raw_titanic, fct_survival_by_class, "total_passengers"))
+    p.model("reconcile", ["raw_passengers", "fct_survival_by_class"])(
+        lambda raw_passengers, fct_survival_by_class: Q.reconcile(
+            raw_passengers, fct_survival_by_class, "total_passengers"))
     p.add_test("reconcile", "totals_match", lambda d: d.filter(~F.col("rows_match")))
     return p
 
@@ -162,8 +162,8 @@ def medallion(spark, csv_path: str, out: str, run_ts: str):
     layers.write_checked(layers.bronze_stamp(read_csv_typed(spark, csv_path, RAW_SCHEMA), run_ts), b)
     raw = spark.read.parquet(b)
     warn = [Q.Check(c.name, c.rule, c.details, "warn") for c in CHECKS]
-    status = Q.gate(Q.verdicts(dq_metrics(raw), warn, "titanic_bronze"))
-    enriched = int_passengers_enriched(stg_titanic(raw.filter(F.col("PassengerId").isNotNull())))
+    status = Q.gate(Q.verdicts(dq_metrics(raw), warn, "passengers_bronze"))
+    enriched = int_passengers_enriched(stg_passengers(raw.filter(F.col("PassengerId").isNotNull())))
     silver = dedup(enriched.withColumn("_processed_at", F.lit(run_ts).cast("timestamp_ntz")),
                    ["passenger_id"], ["fare_gbp", "full_name", "ticket_number"])
     layers.write_partitioned(silver, s, ["passenger_class"])

@@ -154,7 +154,7 @@ def test_audit_trail(spark, tmp_dir):
     assert log.history(5).count() == 3
     m = spark.createDataFrame([(0, 2)], "null_names bigint, bad bigint")
     v = Q.verdicts(m, [Q.Check("no_null_names", "null_names = 0", "null_names"),
-                       Q.Check("no_bad", "bad = 0", "bad")], "titanic")
+                       Q.Check("no_bad", "bad = 0", "bad")], "passengers")
     log.log_checks(v, ctx.run_id)
     checks = log.checks(8).collect()
     assert {(r["check_name"], r["passed"]) for r in checks} == {("no_null_names", True), ("no_bad", False)}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from examples import inspections as I
-from examples import titanic as TI
+from examples import passengers as TI
 from stratum.functions import columns as C
 from stratum.operators import quality as Q
 from stratum.operators import windows as W
@@ -60,7 +60,7 @@ def _write(tmp_dir, name, text):
 @pytest.fixture(scope="module")
 def passengers(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("pax"))
-    return files.read_csv_typed(spark, _write(d, "titanic.csv", PASSENGERS), TI.RAW_SCHEMA)
+    return files.read_csv_typed(spark, _write(d, "passengers.csv", PASSENGERS), TI.RAW_SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -86,7 +86,7 @@ def test_csv_quotes_and_nulls(passengers):
 
 
 def test_staging_and_buckets(passengers):
-    e = TI.int_passengers_enriched(TI.stg_titanic(passengers))
+    e = TI.int_passengers_enriched(TI.stg_passengers(passengers))
     rows = {r["passenger_id"]: r for r in e.filter(F.col("fare_gbp") >= 0).collect()}
     assert rows[3]["gender"] == "female" and rows[5]["gender"] == "male"  # S7
     assert rows[3]["age"] == 28.0  # S5
@@ -102,7 +102,7 @@ def test_staging_and_buckets(passengers):
 
 
 def test_dq_gate_lists_failures(passengers):
-    verdicts = Q.verdicts(TI.dq_metrics(passengers), TI.CHECKS, "titanic")
+    verdicts = Q.verdicts(TI.dq_metrics(passengers), TI.CHECKS, "passengers")
     got = {r["check_name"]: (r["passed"], r["details"]) for r in verdicts.collect()}
     assert got["no_negative_fares"] == (False, "1 negative fares")
     assert got["unique_passengers"] == (False, "19 unique of 20 total")
@@ -151,7 +151,7 @@ def test_dedup_is_deterministic(passengers):
 
 
 def test_unique_test_returns_failing_keys(passengers):
-    stg = TI.stg_titanic(passengers)
+    stg = TI.stg_passengers(passengers)
     bad = Q.test_unique(stg, ["passenger_id"]).collect()
     assert [(r["passenger_id"], r["n_rows"]) for r in bad] == [(16, 2)]
 
@@ -218,7 +218,7 @@ def test_raw_dq_metrics(raw_inspections):
 
 
 def test_passenger_medallion(spark, tmp_dir):
-    path = _write(tmp_dir, "titanic.csv", PASSENGERS)
+    path = _write(tmp_dir, "passengers.csv", PASSENGERS)
     status, rep = TI.medallion(spark, path, os.path.join(tmp_dir, "lake"), "2024-06-01 00:00:00")
     assert status == "dq_warning"
     layers_ = {r["layer"]: r for r in rep.collect()}
