@@ -77,3 +77,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables next to the checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop FileSystem summary, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, total_input_bytes: int,
+                            target_bytes: int = 256 << 20, minimum: int | None = None,
+                            maximum: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about one partition per ``target_bytes``.
+
+    This is the initial count; AQE still coalesces small partitions and splits
+    skewed ones. Compressed Parquet inflates when shuffled, so the target is a
+    little above the advisory partition size. Returns the value set.
+    """
+    floor = minimum if minimum is not None else spark.sparkContext.defaultParallelism
+    n = max(floor, min(maximum, -(-total_input_bytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -293,3 +293,16 @@ def test_hot_key_spreads_over_range_layout(spark):
     laid = S.range_layout(df, ["k", "t"], 8).groupBy("_pid").count().collect()
     assert max(r["count"] for r in hashed) >= 3600
     assert max(r["count"] for r in laid) <= 2 * 4000 / 8
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from stratum.session import input_bytes, size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size = input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet", f"{SF_SMALL}/orders.parquet"])
+        assert size > 0
+        assert size_shuffle_partitions(spark, 100 * (1 << 40), minimum=8) == 200_000
+        assert size_shuffle_partitions(spark, 10 * (1 << 30), minimum=8) == 40
+        assert size_shuffle_partitions(spark, size, minimum=8) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
