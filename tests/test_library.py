@@ -306,3 +306,18 @@ def test_shuffle_partitions_sized_from_input(spark):
         assert size_shuffle_partitions(spark, size, minimum=8) == 8
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet=" \t\n\x0b\x01　+-.0123456789ae,#٣", max_size=8),
+                min_size=1, max_size=60))
+def test_guarded_safe_cast_equals_try_cast(spark, texts):
+    from stratum.functions import columns as C
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for t in ("int", "bigint", "tinyint"):
+        rows = df.select(F.col("v").try_cast(t).alias("a"), C.safe_cast("v", t).alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in rows), t
