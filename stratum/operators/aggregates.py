@@ -105,3 +105,22 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(total.alias("total_rows"), distinct.alias("distinct_keys"),
                        (total - distinct).alias("duplicate_rows"))
 
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """Shape and per-column profile in one aggregate (S-10).
+
+    One row per column: ``column_name, data_type, n_rows, n_null, n_distinct``
+    (types are Spark's simple strings, taken from the schema, not the data).
+    """
+    cols = df.columns
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(cols):
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), F.count_distinct(c).alias(f"_d{i}")]
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("column_name"),
+                     F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+                     F.col("_rows").alias("n_rows"), F.col(f"_n{i}").alias("n_null"),
+                     F.col(f"_d{i}").alias("n_distinct"))
+            for i, c in enumerate(cols)]
+    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")

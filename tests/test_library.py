@@ -321,3 +321,9 @@ def test_guarded_safe_cast_equals_try_cast(spark, texts):
     for t in ("int", "bigint", "tinyint"):
         rows = df.select(F.col("v").try_cast(t).alias("a"), C.safe_cast("v", t).alias("b")).collect()
         assert all(r["a"] == r["b"] for r in rows), t
+
+
+def test_profile_shape_types_nulls(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "k int, s string")
+    got = {r["column_name"]: tuple(r)[1:] for r in A.profile(df).collect()}
+    assert got == {"k": ("int", 3, 0, 2), "s": ("string", 3, 1, 1)}
