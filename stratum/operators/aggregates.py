@@ -57,6 +57,17 @@ def union_tagged(frames: Mapping[str, DataFrame], tag: str = "source") -> DataFr
     return out
 
 
+def nullness(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Replace every column except ``keep`` by a marker that is NULL exactly when it was.
+
+    Profiles only need to know whether a value is NULL, so wide columns (text,
+    arrays) can shrink to a boolean before a join or shuffle. The result has
+    the same column names and the same NULL pattern.
+    """
+    return df.select(*[F.col(c) if c in keep else
+                       F.when(F.col(c).isNotNull(), F.lit(True)).alias(c) for c in df.columns])
+
+
 def null_profile(df: DataFrame, keep_zero: bool = False, column: str = "column_name",
                  count: str = "n_null") -> DataFrame:
     """Missing-value count per column in one pass, unpivoted (A-13)."""

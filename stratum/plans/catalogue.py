@@ -260,15 +260,20 @@ DOC_LABELS_SQL = """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.qual
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
-def documents_labels(t: Tables) -> DataFrame:
-    return t.documents.join(t.labels, "doc_id", "left").select(*DOC_LABEL_COLS)
+def documents_labels(t: Tables, nulls_only: bool = False) -> DataFrame:
+    """documents LEFT JOIN labels; with ``nulls_only`` the document columns are
+    reduced to NULL markers before the join, so the text is never shuffled."""
+    docs = t.documents
+    if nulls_only:
+        docs = A.nullness(docs, keep=["doc_id"])
+    return docs.join(t.labels, "doc_id", "left").select(*DOC_LABEL_COLS)
 
 
 @query("null_profile", f"WITH j AS ({DOC_LABELS_SQL}) SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {o.cnt(c + ' IS NULL')} AS n_null FROM j"
     for c in DOC_LABEL_COLS) + ") WHERE n_null > 0")
 def null_profile(spark, base):
-    return A.null_profile(documents_labels(_t(spark, base)))
+    return A.null_profile(documents_labels(_t(spark, base), nulls_only=True))
 
 
 @query("sparse_columns", f"WITH j AS ({DOC_LABELS_SQL}) SELECT * FROM (" + " UNION ALL ".join(
@@ -276,7 +281,7 @@ def null_profile(spark, base):
                {o.r(f"CAST({o.cnt(c + ' IS NULL')} AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)", 4)}
                AS null_ratio FROM j""" for c in DOC_LABEL_COLS) + ") WHERE n_null > n_rows * 0.5")
 def sparse_columns(spark, base):
-    return A.sparse_columns(documents_labels(_t(spark, base)), 0.5)
+    return A.sparse_columns(documents_labels(_t(spark, base), nulls_only=True), 0.5)
 
 
 @query("left_join_nulls", f"""
