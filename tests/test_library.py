@@ -327,3 +327,38 @@ def test_profile_shape_types_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "k int, s string")
     got = {r["column_name"]: tuple(r)[1:] for r in A.profile(df).collect()}
     assert got == {"k": ("int", 3, 0, 2), "s": ("string", 3, 1, 1)}
+
+
+def test_checkpoint_dir_policy():
+    from stratum.session import ensure_checkpoint_dir
+
+    class Ctx:
+        def __init__(self, master, current=None):
+            self.master, self.current, self.set_to = master, current, None
+
+        def getCheckpointDir(self):
+            return self.set_to or self.current
+
+        def setCheckpointDir(self, d):
+            self.set_to = d
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        def __init__(self, master, conf_value=None, current=None):
+            self.sparkContext = Ctx(master, current)
+            self.conf = Conf(conf_value)
+
+    assert ensure_checkpoint_dir(Session("yarn", current="hdfs://nn/ckpt")) == "hdfs://nn/ckpt"
+    assert ensure_checkpoint_dir(Session("yarn", conf_value="s3a://b/ckpt")) == "s3a://b/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session("yarn"))  # never a machine-local folder on a cluster
+    assert ensure_checkpoint_dir(Session("local[2]")).startswith("/tmp/run-ckpt-")
