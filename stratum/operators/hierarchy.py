@@ -12,18 +12,19 @@ recursive SQL form would follow until its own limit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .joins import BROADCAST_MAX_ROWS
 
 
-def _materialise(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` and count its rows in the same job (an ``Observation``)."""
+def _materialise(df: DataFrame, count: Column | None = None) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` and aggregate ``count`` (default: rows) in the same job."""
     obs = Observation()
-    done = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    return done, int(obs.get["n"])
+    metric = count if count is not None else F.count(F.lit(1))
+    done = df.observe(obs, metric.alias("n")).checkpoint(eager=True)
+    return done, int(obs.get["n"] or 0)
 
 
 def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
@@ -36,8 +37,9 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
     joined by ``separator``). Levels deeper than ``max_depth`` are not walked,
     which also ends cycles.
 
-    The child edges are checkpointed once, so the (possibly expensive) edge
-    derivation is not recomputed per level. Each level's frontier is
+    The edges are checkpointed once (the root count observed in the same job),
+    so the (possibly expensive) edge derivation is not recomputed per level.
+    Each level's frontier is
     checkpointed too, its row count observed in the same job; when that count
     is small the frontier is broadcast, so the child
     table is streamed without a shuffle and a parent with a huge fan-out is no
@@ -45,10 +47,18 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
     AQE splits skewed partitions.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    start = roots if roots is not None else edges.filter(F.col(parent).isNull())
-    frontier, size = _materialise(start.select(*edges.columns, F.lit(0).alias("depth"),
-                                               F.col(label).cast("string").alias("path")))
-    children = edges.filter(F.col(parent).isNotNull()).checkpoint(eager=True)
+    if roots is None:
+        # one job: checkpoint the edges and count the roots while writing them
+        edges, size = _materialise(edges, F.count_if(F.col(parent).isNull()))
+        start = edges.filter(F.col(parent).isNull())
+    else:
+        edges = edges.checkpoint(eager=True)
+        start, size = roots, None
+    frontier = start.select(*edges.columns, F.lit(0).alias("depth"),
+                            F.col(label).cast("string").alias("path"))
+    if size is None:
+        frontier, size = _materialise(frontier)
+    children = edges.filter(F.col(parent).isNotNull())
     levels = [frontier]
     for depth in range(1, max_depth + 1):
         if size == 0:

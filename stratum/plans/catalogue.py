@@ -633,10 +633,10 @@ def turn_chain(spark, base):
     key = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     parent = F.when(F.col("turn") > 0, F.concat_ws(
         ":", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")))
+    # turn 0 has no parent, so it is the root of each conversation's chain
     edges = cv.select("conv_id", "turn", "role", key.alias("_node"), parent.alias("_parent"))
-    roots = edges.filter(F.col("turn") == 0)
     walk = H.walk_tree(edges, node="_node", parent="_parent", label="role", separator=" > ",
-                       max_depth=8, roots=roots)
+                       max_depth=8)
     return walk.select("conv_id", "turn", "role", "depth", "path")
 
 
