@@ -182,7 +182,11 @@ def _with_halo(idx: DataFrame, starts: DataFrame, back: int, ahead: int) -> Data
     own = F.array(F.struct(F.col(PID).cast("int").alias("_dst"), F.lit(0).cast("long").alias("_lo"),
                            F.lit(_FAR).cast("long").alias("_hi"), F.lit(False).alias("_h")))
     tagged = idx.join(F.broadcast(targets), idx[PID] == targets["_src"], "left")
-    arr = F.when(F.col("_targets").isNull(), own).otherwise(F.concat(own, F.col("_targets")))
+    # only rows within `back` of a partition's end or `ahead` of its start can
+    # serve a neighbour; interior rows pass through without the explode fan-out
+    edge = (F.col(POS) >= F.col(N) - F.lit(back)) | (F.col(POS) < F.lit(ahead))
+    arr = (F.when(F.col("_targets").isNull() | ~edge, own)
+            .otherwise(F.concat(own, F.col("_targets"))))
     keep = [c for c in idx.columns if c != PID]
     return (tagged.select(*keep, F.explode(arr).alias("_t"))
                   .filter((F.col(POS) >= F.col("_t._lo")) & (F.col(POS) <= F.col("_t._hi")))

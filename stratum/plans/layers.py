@@ -68,12 +68,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 def affected_partitions(df: DataFrame, ts_col: str, part_col: str, lookback: str) -> DataFrame:
     """Rows of every partition touched by the look-back window before the newest row.
 
-    The set of touched partition values is bounded by the window length (a
-    3-day window touches at most 4 days), so it is broadcast for a semi-join.
+    For date partitions the touched set is bounded by the window (a 3-day
+    window touches at most 4 days); the size is still checked before it is
+    broadcast for the semi-join, since ``part_col`` may be any column.
     """
+    from ..operators.joins import sized_broadcast
+
     cutoff = df.agg((F.max(ts_col) - F.expr(f"INTERVAL {lookback}")).alias("c")).scalar()
     touched = df.filter(F.col(ts_col) >= cutoff).select(part_col).distinct()
-    return df.join(F.broadcast(touched), part_col, "left_semi")
+    return df.join(sized_broadcast(touched, 10_000), part_col, "left_semi")
 
 
 def upsert_latest(current: DataFrame, changes: DataFrame, keys: Sequence[str],
