@@ -111,12 +111,13 @@ def clean_upper(col: Column | str) -> Column:
 
 
 def pg_initcap(col: Column | str) -> Column:
-    """initcap with PostgreSQL word boundaries (any non-alphanumeric char).
+    r"""initcap with PostgreSQL word boundaries (any non-alphanumeric char).
 
     Spark's ``initcap`` only splits on spaces; here the text is cut into runs of
-    alphanumerics and non-alphanumerics and each run is capitalised.
+    letters/digits (Unicode classes: Java's ``\p{Alnum}`` is ASCII-only and would
+    split "élan") and of everything else, and each run is capitalised.
     """
-    runs = F.regexp_extract_all(_c(col), F.lit(r"([\p{Alnum}]+|[^\p{Alnum}]+)"), 1)
+    runs = F.regexp_extract_all(_c(col), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), 1)
     cap = F.transform(runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))),
                                                F.lower(F.substring(x, 2, 1 << 30))))
     return F.array_join(cap, "")

@@ -396,7 +396,7 @@ def string_clean(spark, base):
 
 @query("initcap_pg", """
 SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(
-         p_type || '/' || p_name || '-' || p_brand, '([A-Za-z0-9]+|[^A-Za-z0-9]+)', 1),
+         p_type || '/' || p_name || '-' || p_brand, '([\\pL\\pN]+|[^\\pL\\pN]+)', 1),
          lambda x: upper(x[1]) || lower(x[2:])), '') AS label
 FROM part""")
 def initcap_pg(spark, base):
