@@ -365,3 +365,20 @@ def test_checkpoint_dir_policy():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session("yarn"))  # never a machine-local folder on a cluster
     assert ensure_checkpoint_dir(Session("local[2]")).startswith("/tmp/run-ckpt-")
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    orders = files.read_table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    cust = files.read_table(spark, SF_SMALL, "customer").select("c_custkey", "c_mktsegment")
+    layers.write_bucketed(orders.withColumnRenamed("o_custkey", "custkey"), "orders_b", ["custkey"], 8)
+    layers.write_bucketed(cust.withColumnRenamed("c_custkey", "custkey"), "customer_b", ["custkey"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("orders_b").join(spark.table("customer_b"), "custkey")
+        plan = report.plan_text(joined, "simple")
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == orders.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        layers.drop_table(spark, "orders_b")
+        layers.drop_table(spark, "customer_b")
