@@ -382,3 +382,13 @@ def test_bucketed_tables_join_without_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         layers.drop_table(spark, "orders_b")
         layers.drop_table(spark, "customer_b")
+
+
+def test_full_overwrite_drops_stale_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "by_class")
+    first = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "id int, cls int")
+    layers.write_partitioned(first, path, ["cls"])
+    layers.write_partitioned(first.filter("cls < 3"), path, ["cls"])  # full replace
+    assert sorted(r["cls"] for r in spark.read.parquet(path).collect()) == [1, 2]
+    layers.overwrite_partitions(first.filter("cls = 1").withColumn("id", F.lit(10)), path, ["cls"])
+    assert sorted((r["cls"], r["id"]) for r in spark.read.parquet(path).collect()) == [(1, 10), (2, 2)]
