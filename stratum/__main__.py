@@ -26,7 +26,7 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "list":
         for name in sorted(QUERIES):
-            print(name)
+            print(f"{name:22s} {(QUERIES[name].__doc__ or '').strip()}")
         return 0
     if args.query not in QUERIES:
         print(f"unknown query {args.query!r}; try `python -m stratum list`", file=sys.stderr)

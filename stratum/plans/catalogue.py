@@ -104,6 +104,7 @@ FROM orders GROUP BY o_orderpriority"""
 
 @query("class_summary", CLASS_SUMMARY_SQL)
 def class_summary(spark, base):
+    """Per order priority: totals, finished/open/pending counts, finished %, mean and total price (M-2/M-5, A-3, A-6, A-9, A-10, A-18)."""
     return order_class_summary(_t(spark, base).orders)
 
 
@@ -119,6 +120,7 @@ def _with_price_tier(orders: DataFrame) -> DataFrame:
     for dim, expr in [("status", "o_orderstatus"), ("priority", "o_orderpriority"),
                       ("price_tier", _case_lt("o_totalprice", PRICE_TIERS, PRICE_TOP))]))
 def segment_rates(spark, base):
+    """Finished counts and rate per status, priority and price tier, stacked with GROUPING SETS (A-17, M-6)."""
     o_ = _with_price_tier(_t(spark, base).orders)
     return A.segment_rates(
         o_, {"status": "o_orderstatus", "priority": "o_orderpriority", "price_tier": "price_tier"},
@@ -132,6 +134,7 @@ def segment_rates(spark, base):
         FROM {src} GROUP BY {p}_nationkey"""
     for src, p in [("customer", "c"), ("supplier", "s")]))
 def union_all(spark, base):
+    """Account counts and balances per nation for customers and suppliers, tagged and unioned (U-1)."""
     t = _t(spark, base)
 
     def by_nation(df, p):
@@ -152,6 +155,7 @@ SELECT l_linestatus, {_case_lt('l_quantity', QTY_BANDS, QTY_TOP)} AS qty_band,
        MAX(l_quantity) AS max_quantity
 FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1, 2""")
 def rate_by_group(spark, base):
+    """Return-flag 'R' as failure: counts, rate, mean discount, max quantity by line status x quantity band (A-8, A-10, P-10, M-11)."""
     li = _t(spark, base).lineitem.filter(F.col("l_returnflag").isin("R", "A"))
     failed = F.col("l_returnflag") == "R"
     li = li.withColumn("qty_band", C.thresholds("l_quantity", QTY_BANDS, QTY_TOP))
@@ -173,6 +177,7 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, COUNT(*) AS total_order
        {o.flag("o_orderpriority = '1-URGENT'")} AS urgent_orders
 FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1""")
 def yearly_trends(spark, base):
+    """Per order year 1996-2000: totals, finished %, distinct customers, urgent orders (A-5, P-11, M-12)."""
     # the year range as a timestamp range reaches the Parquet scan as PushedFilters
     o_ = _t(spark, base).orders.filter(
         (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
@@ -203,6 +208,7 @@ GROUP BY 1, 2, 3, 4 HAVING COUNT(*) >= 3
 ORDER BY total_open DESC, finished_pct ASC, n_name, c_mktsegment, o_orderpriority, order_year
 LIMIT 50""")
 def top_entities(spark, base):
+    """Top 50 (nation, segment, priority, year) groups with >= 3 orders by open orders, keys as tie-breakers (A-11, A-14, O-1, O-2, M-13)."""
     t = _t(spark, base)
     cust = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     j = (t.orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
@@ -232,6 +238,7 @@ SELECT * FROM (
   SELECT *, CAST(RANK() OVER (PARTITION BY c_mktsegment ORDER BY open_orders DESC) AS INTEGER)
          AS rank_in_segment FROM s) WHERE rank_in_segment <= 3""")
 def top_ranked_groups(spark, base):
+    """Customers with >= 3 orders ranked by open orders within their segment, rank <= 3 with ties (W-11)."""
     t = _t(spark, base)
     j = t.orders.join(t.customer.select("c_custkey", "c_name", "c_mktsegment"),
                       F.col("o_custkey") == F.col("c_custkey"))
@@ -248,6 +255,7 @@ def top_ranked_groups(spark, base):
 SELECT event_type, {_case_lt('value', VALUE_BANDS, VALUE_TOP)} AS value_band, COUNT(*) AS n_events
 FROM events GROUP BY 1, 2""")
 def two_key_count(spark, base):
+    """Events per event type x value band (A-12, M-8)."""
     e = _t(spark, base).events.withColumn(
         "value_band", C.thresholds("value", VALUE_BANDS, VALUE_TOP))
     return e.groupBy("event_type", "value_band").agg(_all().alias("n_events"))
@@ -273,6 +281,7 @@ def documents_labels(t: Tables, nulls_only: bool = False) -> DataFrame:
     f"SELECT '{c}' AS column_name, {o.cnt(c + ' IS NULL')} AS n_null FROM j"
     for c in DOC_LABEL_COLS) + ") WHERE n_null > 0")
 def null_profile(spark, base):
+    """NULL count per column of documents LEFT JOIN labels, columns with NULLs only (A-13)."""
     return A.null_profile(documents_labels(_t(spark, base), nulls_only=True))
 
 
@@ -281,6 +290,7 @@ def null_profile(spark, base):
                {o.r(f"CAST({o.cnt(c + ' IS NULL')} AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)", 4)}
                AS null_ratio FROM j""" for c in DOC_LABEL_COLS) + ") WHERE n_null > n_rows * 0.5")
 def sparse_columns(spark, base):
+    """Columns of documents LEFT JOIN labels whose NULL ratio is above 0.5 (P-4)."""
     return A.sparse_columns(documents_labels(_t(spark, base), nulls_only=True), 0.5)
 
 
@@ -290,6 +300,7 @@ SELECT d.lang, COUNT(*) AS n_docs, COUNT(l.quality) AS n_labelled,
        {o.pct("COUNT(l.quality)", "COUNT(*)")} AS labelled_pct
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""")
 def left_join_nulls(spark, base):
+    """Per language: documents, labelled documents, toxic count with NULL as 0, labelled % (J-3, F-4, A-2)."""
     t = _t(spark, base)
     j = t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left")
     return j.groupBy("lang").agg(
@@ -304,6 +315,7 @@ SELECT c_custkey, c_acctbal,
              "(SELECT median(c_acctbal) FROM customer WHERE c_acctbal >= 0))", 2)} AS balance_filled
 FROM customer""")
 def fill_median(spark, base):
+    """Negative balances set to NULL, then filled with the exact median of the rest (A-4, F-4, M-1)."""
     c = _t(spark, base).customer.withColumn(
         "_bal", C.null_if("c_acctbal", F.col("c_acctbal") < 0))
     med = S.exact_median(c, "_bal").scalar()
@@ -316,6 +328,7 @@ SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount,
        {o.r("l_extendedprice / NULLIF(l_discount, 0)", 2)} AS price_per_discount
 FROM lineitem""")
 def ratio_column(spark, base):
+    """Extended price per discount with NULL instead of a division by zero (F-13, M-1)."""
     li = _t(spark, base).lineitem
     return li.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount",
                      rounded(F.try_divide("l_extendedprice", "l_discount"), 2)
@@ -337,6 +350,7 @@ SELECT o_orderkey AS order_key, o_custkey AS customer_key, o_orderstatus AS stat
        o_orderstatus = 'F' AS is_finished
 FROM orders""")
 def silver_orders(spark, base):
+    """Orders renamed, priority dropped, price rounded as money, date cast, finished flag (P-1, P-3, P-5, F-12, M-3)."""
     s = C.rename(_t(spark, base).orders, SILVER_ORDER_NAMES, drop=["o_orderpriority"])
     return s.select("order_key", "customer_key", "status",
                     C.money_round("total_price", 2).alias("total_price"),
@@ -354,6 +368,7 @@ SELECT c_custkey, c_acctbal,
             ELSE 99 END AS segment_rank
 FROM customer""")
 def bucketise(spark, base):
+    """Balance tier, balance label and segment rank with a 99 default (F-15, F-17, M-4)."""
     c = _t(spark, base).customer
     return c.select(
         "c_custkey", "c_acctbal",
@@ -368,6 +383,7 @@ SELECT *, {_case_lt('value', VALUE_BANDS, VALUE_TOP)} AS value_band,
        event_type = 'error' AS is_error, value >= 100 AS is_high_value
 FROM events""")
 def enriched_events(spark, base):
+    """All event columns plus value band, error flag, high-value flag (P-8, F-16, M-10)."""
     e = _t(spark, base).events
     return e.select("*", C.thresholds("value", VALUE_BANDS, VALUE_TOP).alias("value_band"),
                     (F.col("event_type") == "error").alias("is_error"),
@@ -378,6 +394,7 @@ def enriched_events(spark, base):
     "WHEN " + " OR ".join(f"p_name ILIKE '%{n}%'" for n in needles) + f" THEN '{label}'"
     for needles, label in PART_CATEGORIES) + " ELSE 'Other' END AS category FROM part")
 def categorise_parts(spark, base):
+    """First-matching case-insensitive category of each part name (P-13, F-5)."""
     p = _t(spark, base).part
     return p.select("p_partkey", "p_name", C.categorise("p_name", PART_CATEGORIES).alias("category"))
 
@@ -387,6 +404,7 @@ SELECT p_partkey, upper(trim('  ' || p_name || ' ')) AS name_clean, lower(p_type
        upper(trim(COALESCE(p_brand, 'unknown'))) AS brand_clean
 FROM part""")
 def string_clean(spark, base):
+    """Upper/trim of padded names, lower-cased types, defaulted brands (F-1, F-2, M-9)."""
     p = _t(spark, base).part
     return p.select("p_partkey",
                     C.clean_upper(F.concat(F.lit("  "), F.col("p_name"), F.lit(" "))).alias("name_clean"),
@@ -400,6 +418,7 @@ SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(
          lambda x: upper(x[1]) || lower(x[2:])), '') AS label
 FROM part""")
 def initcap_pg(spark, base):
+    """PostgreSQL-style initcap over type/name/brand text (F-3)."""
     p = _t(spark, base).part
     txt = F.concat(F.col("p_type"), F.lit("/"), F.col("p_name"), F.lit("-"), F.col("p_brand"))
     return p.select("p_partkey", C.pg_initcap(txt).alias("label"))
@@ -410,6 +429,7 @@ SELECT doc_id, CAST(CASE WHEN text IS NULL OR trim(text) = '' THEN 0
                     ELSE len(string_split(text, chr(10))) END AS INTEGER) AS n_lines
 FROM documents""")
 def split_count(spark, base):
+    """Lines per document (pieces split on newline; blank text counts 0) (F-7)."""
     d = _t(spark, base).documents
     return d.select("doc_id", C.split_count("text", "\n").cast("int").alias("n_lines"))
 
@@ -421,6 +441,7 @@ SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%Y') AS order_date_text,
        CAST(month(o_orderdate) AS INTEGER) AS order_month
 FROM orders""")
 def date_parts(spark, base):
+    """Order date formatted as M/d text, parsed back, year and month (F-9, F-10, M-9)."""
     o_ = _t(spark, base).orders.withColumn(
         "order_date_text", F.date_format("o_orderdate", "MM/dd/yyyy"))
     d = C.parse_date("order_date_text", "M/d/yyyy")
@@ -436,6 +457,7 @@ SELECT p_partkey, TRY_CAST(regexp_extract(p_brand, '#(.*)$', 1) AS INTEGER) AS b
        CAST(p_size AS VARCHAR) AS size_text
 FROM part""")
 def safe_cast(spark, base):
+    """Brand number and type number through ANSI-safe casts, plus a reject flag (F-14)."""
     p = _t(spark, base).part
     return p.select("p_partkey",
                     C.safe_cast(F.regexp_extract("p_brand", r"#(.*)$", 1), "int").alias("brand_number"),
@@ -448,6 +470,7 @@ def safe_cast(spark, base):
 SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_totalprice > 450000
 ORDER BY o_totalprice DESC, o_orderkey""")
 def filter_project_sort(spark, base):
+    """Orders above a price, three columns, sorted (P-7, P-9)."""
     o_ = _t(spark, base).orders
     return (o_.filter(F.col("o_totalprice") > 450000).select("o_orderkey", "o_totalprice", "o_orderdate")
               .orderBy(F.col("o_totalprice").desc(), "o_orderkey"))
@@ -457,6 +480,7 @@ def filter_project_sort(spark, base):
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE o_orderstatus = 'F' AND o_totalprice > 400000.0""")
 def param_query(spark, base):
+    """Named-parameter SQL over the orders frame (P-15, S-6)."""
     return spark.sql(
         "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} "
         "WHERE o_orderstatus = :cls AND o_totalprice > :min_price",
@@ -468,6 +492,7 @@ SELECT l_returnflag, COUNT(*) AS n_items, SUM(l_quantity) AS total_qty,
        {o.money_sum('l_extendedprice')} AS total_price
 FROM lineitem GROUP BY l_returnflag""")
 def scan_pruned(spark, base):
+    """Three-column scan of lineitem aggregated by return flag (S-4)."""
     li = _t(spark, base).lineitem.select("l_returnflag", "l_quantity", "l_extendedprice")
     return li.groupBy("l_returnflag").agg(_all().alias("n_items"), F.sum("l_quantity").alias("total_qty"),
                                           exact_sum("l_extendedprice").alias("total_price"))
@@ -480,6 +505,7 @@ CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegmen
     f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(DISTINCT {c}) AS n_distinct,
                {len(CUSTOMER_COLS)} AS n_columns FROM customer""" for c in CUSTOMER_COLS))
 def table_profile(spark, base):
+    """Rows, distinct values and column count for every customer column (S-10)."""
     c = _t(spark, base).customer
     cols = c.columns
     wide = c.agg(_all().alias("n_rows"), *[F.count_distinct(x).alias(x) for x in cols])
@@ -491,6 +517,7 @@ def table_profile(spark, base):
 @query("bronze_stamp", f"""
 SELECT *, TIMESTAMP '{RUN_TS}' AS _ingested_at, 'nation.parquet' AS _source_file FROM nation""")
 def bronze_stamp(spark, base):
+    """Nation rows with a run timestamp and the source file name (K-6)."""
     from .layers import bronze_stamp as stamp
     return stamp(_t(spark, base).nation, RUN_TS)
 
@@ -501,6 +528,7 @@ def bronze_stamp(spark, base):
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
 QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""")
 def first_per_group(spark, base):
+    """First order of every customer by date, then key (W-1, P-16)."""
     o_ = _t(spark, base).orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     return W.first_per_group(o_, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
@@ -513,6 +541,7 @@ SELECT * FROM (
            AS price_dense_rank
   FROM orders) WHERE price_rank <= 10""")
 def rank_dense(spark, base):
+    """rank and dense_rank of price within priority, rank <= 10 (W-2, W-3)."""
     o_ = _t(spark, base).orders.select("o_orderpriority", "o_orderkey", "o_totalprice")
     return W.top_n_per_group(o_, ["o_orderpriority"], [F.col("o_totalprice").desc()], 10,
                              rank_name="price_rank", dense_name="price_dense_rank")
@@ -524,6 +553,7 @@ SELECT event_id, user_id, ts, value,
        {o.r("value - LAG(value) OVER w", 2)} AS value_change
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def lag_lead(spark, base):
+    """Previous/next event value per user and the change, hot-user safe (W-4, W-5, W-6)."""
     e = _t(spark, base).events.select("event_id", "user_id", "ts", "value")
     out = S.lag_lead(e, ["user_id"], ["ts", "event_id"], "value")
     return out.withColumn("value_change", rounded(F.col("value") - F.col("prev_value"), 2))
@@ -538,6 +568,7 @@ SELECT event_id, user_id, ts, value,
          AS moving_avg_3
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def running_moving(spark, base):
+    """Running total and 3-row moving mean of event value per user (W-7, W-8)."""
     e = _t(spark, base).events.select("event_id", "user_id", "ts", "value")
 
     def build(w):
@@ -555,6 +586,7 @@ def running_moving(spark, base):
 SELECT c_custkey, c_acctbal, CAST(NTILE(4) OVER (ORDER BY c_acctbal, c_custkey) AS INTEGER) AS balance_quartile
 FROM customer""")
 def ntile_global(spark, base):
+    """Balance quartile over the whole customer table, distributed (W-9, W-12)."""
     c = _t(spark, base).customer.select("c_custkey", "c_acctbal")
     return S.global_ntile(c, ["c_acctbal", "c_custkey"], 4, "balance_quartile")
 
@@ -566,6 +598,7 @@ SELECT o_orderkey, o.o_orderpriority, o_totalprice, {o.r('mean', 2)} AS class_av
 FROM orders o JOIN m ON o.o_orderpriority = m.o_orderpriority
 ORDER BY o_totalprice - mean DESC, o_orderkey LIMIT 10""")
 def diff_from_avg(spark, base):
+    """Top 10 orders by price above their priority's mean (W-10, O-2)."""
     o_ = _t(spark, base).orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
     return W.top_k_diff_from_mean(o_, ["o_orderpriority"], "o_totalprice", "o_orderkey", 10,
                                   "class_avg_price", "diff_from_avg")
@@ -574,6 +607,7 @@ def diff_from_avg(spark, base):
 @query("newest_n", """
 SELECT event_id, ts, user_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 8""")
 def newest_n(spark, base):
+    """The 8 newest events (O-4, G-4)."""
     e = _t(spark, base).events.select("event_id", "ts", "user_id", "event_type", "value")
     return W.top_k(e, [F.col("ts").desc(), F.col("event_id").desc()], 8)
 
@@ -586,6 +620,7 @@ LINEITEM_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_d
 SELECT * FROM lineitem QUALIFY ROW_NUMBER() OVER (
   PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINEITEM_REST)}) = 1""")
 def dedup_lineitem(spark, base):
+    """One line per (order, line number), chosen by a total order over the other columns (U-3, S16)."""
     return W.dedup(_t(spark, base).lineitem, ["l_orderkey", "l_linenumber"], LINEITEM_REST)
 
 
@@ -606,6 +641,7 @@ walk AS (
   FROM edges e JOIN walk w ON e.parent_name = w.name)
 SELECT depth, name, role, path FROM walk""")
 def org_chart(spark, base):
+    """Region -> nation -> customer walk with depth and path (R-2, J-1, F-6)."""
     t = _t(spark, base)
     region = t.region
     nation = t.nation
@@ -629,6 +665,7 @@ WITH RECURSIVE walk AS (
   WHERE w.depth < 8)
 SELECT conv_id, turn, role, depth, path FROM walk""")
 def turn_chain(spark, base):
+    """Conversation turn chains walked from turn 0 with depth and role path (R-2)."""
     cv = _t(spark, base).conversations
     key = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     parent = F.when(F.col("turn") > 0, F.concat_ws(
@@ -650,6 +687,7 @@ counts AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, COUNT(*) AS
 SELECT y.order_year, COALESCE(c.n, 0) AS n_orders FROM years y LEFT JOIN counts c
   ON y.order_year = c.order_year""")
 def sequence_cte(spark, base):
+    """Year spine from the first to the last order year with order counts, zero-filled (R-1, U-2)."""
     o_ = _t(spark, base).orders.select(F.year("o_orderdate").cast("int").alias("order_year"))
     spine = (o_.agg(F.min("order_year").alias("lo"), F.max("order_year").alias("hi"))
                .select(F.explode(F.sequence("lo", "hi")).alias("order_year")))
@@ -692,6 +730,7 @@ FROM lineitem"""
 
 @query("dq_metrics", LINEITEM_METRICS_SQL)
 def dq_metrics(spark, base):
+    """One-pass lineitem metrics: rows, NULL keys, negative prices, bad discounts, distinct orders and lines (D-1, A-1, A-7)."""
     return lineitem_metrics(_t(spark, base).lineitem)
 
 
@@ -711,6 +750,7 @@ LINEITEM_CHECKS = [
     f"CAST({c.details} AS VARCHAR) AS details, '{c.severity}' AS severity FROM m"
     for c in LINEITEM_CHECKS))
 def dq_verdicts(spark, base):
+    """Lineitem metrics turned into (check, passed, details, severity) rows (D-2)."""
     return Q.verdicts(lineitem_metrics(_t(spark, base).lineitem), LINEITEM_CHECKS, "lineitem")
 
 
@@ -718,6 +758,7 @@ def dq_verdicts(spark, base):
 SELECT COUNT(*) AS total_rows, COUNT(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
        COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows FROM lineitem""")
 def duplicate_count(spark, base):
+    """Rows, distinct (order, line) keys and duplicates (A-15)."""
     return A.duplicate_count(_t(spark, base).lineitem, ["l_orderkey", "l_linenumber"])
 
 
@@ -729,6 +770,7 @@ SELECT 'documents_labels' AS table_name, COUNT(*) AS n_rows,
        COUNT(*) FILTER (WHERE l.quality IS NULL) <= COUNT(*) * 0.1 AS passed
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def null_ratio_check(spark, base):
+    """NULL ratio of labels over documents against a 10% threshold (D-5)."""
     t = _t(spark, base)
     j = t.documents.select("doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
     nulls = F.count_if(F.col("quality").isNull())
@@ -740,6 +782,7 @@ def null_ratio_check(spark, base):
 @query("test_unique", """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 def test_unique(spark, base):
+    """Failing rows of a uniqueness test on (order, line number) (D-6)."""
     return Q.test_unique(_t(spark, base).lineitem, ["l_orderkey", "l_linenumber"])
 
 
@@ -747,6 +790,7 @@ def test_unique(spark, base):
 SELECT d.doc_id, d.lang FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 WHERE l.quality IS NULL""")
 def test_not_null(spark, base):
+    """Documents without a quality label (D-7)."""
     t = _t(spark, base)
     j = t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left")
     return Q.test_not_null(j, "quality", report=["doc_id", "lang"])
@@ -757,12 +801,14 @@ SELECT o_orderpriority AS value, COUNT(*) AS n_rows FROM orders
 WHERE o_orderpriority IS NOT NULL AND o_orderpriority NOT IN
   ({', '.join(f"'{v}'" for v in ACCEPTED_PRIORITIES)}) GROUP BY 1""")
 def test_accepted(spark, base):
+    """Priorities outside an accepted list, with counts (D-8)."""
     return Q.test_accepted_values(_t(spark, base).orders, "o_orderpriority", ACCEPTED_PRIORITIES)
 
 
 @query("test_bounds", """
 SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9500""")
 def test_bounds(spark, base):
+    """Customers with a balance outside [0, 9500] (D-9, D-10)."""
     return Q.test_bounds(_t(spark, base).customer, "c_acctbal", 0, 9500,
                          report=["c_custkey", "c_acctbal"])
 
@@ -771,6 +817,7 @@ def test_bounds(spark, base):
 SELECT o_orderkey, o_custkey FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
 def test_relationships(spark, base):
+    """Orders whose customer is not an active (non-negative balance) customer (D-12)."""
     t = _t(spark, base)
     active = t.customer.filter(F.col("c_acctbal") >= 0)
     child = t.orders.select("o_orderkey", "o_custkey")
@@ -785,6 +832,7 @@ def test_relationships(spark, base):
                  AS is_stale
         FROM {tab}""" for tab, col in [("events", "ts"), ("orders", "o_orderdate")]))
 def source_freshness(spark, base):
+    """Newest timestamp, age in hours and stale flag of events and orders (D-17)."""
     t = _t(spark, base)
     return (Q.freshness(t.events, "ts", "events", AS_OF, 24)
             .unionByName(Q.freshness(t.orders, "o_orderdate", "orders", AS_OF, 24)))
@@ -797,6 +845,7 @@ SELECT (SELECT COUNT(*) FROM orders) AS source_rows,
        (SELECT COUNT(*) FROM orders) = (SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM orders
          GROUP BY o_orderpriority)) AS rows_match""")
 def reconcile_rows(spark, base):
+    """Source row count against the class mart's total (D-11, J-2)."""
     o_ = _t(spark, base).orders
     return Q.reconcile(o_, order_class_summary(o_), "total_orders")
 
@@ -809,6 +858,7 @@ SELECT COUNT(*) AS n_segments,
        CAST(SUM(total_orders) AS BIGINT) AS total_orders
 FROM m""")
 def avg_of_rates(spark, base):
+    """Unweighted mean of the per-priority finished rates (A-16)."""
     m = order_class_summary(_t(spark, base).orders)
     return m.agg(_all().alias("n_segments"),
                  rounded(F.sum(F.col("finished_pct").cast("decimal(18,1)")).cast("double")
@@ -823,6 +873,7 @@ def avg_of_rates(spark, base):
     for name, src in [("region", "region"), ("supplier", "supplier"), ("orders", "orders"),
                       ("orders_negative_price", "orders WHERE o_totalprice < 0")]))
 def volume_class(spark, base):
+    """empty / small / full per table (D-14)."""
     t = _t(spark, base)
     frames = {"region": t.region, "supplier": t.supplier, "orders": t.orders,
               "orders_negative_price": t.orders.filter(F.col("o_totalprice") < 0)}
@@ -838,6 +889,7 @@ SELECT COUNT(*) AS n_rows, CAST(SUM(o_orderkey) AS BIGINT) AS key_sum,
        MAX(o_orderdate) AS max_order_date, {o.money_sum('o_totalprice')} AS price_sum
 FROM orders""")
 def table_checksum(spark, base):
+    """Row count, key sum, newest date and price sum of orders (D-15)."""
     o_ = _t(spark, base).orders
     return o_.agg(_all().alias("n_rows"), F.sum("o_orderkey").cast("long").alias("key_sum"),
                   F.max("o_orderdate").alias("max_order_date"),
@@ -853,6 +905,7 @@ upd AS (SELECT event_id, user_id, event_type, value + 1.0 AS value, ts + INTERVA
 SELECT * FROM (SELECT * FROM base UNION ALL SELECT * FROM upd)
 QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY updated_at DESC) = 1""")
 def upsert_latest(spark, base):
+    """Error events updated by a change set; the newest version of each event wins (K-11)."""
     from .layers import upsert_latest as upsert
     e = _t(spark, base).events
     current = e.select("event_id", "user_id", "event_type", "value", F.col("ts").alias("updated_at"))
@@ -868,6 +921,7 @@ days AS (SELECT DISTINCT event_date FROM e WHERE ts >= (SELECT MAX(ts) FROM e) -
 SELECT e.event_date, COUNT(*) AS n_events, {o.money_sum('value')} AS total_value
 FROM e WHERE e.event_date IN (SELECT event_date FROM days) GROUP BY e.event_date""")
 def late_window(spark, base):
+    """Daily aggregates recomputed only for days touched by the last 3 days (K-10)."""
     from .layers import affected_partitions
     e = _t(spark, base).events.withColumn("event_date", F.to_date("ts"))
     hit = affected_partitions(e, "ts", "event_date", lookback="3 days")
