@@ -65,18 +65,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
        .partitionBy(*partition_cols).parquet(path))
 
 
-def affected_partitions(df: DataFrame, ts_col: str, part_col: str, lookback: str) -> DataFrame:
+def affected_partitions(df: DataFrame, ts_col: str, part_col: str, lookback: str,
+                        max_values: int = 10_000) -> DataFrame:
     """Rows of every partition touched by the look-back window before the newest row.
 
-    For date partitions the touched set is bounded by the window (a 3-day
-    window touches at most 4 days); the size is still checked before it is
-    broadcast for the semi-join, since ``part_col`` may be any column.
+    The touched partition values (a 3-day window over daily partitions touches
+    at most 4) are fetched, up to ``max_values`` of them, and applied as a
+    literal ``IN`` filter: on a table partitioned by ``part_col`` that is
+    partition pruning, so only the affected partitions are read. Beyond the
+    bound a semi-join is used instead.
     """
-    from ..operators.joins import sized_broadcast
-
     cutoff = df.agg((F.max(ts_col) - F.expr(f"INTERVAL {lookback}")).alias("c")).scalar()
     touched = df.filter(F.col(ts_col) >= cutoff).select(part_col).distinct()
-    return df.join(sized_broadcast(touched, 10_000), part_col, "left_semi")
+    values = [r[0] for r in touched.limit(max_values + 1).collect()]
+    if len(values) <= max_values:
+        return df.filter(F.col(part_col).isin(values))
+    return df.join(touched, part_col, "left_semi")
 
 
 def upsert_latest(current: DataFrame, changes: DataFrame, keys: Sequence[str],

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,14 @@ def test_dynamic_overwrite_and_affected_partitions(spark, tmp_dir):
     ).withColumn("day", F.to_date("ts"))
     hit = layers.affected_partitions(ev, "ts", "day", "3 days")
     assert sorted(r["v"] for r in hit.collect()) == [7, 8, 9, 10]
+    semi = layers.affected_partitions(ev, "ts", "day", "3 days", max_values=2)
+    assert sorted(r["v"] for r in semi.collect()) == [7, 8, 9, 10]
+    # on a day-partitioned table the touched days become partition filters
+    daily = os.path.join(tmp_dir, "events_by_day")
+    layers.write_partitioned(ev, daily, ["day"])
+    pruned = layers.affected_partitions(spark.read.parquet(daily), "ts", "day", "3 days")
+    assert re.search(r"PartitionFilters: \[day#\d+ IN \(", report.plan_text(pruned))
+    assert sorted(r["v"] for r in pruned.collect()) == [7, 8, 9, 10]
 
 
 def test_publish_is_all_or_nothing(spark, tmp_dir):
