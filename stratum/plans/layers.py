@@ -218,3 +218,17 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
     """
     (df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
        .saveAsTable(name))
+
+
+def refresh_affected(source: DataFrame, ts_col: str, part_col: str, lookback: str,
+                     build, target: str) -> DataFrame:
+    """Incremental mart refresh (K-10): rebuild only partitions the look-back touches.
+
+    ``build(rows)`` turns the source rows of the affected partitions into mart
+    rows that keep ``part_col``; those partitions are replaced in ``target``
+    with dynamic overwrite and every other partition is left as written.
+    Returns the rebuilt mart rows.
+    """
+    mart = build(affected_partitions(source, ts_col, part_col, lookback))
+    overwrite_partitions(mart, target, [part_col])
+    return mart

@@ -401,3 +401,23 @@ def test_full_overwrite_drops_stale_partitions(spark, tmp_dir):
     assert sorted(r["cls"] for r in spark.read.parquet(path).collect()) == [1, 2]
     layers.overwrite_partitions(first.filter("cls = 1").withColumn("id", F.lit(10)), path, ["cls"])
     assert sorted((r["cls"], r["id"]) for r in spark.read.parquet(path).collect()) == [(1, 10), (2, 2)]
+
+
+def test_refresh_affected_rebuilds_only_touched_days(spark, tmp_dir):
+    def daily(rows):
+        return rows.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+
+    src = spark.createDataFrame([(dt.datetime(2024, 1, d, h), d) for d in range(1, 8) for h in (1, 13)],
+                                "ts timestamp_ntz, v int").withColumn("day", F.to_date("ts"))
+    target = os.path.join(tmp_dir, "daily_mart")
+    layers.overwrite_partitions(daily(src), target, ["day"])
+    before = {str(r["day"]): r["_metadata"]["file_path"] for r in
+              spark.read.parquet(target).select("day", "_metadata").collect()}
+    late = spark.createDataFrame([(dt.datetime(2024, 1, 6, 20), 100)], "ts timestamp_ntz, v int") \
+        .withColumn("day", F.to_date("ts"))
+    layers.refresh_affected(src.unionByName(late), "ts", "day", "1 day", daily, target)
+    after = {str(r["day"]): (r["n"], r["total"], r["_metadata"]["file_path"]) for r in
+             spark.read.parquet(target).select("day", "n", "total", "_metadata").collect()}
+    assert after["2024-01-06"][:2] == (3, 112) and after["2024-01-07"][:2] == (2, 14)
+    assert after["2024-01-01"][2] == before["2024-01-01"]  # untouched partition not rewritten
+    assert after["2024-01-06"][2] != before["2024-01-06"]
