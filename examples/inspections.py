@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions import columns as C
-from stratum.functions.numeric import flag_sum, pct, rounded
+from stratum.functions.numeric import flag_sum, pct_decimal
 from stratum.operators import aggregates as A
 from stratum.operators import quality as Q
 from stratum.operators import windows as W
@@ -85,8 +85,8 @@ def _measures(extra=None):
     m = {"total_inspections": n,
          "total_passed": flag_sum(F.col("passed")),
          "total_failed": flag_sum(~F.col("passed")),
-         "pass_rate_pct": pct(flag_sum(F.col("passed")), n),
-         "avg_violations": rounded(F.avg("violation_count"), 2)}
+         "pass_rate_pct": pct_decimal(flag_sum(F.col("passed")), n),
+         "avg_violations": F.round(F.avg("violation_count"), 2)}
     m.update(extra or {})
     return m
 
@@ -118,7 +118,7 @@ def top_failing_by_risk(enriched: DataFrame, since_year: int = 2015, k: int = 3)
     stats = A.summarise(g, ["business_name", "risk_level"], {
         "total": F.count(F.lit(1)),
         "failures": flag_sum(~F.col("passed")),
-        "avg_violations": rounded(F.avg("violation_count"), 2)},
+        "avg_violations": F.round(F.avg("violation_count"), 2)},
         having=F.col("total") >= 3)
     return W.top_n_per_group(stats, ["risk_level"], [F.col("failures").desc()], k,
                              rank_name="rank_in_risk")

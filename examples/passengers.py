@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions import columns as C
-from stratum.functions.numeric import pct, rounded
+from stratum.functions.numeric import mean_decimal, pct_decimal
 from stratum.operators import aggregates as A
 from stratum.operators import quality as Q
 from stratum.plans.models import Project
@@ -75,9 +75,9 @@ def fct_survival_by_class(enriched: DataFrame) -> DataFrame:
         "total_passengers": n,
         "total_survived": F.sum("survived").cast("long"),
         "total_died": F.sum(F.lit(1) - F.col("survived")).cast("long"),
-        "survival_rate_pct": pct(F.sum("survived"), n),
-        "avg_fare_gbp": rounded(F.avg(F.col("fare_gbp")).cast("double"), 2),
-        "avg_age": rounded(F.avg("age"), 1),
+        "survival_rate_pct": pct_decimal(F.sum("survived"), n),
+        "avg_fare_gbp": mean_decimal("fare_gbp", 2),
+        "avg_age": F.round(F.avg("age"), 1),
         "solo_travellers": F.count_if(F.col("is_solo_traveller")),
         "female_passengers": F.count_if(F.col("gender") == "female"),
         "male_passengers": F.count_if(F.col("gender") == "male"),
@@ -89,7 +89,7 @@ def fct_survival_by_demographics(enriched: DataFrame) -> DataFrame:
     return A.segment_rates(
         enriched, {"gender": "gender", "age_group": "age_group", "fare_tier": "fare_tier"},
         {"total": n, "survived": F.sum("survived").cast("long"),
-         "survival_rate_pct": pct(F.sum("survived"), n)})
+         "survival_rate_pct": pct_decimal(F.sum("survived"), n)})
 
 
 def dq_metrics(raw: DataFrame) -> DataFrame:

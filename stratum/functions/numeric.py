@@ -71,3 +71,14 @@ def pct(num: Column | str, den: Column | str, digits: int = 1) -> Column:
 def flag_sum(cond: Column) -> Column:
     """``sum(cast(cond as int))``: rows where ``cond`` holds (NULL counts as 0)."""
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+
+
+def pct_decimal(num: Column | str, den: Column | str, digits: int = 1) -> Column:
+    """``round(100.0 * num / den, digits)`` in DECIMAL, as SQL engines with a
+    decimal ``100.0`` literal compute it (half-up on the exact quotient)."""
+    return F.round(F.expr("100.0") * _c(num) / _c(den), digits)
+
+
+def mean_decimal(col: Column | str, digits: int) -> Column:
+    """``round(avg(x), digits)`` with ``avg`` over DECIMAL values, half-up."""
+    return F.round(F.avg(_c(col)), digits)
