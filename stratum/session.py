@@ -22,9 +22,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
-    # checkpoints (range layouts, tree levels) serialise rows through the RDD
-    # serializer; Kryo is faster and smaller than Java serialization
-    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
