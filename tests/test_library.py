@@ -421,3 +421,18 @@ def test_refresh_affected_rebuilds_only_touched_days(spark, tmp_dir):
     assert after["2024-01-06"][:2] == (3, 112) and after["2024-01-07"][:2] == (2, 14)
     assert after["2024-01-01"][2] == before["2024-01-01"]  # untouched partition not rewritten
     assert after["2024-01-06"][2] != before["2024-01-06"]
+
+
+def test_streaming_ingest_in_several_batches(spark, tmp_dir):
+    from pyspark.sql.types import _parse_datatype_string
+    src = os.path.join(tmp_dir, "landing_many")
+    os.makedirs(src)
+    for i in range(4):
+        with open(os.path.join(src, f"f{i}.csv"), "w") as f:
+            f.write("id,name\n" + "\n".join(f"{i * 10 + j},n{j}" for j in range(3)) + "\n")
+    target, ckpt = os.path.join(tmp_dir, "bronze_many"), os.path.join(tmp_dir, "bronze_many_ckpt")
+    st = _parse_datatype_string("id int, name string")
+    assert ingest_available(spark, src, st, target, ckpt, max_files_per_trigger=1) == 12
+    assert ingest_available(spark, src, st, target, ckpt) == 0  # nothing new: nothing re-read
+    ids = sorted(r["id"] for r in spark.read.parquet(target).collect())
+    assert ids == sorted(i * 10 + j for i in range(4) for j in range(3))
