@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, rounded
+from .joins import BROADCAST_MAX_ROWS, fits
 
 
 def _order(cols: Sequence[Column | str]) -> list[Column]:
@@ -73,20 +74,23 @@ def diff_from_group_mean(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def top_k_diff_from_mean(df: DataFrame, keys: Sequence[str], value: str, tie: str, k: int,
-                         mean_name: str, diff_name: str, digits: int = 2) -> DataFrame:
+                         mean_name: str, diff_name: str, digits: int = 2,
+                         max_groups: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The ``k`` rows with the largest ``value - mean(value) per key`` (ties by ``tie``).
 
-    Within a key the mean is constant, so the global top ``k`` is among each
-    key's own top ``k`` by ``value``: those candidates (found with a partial
-    ``WindowGroupLimit`` before any shuffle) are the only rows joined to the
-    means, instead of the whole table.
+    The per-key means are aggregated once (map-side) and checkpointed; when
+    their row count is within ``max_groups`` they are broadcast, so every row
+    gets its difference without the table being shuffled, and the top ``k`` is
+    taken map-side (``TakeOrderedAndProject``). Beyond the bound a shuffle join
+    is used (AQE splits hot keys). Every row is ranked by the exact ordering
+    expression, so there is no per-key candidate cap.
     """
-    means = df.groupBy(*keys).agg(exact_mean(value).alias("_mean"))
-    cand = first_per_group(df, keys, [F.col(value).desc(), F.col(tie).asc()], k)
-    scored = (cand.join(means, list(keys))
-                  .withColumn("_diff", F.col(value) - F.col("_mean"))
-                  .withColumn(mean_name, rounded(F.col("_mean"), digits))
-                  .withColumn(diff_name, rounded(F.col("_diff"), digits)))
+    means = df.groupBy(*keys).agg(exact_mean(value).alias("_mean")).checkpoint(eager=True)
+    side = F.broadcast(means) if fits(means, max_groups) else means
+    scored = (df.join(side, list(keys))
+                .withColumn("_diff", F.col(value) - F.col("_mean"))
+                .withColumn(mean_name, rounded(F.col("_mean"), digits))
+                .withColumn(diff_name, rounded(F.col("_diff"), digits)))
     return top_k(scored, [F.col("_diff").desc(), F.col(tie).asc()], k).drop("_mean", "_diff")
 
 

@@ -65,3 +65,20 @@ def test_decimal_rates_round_half_up(spark):
     fares = spark.createDataFrame([("2.67",), ("2.68",)], "v string").select(
         F.col("v").cast("decimal(18,2)").alias("v"))
     assert str(fares.agg(N.mean_decimal("v", 2)).collect()[0][0]) == "2.68"  # 2.675 half-up
+
+
+def test_top_k_diff_from_mean_is_exact_on_collapsed_ties(spark):
+    """Values 0.01 and 0.02 get the same double difference from a -3.3e14 mean;
+    the tie-break (smaller key first) must decide, as in the plain ordering."""
+    from stratum.operators import windows as W
+    rows = [("g", 1, 0.01), ("g", 2, 0.02), ("g", 3, -1e15), ("h", 4, 5.0), ("h", 5, 7.0)]
+    df = spark.createDataFrame(rows, "k string, id long, v double")
+    got = [r["id"] for r in W.top_k_diff_from_mean(df, ["k"], "v", "id", 2, "m", "d").collect()]
+    sums = {}
+    for k, _, v in rows:
+        c, n = sums.get(k, (0, 0))
+        sums[k] = (c + round(v * 100), n + 1)
+    mean = {k: (c / 100.0) / n for k, (c, n) in sums.items()}
+    brute = sorted(rows, key=lambda r: (-(r[2] - mean[r[0]]), r[1]))[:2]
+    assert (rows[0][2] - mean["g"]) == (rows[1][2] - mean["g"])  # the collapse really happens
+    assert got == [r[1] for r in brute] == [1, 2]
