@@ -30,12 +30,14 @@ def _materialise(df: DataFrame, count: Column | None = None) -> tuple[DataFrame,
 def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
               separator: str = " → ", max_depth: int = 64,
               roots: DataFrame | None = None,
-              broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_rows: int = BROADCAST_MAX_ROWS,
+              on_limit: str = "raise") -> DataFrame:
     """Walk from roots (``parent`` IS NULL, or ``roots``) down to every descendant.
 
     Returns the edge columns plus ``depth`` (root = 0) and ``path`` (labels
-    joined by ``separator``). Levels deeper than ``max_depth`` are not walked,
-    which also ends cycles.
+    joined by ``separator``). Nothing is dropped silently: if rows exist below
+    ``max_depth`` (a cycle, or a deeper tree than allowed) the walk raises,
+    unless ``on_limit="stop"`` asks for a depth-limited walk.
 
     The edges are checkpointed once (the root count observed in the same job),
     so the (possibly expensive) edge derivation is not recomputed per level.
@@ -74,6 +76,13 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
                                      F.col(label).cast("string")).alias("path")))
         if size:
             levels.append(frontier)
+    if size and on_limit != "stop":
+        below = children.join(frontier.select(F.col(node).alias("_up")),
+                              children[parent] == F.col("_up"), "left_semi")
+        if not below.isEmpty():
+            raise RecursionError(f"tree walk has rows below max_depth={max_depth} "
+                                 "(a cycle or a deeper tree); raise max_depth or pass "
+                                 "on_limit='stop'")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

@@ -673,7 +673,7 @@ def turn_chain(spark, base):
     # turn 0 has no parent, so it is the root of each conversation's chain
     edges = cv.select("conv_id", "turn", "role", key.alias("_node"), parent.alias("_parent"))
     walk = H.walk_tree(edges, node="_node", parent="_parent", label="role", separator=" > ",
-                       max_depth=8)
+                       max_depth=8, on_limit="stop")  # "up to 8 deep" is part of the query
     return walk.select("conv_id", "turn", "role", "depth", "path")
 
 

@@ -73,8 +73,12 @@ def test_walk_tree_matches_expected_and_sql(spark):
 
 def test_walk_tree_stops_on_cycles(spark):
     cyc = spark.createDataFrame([(1, None), (2, 1), (3, 2), (2, 3)], "id int, parent int")
-    walk = H.walk_tree(cyc, node="id", parent="parent", label="id", max_depth=5)
+    walk = H.walk_tree(cyc, node="id", parent="parent", label="id", max_depth=5, on_limit="stop")
     assert walk.agg(F.max("depth")).collect()[0][0] == 5
+    with pytest.raises(RecursionError):
+        H.walk_tree(cyc, node="id", parent="parent", label="id", max_depth=5)
+    chain = spark.createDataFrame([(1, None), (2, 1), (3, 2)], "id int, parent int")
+    assert H.walk_tree(chain, node="id", parent="parent", label="id", max_depth=2).count() == 3
 
 
 def test_log_parsing_and_filters(spark, tmp_dir):
