@@ -31,13 +31,22 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return out if name else out.drop(rn)
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] | None = None,
+          check_unique: bool = True) -> DataFrame:
     """Deterministic ``dropDuplicates``: one row per key, chosen by ``order``.
 
     Without an explicit order every non-key column is used, which is a total
-    order whenever full rows are distinct.
+    order whenever full rows are distinct. With ``check_unique`` the largest
+    key group is measured first (an aggregate over the key columns only, one
+    number to the driver): when every key is already unique the input is
+    returned as is, saving the full-row shuffle and sort of the window.
     """
     order = list(order) if order else [c for c in df.columns if c not in keys]
+    if check_unique:
+        biggest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                     .agg(F.max("_n")).collect()[0][0])
+        if (biggest or 0) <= 1:
+            return df
     return first_per_group(df, keys, order, 1)
 
 

@@ -82,3 +82,14 @@ def test_top_k_diff_from_mean_is_exact_on_collapsed_ties(spark):
     brute = sorted(rows, key=lambda r: (-(r[2] - mean[r[0]]), r[1]))[:2]
     assert (rows[0][2] - mean["g"]) == (rows[1][2] - mean["g"])  # the collapse really happens
     assert got == [r[1] for r in brute] == [1, 2]
+
+
+def test_dedup_skips_the_window_for_unique_keys(spark):
+    from stratum.operators import windows as W
+    from stratum.plans.report import plan_text
+    uniq = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    dup = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
+    assert "Window" not in plan_text(W.dedup(uniq, ["k"], ["v"]), "simple")
+    assert sorted(tuple(r) for r in W.dedup(dup, ["k"], ["v"]).collect()) == [(1, "a"), (2, "c")]
+    nulls = spark.createDataFrame([(None, "b"), (None, "a")], "k int, v string")
+    assert [tuple(r) for r in W.dedup(nulls, ["k"], ["v"]).collect()] == [(None, "a")]
