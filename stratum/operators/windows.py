@@ -32,7 +32,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] | None = None,
-          check_unique: bool = True) -> DataFrame:
+          check_unique: bool = False) -> DataFrame:
     """Deterministic ``dropDuplicates``: one row per key, chosen by ``order``.
 
     Without an explicit order every non-key column is used, which is a total

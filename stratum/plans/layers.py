@@ -18,13 +18,24 @@ from pyspark.sql import functions as F
 from ..operators.windows import keep_latest
 
 
+def _file_name(df: DataFrame):
+    """The scan's file name: ``_metadata`` on a direct file scan, else the
+    per-row input file (works through unions); NULL for non-file sources."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        df.select(F.col("_metadata.file_name"))
+        return F.col("_metadata.file_name")
+    except AnalysisException:
+        return F.nullif(F.regexp_extract(F.input_file_name(), r"[^/]*$", 0), F.lit(""))
+
+
 def bronze_stamp(df: DataFrame, run_ts: str, source_file: str | None = None) -> DataFrame:
     """Lineage columns (K-6): one run timestamp literal and the source file name.
 
-    The file name comes from the scan's hidden ``_metadata`` column unless a
-    constant is given (for sources without file metadata).
+    The file name comes from the scan itself unless a constant is given.
     """
-    src = F.lit(source_file) if source_file else F.col("_metadata.file_name")
+    src = F.lit(source_file) if source_file else _file_name(df)
     return df.select("*", F.lit(run_ts).cast("timestamp_ntz").alias("_ingested_at"),
                      src.alias("_source_file"))
 

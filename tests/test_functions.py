@@ -89,7 +89,9 @@ def test_dedup_skips_the_window_for_unique_keys(spark):
     from stratum.plans.report import plan_text
     uniq = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     dup = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
-    assert "Window" not in plan_text(W.dedup(uniq, ["k"], ["v"]), "simple")
-    assert sorted(tuple(r) for r in W.dedup(dup, ["k"], ["v"]).collect()) == [(1, "a"), (2, "c")]
+    assert "Window" not in plan_text(W.dedup(uniq, ["k"], ["v"], check_unique=True), "simple")
+    assert "Window" in plan_text(W.dedup(uniq, ["k"], ["v"]), "simple")
+    got = W.dedup(dup, ["k"], ["v"], check_unique=True)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a"), (2, "c")]
     nulls = spark.createDataFrame([(None, "b"), (None, "a")], "k int, v string")
-    assert [tuple(r) for r in W.dedup(nulls, ["k"], ["v"]).collect()] == [(None, "a")]
+    assert [tuple(r) for r in W.dedup(nulls, ["k"], ["v"], check_unique=True).collect()] == [(None, "a")]

@@ -440,3 +440,14 @@ def test_streaming_ingest_in_several_batches(spark, tmp_dir):
     assert ingest_available(spark, src, st, target, ckpt) == 0  # nothing new: nothing re-read
     ids = sorted(r["id"] for r in spark.read.parquet(target).collect())
     assert ids == sorted(i * 10 + j for i in range(4) for j in range(3))
+
+
+def test_medallion_dedups_only_when_metrics_show_duplicates(spark):
+    from stratum.plans import medallion
+    orders = files.read_table(spark, SF_SMALL, "orders")
+    unique_run = medallion.run(orders, "2024-01-01 00:00:00")
+    assert "Window" not in report.plan_text(unique_run.silver, "simple")
+    dup_run = medallion.run(orders.unionByName(orders.limit(3)), "2024-01-01 00:00:00")
+    assert dup_run.status == "dq_warning"
+    assert "Window" in report.plan_text(dup_run.silver, "simple")
+    assert dup_run.silver.count() == unique_run.silver.count() == orders.count()
