@@ -113,14 +113,15 @@ def clean_upper(col: Column | str) -> Column:
 def pg_initcap(col: Column | str) -> Column:
     r"""initcap with PostgreSQL word boundaries (any non-alphanumeric char).
 
-    Spark's ``initcap`` only splits on spaces; here the text is cut into runs of
-    letters/digits (Unicode classes: Java's ``\p{Alnum}`` is ASCII-only and would
-    split "élan") and of everything else, and each run is capitalised.
+    Spark's ``initcap`` only starts a word after a space. A space is inserted
+    after every character that is not a letter or digit (Unicode classes:
+    Java's ``\p{Alnum}`` is ASCII-only and would split "élan"), ``initcap``
+    runs, and exactly those inserted spaces are removed again. Everything stays
+    in codegen-friendly regex and string functions (no lambda). Characters
+    with special title-case mappings (ß, ligatures) follow Java title case.
     """
-    runs = F.regexp_extract_all(_c(col), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), 1)
-    cap = F.transform(runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))),
-                                               F.lower(F.substring(x, 2, 1 << 30))))
-    return F.array_join(cap, "")
+    spaced = F.regexp_replace(_c(col), r"([^\p{L}\p{N}])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}\p{N}]) ", "$1")
 
 
 def split_count(col: Column | str, delimiter: str, regex: bool = False) -> Column:

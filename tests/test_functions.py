@@ -95,3 +95,23 @@ def test_dedup_skips_the_window_for_unique_keys(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a"), (2, "c")]
     nulls = spark.createDataFrame([(None, "b"), (None, "a")], "k int, v string")
     assert [tuple(r) for r in W.dedup(nulls, ["k"], ["v"], check_unique=True).collect()] == [(None, "a")]
+
+
+def _pg_initcap_reference(s):
+    out, prev_alnum = [], False
+    for ch in s:
+        out.append(ch.lower() if prev_alnum else ch.upper())
+        prev_alnum = ch.isalnum()
+    return "".join(out)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="abcXYZ019 /-'\t\néÉàÜøÅ_.,(#&", max_size=14), min_size=1, max_size=80))
+def test_pg_initcap_matches_word_boundary_rule(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(C.pg_initcap("v")).collect()]
+    assert got == [_pg_initcap_reference(t) for t in texts]
