@@ -115,3 +115,18 @@ def test_pg_initcap_matches_word_boundary_rule(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r[0] for r in df.select(C.pg_initcap("v")).collect()]
     assert got == [_pg_initcap_reference(t) for t in texts]
+
+
+def test_segment_rates_keeps_null_segments(spark):
+    from stratum.operators import aggregates as A
+    rows = [("a", "x", 1), ("a", None, 0), (None, "x", 1), (None, None, 1), ("b", "y", 0)]
+    df = spark.createDataFrame(rows, "g string, h string, s int")
+    got = A.segment_rates(df, {"g": "g", "h": "h"},
+                          {"n": F.count(F.lit(1)), "s": F.sum("s").cast("long")})
+    expected = (df.groupBy(F.lit("g").alias("dimension"), F.col("g").alias("segment"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum("s").cast("long").alias("s"))
+                  .unionByName(df.groupBy(F.lit("h").alias("dimension"), F.col("h").alias("segment"))
+                               .agg(F.count(F.lit(1)).alias("n"), F.sum("s").cast("long").alias("s"))))
+    key = lambda r: (r["dimension"], r["segment"] or "", r["n"], r["s"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, expected.collect()))
+    assert got.filter(F.col("segment").isNull()).count() == 2  # one NULL segment per dimension
