@@ -228,6 +228,9 @@ def test_passenger_medallion(spark, tmp_dir):
     assert sorted(r[0] for r in silver.select("passenger_class").distinct().collect()) == [1, 2, 3]
     kept = silver.filter(F.col("passenger_id") == 16).collect()
     assert [str(r["fare_gbp"]) for r in kept] == ["-16.00"]  # deterministic keep-first by fare
+    # a re-run over the same lake replaces every layer instead of adding to it
+    _, rep2 = TI.medallion(spark, path, os.path.join(tmp_dir, "lake"), "2024-06-02 00:00:00")
+    assert {r["layer"]: r["n_rows"] for r in rep2.collect()} == {"bronze": 20, "silver": 19, "gold": 3}
 
 
 def test_inspection_medallion(spark, tmp_dir):
