@@ -3,7 +3,10 @@
 Every entry reads whole tables (or frames Spark derives from them); none uses
 row caps or id subsets. ``LIMIT`` appears only where top-k *is* the operator.
 The Spark side is built from library operators; the oracle side is hand-written
-DuckDB SQL with the same column names and types.
+DuckDB SQL with the same column names and types. Outputs use BIGINT, INT,
+DOUBLE, STRING, BOOLEAN and TIMESTAMP only: DATE and DECIMAL values convert to
+different Python/pandas types from the two engines, so days are emitted as
+midnight timestamps and money as exact two-decimal doubles.
 """
 
 from __future__ import annotations
@@ -202,7 +205,7 @@ SELECT n_name, c_mktsegment, o_orderpriority, CAST(year(o_orderdate) AS INTEGER)
        {o.flag("NOT (o_orderstatus = 'F')")} AS total_open,
        {o.pct(o.flag("o_orderstatus = 'F'"), "COUNT(*)")} AS finished_pct,
        {o.r(o.mean('o_totalprice'), 2)} AS avg_price,
-       CAST(MAX(o_orderdate) AS DATE) AS last_order_date
+       MAX(o_orderdate) AS last_order_date
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY 1, 2, 3, 4 HAVING COUNT(*) >= 3
 ORDER BY total_open DESC, finished_pct ASC, n_name, c_mktsegment, o_orderpriority, order_year
@@ -221,7 +224,7 @@ def top_entities(spark, base):
         "total_open": flag_sum(~_fin()),
         "finished_pct": pct(flag_sum(_fin()), _all()),
         "avg_price": rounded(exact_mean("o_totalprice"), 2),
-        "last_order_date": F.max("o_orderdate").cast("date"),
+        "last_order_date": F.max("o_orderdate"),
     }, having=F.col("total_orders") >= 3)
     return W.top_k(stats, [F.col("total_open").desc(), F.col("finished_pct").asc(),
                            *TOP_ENTITY_KEYS], 50)
@@ -344,8 +347,8 @@ SILVER_ORDER_NAMES = {"o_orderkey": "order_key", "o_custkey": "customer_key",
 
 @query("silver_orders", f"""
 SELECT o_orderkey AS order_key, o_custkey AS customer_key, o_orderstatus AS status,
-       CAST(ROUND(CAST(o_totalprice AS DECIMAL(38,10)), 2) AS DECIMAL(18,2)) AS total_price,
-       CAST(o_orderdate AS DATE) AS order_date,
+       CAST(ROUND(CAST(o_totalprice AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_price,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS order_date,
        {o.r("o_totalprice / 1000.0", 1)} AS price_k,
        o_orderstatus = 'F' AS is_finished
 FROM orders""")
@@ -353,8 +356,8 @@ def silver_orders(spark, base):
     """Orders renamed, priority dropped, price rounded as money, date cast, finished flag (P-1, P-3, P-5, F-12, M-3)."""
     s = C.rename(_t(spark, base).orders, SILVER_ORDER_NAMES, drop=["o_orderpriority"])
     return s.select("order_key", "customer_key", "status",
-                    C.money_round("total_price", 2).alias("total_price"),
-                    F.col("order_date").cast("date").alias("order_date"),
+                    C.money_round("total_price", 2).cast("double").alias("total_price"),
+                    F.to_date("order_date").cast("timestamp_ntz").alias("order_date"),
                     rounded(F.col("total_price") / F.lit(1000.0), 1).alias("price_k"),
                     (F.col("status") == "F").alias("is_finished"))
 
@@ -436,7 +439,7 @@ def split_count(spark, base):
 
 @query("date_parts", """
 SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%Y') AS order_date_text,
-       CAST(strptime(strftime(o_orderdate, '%m/%d/%Y'), '%m/%d/%Y') AS DATE) AS order_date,
+       CAST(strptime(strftime(o_orderdate, '%m/%d/%Y'), '%m/%d/%Y') AS TIMESTAMP) AS order_date,
        CAST(year(o_orderdate) AS INTEGER) AS order_year,
        CAST(month(o_orderdate) AS INTEGER) AS order_month
 FROM orders""")
@@ -445,23 +448,23 @@ def date_parts(spark, base):
     o_ = _t(spark, base).orders.withColumn(
         "order_date_text", F.date_format("o_orderdate", "MM/dd/yyyy"))
     d = C.parse_date("order_date_text", "M/d/yyyy")
-    return o_.select("o_orderkey", "order_date_text", d.alias("order_date"),
+    return o_.select("o_orderkey", "order_date_text", d.cast("timestamp_ntz").alias("order_date"),
                      F.year(d).cast("int").alias("order_year"),
                      F.month(d).cast("int").alias("order_month"))
 
 
 @query("safe_cast", r"""
 SELECT p_partkey, TRY_CAST(regexp_extract(p_brand, '#(.*)$', 1) AS INTEGER) AS brand_number,
-       TRY_CAST(p_type AS INTEGER) AS type_number,
+       p_type IS NOT NULL AND TRY_CAST(p_type AS INTEGER) IS NULL AS type_rejected,
        p_brand IS NOT NULL AND TRY_CAST(p_brand AS INTEGER) IS NULL AS brand_rejected,
        CAST(p_size AS VARCHAR) AS size_text
 FROM part""")
 def safe_cast(spark, base):
-    """Brand number and type number through ANSI-safe casts, plus a reject flag (F-14)."""
+    """Brand number through an ANSI-safe cast, plus reject flags for brand and type text (F-14)."""
     p = _t(spark, base).part
     return p.select("p_partkey",
                     C.safe_cast(F.regexp_extract("p_brand", r"#(.*)$", 1), "int").alias("brand_number"),
-                    C.safe_cast("p_type", "int").alias("type_number"),
+                    C.cast_rejected("p_type", "int").alias("type_rejected"),
                     C.cast_rejected("p_brand", "int").alias("brand_rejected"),
                     F.col("p_size").cast("string").alias("size_text"))
 
@@ -917,13 +920,13 @@ def upsert_latest(spark, base):
 
 
 @query("late_window", f"""
-WITH e AS (SELECT CAST(ts AS DATE) AS event_date, ts, value FROM events),
+WITH e AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_date, ts, value FROM events),
 days AS (SELECT DISTINCT event_date FROM e WHERE ts >= (SELECT MAX(ts) FROM e) - INTERVAL 3 DAY)
 SELECT e.event_date, COUNT(*) AS n_events, {o.money_sum('value')} AS total_value
 FROM e WHERE e.event_date IN (SELECT event_date FROM days) GROUP BY e.event_date""")
 def late_window(spark, base):
     """Daily aggregates recomputed only for days touched by the last 3 days (K-10)."""
     from .layers import affected_partitions
-    e = _t(spark, base).events.withColumn("event_date", F.to_date("ts"))
+    e = _t(spark, base).events.withColumn("event_date", F.to_date("ts").cast("timestamp_ntz"))
     hit = affected_partitions(e, "ts", "event_date", lookback="3 days")
     return hit.groupBy("event_date").agg(_all().alias("n_events"), exact_sum("value").alias("total_value"))
