@@ -75,3 +75,20 @@ def compare(spark_df, con, sql: str) -> list[str]:
         problems.append(f"values differ ({sum((sc - dc).values())} rows); cols={order}; "
                         f"spark-only={only_s} duck-only={only_d}")
     return problems
+
+
+def compare_pandas(spark_df, con, sql: str) -> list[str]:
+    """The same check through pandas (``toPandas`` vs DuckDB ``df()``), values as text.
+
+    Catches type choices that convert differently on the two sides (DATE,
+    DECIMAL, NULL integers) even when the Python row values agree.
+    """
+    def norm(df):
+        df = df[sorted(df.columns)].astype(str)
+        return sorted(map(tuple, df.values.tolist()))
+    a, b = norm(spark_df.toPandas()), norm(con.execute(sql).df())
+    if a == b:
+        return []
+    only_a = [x for x in a if x not in set(b)][:2]
+    only_b = [x for x in b if x not in set(a)][:2]
+    return [f"pandas text differs: spark-only={only_a} duck-only={only_b}"]

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_ORACLE
-from tests.oracle_check import compare, duck
+from tests.oracle_check import compare, compare_pandas, duck
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
@@ -19,7 +19,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_ORACLE)
     assert name in ORACLE, f"{name} has no oracle SQL"
-    problems = compare(df, con, ORACLE[name])
+    problems = compare(df, con, ORACLE[name]) + compare_pandas(df, con, ORACLE[name])
     assert not problems, "\n".join(problems)
 
 
