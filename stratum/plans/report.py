@@ -52,3 +52,14 @@ def format_report(spark: SparkSession, df: DataFrame, folder: str,
         {"format": "parquet", "bytes": int(sizes["parquet"]), "full_read_s": timed_noop(pq),
          "projected_read_s": timed_noop(pq.select(*columns))},
     ]
+
+
+def final_plan_text(df: DataFrame, mode: str = "formatted") -> str:
+    """The AQE *final* plan (G-9): runs the frame's own query, then explains it.
+
+    Meant for bounded results (marts, metrics): the rows are collected. After
+    execution the adaptive plan shows ``isFinalPlan=true`` with the runtime
+    decisions (coalesced partitions, broadcast conversions, skew splits).
+    """
+    df.collect()
+    return plan_text(df, mode)

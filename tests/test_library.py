@@ -451,3 +451,11 @@ def test_medallion_dedups_only_when_metrics_show_duplicates(spark):
     assert dup_run.status == "dq_warning"
     assert "Window" in report.plan_text(dup_run.silver, "simple")
     assert dup_run.silver.count() == unique_run.silver.count() == orders.count()
+
+
+def test_final_plan_after_execution(spark):
+    q = entry.queries()
+    from tests.conftest import SF_ORACLE
+    mart = q["class_summary"](spark, SF_ORACLE)
+    assert "isFinalPlan=false" in report.plan_text(mart)
+    assert "isFinalPlan=true" in report.final_plan_text(mart)
