@@ -63,3 +63,31 @@ def final_plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """
     df.collect()
     return plan_text(df, mode)
+
+
+def event_log_conf(folder: str) -> dict[str, str]:
+    """Session settings that write Spark's event log to ``folder`` (no UI, no server).
+
+    Plain JSON lines (no compression, no rolling), so Spark can read it back.
+    """
+    return {"spark.eventLog.enabled": "true", "spark.eventLog.dir": folder,
+            "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
+
+
+def stage_timings(spark: SparkSession, folder: str) -> DataFrame:
+    """Per-stage wall time and task counts from the event log (EXPLAIN ANALYZE analogue).
+
+    The log is JSON lines, read by Spark itself; one row per completed stage:
+    ``stage_id, attempt, stage_name, tasks, duration_ms``.
+    """
+    from pyspark.sql import functions as F
+
+    ev = spark.read.json(folder)
+    info = "`Stage Info`"
+    return (ev.filter(F.col("Event") == "SparkListenerStageCompleted")
+              .select(F.col(f"{info}.`Stage ID`").alias("stage_id"),
+                      F.col(f"{info}.`Stage Attempt ID`").alias("attempt"),
+                      F.col(f"{info}.`Stage Name`").alias("stage_name"),
+                      F.col(f"{info}.`Number of Tasks`").alias("tasks"),
+                      (F.col(f"{info}.`Completion Time`") - F.col(f"{info}.`Submission Time`"))
+                      .alias("duration_ms")))

@@ -459,3 +459,12 @@ def test_final_plan_after_execution(spark):
     mart = q["class_summary"](spark, SF_ORACLE)
     assert "isFinalPlan=false" in report.plan_text(mart)
     assert "isFinalPlan=true" in report.final_plan_text(mart)
+
+
+def test_stage_timings_from_event_log(spark):
+    from tests.conftest import EVENT_LOG_DIR
+    files.read_table(spark, SF_SMALL, "lineitem").groupBy("l_returnflag").count().collect()
+    t = report.stage_timings(spark, EVENT_LOG_DIR)
+    rows = t.collect()
+    assert rows and all(r["duration_ms"] >= 0 and r["tasks"] >= 1 for r in rows)
+    assert report.event_log_conf("/x")["spark.eventLog.dir"] == "/x"
