@@ -3,6 +3,9 @@
 ``row_number``/``rank``/``dense_rank`` followed by a filter on the rank are
 planned with ``WindowGroupLimit`` before the shuffle, so each map task ships at
 most ``n`` rows (plus ties) per key: a hot key does not reach one task whole.
+Spark inserts that map-side limit for ``n`` up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); larger
+``n`` keeps the plain window, which sorts and spills per key.
 Ordered frames that scan a whole key (lag/lead/running/moving) live in
 :mod:`stratum.operators.sequence`, which spreads hot keys over range partitions.
 """
