@@ -74,20 +74,65 @@ def event_log_conf(folder: str) -> dict[str, str]:
             "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
 
 
+def _events(spark: SparkSession, folder: str, event: str, schema) -> DataFrame:
+    """Lines of one event type, parsed with an explicit schema.
+
+    No schema inference over the whole log: different event types reuse keys
+    that differ only in case (``timestamp``/``Timestamp``), which inference
+    rejects.
+    """
+    from pyspark.sql import functions as F
+
+    lines = spark.read.text(folder).filter(F.col("value").contains(f'"Event":"{event}"'))
+    return lines.select(F.from_json("value", schema).alias("e")).select("e.*")
+
+
 def stage_timings(spark: SparkSession, folder: str) -> DataFrame:
     """Per-stage wall time and task counts from the event log (EXPLAIN ANALYZE analogue).
 
-    The log is JSON lines, read by Spark itself; one row per completed stage:
-    ``stage_id, attempt, stage_name, tasks, duration_ms``.
+    One row per completed stage: ``stage_id, attempt, stage_name, tasks, duration_ms``.
     """
     from pyspark.sql import functions as F
-
-    ev = spark.read.json(folder)
-    info = "`Stage Info`"
-    return (ev.filter(F.col("Event") == "SparkListenerStageCompleted")
-              .select(F.col(f"{info}.`Stage ID`").alias("stage_id"),
-                      F.col(f"{info}.`Stage Attempt ID`").alias("attempt"),
-                      F.col(f"{info}.`Stage Name`").alias("stage_name"),
-                      F.col(f"{info}.`Number of Tasks`").alias("tasks"),
-                      (F.col(f"{info}.`Completion Time`") - F.col(f"{info}.`Submission Time`"))
-                      .alias("duration_ms")))
+    from pyspark.sql import types as T
+
+    info = T.StructType([T.StructField("Stage ID", T.IntegerType()),
+                         T.StructField("Stage Attempt ID", T.IntegerType()),
+                         T.StructField("Stage Name", T.StringType()),
+                         T.StructField("Number of Tasks", T.IntegerType()),
+                         T.StructField("Submission Time", T.LongType()),
+                         T.StructField("Completion Time", T.LongType())])
+    ev = _events(spark, folder, "SparkListenerStageCompleted",
+                 T.StructType([T.StructField("Stage Info", info)]))
+    i = "`Stage Info`"
+    return ev.select(F.col(f"{i}.`Stage ID`").alias("stage_id"),
+                     F.col(f"{i}.`Stage Attempt ID`").alias("attempt"),
+                     F.col(f"{i}.`Stage Name`").alias("stage_name"),
+                     F.col(f"{i}.`Number of Tasks`").alias("tasks"),
+                     (F.col(f"{i}.`Completion Time`") - F.col(f"{i}.`Submission Time`"))
+                     .alias("duration_ms"))
+
+
+def shuffle_bytes_by_group(spark: SparkSession, folder: str, prefix: str) -> dict[str, int]:
+    """Shuffle bytes written by the jobs of each job group starting with ``prefix``.
+
+    Jobs are tagged with ``sparkContext.setJobGroup(prefix + name, ...)`` before
+    running; returns ``{name: bytes}``. The per-group totals are one row each.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    jobs = _events(spark, folder, "SparkListenerJobStart", T.StructType([
+        T.StructField("Stage IDs", T.ArrayType(T.IntegerType())),
+        T.StructField("Properties", T.MapType(T.StringType(), T.StringType()))]))
+    tagged = (jobs.select(F.explode("`Stage IDs`").alias("stage"),
+                          F.col("Properties").getItem("spark.jobGroup.id").alias("g"))
+                  .filter(F.col("g").startswith(prefix)).distinct())
+    metrics = T.StructType([T.StructField("Shuffle Write Metrics", T.StructType([
+        T.StructField("Shuffle Bytes Written", T.LongType())]))])
+    tasks = _events(spark, folder, "SparkListenerTaskEnd", T.StructType([
+        T.StructField("Stage ID", T.IntegerType()), T.StructField("Task Metrics", metrics)]))
+    per = (tasks.select(F.col("`Stage ID`").alias("stage"),
+                        F.col("`Task Metrics`.`Shuffle Write Metrics`.`Shuffle Bytes Written`")
+                        .alias("b"))
+                .join(tagged, "stage").groupBy("g").agg(F.sum("b").alias("b")).collect())
+    return {r["g"][len(prefix):]: int(r["b"] or 0) for r in per}

@@ -480,16 +480,7 @@ def test_shuffle_volumes_stay_small_where_claimed(spark):
         sc.setJobGroup(f"shuffle:{name}", name)
         q[name](spark, SF_ORACLE).write.format("noop").mode("overwrite").save()
     sc.setLocalProperty("spark.jobGroup.id", None)
-    ev = spark.read.json(EVENT_LOG_DIR)
-    jobs = (ev.filter(F.col("Event") == "SparkListenerJobStart")
-              .select(F.explode("`Stage IDs`").alias("stage"),
-                      F.col("Properties.`spark.jobGroup.id`").alias("g"))
-              .filter(F.col("g").startswith("shuffle:")).distinct())
-    tasks = ev.filter(F.col("Event") == "SparkListenerTaskEnd").select(
-        F.col("`Stage ID`").alias("stage"),
-        F.col("`Task Metrics`.`Shuffle Write Metrics`.`Shuffle Bytes Written`").alias("b"))
-    got = {r["g"].split(":", 1)[1]: r["b"] for r in
-           tasks.join(jobs, "stage").groupBy("g").agg(F.sum("b").alias("b")).collect()}
+    got = report.shuffle_bytes_by_group(spark, EVENT_LOG_DIR, "shuffle:")
     assert got.get("null_profile", 0) < 16_000      # markers, not the document text
     assert got.get("class_summary", 0) < 16_000     # partial aggregation
     assert got.get("diff_from_avg", 0) < 16_000     # broadcast means, map-side top-k
