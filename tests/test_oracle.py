@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from stratum.plans import catalogue
 from tests.conftest import SF_ORACLE
 from tests.oracle_check import compare, compare_pandas, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {k: q for k, q in entry.queries().items() if k in catalogue.QUERIES}
+ORACLE = {k: q for k, q in entry.oracle_sql().items() if k in catalogue.QUERIES}
 
 
 @pytest.fixture(scope="module")
