@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import quality, simhash
+from stratum.llm import bpe, packing, quality, simhash, token_counts
 from stratum.sources.files import read_table
 
 
@@ -12,12 +12,25 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op6_simhash_near_dedup)}
+    op1_quality_rules, op2_token_counts, op3_bpe_round_trip, op5_best_fit_packing,
+    op6_simhash_near_dedup)}
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
