@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import bpe, packing, quality, simhash, token_counts
+from stratum.llm import (
+    bpe,
+    embedding_dedup,
+    license_scan,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from stratum.sources.files import read_table
 
 
@@ -20,6 +31,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -28,12 +43,30 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_token_counts, op3_bpe_round_trip, op5_best_fit_packing,
-    op6_simhash_near_dedup)}
+    op1_quality_rules, op2_token_counts, op3_bpe_round_trip, op4_secret_scans, op5_best_fit_packing,
+    op6_simhash_near_dedup, op7_warc_round_trip, op8_license_scans, op9_toxicity, op10_embedding_near_dedup)}
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.TEMPLATES.items())
+
 ORACLE = {
     "op1_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -63,4 +96,24 @@ v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
           CASE WHEN n_ellipsis_lines / greatest(n_lines, 1) > 0.3::DOUBLE THEN 'ellipsis_lines' END) AS failed_rules
       FROM m)
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM v""",
+    # the exact containment that the band retrieval must reach
+    "op8_license_scans": rf"""
+WITH src AS (SELECT 'd' AS side, doc_id::VARCHAR AS k, text FROM documents
+             UNION ALL SELECT 't', id, text FROM (VALUES {_TEMPLATES}) AS v(id, text)),
+w AS (SELECT side, k, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS ws FROM src),
+s AS (SELECT DISTINCT side, k, array_to_string(list_slice(ws, i, i + 4), ' ') AS g
+      FROM (SELECT side, k, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+t AS (SELECT k AS id, g, count(*) OVER (PARTITION BY k) AS a FROM s WHERE side = 't'),
+m AS (SELECT s.k, t.id, t.a, count(*) AS c FROM s JOIN t USING (g) WHERE side = 'd' GROUP BY ALL HAVING c >= 0.8 * t.a)
+SELECT doc_id, count(m.id)::BIGINT AS n_licenses,
+       coalesce(string_agg(m.id || ':' || c || '/' || a, ',' ORDER BY m.id), '') AS licenses
+FROM documents LEFT JOIN m ON m.k = doc_id::VARCHAR GROUP BY doc_id""",
+    "op7_warc_round_trip": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+g AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest,
+             min(page_id) OVER (PARTITION BY b) AS f FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> f THEN f END AS refers_to
+FROM g""",
 }
