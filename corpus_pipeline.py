@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.llm import packing, quality, secret_scan, simhash, toxicity
 from stratum.session import ensure_checkpoint_dir
@@ -34,7 +35,8 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live secrets are replaced in the texts; every document stays."""
-    return secret_scan.redact(docs)
+    out = secret_scan.redact(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Quality rules: a threshold table compiled into one projection of text statistics.
 
-``STATISTICS`` and the rules are plain column expressions, so Spark runs the scan,
+The statistics and the rules are plain column expressions, so Spark runs the scan,
 the statistics and the verdict in one narrow stage: no shuffle, no user function.
 
 Defined results: null and empty text have no words and fail ``min_words``; ratios of a
@@ -82,39 +82,47 @@ def _repeated(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) < F.size(windows), covered).otherwise(0)
 
 
-def statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` plus one column per statistic; counts are longs."""
-    base = docs.select(*keep, whole(F.col(text)).alias("_t"))
-    base = base.select(
-        *keep, "_t", words(F.col("_t")).alias("_w"),
-        F.filter(F.split("_t", "\n"), lambda l: F.btrim(l, F.lit(SPACE)) != "").alias("_l"))
-    base = base.select(
-        *keep, "_t", "_w", "_l",
-        F.when(F.size("_w") >= WINDOW, F.transform(
-            F.sequence(F.lit(1), F.size("_w") - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(F.col("_w"), i, WINDOW))))
-        .otherwise(F.array().cast("array<bigint>")).alias("_h"))
-    stop = [*dict.fromkeys(STOP_WORDS)]
-    trimmed = lambda l: F.btrim(l, F.lit(SPACE))
-    counts = {
-        "n_words": F.size("_w"),
-        "word_chars": F.length(F.array_join("_w", "")),
-        "n_symbols": F.regexp_count("_t", F.lit(SYMBOLS)),
-        "n_dup_lines": F.size("_l") - F.size(F.array_distinct("_l")),
-        "n_repeat_words": _repeated(F.col("_h")),
-        "n_lines": F.size("_l"),
-        "n_stop_words": F.size(F.filter("_w", lambda w: F.lower(w).isin(stop))),
-        "n_bullet_lines": F.size(F.filter("_l", lambda l: trimmed(l).rlike(r"^[-*•‣▪]"))),
-        "n_ellipsis_lines": F.size(F.filter("_l", lambda l: trimmed(l).rlike(r"(\.\.\.|…)$"))),
-    }
-    return base.select(*keep, *[c.cast("long").alias(n) for n, c in counts.items()])
+def measured(text: Column) -> Column:
+    """A struct of all counts (longs) of a text, as one expression.
 
+    Words, lines and windows are bound once by ``let``, so that the expression stays small
+    and is evaluated once wherever the optimizer moves it, also into a filter.
+    """
+    trimmed = lambda l: F.btrim(l, F.lit(SPACE))
+    stop = [*dict.fromkeys(STOP_WORDS)]
 
-def metrics() -> dict[str, Column]:
-    """The ratios that rules may name, over the columns of ``statistics``."""
-    ratio = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1)).cast("double")
+    def parts(t: Column) -> Column:
+        return F.struct(t.alias("t"), words(t).alias("w"),
+                        F.filter(F.split(t, "\n"), lambda l: trimmed(l) != "").alias("l"))
+
+    def windows(w: Column) -> Column:
+        return F.when(F.size(w) >= WINDOW, F.transform(
+            F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
+        ).otherwise(F.array().cast("array<bigint>"))
+
+    def counts(x: Column) -> Column:
+        t, w, l = x["t"], x["w"], x["l"]
+        named = {
+            "n_words": F.size(w),
+            "word_chars": F.length(F.array_join(w, "")),
+            "n_symbols": F.regexp_count(t, F.lit(SYMBOLS)),
+            "n_dup_lines": F.size(l) - F.size(F.array_distinct(l)),
+            "n_repeat_words": let(windows(w), _repeated),
+            "n_lines": F.size(l),
+            "n_stop_words": F.size(F.filter(w, lambda v: F.lower(v).isin(stop))),
+            "n_bullet_lines": F.size(F.filter(l, lambda v: trimmed(v).rlike(r"^[-*•‣▪]"))),
+            "n_ellipsis_lines": F.size(F.filter(l, lambda v: trimmed(v).rlike(r"(\.\.\.|…)$"))),
+        }
+        return F.struct(*[c.cast("long").alias(n) for n, c in named.items()])
+
+    return let(let(whole(text), parts), counts)
+
+
+def metrics(m: Column) -> dict[str, Column]:
+    """The ratios that rules may name, over a struct of counts."""
+    ratio = lambda a, b: m[a] / F.greatest(m[b], F.lit(1)).cast("double")
     return {
-        "n_words": F.col("n_words").cast("double"),
+        "n_words": m["n_words"].cast("double"),
         "mean_word_length": ratio("word_chars", "n_words"),
         "symbol_ratio": ratio("n_symbols", "n_words"),
         "stop_word_ratio": ratio("n_stop_words", "n_words"),
@@ -124,23 +132,29 @@ def metrics() -> dict[str, Column]:
     }
 
 
-def base_failed() -> Column:
-    return ((F.col("n_words") < MIN_WORDS)
-            | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PCT * m["n_words"])
+
+
+def failed_rules(m: Column, rules: tuple[Rule, ...]) -> Column:
+    """Names of the rules that a struct of counts fails, comma-joined."""
+    values = metrics(m)
+    return F.concat_ws(",", *[F.when(~r.passes(values), F.lit(r.name)) for r in rules])
+
+
+def kept(m: Column, rules: tuple[Rule, ...]) -> Column:
+    return ~base_failed(m) & (failed_rules(m, rules) == "")
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
-          keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Statistics, ``base_failed``, ``failed_rules`` (names, comma-joined) and ``kept``."""
-    m = metrics()
-    failed = F.concat_ws(",", *[F.when(~r.passes(m), F.lit(r.name)) for r in rules])
-    return (statistics(docs, text, keep)
-            .withColumn("base_failed", base_failed())
-            .withColumn("failed_rules", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == "")))
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
+          text: str = "text") -> DataFrame:
+    """(id, counts, ``base_failed``, ``failed_rules``, ``kept``) per row."""
+    m = F.col("m")
+    return docs.select(F.col(id_col), measured(F.col(text)).alias("m")).select(
+        id_col, "m.*", base_failed(m).alias("base_failed"), failed_rules(m, rules).alias("failed_rules"),
+        kept(m, rules).alias("kept"))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """Rows of ``docs`` that every rule passes, with all their columns, in one narrow stage."""
-    row = docs.select(F.struct("*").alias("_row"), F.col(text))
-    return judge(row, rules, text, keep=("_row",)).filter("kept").select("_row.*")
+    return docs.filter(let(measured(F.col(text)), lambda m: kept(m, rules)))
