@@ -1,0 +1,270 @@
+"""Each operator against brute force or the library it must agree with, and its edge cases."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from stratum.llm import (
+    bpe,
+    components,
+    embedding_dedup,
+    license_scan,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
+from stratum.llm import queries as Q
+from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.oracle_check import compare, duck
+
+EDGE = [None, "", " \t\n", "one", "a " * 40, "é日本 \U0001f600 <|endoftext|> x", "x" * 5000, "the cat\nthe cat\nthe dog",
+        "password=abcdef12 AKIA" + "A1" * 10 + " " + "0a" * 16, "Released under the MIT License."]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Texts of every odd kind, repeated rows, a null id, and columns with clashing names."""
+    rows = [(i, t, "en", "s", True, 1) for i, t in enumerate(EDGE)]
+    rows += [rows[4], (None, "a b c d", None, None, None, None)]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, kept boolean, n_words int")
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLE))
+def test_query_matches_sql(spark, name):
+    assert not compare(Q.QUERIES[name](spark, SF_ORACLE), duck(SF_ORACLE), Q.ORACLE[name])
+
+
+def texts_of(spark, base=SF_SMALL):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{base}/documents.parquet").collect()}
+
+
+def test_quality_edges(docs, spark):
+    got = quality.judge(docs)
+    assert got.count() == docs.count() and got.filter("kept is null").count() == 0
+    repeat = {r["doc_id"]: r["n_repeat_words"] for r in got.collect()}
+    assert repeat[4] == 40 and repeat[0] == 0
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() == got.filter("kept").count()
+    assert quality.judge(docs.limit(0)).count() == 0
+
+
+def test_bpe_is_the_library(docs, spark):
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = texts_of(spark)
+    for r in bpe.round_trip(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect():
+        ids = lib.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    for r in bpe.decode(bpe.encode(docs)).collect():
+        assert r["doc_id"] is None or r["text"] == (EDGE[r["doc_id"]] or "")
+    rnd, codec = random.Random(1), bpe.Codec(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    odd = ["".join(rnd.choices(["a", "ab", " ", "\n", "1", "é", "'s", "日", "\x85", "\xa0", "\x1f", "²", "<|endoftext|>"],
+                               k=rnd.randint(0, 40))) for _ in range(300)]
+    assert [list(x) for x in codec.encode(odd)] == [lib.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_token_counts_are_best_cuts(docs, spark):
+    scores = token_counts.piece_scores(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read())
+
+    def cut(word):
+        data, best = word.encode(), [(0.0, 0)]
+        for d in range(1, len(data) + 1):
+            best.append(max((best[j][0] + scores[data[j:d]], best[j][1] - 1) for j in range(d) if data[j:d] in scores))
+        return -best[-1][1]
+
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs).collect()}
+    for i, t in enumerate(EDGE):
+        if len(t or "") < 1000:
+            assert got[i] == sum(map(cut, bpe.split(t or "")))
+
+
+BASE = [("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+        ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24)]
+
+
+def base_spans(text):
+    found = [(m.start(), i, m.end(), name) for i, (name, p, group, least) in enumerate(BASE)
+             for m in re.finditer(p, text or "", re.ASCII) if len(m.group(group)) >= least]
+    return ",".join(f"{n}:{s}:{e}" for s, _, e, n in sorted(found))
+
+
+def test_secrets_are_the_base_matches(docs, spark):
+    cases = spark.createDataFrame([(100, "secret=token: abcdefgh"), (101, "\U0001f600 token=api_key=abcdefgh PASSWORD: 'k-._/+='"),
+                                   (102, "passwd=== token = = abcdefg " + "token=abcdef9 é" * 50)], "doc_id long, text string")
+    wide = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text", "source", "lang")
+    both = wide.unionByName(cases.withColumns({"source": F.lit("s"), "lang": F.lit(None).cast("string")}))
+    texts = {r["doc_id"]: r["text"] for r in both.collect()}
+    for r in secret_scan.find_secrets(both).collect():
+        spans = base_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest()
+        assert set(filter(None, spans.split(","))) <= set(r["spans"].split(","))
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(both).collect()}
+    assert "abcdef12" not in clean[8] and clean[5] == EDGE[5] and clean[0] is None
+
+
+def test_copied_secrets_are_examples(spark):
+    rows = [(i, "token=q7w8e9r0t1", f"owner{i % 4}", "en") for i in range(8)] + [(9, "token=z1x2c3v4b5", "owner1", "en")]
+    got = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))
+    assert {(r["doc_id"] == 9, r["n_live"], r["n_copied"]) for r in got.collect()} == {(True, 1, 0), (False, 0, 1)}
+
+
+def test_packing_is_gapless_and_tight(docs, spark):
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = texts_of(spark)
+    rows = packing.pack(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
+    ids = {i: lib.encode(t, add_special_tokens=False).ids + [2] for i, t in texts.items()}
+    held, total = Counter(), Counter()
+    for r in rows:
+        part = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes()) and len(part) == r["length"]
+        assert r["piece"] == 0 or r["length"] == packing.CAPACITY
+        held[r["sequence_id"]] += r["length"]
+        total[r["doc_id"]] += r["length"]
+    assert total == {i: len(x) for i, x in ids.items()}
+    at = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at.get(r["sequence_id"], 0)
+        at[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(held.values()) <= packing.CAPACITY
+    assert len(held) <= 1.05 * sum(held.values()) / packing.CAPACITY + 1
+    assert packing.pack(docs).count() >= docs.count() and packing.pack(docs.limit(0)).count() == 0
+
+
+def test_open_sequences_close_the_fullest_first():
+    bins = packing.OpenSequences(10, most=2)
+    assert [bins.place(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # the third closes sequence 1
+    assert [bins.place(n) for n in (3, 2)] == [(0, 6), (2, 8)]
+
+
+def reference_simhash(text):
+    words = (text or "").encode().lower().split()
+    grams = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or [b" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def union_of(pairs, n):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x] = root[root[x]]
+        return x
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    return [find(i) for i in range(n)]
+
+
+def test_simhash_components_are_exact(docs, spark):
+    rows = simhash.near_duplicates(spark.read.parquet(f"{SF_ORACLE}/documents.parquet")).collect()
+    texts = texts_of(spark, SF_ORACLE)
+    fps = [int(r["fingerprint"], 16) for r in rows]
+    assert all(f == reference_simhash(texts[r["doc_id"]]) for f, r in zip(fps[:60], rows))
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    roots, least = union_of(near, len(fps)), {}
+    for r, k in zip(rows, roots):
+        least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
+    assert all(r["component_id"] == least[k] for r, k in zip(rows, roots))
+    edges = {r["doc_id"]: r for r in simhash.near_duplicates(docs).collect()}
+    assert edges[0]["fingerprint"] == "0" * 16 and edges[1]["component_id"] == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and kept.filter("doc_id = 4").count() == 1
+
+
+def test_fingerprints_a_few_bits_apart_always_meet(spark):
+    rnd = random.Random(5)
+    base = [rnd.getrandbits(64) for _ in range(40)]
+    fps = {f ^ sum(1 << b for b in rnd.sample(range(64), k)) for f in base for k in (0, 1, 2, 3, 4)}
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    got = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()
+    exp = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert {(r["src"], r["dst"]) for r in got} == exp
+
+
+def test_components_on_a_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 101 + i) for i in range(50)] + [(7, 7), (None, 3)]
+    rows = components.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["root"], set()).add(r["node"])
+    assert sorted(map(len, groups.values())) == [51, 61]
+
+
+def test_warc_round_trip_in_small_ranges(spark):
+    big = "x" * (1 << 24) + "é"
+    rows = [(1, "http://a/é b", "<p>" + "a" * 200), (2, None, "<p>" + "a" * 200), (2, None, "<p>" + "a" * 200), (9, "u", None),
+            (3, "u", ""), (4, "u", "short"), (5, "u", "short"), (6, "u", big), (None, "n", "<p>" + "a" * 200), (10, "u", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1))
+    for size in (64, 5000, warc.RANGE_BYTES):
+        got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"])
+                      for r in warc.round_trip(pages, range_bytes=size).collect())
+        assert got == Counter([(1, 203, "response", None), (2, 203, "revisit", 1), (2, 203, "revisit", 1),
+                               (9, 0, "response", None), (3, 0, "response", None), (4, 5, "response", None),
+                               (5, 5, "response", None), (6, len(big.encode()), "response", None),
+                               (None, 203, "revisit", 1), (10, len(big.encode()), "revisit", 6)])
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_licenses_edges(docs):
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.find_licenses(docs).collect()}
+    assert got[9] == "MIT:1/1" and got[0] == "" and got[3] == ""
+
+
+def test_edited_license_is_found(spark):
+    whole = license_scan.TEMPLATES["MIT-permission"]
+    edited = "intro words here " + whole.replace("publish", "print", 1) + " and more"
+    cut = " ".join(whole.split()[:20])
+    rows = license_scan.find_licenses(spark.createDataFrame([(1, edited), (2, cut)], "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_licenses"] for r in rows.collect()} == {1: 1, 2: 0}
+
+
+def test_toxicity_on_held_out_labels(docs, spark):
+    base = SF_ORACLE
+    d, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    rows = toxicity.score_documents(d, labels).join(labels, "doc_id").filter("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 and 0 <= r["score"] <= 1 for r in rows)
+    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) >= 0.9
+    assert toxicity.score_documents(docs, labels).filter("score is null").count() == 0
+    assert toxicity.score_documents(docs, labels.limit(0)).agg(F.max("score")).first()[0] == 0
+    assert toxicity.keep_clean(docs, labels.limit(0)).columns == docs.columns
+
+
+def test_embedding_links_reach_brute_force(spark):
+    table = spark.read.parquet(f"{SF_ORACLE}/embeddings.parquet")
+    rows = table.orderBy("vec_id").collect()
+    x = np.array([r["embedding"] for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    exact = dict(zip([r["vec_id"] for r in rows], ((x @ x.T) >= 0.9).sum(axis=1) - 1))
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(table).collect()}
+    assert all(got[i] <= exact[i] for i in exact) and sum(got.values()) >= 0.9 * sum(exact.values())
+    nan, inf = float("nan"), float("inf")
+    odd = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [None, 1.0]), (6, [nan, 1.0]), (7, [inf, 1.0]),
+           (8, [1.0]), (9, [1.0, 0.0]), (9, [1.0, 0.0]), (None, [1.0, 0.0]), (10, []), (11, [1e308, 0.0])]
+    frame = spark.createDataFrame(odd, "vec_id long, embedding array<double>").withColumn("n_links", F.lit(5))
+    out = {(r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(frame).collect()}
+    assert out == {(i, 5, 1) for i in (1, 2, 9, 11, None)} | {(i, 0, i) for i in (3, 4, 5, 6, 7, 8, 10)}
+
+
+def test_pipeline_stages_chain(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    first = corpus_pipeline.STAGES[0][1](spark, docs, SF_SMALL)
+    assert first.columns == docs.columns and 0 < first.count() <= docs.count()
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
+    assert ids and ids <= {r["doc_id"] for r in first.select("doc_id").collect()}
