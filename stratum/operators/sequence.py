@@ -21,11 +21,8 @@ many range partitions, and then repairs the partition edges:
   first key of a partition can continue from an earlier one, so that carry
   table also has at most one row per partition.
 
-The layout costs a few extra jobs, so every entry point first measures the
-largest group (one aggregate, map-side combined, one number to the driver).
-When it is within ``max_key_rows`` the plain window runs instead: a group of
-that size fits one task (window buffers spill), so only groups proven small
-take the single-task path and everything else is spread.
+There is one path for every size of group, so results never depend on how much data
+there is; the number of ranges follows the planner's estimate of the input's bytes.
 """
 
 from __future__ import annotations
@@ -41,22 +38,8 @@ PID, POS, ROW, N, START, TOTAL, HALO = "_pid", "_pos", "_row", "_n", "_start", "
 INTERNAL = (PID, POS, ROW, N, START, TOTAL, HALO)
 _LOW33 = (1 << 33) - 1
 _FAR = 1 << 62
-# Largest group a single window task may take (rows); above it, range layout.
-MAX_KEY_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest key group (the whole frame when there are no keys)."""
-    if not keys:
-        return df.count()
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).collect()[0][0]
-    return int(top or 0)
-
-
-def _small(df: DataFrame, keys: Sequence[str], max_key_rows: int | None) -> bool:
-    """``max_key_rows`` None -> the module budget; 0 -> always use the range layout."""
-    cap = MAX_KEY_ROWS if max_key_rows is None else max_key_rows
-    return cap > 0 and largest_group(df, keys) <= cap
+# estimated input bytes that one range should hold
+RANGE_BYTES = 256 << 20
 
 
 def _cols(cols: Sequence[Column | str]) -> list[Column]:
@@ -64,9 +47,17 @@ def _cols(cols: Sequence[Column | str]) -> list[Column]:
 
 
 def _num_partitions(df: DataFrame, wanted: int | None) -> int:
+    """``wanted``, or as many ranges as the planner's size estimate of the input asks for.
+
+    Never fewer than the session's shuffle partitions; the estimate is taken from file
+    sizes, without a job.
+    """
     if wanted:
         return wanted
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an unknown size is reported as the largest long; leave such inputs at the setting
+    return least if estimate >= _FAR else max(least, -(-estimate // RANGE_BYTES))
 
 
 def range_layout(df: DataFrame, order: Sequence[Column | str],
@@ -113,18 +104,14 @@ def _strip(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "row_number",
-                      num_partitions: int | None = None,
-                      max_key_rows: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` without a single-partition exchange."""
-    if _small(df, [], max_key_rows):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*_cols(order))))
     idx = with_row_index(range_layout(df, order, num_partitions))
     return _strip(idx.withColumn(name, F.col(ROW)))
 
 
 def global_ntile(df: DataFrame, order: Sequence[Column | str], buckets: int,
-                 name: str = "ntile", num_partitions: int | None = None,
-                 max_key_rows: int | None = None) -> DataFrame:
+                 name: str = "ntile", num_partitions: int | None = None) -> DataFrame:
     """``ntile(buckets) OVER (ORDER BY order)``, distributed.
 
     With ``N`` rows, ``q = N div k`` and ``r = N mod k``: the first ``r`` tiles
@@ -133,8 +120,6 @@ def global_ntile(df: DataFrame, order: Sequence[Column | str], buckets: int,
     k = int(buckets)
     if k <= 0:
         raise ValueError("buckets must be positive")
-    if _small(df, [], max_key_rows):
-        return df.withColumn(name, F.ntile(k).over(Window.orderBy(*_cols(order))))
     idx = with_row_index(range_layout(df, order, num_partitions))
     q, r = f"({TOTAL} div {k})", f"({TOTAL} % {k})"
     tile = F.expr(
@@ -197,8 +182,7 @@ def sequence_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
                     build: Callable[[Window], Mapping[str, Column]] | None = None,
                     back: int = 0, ahead: int = 0,
                     running: Mapping[str, Column] | None = None,
-                    num_partitions: int | None = None,
-                    max_key_rows: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Bounded-frame window expressions and running sums, safe on hot keys.
 
     ``build(w)`` receives a ``WindowSpec`` (partitioned by key, ordered by the
@@ -208,13 +192,6 @@ def sequence_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     ``order`` with ``keys`` must be a total order.
     """
     running = dict(running or {})
-    if _small(df, keys, max_key_rows):
-        w = Window.partitionBy(*keys).orderBy(*_cols(order)) if keys else \
-            Window.orderBy(*_cols(order))
-        exprs = dict(build(w)) if build else {}
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        exprs.update({n: F.sum(c).over(upto) for n, c in running.items()})
-        return df.select("*", *[c.alias(n) for n, c in exprs.items()])
     vals = {f"_v{i}": c for i, c in enumerate(running.values())}
     base = df.select("*", *[c.alias(n) for n, c in vals.items()])
     laid = range_layout(base, [*keys, *order], num_partitions)
@@ -247,37 +224,33 @@ def sequence_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for (name, _), v in zip(running.items(), vals):
         local = F.sum(F.when(~F.col(HALO), F.col(v))).over(upto)
-        exprs[name] = local + F.coalesce(F.col(f"_c{v}"), F.lit(0))
+        carry_in = F.col(f"_c{v}")
+        # NULL only while every value so far is NULL, here and in the earlier partitions
+        exprs[name] = F.when(local.isNotNull() | carry_in.isNotNull(),
+                             F.coalesce(local, F.lit(0)) + F.coalesce(carry_in, F.lit(0)))
     out = framed.select("*", *[c.alias(n) for n, c in exprs.items()]).filter(~F.col(HALO))
     return _strip(out, [*vals, *[f"_c{v}" for v in vals]])
 
 
 def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
              value: str, offset: int = 1, lag_name: str = "prev_value",
-             lead_name: str = "next_value", num_partitions: int | None = None,
-             max_key_rows: int | None = None) -> DataFrame:
+             lead_name: str = "next_value", num_partitions: int | None = None) -> DataFrame:
     """``lag``/``lead`` of ``value`` per key, distributed over range partitions."""
     return sequence_window(
         df, keys, order,
         lambda w: {lag_name: F.lag(value, offset).over(w),
                    lead_name: F.lead(value, offset).over(w)},
-        back=offset, ahead=offset, num_partitions=num_partitions, max_key_rows=max_key_rows)
+        back=offset, ahead=offset, num_partitions=num_partitions)
 
 
-def exact_median(df: DataFrame, col: str, num_partitions: int | None = None,
-                 max_key_rows: int | None = None) -> DataFrame:
+def exact_median(df: DataFrame, col: str, num_partitions: int | None = None) -> DataFrame:
     """One-row frame with the interpolated median of non-NULL ``col``.
 
     Unlike ``percentile``, no task holds every value: the column is range
     sorted, and only the one or two middle rows are read back.
     """
     vals = df.select(F.col(col).alias("_x")).filter(F.col("_x").isNotNull())
-    if _small(vals, [], max_key_rows):
-        w = Window.orderBy("_x")
-        idx = vals.select("_x", F.row_number().over(w).alias(ROW),
-                          F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))).alias(TOTAL))
-    else:
-        idx = with_row_index(range_layout(vals, ["_x"], num_partitions))
+    idx = with_row_index(range_layout(vals, ["_x"], num_partitions))
     lo = F.expr(f"({TOTAL} + 1) div 2")
     hi = F.expr(f"{TOTAL} div 2 + 1")
     mid = idx.filter((F.col(ROW) == lo) | (F.col(ROW) == hi))

@@ -26,15 +26,3 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
-
-
-SEQUENCE_QUERIES = ["lag_lead", "running_moving", "ntile_global", "fill_median"]
-
-
-@pytest.mark.parametrize("name", SEQUENCE_QUERIES)
-def test_sequence_queries_on_range_layout(spark, con, name, monkeypatch):
-    """Force the hot-key layout (as for a group above the budget) on the real queries."""
-    from stratum.operators import sequence
-    monkeypatch.setattr(sequence, "MAX_KEY_ROWS", 0)
-    problems = compare(QUERIES[name](spark, SF_ORACLE), con, ORACLE[name])
-    assert not problems, "\n".join(problems)

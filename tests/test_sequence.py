@@ -50,7 +50,7 @@ def test_lag_lead_moving_running_match_plain_windows(spark, seed, n, keys, parts
         return {"p": F.lag("v").over(wx), "nx": F.lead("v").over(wx),
                 "p2": F.lag("v", 2).over(wx), "m": F.sum("v").over(wx.rowsBetween(-2, 0))}
     got = S.sequence_window(df, ["k"], ["t", "id"], build, back=2, ahead=1,
-                            running={"r": F.col("v")}, num_partitions=parts, max_key_rows=0)
+                            running={"r": F.col("v")}, num_partitions=parts)
     cols = ["id", "p", "nx", "p2", "m", "r"]
     assert _collect(got, cols) == _collect(expected, cols)
 
@@ -62,8 +62,8 @@ def test_global_ntile_and_row_number(spark, seed, n, parts, k):
     df = _frame(spark, _rows(seed, n, 3, 0.5))
     w = Window.orderBy("v", "id")
     expected = df.select("id", F.ntile(k).over(w).alias("q"), F.row_number().over(w).alias("rn"))
-    got = S.global_ntile(df, ["v", "id"], k, "q", num_partitions=parts, max_key_rows=0)
-    got = S.global_row_number(got, ["v", "id"], "rn", num_partitions=parts, max_key_rows=0)
+    got = S.global_ntile(df, ["v", "id"], k, "q", num_partitions=parts)
+    got = S.global_row_number(got, ["v", "id"], "rn", num_partitions=parts)
     assert _collect(got, ["id", "q", "rn"]) == _collect(expected, ["id", "q", "rn"])
 
 
@@ -74,7 +74,7 @@ def test_exact_median(spark, seed, n, parts):
     df = _frame(spark, rows)
     vals = sorted(r[3] for r in rows)
     mid = (vals[(n - 1) // 2] + vals[n // 2]) / 2.0
-    got = S.exact_median(df, "v", num_partitions=parts, max_key_rows=0).collect()[0]["median"]
+    got = S.exact_median(df, "v", num_partitions=parts).collect()[0]["median"]
     assert got == mid
     assert S.exact_median(df, "v").collect()[0]["median"] == mid  # small path
 
@@ -101,29 +101,24 @@ def test_global_lag_lead_without_keys(spark, seed, n, parts):
                          F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("r"))
     got = S.sequence_window(df, [], ["t", "id"],
                             lambda wx: {"p": F.lag("v").over(wx), "nx": F.lead("v").over(wx)},
-                            back=1, ahead=1, running={"r": F.col("v")}, num_partitions=parts,
-                            max_key_rows=0)
+                            back=1, ahead=1, running={"r": F.col("v")}, num_partitions=parts)
     assert _collect(got, ["id", "p", "nx", "r"]) == _collect(expected, ["id", "p", "nx", "r"])
 
 
 def test_empty_input(spark):
     df = _frame(spark, [])
-    for cap in (0, None):
-        assert S.global_ntile(df, ["v", "id"], 4, "q", num_partitions=4, max_key_rows=cap).count() == 0
-        assert S.exact_median(df, "v", num_partitions=4, max_key_rows=cap).collect()[0]["median"] is None
-        got = S.sequence_window(df, ["k"], ["t", "id"], lambda w: {"p": F.lag("v").over(w)},
-                                back=1, ahead=1, running={"r": F.col("v")}, num_partitions=4,
-                                max_key_rows=cap)
-        assert got.count() == 0
-
-
-def test_small_groups_take_plain_window_and_hot_groups_the_layout(spark):
-    from stratum.plans.report import plan_text
-    df = _frame(spark, _rows(3, 300, 4, 0.9))
-    assert S.largest_group(df, ["k"]) > 200
-    build = lambda w: {"p": F.lag("v").over(w)}
-    plain = S.sequence_window(df, ["k"], ["t", "id"], build, back=1, max_key_rows=1000)
-    spread = S.sequence_window(df, ["k"], ["t", "id"], build, back=1, max_key_rows=200)
-    assert "monotonically_increasing_id" not in plan_text(plain, "simple")
-    assert "monotonically_increasing_id" in plan_text(spread, "simple")  # the range layout
-    assert _collect(plain, ["id", "p"]) == _collect(spread, ["id", "p"])
+    assert S.global_ntile(df, ["v", "id"], 4, "q", num_partitions=4).count() == 0
+    assert S.exact_median(df, "v", num_partitions=4).collect()[0]["median"] is None
+    got = S.sequence_window(df, ["k"], ["t", "id"], lambda w: {"p": F.lag("v").over(w)},
+                            back=1, ahead=1, running={"r": F.col("v")}, num_partitions=4)
+    assert got.count() == 0
+
+
+def test_running_sum_over_null_values_across_partitions(spark):
+    df = spark.createDataFrame([("k", i, i, 4 if i in (2, 9) else None) for i in range(12)],
+                               "k string, t int, id int, v int")
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.select("id", F.sum("v").over(w).alias("r"))
+    for parts in (1, 4, 12):
+        got = S.sequence_window(df, ["k"], ["t"], running={"r": F.col("v")}, num_partitions=parts)
+        assert _collect(got, ["id", "r"]) == _collect(expected, ["id", "r"])
