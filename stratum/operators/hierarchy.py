@@ -19,6 +19,9 @@ from ..session import ensure_checkpoint_dir
 from .joins import BROADCAST_MAX_ROWS
 
 
+CYCLE_CHECK_DEPTH = 256
+
+
 def _materialise(df: DataFrame, count: Column | None = None) -> tuple[DataFrame, int]:
     """Checkpoint ``df`` and aggregate ``count`` (default: rows) in the same job."""
     obs = Observation()
@@ -28,16 +31,16 @@ def _materialise(df: DataFrame, count: Column | None = None) -> tuple[DataFrame,
 
 
 def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
-              separator: str = " → ", max_depth: int = 64,
+              separator: str = " → ", max_depth: int | None = None,
               roots: DataFrame | None = None,
               broadcast_rows: int = BROADCAST_MAX_ROWS,
               on_limit: str = "raise") -> DataFrame:
     """Walk from roots (``parent`` IS NULL, or ``roots``) down to every descendant.
 
     Returns the edge columns plus ``depth`` (root = 0) and ``path`` (labels
-    joined by ``separator``). Nothing is dropped silently: if rows exist below
-    ``max_depth`` (a cycle, or a deeper tree than allowed) the walk raises,
-    unless ``on_limit="stop"`` asks for a depth-limited walk.
+    joined by ``separator``). By default depth is not limited; a walk longer than
+    the table has edges is a cycle and raises. With ``max_depth``, rows below it
+    raise too, unless ``on_limit="stop"`` asks for a depth-limited walk.
 
     The edges are checkpointed once (the root count observed in the same job),
     so the (possibly expensive) edge derivation is not recomputed per level.
@@ -62,9 +65,14 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
         frontier, size = _materialise(frontier)
     children = edges.filter(F.col(parent).isNotNull())
     levels = [frontier]
-    for depth in range(1, max_depth + 1):
-        if size == 0:
+    depth, limit = 0, max_depth
+    while size:
+        if limit is None and depth == CYCLE_CHECK_DEPTH:
+            # no path without a cycle is longer than the number of edges
+            limit = edges.count()
+        if limit is not None and depth >= limit:
             break
+        depth += 1
         step = frontier.select(F.col(node).alias("_up"), F.col("path").alias("_path"))
         if size <= broadcast_rows:  # the level's row count is known exactly
             step = F.broadcast(step)
@@ -80,7 +88,7 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
         below = children.join(frontier.select(F.col(node).alias("_up")),
                               children[parent] == F.col("_up"), "left_semi")
         if not below.isEmpty():
-            raise RecursionError(f"tree walk has rows below max_depth={max_depth} "
+            raise RecursionError(f"tree walk has rows below max_depth={limit} "
                                  "(a cycle or a deeper tree); raise max_depth or pass "
                                  "on_limit='stop'")
     out = levels[0]

@@ -150,9 +150,14 @@ def reconcile_failures(source: DataFrame, mart: DataFrame, mart_total: str) -> D
 
 
 def checksum(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """Cheap change detector (D-15): row count, key sum, newest timestamp."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(key).cast("long").alias("key_sum"),
-                  F.max(ts).alias("max_ts"))
+    """Change detector (D-15): row count, key sum, newest timestamp, and a sum of row hashes.
+
+    The hash of all columns makes updates in place visible; sums are DECIMAL(38,0), which
+    neither grows past its range at any number of keys in use.
+    """
+    wide = lambda c: F.sum(c.cast("decimal(20,0)")).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), wide(F.col(key)).alias("key_sum"),
+                  F.max(ts).alias("max_ts"), wide(F.xxhash64(*df.columns)).alias("row_hash_sum"))
 
 
 def rebuild_needed(current: DataFrame, previous: DataFrame | None) -> bool:

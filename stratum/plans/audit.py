@@ -106,7 +106,7 @@ class AuditLog:
             required("table_name").alias("table_name"), required("check_name").alias("check_name"),
             required("passed").cast("boolean").alias("passed"),
             F.col("details").cast("string").alias("details"),
-            F.lit(at).cast("timestamp_ntz").alias("checked_at"))
+            F.lit(str(at)).cast("timestamp_ntz").alias("checked_at"))
         rows.write.mode("append").parquet(self.checks_path)
 
     # ------------------------------------------------------------ views
@@ -134,7 +134,7 @@ class AuditLog:
 
 def level_counts(logs: DataFrame) -> DataFrame:
     """Events per level from parsed log lines (see ``sources.files.read_log``)."""
-    return logs.groupBy("level").agg(F.count(F.lit(1)).alias("n_lines"))
+    return logs.filter(F.col("level").isNotNull()).groupBy("level").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def error_summary(logs: DataFrame, levels=("ERROR",)) -> DataFrame:

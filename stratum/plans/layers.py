@@ -77,21 +77,27 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 
 
 def affected_partitions(df: DataFrame, ts_col: str, part_col: str, lookback: str,
-                        max_values: int = 10_000) -> DataFrame:
+                        unit: str = "day") -> DataFrame:
     """Rows of every partition touched by the look-back window before the newest row.
 
-    The touched partition values (a 3-day window over daily partitions touches
-    at most 4) are fetched, up to ``max_values`` of them, and applied as a
-    literal ``IN`` filter: on a table partitioned by ``part_col`` that is
-    partition pruning, so only the affected partitions are read. Beyond the
-    bound a semi-join is used instead.
+    ``part_col`` must not be coarser than ``unit`` of ``ts_col``. The window's start, cut to
+    ``unit``, becomes one literal range on ``ts_col`` that reaches the scan as a pushed
+    filter; which partitions have rows in the window is then decided within that range. The
+    literal travels as text, so the driver's time zone plays no part.
     """
-    cutoff = df.agg((F.max(ts_col) - F.expr(f"INTERVAL {lookback}")).alias("c")).scalar()
-    touched = df.filter(F.col(ts_col) >= cutoff).select(part_col).distinct()
-    values = [r[0] for r in touched.limit(max_values + 1).collect()]
-    if len(values) <= max_values:
-        return df.filter(F.col(part_col).isin(values))
-    return df.join(touched, part_col, "left_semi")
+    start = F.max(ts_col) - F.expr(f"INTERVAL {lookback}")
+    cutoff, aligned = df.agg(start.cast("string").alias("c"),
+                             F.date_trunc(unit, start).cast("string").alias("a")).first()
+    if cutoff is None:
+        return df.limit(0)
+    kind = df.schema[ts_col].dataType
+    recent = df.filter(F.col(ts_col) >= F.lit(aligned).cast(kind))
+    part_kind = df.schema[part_col].dataType
+    if part_kind.simpleString() in ("date", "timestamp", "timestamp_ntz"):
+        # the same range on the partition column prunes the folders of a partitioned table
+        recent = recent.filter(F.col(part_col) >= F.lit(aligned).cast(part_kind))
+    touched = recent.filter(F.col(ts_col) >= F.lit(cutoff).cast(kind)).select(part_col).distinct()
+    return recent.join(touched, part_col, "left_semi")
 
 
 def upsert_latest(current: DataFrame, changes: DataFrame, keys: Sequence[str],

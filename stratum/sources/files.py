@@ -54,16 +54,31 @@ def register_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLE
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str,
                    mode: str = "PERMISSIVE") -> DataFrame:
-    """Header CSV with an explicit schema (S-1). Doubled quotes are escapes (S14)."""
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("mode", mode).csv(path))
+    """Header CSV with an explicit schema (S-1), read by column name. Doubled quotes are escapes (S14).
+
+    Columns may stand in any order, and further ones are left out; a header without one of
+    the schema's columns raises here, and files whose headers differ raise when read.
+    """
+    fields = (spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema).fields
+    return _read_by_name(spark, path, {f.name: f for f in fields}, {"mode": mode})
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
     """Every column as STRING; only the empty field is NULL, 'NA' is kept (S-2, S15)."""
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("nullValue", "").option("inferSchema", False).csv(path))
+    fields = {c: T.StructField(c, T.StringType(), True) for c in columns}
+    return _read_by_name(spark, path, fields, {"nullValue": ""})
+
+
+def _read_by_name(spark: SparkSession, path: str, fields: dict[str, T.StructField],
+                  options: dict[str, str]) -> DataFrame:
+    header = read_csv_header(spark, path) or list(fields)
+    missing = [c for c in fields if c not in header]
+    if missing:
+        raise ValueError(f"{path}: header {header} has no {missing}")
+    found = T.StructType([fields.get(c, T.StructField(c, T.StringType(), True)) for c in header])
+    rows = (spark.read.schema(found).option("header", True).option("enforceSchema", False)
+            .option("escape", '"').options(**options).csv(path))
+    return rows.select(*[F.col(f"`{c}`") for c in fields])
 
 
 def read_csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -79,23 +94,24 @@ LOG_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\s+([A-Z]+)\s+(.*)$"
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """``ts level message`` text log (S-9) -> (ts TIMESTAMP, level, message, _file)."""
+    """Text log (S-9) -> (ts TIMESTAMP, level, message, _file, line), a row for every line.
+
+    A line that is no ``ts level message`` has NULL ts and level, and is its own message.
+    """
     raw = spark.read.text(path)
     parts = [F.regexp_extract("value", LOG_PATTERN, i) for i in (1, 2, 3)]
     return (raw.select(F.try_to_timestamp(F.nullif(parts[0], F.lit("")),
                                           F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"),
                        F.nullif(parts[1], F.lit("")).alias("level"),
-                       parts[2].alias("message"),
-                       F.col("_metadata.file_name").alias("_file"))
-            .filter(F.col("ts").isNotNull()))
+                       F.when(F.col("value").rlike(LOG_PATTERN), parts[2]).otherwise(F.col("value")).alias("message"),
+                       F.col("_metadata.file_name").alias("_file"), F.col("value").alias("line")))
 
 
 def log_filter(logs: DataFrame, pattern: str, ignore_case: bool = False,
                invert: bool = False) -> DataFrame:
-    """grep-like filter over parsed log lines (P-18)."""
+    """grep-like filter over whole log lines (P-18)."""
     rx = f"(?i){pattern}" if ignore_case else pattern
-    line = F.concat_ws(" ", F.col("level"), F.col("message"))
-    pred = line.rlike(rx)
+    pred = F.col("line").rlike(rx)
     return logs.filter(~pred if invert else pred)
 
 

@@ -10,11 +10,20 @@ atomically per batch).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _rows(spark: SparkSession, target: str) -> int:
+    """Rows of a table, from the files' footers; 0 if there is none yet."""
+    try:
+        return spark.read.parquet(target).count()
+    except AnalysisException:
+        return 0
+
+
 def ingest_available(spark: SparkSession, source_dir: str, schema: T.StructType,
                      target: str, checkpoint: str, fmt: str = "csv",
                      options: dict[str, str] | None = None, run_ts: str | None = None,
@@ -30,10 +39,12 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: T.StructType,
                    else F.current_timestamp().cast("timestamp_ntz"))
     stamped = stream.select("*", ingested_at.alias("_ingested_at"),
                             F.col("_metadata.file_name").alias("_source_file"))
+    # the sink's own row count: progress reports keep only the latest batches
+    before = _rows(spark, target)
     q = (stamped.writeStream.format("parquet").option("path", target)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows(spark, target) - before
