@@ -44,15 +44,15 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       mode: str = "overwrite", salt_buckets: int = 1) -> None:
     """Hive-style partitioned Parquet (K-2), one shuffle by the partition values.
 
-    ``salt_buckets > 1`` spreads each value over that many tasks (and files),
-    which keeps a value holding a third of the rows from landing on one task.
+    Adaptive execution splits a value that holds many rows over several tasks (and
+    files); ``salt_buckets > 1`` fixes their number instead.
     """
     cols = [F.col(c) for c in partition_cols]
     if salt_buckets > 1:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
         shaped = df.repartition(*cols, salt)
     else:
-        shaped = df.repartition(*cols)
+        shaped = df.hint("rebalance", *partition_cols)
     shaped.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 
@@ -70,8 +70,12 @@ def write_clustered(df: DataFrame, path: str, col: str, mode: str = "overwrite",
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df`` (K-10, dynamic overwrite)."""
-    (df.repartition(*[F.col(c) for c in partition_cols]).write
+    """Replace only the partitions present in ``df`` (K-10, dynamic overwrite).
+
+    Rows are rebalanced by the partition values, so adaptive execution splits a hot value
+    over several tasks and joins small ones.
+    """
+    (df.hint("rebalance", *partition_cols).write
        .option("partitionOverwriteMode", "dynamic").mode("overwrite")
        .partitionBy(*partition_cols).parquet(path))
 
