@@ -8,6 +8,10 @@ bit at or above its length; when all are open, the fullest closes first. Long pi
 batch go first. Memory is a batch and the open sequences, which also bound the unfilled
 tail of a task.
 
+Ids come from the ``tiktoken`` library, four times as fast as the JSON's; a text that its
+pattern engine refuses (white space running over about a million characters) is encoded by
+``bpe.Codec``, which gives the same ids.
+
 Defined results: null and empty texts are the end token alone; a document longer than a
 sequence is cut from its end, so that only its first piece may be shorter; repeated rows
 are packed as often as they occur; other columns are not read.
@@ -20,14 +24,15 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm import bpe
 from stratum.llm.batches import chunks
-from stratum.llm.bpe import PATTERN
 
 CAPACITY = 1024
 END_ID = 2
@@ -75,7 +80,15 @@ class OpenSequences:
 def tokenizer(raw: bytes) -> tiktoken.Encoding:
     """The vocabulary's rank file in the ``tiktoken`` library: same ids as the JSON, faster."""
     ranks = {base64.b64decode(a): int(r) for a, r in (line.split() for line in raw.splitlines() if line)}
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
+    return tiktoken.Encoding("packing", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
+
+
+def encoded(enc: tiktoken.Encoding, text: str, vocabulary: bytes) -> np.ndarray:
+    """Ids of a text; ``vocabulary`` is the same vocabulary as the tokenizer's JSON."""
+    try:
+        return enc.encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return bpe.codec(vocabulary).encode([text])[0]
 
 
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -85,20 +98,24 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-           capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    """(id, piece, start, length, ids_crc32) per piece of every document."""
+           capacity: int = CAPACITY, path: str | None = None, json_path: str | None = None) -> DataFrame:
+    """(id, piece, start, length, ids_crc32) per piece of every document.
+
+    ``path`` and ``json_path`` are a vocabulary's rank file and its JSON.
+    """
     if path is None:
         import public_tokenizers
         path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
         vocab = docs.sparkSession.sparkContext.broadcast(f.read())
+    spec = bpe.vocabulary(docs.sparkSession, json_path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end = tokenizer(vocab.value), END_ID.to_bytes(4, "little")
         for part in chunks(batches, "t"):
             rows = []
             for key, text_ in zip(part["id"], part["t"]):
-                data = enc.encode_to_numpy(text_, allowed_special="all").astype("<u4", copy=False).tobytes() + end
+                data = encoded(enc, text_, spec.value).astype("<u4", copy=False).tobytes() + end
                 for k, (s, n) in enumerate(cut(len(data) // 4, capacity)):
                     rows.append((key, k, s, n, zlib.crc32(data[4 * s:4 * (s + n)])))
             yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"])
@@ -110,9 +127,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
          open_sequences: int = OPEN_SEQUENCES, pieces_per_task: int = PIECES_PER_TASK,
-         path: str | None = None) -> DataFrame:
+         path: str | None = None, json_path: str | None = None) -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset``."""
-    table = pieces(docs, id_col, text, capacity, path).checkpoint()
+    table = pieces(docs, id_col, text, capacity, path, json_path).checkpoint()
     tasks = max(1, -(-table.count() // pieces_per_task))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
