@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.components import connected_components
-from stratum.llm.text import hex_u64
+from stratum.llm.text import hex_u64, whole
 
 SEED = 42
 SHINGLE = 3
@@ -55,17 +55,26 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
+def row_keys(id_col: str, text: str) -> list[Column]:
+    """128 bits of hash that name a pair of id and text; never null."""
+    t = whole(F.col(text))
+    return [F.xxhash64(F.col(id_col), t).alias("k1"), F.xxhash64(F.lit(SEED), F.col(id_col), t).alias("k2")]
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """(id, fingerprint long) per row, computed where the rows lie."""
+                 shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(id, fingerprint long) per row, with the row keys if ``keyed``, computed where the rows lie."""
+    keys = ["k1", "k2"] if keyed else []
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.fromiter((fingerprint_of(t, shingle) for t in b["t"]), dtype=np.uint64, count=len(b))
-            yield pd.DataFrame({"id": b["id"], "fp": fp.view(np.int64)})
+            yield b[["id", *keys]].assign(fp=fp.view(np.int64))
 
-    slim = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text).cast("string").alias("t"))
-    out = slim.mapInPandas(run, "id string, fp long")
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "fp")
+    slim = docs.select(F.col(id_col).cast("string").alias("id"), *(row_keys(id_col, text) if keyed else []),
+                       F.col(text).cast("string").alias("t"))
+    out = slim.mapInPandas(run, ", ".join(["id string", *[f"{k} long" for k in keys], "fp long"]))
+    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *keys, "fp")
 
 
 def _steps(segments: int, radius: int) -> list[list[tuple[int, int]]]:
@@ -113,27 +122,38 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEG
     return left.join(right, "cell").filter(near).select("src", "dst").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    segments: int = SEGMENTS) -> DataFrame:
-    """(id, fingerprint hex, component_id): the smallest id reachable over links, itself included."""
-    fps = fingerprints(docs, id_col, text, shingle).checkpoint()
+def components_of(fps: DataFrame, id_col: str, max_bits: int, segments: int) -> DataFrame:
+    """(fp, root, component_id) per distinct fingerprint of (id, fp)."""
     distinct = fps.groupBy("fp").agg(F.min(id_col).alias("least")).checkpoint()
     roots = connected_components(links(distinct.select("fp"), max_bits, segments))
     members = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = members.join(named, "root").select("fp", "component_id")
+    return members.join(named, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    segments: int = SEGMENTS) -> DataFrame:
+    """(id, fingerprint hex, component_id): the smallest id reachable over links, itself included."""
+    fps = fingerprints(docs, id_col, text, shingle).checkpoint()
+    labels = components_of(fps, id_col, max_bits, segments).select("fp", "component_id")
     return fps.join(labels, "fp").select(
         id_col, hex_u64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each group, that whose id names the component, with all columns of ``docs``.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+    """Exactly one row of each group, with all columns of ``docs``: one whose id names the component.
 
-    Rows that repeat an id are one document. A row without an id cannot be named and stays.
+    Of rows of one group that share this id, the one of smallest text hash stays, so a
+    repeated id costs no group its row; a group without any id keeps a row likewise. Only
+    ids, hashes and fingerprints are grouped, combined in their tasks.
     """
-    first = (near_duplicates(docs, id_col, text, **options)
-             .filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct())
-    kept = docs.join(first, docs[id_col] == first["_keep"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(docs[id_col].isNull()))
+    fps = fingerprints(docs, id_col, text, shingle, keyed=True).checkpoint()
+    labels = components_of(fps, id_col, max_bits, segments)
+    chosen = (fps.join(labels, "fp").filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+              .groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2"))
+    rows = docs.select(F.struct("*").alias("row"), *row_keys(id_col, text))
+    kept = rows.join(chosen, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
