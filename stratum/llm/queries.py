@@ -65,6 +65,43 @@ QUERIES = {f.__name__: f for f in (
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
+
+
+def _secrets_sql() -> str:
+    """Spans from the gaps between matches, as in the operator, but with DuckDB's functions."""
+    esc = lambda x: x.replace("'", "''")
+    found = " UNION ALL ".join(
+        f"""SELECT r, owner, repo, {i} AS kind, {k.least} AS least,
+                   unnest(regexp_extract_all(t, '{esc(k.pattern)}', {k.group})) AS v,
+                   unnest(regexp_extract_all(t, '{esc(k.pattern)}')) AS m,
+                   unnest(string_split_regex(t, '{esc(k.pattern)}')[:-2]) AS gap,
+                   unnest(range(len(regexp_extract_all(t, '{esc(k.pattern)}')))) AS i FROM d"""
+        for i, k in enumerate(secret_scan.KINDS))
+    name = "CASE kind " + " ".join(f"WHEN {i} THEN '{k.name}'" for i, k in enumerate(secret_scan.KINDS)) + " END"
+    n = ", ".join(f"count(*) FILTER (WHERE kind = {i})::BIGINT AS n_{k.name}" for i, k in enumerate(secret_scan.BASE))
+    zero = ", ".join(f"coalesce(n_{k.name}, 0)::BIGINT AS n_{k.name}" for k in secret_scan.BASE)
+    listed = lambda only: f"coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE {only}), '')"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner,
+                  [coalesce(source, ''), coalesce(lang, '')] AS repo, coalesce(text, '') AS t FROM documents),
+f AS ({found}),
+p AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM f),
+q AS (SELECT r, owner, kind, v, (e - length(m))::BIGINT AS s,
+             {name} || ':' || (e - length(m))::BIGINT || ':' || e::BIGINT AS span FROM p WHERE length(v) >= least),
+copied AS (SELECT v FROM q GROUP BY v HAVING count(DISTINCT owner) >= {secret_scan.MIN_OWNERS}),
+j AS (SELECT q.*, copied.v IS NULL
+             AND NOT regexp_matches(lower(q.v), 'example|sample|dummy|placeholder|changeme|redacted|xxxx|your[_-]?')
+             AND len(list_distinct(string_split(lower(q.v), ''))) > 4 AS live
+      FROM q LEFT JOIN copied ON q.v = copied.v),
+g AS (SELECT r, {n}, {listed(f"kind < {len(secret_scan.BASE)}")} AS base, {listed("true")} AS spans,
+             {listed("live")} AS live_spans, count(*) FILTER (WHERE live)::BIGINT AS n_live,
+             count(*) FILTER (WHERE NOT live)::BIGINT AS n_copied FROM j GROUP BY r)
+SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(live_spans, '') AS live_spans, coalesce(n_live, 0)::BIGINT AS n_live,
+       coalesce(n_copied, 0)::BIGINT AS n_copied
+FROM d LEFT JOIN g ON d.r = g.r"""
+
+
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.TEMPLATES.items())
 
 ORACLE = {
@@ -96,6 +133,7 @@ v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
           CASE WHEN n_ellipsis_lines / greatest(n_lines, 1) > 0.3::DOUBLE THEN 'ellipsis_lines' END) AS failed_rules
       FROM m)
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM v""",
+    "op4_secret_scans": _secrets_sql(),
     # the exact containment that the band retrieval must reach
     "op8_license_scans": rf"""
 WITH src AS (SELECT 'd' AS side, doc_id::VARCHAR AS k, text FROM documents
