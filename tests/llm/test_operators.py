@@ -145,6 +145,15 @@ def test_packing_is_gapless_and_tight(docs, spark):
     assert packing.pack(docs).count() >= docs.count() and packing.pack(docs.limit(0)).count() == 0
 
 
+def test_texts_that_the_fast_tokenizer_refuses_are_packed(spark):
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "\n" * 1_100_000 + "end"
+    ids = lib.encode(text, add_special_tokens=False).ids + [2]
+    got = packing.pieces(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert sum(r["length"] for r in got) == len(ids)
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(ids[r["start"]:r["start"] + r["length"]], "<u4").tobytes()) for r in got)
+
+
 def test_open_sequences_close_the_fullest_first():
     bins = packing.OpenSequences(10, most=2)
     assert [bins.place(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # the third closes sequence 1
@@ -184,6 +193,15 @@ def test_simhash_components_are_exact(docs, spark):
     assert edges[0]["fingerprint"] == "0" * 16 and edges[1]["component_id"] == 0
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and kept.filter("doc_id = 4").count() == 1
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_every_group_stays(spark):
+    """Also where an id is repeated in several groups, or a group has no id at all."""
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four " * 9, "red green blue black " * 9)
+    rows = [(1, a), (1, a), (1, b), (2, b), (3, b), (None, c), (None, c), (4, None), (5, "")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"] or 0), (r["text"] or "")[:3]) for r in got) == [(0, "red"), (1, "alp"), (1, "one"), (4, "")]
 
 
 def test_fingerprints_a_few_bits_apart_always_meet(spark):
@@ -260,11 +278,95 @@ def test_embedding_links_reach_brute_force(spark):
     assert out == {(i, 5, 1) for i in (1, 2, 9, 11, None)} | {(i, 0, i) for i in (3, 4, 5, 6, 7, 8, 10)}
 
 
-def test_pipeline_stages_chain(spark):
+def python_quality(text):
+    """The quality verdict, counted plainly."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    repeated = {k for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1 for k in range(i, i + 8)}
+    n, n_lines, space = max(len(words), 1), max(len(lines), 1), " \t\n\x0b\x0c\r"
+    ends = ("...", "…")
+    return (len(words) >= 20 and 100 * len(repeated) <= 30 * len(words)
+            and 2 <= sum(map(len, words)) / n <= 14 and len(re.findall("[#*$%&|<>]", text)) / n <= 0.1
+            and sum(w.lower() in quality.STOP_WORDS for w in words) / n >= 0.02
+            and (len(lines) - len(set(lines))) / n_lines <= 0.5
+            and sum(x.strip(space)[:1] in tuple("-*•‣▪") for x in lines) / n_lines <= 0.9
+            and sum(x.strip(space).endswith(ends) for x in lines) / n_lines <= 0.3)
+
+
+def python_redacted(rows):
+    """Texts with the live secrets replaced, by plain matching over all rows."""
+    found, owners = [], {}
+    for r in rows:
+        own = [(m.start(), m.end(), m.group(k.group)) for k in secret_scan.KINDS
+               for m in re.finditer(k.pattern, r["text"] or "", re.ASCII) if len(m.group(k.group)) >= k.least]
+        found.append(own)
+        for _, _, value in own:
+            owners.setdefault(value, set()).add(r["source"])
+    example = re.compile("example|sample|dummy|placeholder|changeme|redacted|xxxx|your[_-]?")
+    out = []
+    for r, own in zip(rows, found):
+        live = sorted((s, e) for s, e, v in own if len(owners[v]) < 3
+                      and not example.search(v.lower()) and len(set(v.lower())) > 4)
+        text, at = "", 0
+        for s, e in live:
+            if s > at or not text:
+                text += (r["text"][at:s] if s >= at else "") + secret_scan.PLACEHOLDER
+            at = max(at, e)
+        out.append(text + r["text"][at:] if live else r["text"])
+    return out
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_dir):
     import corpus_pipeline
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    first = corpus_pipeline.STAGES[0][1](spark, docs, SF_SMALL)
-    assert first.columns == docs.columns and 0 < first.count() <= docs.count()
-    out = corpus_pipeline.run(spark, SF_SMALL)
-    ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
-    assert ids and ids <= {r["doc_id"] for r in first.select("doc_id").collect()}
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    good = [r for r in base.orderBy("doc_id").collect() if python_quality(r["text"])][:30]
+    live = "the mail said password = q7w8E9r0T1-zz and " + "0a1b2c3d4e5f" * 3 + " "
+    extra = [(10_000_000 + i, live * (i % 2) + "token: Zx81kk" + "pQ7v" * 2 + " " + " ".join(r["text"].split()[5:]) + " "
+              + "the end", r["lang"], f"owner{i % 4}", 1) for i, r in enumerate(good[:12])]
+    extra += [(good[3]["doc_id"], good[4]["text"], "en", "web", 1), (None, good[5]["text"], None, None, None),
+              (10_000_100, None, "en", "web", 0), (10_000_101, "", "en", "web", 0)]
+    folder = f"{tmp_dir}/sf"
+    base.unionByName(spark.createDataFrame(extra, base.schema)).write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    tables = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, tables[-1], folder).write.parquet(f"{tmp_dir}/{k}")
+        tables.append(spark.read.parquet(f"{tmp_dir}/{k}"))
+    rows = [t.collect() for t in tables]
+    key = lambda r: (r["doc_id"], r["text"])
+    assert all(t.columns == docs.columns for t in tables[:-1])
+
+    model = toxicity.train(docs, labels)
+    assert Counter(map(key, rows[1])) == Counter(key(r) for r in rows[0] if model.score(r["text"]) < 0.5)
+    assert Counter(map(key, rows[2])) == Counter(key(r) for r in rows[1] if python_quality(r["text"]))
+
+    fps = [reference_simhash(r["text"]) for r in rows[2]]
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    groups = {}
+    for root, r in zip(union_of(near, len(fps)), rows[2]):
+        groups.setdefault(root, []).append(r)
+    stayed = {key(r) for r in rows[3]}
+    assert len(rows[3]) == len(groups) < len(rows[2])
+    for members in groups.values():
+        least = min((r["doc_id"] for r in members if r["doc_id"] is not None), default=None)
+        assert len({key(r) for r in members if r["doc_id"] == least} & stayed) == 1
+
+    clean = [(r["doc_id"], t) for r, t in zip(rows[3], python_redacted(rows[3]))]
+    assert Counter(map(key, rows[4])) == Counter(clean)
+    assert any(secret_scan.PLACEHOLDER in (t or "") for _, t in clean)
+    assert all(r["n_chars"] == len(r["text"]) for r in rows[4])
+
+    lib, exp = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
+    for doc_id, text in clean:
+        ids = lib.encode(text or "", add_special_tokens=False).ids + [2]
+        exp.update((doc_id, k, s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()))
+                   for k, (s, n) in enumerate(packing.cut(len(ids))))
+    digest = lambda table: Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32"))
+                                   for r in table)
+    assert digest(rows[5]) == exp
+    assert digest(corpus_pipeline.run(spark, folder).collect()) == exp
