@@ -13,6 +13,7 @@ from stratum.functions.numeric import flag_sum, pct_decimal
 from stratum.operators import aggregates as A
 from stratum.operators import quality as Q
 from stratum.operators import windows as W
+from stratum.plans.models import Project, column_tests
 
 # Fixed values of the inspection models: first matching rule wins.
 RISK_RULES = [(["1"], "High"), (["2"], "Medium"), (["3"], "Low")]
@@ -142,6 +143,32 @@ CHECKS = [
 ]
 
 
+def project(spark, raw: DataFrame, target_dir: str | None = None) -> Project:
+    """The models with the tests that they declare."""
+    p = Project(spark, target_dir)
+    mat = "table" if target_dir else "view"
+    p.source("raw_inspections", lambda: raw)
+    p.model("stg_inspections", ["raw_inspections"], tests={
+        **column_tests({
+            "inspection_id": ["unique", "not_null"],
+            "result": ["not_null", [label for _, label in RESULT_RULES] + ["Other"]],
+            "risk_level": ["not_null", [label for _, label in RISK_RULES] + ["Unknown"]],
+            "passed": ["not_null"],
+        }),
+        "violation_count_non_negative": lambda d: Q.test_non_negative(d, "violation_count"),
+    })(lambda raw_inspections: stg_inspections(raw_inspections))
+    p.model("int_inspections_enriched", ["stg_inspections"])(
+        lambda stg_inspections: int_inspections_enriched(stg_inspections))
+    for mart, fn, tests in [
+            ("fct_inspection_summary", fct_inspection_summary,
+             {"pass_rate_bounds": lambda d: Q.test_bounds(d, "pass_rate_pct", 0, 100)}),
+            ("fct_yearly_trends", fct_yearly_trends, {}),
+            ("fct_top_failing_businesses", fct_top_failing_businesses, {})]:
+        p.model(mart, ["int_inspections_enriched"], materialize=mat, tests=tests)(
+            lambda int_inspections_enriched, fn=fn: fn(int_inspections_enriched))
+    return p
+
+
 def pass_by_risk(enriched: DataFrame) -> DataFrame:
     """Gold pass rate per risk level (M-15)."""
     m = _measures()

@@ -15,7 +15,7 @@ from stratum.functions import columns as C
 from stratum.functions.numeric import mean_decimal, pct_decimal
 from stratum.operators import aggregates as A
 from stratum.operators import quality as Q
-from stratum.plans.models import Project
+from stratum.plans.models import Project, column_tests
 
 RAW_SCHEMA = T.StructType([
     T.StructField("PassengerId", T.IntegerType()), T.StructField("Survived", T.IntegerType()),
@@ -114,26 +114,29 @@ CHECKS = [
 def project(spark, raw: DataFrame, target_dir: str | None = None) -> Project:
     p = Project(spark, target_dir)
     p.source("raw_passengers", lambda: raw)
-    p.model("stg_passengers", ["raw_passengers"], tests={
-        "unique_passenger_id": lambda d: Q.test_unique(d, ["passenger_id"]),
-        "not_null_passenger_id": lambda d: Q.test_not_null(d, "passenger_id"),
-        "accepted_class": lambda d: Q.test_accepted_values(d, "passenger_class", [1, 2, 3]),
-        "accepted_survived": lambda d: Q.test_accepted_values(d, "survived", [0, 1]),
-        "accepted_gender": lambda d: Q.test_accepted_values(d, "gender", ["male", "female"]),
-        "not_null_fare": lambda d: Q.test_not_null(d, "fare_gbp"),
-        "accepted_port": lambda d: Q.test_accepted_values(d, "embarkation_code", ["C", "Q", "S"]),
-    })(lambda raw_passengers: stg_passengers(raw_passengers))
-    p.model("int_passengers_enriched", ["stg_passengers"], tests={
-        "accepted_age_group": lambda d: Q.test_accepted_values(
-            d, "age_group", [v for _, v in AGE_GROUPS] + [AGE_TOP]),
-        "accepted_fare_tier": lambda d: Q.test_accepted_values(
-            d, "fare_tier", [v for _, v in FARE_TIERS] + [FARE_TOP]),
-    })(lambda stg_passengers: int_passengers_enriched(stg_passengers))
+    p.model("stg_passengers", ["raw_passengers"], tests=column_tests({
+        "passenger_id": ["unique", "not_null"],
+        "passenger_class": ["not_null", [1, 2, 3]],
+        "survived": ["not_null", [0, 1]],
+        "gender": ["not_null", ["male", "female"]],
+        "fare_gbp": ["not_null"],
+        "embarkation_code": [["C", "Q", "S"]],
+    }))(lambda raw_passengers: stg_passengers(raw_passengers))
+    p.model("int_passengers_enriched", ["stg_passengers"], tests=column_tests({
+        "passenger_id": ["unique", "not_null"],
+        "age_group": [[v for _, v in AGE_GROUPS] + [AGE_TOP]],
+        "fare_tier": [[v for _, v in FARE_TIERS] + [FARE_TOP]],
+    }))(lambda stg_passengers: int_passengers_enriched(stg_passengers))
     mat = "table" if target_dir else "view"
     p.model("fct_survival_by_class", ["int_passengers_enriched"], materialize=mat, tests={
+        **column_tests({"passenger_class": ["unique", "not_null"], "survival_rate_pct": ["not_null"],
+                        "total_passengers": ["not_null"]}),
         "rate_bounds": lambda d: Q.test_bounds(d, "survival_rate_pct", 0, 100),
     })(lambda int_passengers_enriched: fct_survival_by_class(int_passengers_enriched))
-    p.model("fct_survival_by_demographics", ["int_passengers_enriched"], materialize=mat)(
+    p.model("fct_survival_by_demographics", ["int_passengers_enriched"], materialize=mat, tests=column_tests({
+        "dimension": ["not_null", ["gender", "age_group", "fare_tier"]],
+        **{c: ["not_null"] for c in ("segment", "total", "survived", "survival_rate_pct")},
+    }))(
         lambda int_passengers_enriched: fct_survival_by_demographics(int_passengers_enriched))
     p.model("reconcile", ["raw_passengers", "fct_survival_by_class"])(
         lambda raw_passengers, fct_survival_by_class: Q.reconcile(

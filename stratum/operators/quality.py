@@ -62,6 +62,16 @@ def gate(verdict_rows: DataFrame) -> str:
     return "dq_warning" if any(not r["passed"] for r in rows) else "success"
 
 
+def gate_status(verdict_rows: DataFrame) -> DataFrame:
+    """The gate's outcome per table as rows: failed, dq_warning or success (D-3, D-4)."""
+    bad = ~F.coalesce(F.col("passed"), F.lit(False))
+    return verdict_rows.groupBy("table_name").agg(
+        F.count_if(bad & (F.col("severity") == "error")).alias("n_errors"),
+        F.count_if(bad & (F.col("severity") != "error")).alias("n_warnings")).withColumn(
+        "status", F.when(F.col("n_errors") > 0, "failed").when(F.col("n_warnings") > 0, "dq_warning")
+        .otherwise("success"))
+
+
 # --------------------------------------------------------------- row tests (D-6..D-12)
 
 def test_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,6 +119,11 @@ def row_count_at_least(df: DataFrame, n: int) -> bool:
     return df.limit(n).count() >= n
 
 
+def row_guard(df: DataFrame, n: int, table: str) -> DataFrame:
+    """The minimum row guard as one row; reads no more than ``n`` rows a task."""
+    return df.limit(n).agg(F.lit(table).alias("table_name"), (F.count(F.lit(1)) >= n).alias("passed"))
+
+
 def volume_class(n_rows: Column, small: int = 500) -> Column:
     """empty / small / full (D-14)."""
     return (F.when(n_rows == 0, F.lit("empty"))

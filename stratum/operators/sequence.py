@@ -232,6 +232,30 @@ def sequence_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return _strip(out, [*vals, *[f"_c{v}" for v in vals]])
 
 
+def running_range(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  running: Mapping[str, Column], num_partitions: int | None = None) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY keys ORDER BY order)`` with the default RANGE frame.
+
+    Rows that tie on ``order`` are peers and share one sum, so values are summed per
+    (keys, order) first, combined in their tasks; the running sum is taken over those and
+    joined back to the rows, where adaptive execution splits a hot peer group. ``order``
+    need not be total.
+    """
+    at = [*keys, *order]
+    vals = {f"_t{i}": c for i, c in enumerate(running.values())}
+    base = df.select("*", *[c.alias(n) for n, c in vals.items()])
+    totals = base.groupBy(*at).agg(*[F.sum(n).alias(n) for n in vals])
+    summed = sequence_window(totals, keys, order, running={r: F.col(n) for r, n in zip(running, vals)},
+                             num_partitions=num_partitions)
+    named = {c: f"_at{i}" for i, c in enumerate(at)}
+    summed = summed.select(*[F.col(c).alias(n) for c, n in named.items()], *running)
+    same = None
+    for c, n in named.items():
+        eq = F.col(c).eqNullSafe(F.col(n))
+        same = eq if same is None else same & eq
+    return df.join(summed, same).select(*df.columns, *running)
+
+
 def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
              value: str, offset: int = 1, lag_name: str = "prev_value",
              lead_name: str = "next_value", num_partitions: int | None = None) -> DataFrame:

@@ -243,12 +243,16 @@ SELECT * FROM (
 def top_ranked_groups(spark, base):
     """Customers with >= 3 orders ranked by open orders within their segment, rank <= 3 with ties (W-11)."""
     t = _t(spark, base)
-    j = t.orders.join(t.customer.select("c_custkey", "c_name", "c_mktsegment"),
-                      F.col("o_custkey") == F.col("c_custkey"))
+    # orders are summed by customer before the join, which then moves a row per customer
+    per = t.orders.groupBy("o_custkey").agg(
+        _all().alias("_n"), flag_sum(~_fin()).alias("_open"),
+        F.sum(cents("o_totalprice")).alias("_cents"), F.count("o_totalprice").alias("_priced"))
+    j = per.join(t.customer.select("c_custkey", "c_name", "c_mktsegment"),
+                 F.col("o_custkey") == F.col("c_custkey"))
     stats = A.summarise(j, ["c_name", "c_mktsegment"], {
-        "total_orders": _all(),
-        "open_orders": flag_sum(~_fin()),
-        "avg_price": rounded(exact_mean("o_totalprice"), 2),
+        "total_orders": F.sum("_n"),
+        "open_orders": F.sum("_open"),
+        "avg_price": rounded(F.try_divide(from_cents(F.sum("_cents")), F.sum("_priced").cast("double")), 2),
     }, having=F.col("total_orders") >= 3)
     return W.top_n_per_group(stats, ["c_mktsegment"], [F.col("open_orders").desc()], 3,
                              rank_name="rank_in_segment")
@@ -585,6 +589,31 @@ def running_moving(spark, base):
                       rounded(F.col("_m"), 2).alias("moving_avg_3"))
 
 
+@query("running_range", """
+SELECT event_id, event_type, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_date, value,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE))
+            AS DOUBLE) AS running_total
+FROM events""")
+def running_range(spark, base):
+    """Running total per event type by day, in which the events of a day share one sum (W-7, RANGE frame)."""
+    e = _t(spark, base).events.select(
+        "event_id", "event_type", F.to_date("ts").cast("timestamp_ntz").alias("event_date"), "value")
+    out = S.running_range(e, ["event_type"], ["event_date"], {"_run": cents("value")})
+    return out.select("event_id", "event_type", "event_date", "value",
+                      from_cents(F.col("_run")).alias("running_total"))
+
+
+@query("lag_lead_global", """
+SELECT o_orderkey, o_orderdate, o_totalprice,
+       LAG(o_totalprice) OVER w AS prev_price, LEAD(o_totalprice) OVER w AS next_price
+FROM orders WINDOW w AS (ORDER BY o_orderdate, o_orderkey)""")
+def lag_lead_global(spark, base):
+    """Previous and next price over the whole orders table by date, distributed (W-4, W-5, W-12)."""
+    o_ = _t(spark, base).orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    return S.lag_lead(o_, [], ["o_orderdate", "o_orderkey"], "o_totalprice",
+                      lag_name="prev_price", lead_name="next_price")
+
+
 @query("ntile_global", """
 SELECT c_custkey, c_acctbal, CAST(NTILE(4) OVER (ORDER BY c_acctbal, c_custkey) AS INTEGER) AS balance_quartile
 FROM customer""")
@@ -755,6 +784,27 @@ def dq_verdicts(spark, base):
     return Q.verdicts(lineitem_metrics(_t(spark, base).lineitem), LINEITEM_CHECKS, "lineitem")
 
 
+@query("dq_status", f"""
+WITH m AS ({LINEITEM_METRICS_SQL}), v AS (""" + " UNION ALL ".join(
+    f"SELECT {c.rule} AS passed, '{c.severity}' AS severity FROM m" for c in LINEITEM_CHECKS) + """),
+n AS (SELECT COUNT(*) FILTER (WHERE NOT passed AND severity = 'error') AS n_errors,
+             COUNT(*) FILTER (WHERE NOT passed AND severity = 'warn') AS n_warnings FROM v)
+SELECT 'lineitem' AS table_name, n_errors, n_warnings,
+       CASE WHEN n_errors > 0 THEN 'failed' WHEN n_warnings > 0 THEN 'dq_warning' ELSE 'success' END AS status
+FROM n""")
+def dq_status(spark, base):
+    """Gate outcome of the lineitem checks: failed, dq_warning or success (D-3, D-4)."""
+    return Q.gate_status(Q.verdicts(lineitem_metrics(_t(spark, base).lineitem), LINEITEM_CHECKS, "lineitem"))
+
+
+@query("min_rows", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) >= 100 AS passed FROM {name}" for name in ("orders", "region")))
+def min_rows(spark, base):
+    """Minimum row guard of 100 rows without a full count (D-13)."""
+    t = _t(spark, base)
+    return Q.row_guard(t.orders, 100, "orders").unionByName(Q.row_guard(t.region, 100, "region"))
+
+
 @query("duplicate_count", """
 SELECT COUNT(*) AS total_rows, COUNT(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
        COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows FROM lineitem""")
@@ -914,7 +964,7 @@ def upsert_latest(spark, base):
     changes = (e.filter(F.col("event_type") == "error")
                 .select("event_id", "user_id", "event_type", (F.col("value") + F.lit(1.0)).alias("value"),
                         (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("updated_at")))
-    return upsert(current, changes, ["event_id"], ["updated_at"])
+    return upsert(current, changes, ["event_id"], ["updated_at"], current_unique=True)
 
 
 @query("late_window", f"""

@@ -10,12 +10,15 @@ tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import sized_broadcast
 from ..operators.windows import keep_latest
+from ..session import ensure_checkpoint_dir
 
 
 def _file_name(df: DataFrame):
@@ -105,9 +108,27 @@ def affected_partitions(df: DataFrame, ts_col: str, part_col: str, lookback: str
 
 
 def upsert_latest(current: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  version: Sequence[str]) -> DataFrame:
-    """Union the change set into the table; the newest version per key wins (K-11)."""
-    return keep_latest(current.unionByName(changes), keys, version)
+                  version: Sequence[str], current_unique: bool = False) -> DataFrame:
+    """Union the change set into the table; the newest version per key wins (K-11).
+
+    With ``current_unique`` (the table holds one row per key, as every earlier upsert leaves
+    it) only rows whose key the change set names are compared and shuffled. The change
+    set's keys are checkpointed and counted; within the broadcast bound they are broadcast
+    and the rest of the table passes through untouched, so shuffled bytes follow the change
+    set and not the table. Beyond the bound both sides are shuffled by key.
+    """
+    if not current_unique:
+        return keep_latest(current.unionByName(changes), keys, version)
+    ensure_checkpoint_dir(current.sparkSession)
+    named = sized_broadcast(
+        changes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct().checkpoint())
+    same = None
+    for i, k in enumerate(keys):  # a NULL key is a key of its own, as in the window
+        eq = F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        same = eq if same is None else same & eq
+    untouched = current.join(named, same, "left_anti")
+    touched = current.join(named, same, "left_semi")
+    return keep_latest(touched.unionByName(changes), keys, version).unionByName(untouched)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -116,46 +137,87 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _previous(spark: SparkSession, target: str) -> list:
+    """Paths of set-aside versions of ``target``, the newest first."""
+    fs, pattern, _ = _fs(spark, target.rstrip("/") + "._previous-*")
+    found = sorted(fs.globStatus(pattern) or [], key=lambda st: st.getModificationTime(), reverse=True)
+    return [st.getPath() for st in found]
+
+
+def published_path(spark: SparkSession, target: str) -> str:
+    """Where the current complete version of a published table is.
+
+    ``target`` itself, or the version set aside by a publish that stopped between its two
+    renames.
+    """
+    fs, tgt, _ = _fs(spark, target)
+    aside = [] if fs.exists(tgt) else _previous(spark, target)
+    return aside[0].toString() if aside else target
+
+
 def publish(df: DataFrame, target: str, partition_cols: Sequence[str] = (),
             validate=None) -> int:
     """All-or-nothing table replacement (G-6): stage, validate, swap.
 
-    The row count is observed during the staging write itself (no second
-    pass). ``validate(staged_df, rows)`` may raise to abort; the target is
-    untouched in that case. Returns the number of rows published.
+    Staging and set-aside folders have names of their own, so writers do not share them. A
+    complete version exists at every moment: ``published_path`` finds it, and the next
+    publish first puts back a version that a stopped one left aside. The row count is
+    observed during the staging write (no second pass). ``validate(staged_df, rows)`` may
+    raise to abort; the target is untouched in that case. Returns the rows published.
     """
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    staging = target.rstrip("/") + "._staging"
-    obs = Observation("publish")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite")
+    base, run = target.rstrip("/"), uuid.uuid4().hex
+    fs, tgt, jvm = _fs(spark, target)
+    if not fs.exists(tgt):
+        for aside in _previous(spark, target)[:1]:
+            fs.rename(aside, tgt)
+    obs = Observation(f"publish-{run}")
+    staged = f"{base}._staging-{run}"
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_cols:
-        observed = observed.repartition(*[F.col(c) for c in partition_cols])
-        writer = observed.write.mode("overwrite").partitionBy(*partition_cols)
-    writer.parquet(staging)
+        writer = writer.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
+    else:
+        writer = writer.write
+    writer.parquet(staged)
     rows = int(obs.get["rows"])
     if validate is not None:
-        validate(spark.read.parquet(staging), rows)
-    fs, tgt, jvm = _fs(spark, target)
-    stg = jvm.org.apache.hadoop.fs.Path(staging)
-    old = jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + "._previous")
-    if fs.exists(old):
-        fs.delete(old, True)
+        validate(spark.read.parquet(staged), rows)
+    stg, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, f"{base}._previous-{run}"))
     if fs.exists(tgt):
         fs.rename(tgt, old)
     if not fs.rename(stg, tgt):
         if fs.exists(old):
             fs.rename(old, tgt)
-        raise RuntimeError(f"could not publish {staging} to {target}")
-    if fs.exists(old):
-        fs.delete(old, True)
+        raise RuntimeError(f"could not publish {staged} to {target}")
+    for aside in _previous(spark, target):
+        fs.delete(aside, True)
     return rows
 
 
+def rebuild_if_changed(source: DataFrame, key: str, ts: str, state: str, build) -> bool:
+    """Call ``build()`` only when the source's checksum differs from the recorded one (D-15).
+
+    The one-row checksum is published to ``state`` after the build, so a failed build is
+    repeated by the next run. Returns whether it was built.
+    """
+    from ..operators.quality import checksum, rebuild_needed
+
+    spark = source.sparkSession
+    measured = checksum(source, key, ts)
+    now = spark.createDataFrame(measured.collect(), measured.schema)
+    path = published_path(spark, state)
+    fs, p, _ = _fs(spark, path)
+    if not rebuild_needed(now, spark.read.parquet(path) if fs.exists(p) else None):
+        return False
+    build()
+    publish(now, state)
+    return True
+
+
 def layer_report(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
-    """Rows, Parquet bytes and file count per layer (K-8), computed by Spark.
+    """Rows, Parquet bytes, files and folders (partitions) per layer (K-8), computed by Spark.
 
     Sizes come from the scan's ``_metadata`` (one row per file after a
     distinct), so no driver-side directory walk is needed.
@@ -168,17 +230,40 @@ def layer_report(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
         row = per_file.agg(F.lit(name).alias("layer"), F.lit(path).alias("path"),
                            F.sum("_rows").cast("long").alias("n_rows"),
                            F.count(F.lit(1)).alias("n_files"),
+                           F.count_distinct(F.regexp_replace("file_path", "/[^/]*$", "")).alias("n_folders"),
                            F.sum("file_size").cast("long").alias("bytes"))
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def enforced(df: DataFrame, not_null: Sequence[str] = (),
+             defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """NULLs of ``defaults`` columns filled, and a NULL left in a ``not_null`` column fails the job (K-13).
+
+    Both are part of the projection that is written, so there is no pass of its own.
+    """
+    defaults = dict(defaults or {})
+    unknown = {*not_null, *defaults} - set(df.columns)
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+
+    def column(f):
+        c = F.col(f.name)
+        if f.name in defaults:
+            c = F.coalesce(c, F.lit(defaults[f.name]).cast(f.dataType))
+        if f.name in not_null:
+            c = F.coalesce(c, F.raise_error(f"NULL in column {f.name}").cast(f.dataType))
+        return c.alias(f.name)
+    return df.select(*[column(f) for f in df.schema.fields])
+
+
 def load_table(df: DataFrame, name: str, mode: str = "overwrite",
-               partition_cols: Sequence[str] = ()) -> None:
-    """Catalog table load, replace or append (K-3)."""
+               partition_cols: Sequence[str] = (), not_null: Sequence[str] = (),
+               defaults: Mapping[str, object] | None = None) -> None:
+    """Catalog table load, replace or append (K-3), under NOT NULL and default rules (K-13)."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    w = df.write.mode(mode).format("parquet")
+    w = enforced(df, not_null, defaults).write.mode(mode).format("parquet")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.saveAsTable(name)
@@ -237,7 +322,8 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
     join without an Exchange on either side: the shuffle is paid once, at
     write time, instead of in every query that joins them.
     """
-    (df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    # one task per bucket, so that a bucket is one file and not one per task
+    (df.repartition(buckets, *keys).write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
        .saveAsTable(name))
 
 

@@ -10,17 +10,36 @@ rows; all test counts of a run come back in one small frame.
 from __future__ import annotations
 
 import graphlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quality import test_unique
 from .layers import publish
 
 TestFn = Callable[[DataFrame], DataFrame]
 
 
+def column_tests(rules: Mapping[str, Sequence]) -> dict[str, TestFn | Column]:
+    """Declared tests by column: ``"unique"``, ``"not_null"``, or a list of accepted values.
+
+    Row conditions come back as columns (true on a failing row), which a run counts in one
+    aggregate per model; uniqueness needs a grouping of its own.
+    """
+    out: dict[str, TestFn | Column] = {}
+    for name, tests in rules.items():
+        for t in tests:
+            if t == "unique":
+                out[f"unique_{name}"] = lambda d, name=name: test_unique(d.filter(F.col(name).isNotNull()), [name])
+            elif t == "not_null":
+                out[f"not_null_{name}"] = F.col(name).isNull()
+            else:
+                out[f"accepted_{name}"] = F.col(name).isNotNull() & ~F.col(name).isin(list(t))
+    return out
+
+
 @dataclass
 class Model:
     name: str
@@ -28,7 +47,7 @@ class Model:
     deps: tuple[str, ...]
     materialize: str = "view"
     partition_by: tuple[str, ...] = ()
-    tests: dict[str, TestFn] = field(default_factory=dict)
+    tests: dict[str, TestFn | Column] = field(default_factory=dict)
 
 
 class Project:
@@ -46,7 +65,7 @@ class Project:
         self.sources[name] = loader
 
     def model(self, name: str, deps: Sequence[str] = (), materialize: str = "view",
-              partition_by: Sequence[str] = (), tests: dict[str, TestFn] | None = None):
+              partition_by: Sequence[str] = (), tests: dict[str, TestFn | Column] | None = None):
         if materialize not in ("view", "table"):
             raise ValueError("materialize must be 'view' or 'table'")
 
@@ -58,7 +77,7 @@ class Project:
             return fn
         return deco
 
-    def add_test(self, model: str, name: str, fn: TestFn) -> None:
+    def add_test(self, model: str, name: str, fn: TestFn | Column) -> None:
         self.models[model].tests[name] = fn
 
     # ------------------------------------------------------------ execution
@@ -89,10 +108,20 @@ class Project:
         return self.frames
 
     def test(self) -> DataFrame:
-        """(model, test_name, failures) for every test, as one frame."""
+        """(model, test_name, failures) for every test, as one frame.
+
+        The row conditions of a model are counted in one aggregate, hence one scan.
+        """
         out = None
         for m in self.models.values():
+            rows = {n: c for n, c in m.tests.items() if isinstance(c, Column)}
+            if rows:
+                counts = self.frames[m.name].agg(*[F.count_if(c).alias(n) for n, c in rows.items()]).unpivot(
+                    [], list(rows), "test_name", "failures").select(F.lit(m.name).alias("model"), "test_name", "failures")
+                out = counts if out is None else out.unionByName(counts)
             for tname, fn in m.tests.items():
+                if tname in rows:
+                    continue
                 row = fn(self.frames[m.name]).agg(F.count(F.lit(1)).alias("failures")).select(
                     F.lit(m.name).alias("model"), F.lit(tname).alias("test_name"), "failures")
                 out = row if out is None else out.unionByName(row)

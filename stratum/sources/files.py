@@ -136,3 +136,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
                   .option("lowerBound", str(lower)).option("upperBound", str(upper))
                   .option("numPartitions", str(num_partitions)))
     return reader.load()
+
+
+def newest_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The ``n`` last files below ``path`` by name (G-8), such as logs named by their time.
+
+    Only names are read; ``n`` bounds what reaches the driver.
+    """
+    names = spark.read.format("binaryFile").load(path).select("path")
+    last = names.orderBy(F.element_at(F.split("path", "/"), -1).desc(), "path").limit(n)
+    return [r["path"] for r in last.collect()]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 import re
 
 import pytest
@@ -149,6 +150,87 @@ def test_publish_is_all_or_nothing(spark, tmp_dir):
     assert rep["n_rows"] == 7 and rep["n_files"] >= 1 and rep["bytes"] > 0
 
 
+def test_a_stopped_publish_leaves_one_complete_version(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "gold")
+
+    def now():
+        return spark.read.parquet(layers.published_path(spark, target)).count()
+    layers.publish(spark.range(5), target)
+    spark.range(9).write.parquet(target + "._staging-dead")        # stopped before the swap
+    assert now() == 5
+    os.rename(target, target + "._previous-dead")                  # stopped between the renames
+    assert now() == 5
+    with pytest.raises(ValueError):                                # the next run puts it back first
+        layers.publish(spark.range(3), target, validate=_reject)
+    assert spark.read.parquet(target).count() == 5
+    spark.range(4).write.parquet(target + "._previous-old")        # stopped before the clean-up
+    assert now() == 5
+    assert layers.publish(spark.read.parquet(target).limit(2), target) == 2
+    assert now() == 2 and not [f for f in os.listdir(tmp_dir) if "_previous" in f]
+
+
+def _reject(df, rows):
+    raise ValueError("validation failed")
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_dir):
+    df = spark.range(400_000).select(F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("p"),
+                                     F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        layers.publish(df, os.path.join(tmp_dir, "t"), ["p"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    assert len([f for f in os.listdir(os.path.join(tmp_dir, "t", "p=0")) if f.endswith(".parquet")]) > 1
+
+
+def test_upsert_touches_only_named_keys(spark):
+    cols = "k long, v int, ver int"
+    current = spark.createDataFrame([(1, 10, 1), (2, 20, 5), (3, 30, 1), (None, 40, 1)], cols)
+    changes = spark.createDataFrame([(1, 11, 2), (1, 12, 3), (2, 21, 4), (4, 44, 1), (None, 41, 2)], cols)
+    slim, plain = [sorted(map(str, layers.upsert_latest(current, changes, ["k"], ["ver"], u).collect()))
+                   for u in (True, False)]
+    assert slim == plain and len(slim) == 5
+
+
+def test_writer_enforces_not_null_and_defaults(spark):
+    rows = spark.createDataFrame([("a", None), ("b", 2)], "id string, n int")
+    assert [r["n"] for r in layers.enforced(rows, ["id", "n"], {"n": 7}).orderBy("id").collect()] == [7, 2]
+    with pytest.raises(Exception, match="NULL in column n"):
+        layers.enforced(rows, ["n"]).collect()
+    with pytest.raises(ValueError):
+        layers.enforced(rows, ["missing"])
+
+
+def test_rebuild_only_when_the_source_changed(spark, tmp_dir):
+    state, built = os.path.join(tmp_dir, "state"), []
+    src = spark.createDataFrame([(1, 5, dt.datetime(2024, 1, 1))], "k long, v int, ts timestamp_ntz")
+    run = lambda df: layers.rebuild_if_changed(df, "k", "ts", state, lambda: built.append(1))
+    assert [run(src), run(src), run(src.withColumn("v", F.lit(6))), len(built)] == [True, False, True, 2]
+
+
+def test_newest_files_by_name(spark, tmp_dir):
+    for day in ("02", "10", "01"):
+        with open(os.path.join(tmp_dir, f"run_202401{day}.log"), "w") as f:
+            f.write("x")
+    got = files.newest_files(spark, tmp_dir, 2)
+    assert [os.path.basename(p) for p in got] == ["run_20240110.log", "run_20240102.log"]
+
+
+def test_look_back_window_off_utc(spark):
+    from stratum.plans import catalogue
+    from tests.oracle_check import compare, duck
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        assert not compare(catalogue.QUERIES["late_window"](spark, SF_SMALL), duck(SF_SMALL),
+                           catalogue.ORACLE["late_window"])
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+
+
 def test_audit_trail(spark, tmp_dir):
     log = audit.AuditLog(spark, os.path.join(tmp_dir, "audit"))
     with log.run("summary_refresh") as ctx:

@@ -129,6 +129,7 @@ def test_project_runs_models_and_tests(spark, passengers, tmp_dir):
     assert sum(r["total_passengers"] for r in by_class.values()) == 19
     failures = {(r["model"], r["test_name"]): r["failures"] for r in p.test().collect()}
     assert all(v == 0 for v in failures.values()), failures
+    assert len(failures) == 26
     demo = frames["fct_survival_by_demographics"].collect()
     dims = {(r["dimension"], r["segment"]): r["total"] for r in demo}
     assert dims[("gender", "female")] + dims[("gender", "male")] == 19
@@ -137,6 +138,31 @@ def test_project_runs_models_and_tests(spark, passengers, tmp_dir):
     assert os.path.isdir(os.path.join(tmp_dir, "fct_survival_by_class"))
 
 
+def test_project_tests_name_what_is_dirty(spark, passengers):
+    odd = passengers.withColumn("Survived", F.when(F.col("PassengerId") == 1, 2).when(
+        F.col("PassengerId") > 2, F.col("Survived")))
+    p = TI.project(spark, odd)
+    p.run()
+    failures = {(r["model"], r["test_name"]): r["failures"] for r in p.test().collect() if r["failures"]}
+    assert failures[("stg_passengers", "unique_passenger_id")] == 1
+    assert failures[("int_passengers_enriched", "unique_passenger_id")] == 1
+    assert failures[("stg_passengers", "not_null_survived")] == 1
+    assert failures[("stg_passengers", "accepted_survived")] == 1
+    assert set(failures) <= {("stg_passengers", "unique_passenger_id"), ("stg_passengers", "not_null_survived"),
+                             ("stg_passengers", "accepted_survived"), ("int_passengers_enriched", "unique_passenger_id")}
+
+
+def test_inspection_project_tests(spark, raw_inspections):
+    def failing(raw):
+        p = I.project(spark, raw)
+        p.run()
+        rows = p.test().collect()
+        assert len(rows) == 9
+        return {r["test_name"]: r["failures"] for r in rows if r["failures"]}
+    assert failing(W.dedup(raw_inspections, ["inspection_id"], ["inspection_date"])) == {}
+    assert failing(raw_inspections) == {"unique_inspection_id": 1}
+
+
 def test_rank_ties_keep_all(passengers):
     first = passengers.filter(F.col("Pclass") == 1)
     top = W.top_n_per_group(first, ["Pclass"], [F.col("Fare").desc()], 1, dense_name="dense")

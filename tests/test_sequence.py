@@ -122,3 +122,15 @@ def test_running_sum_over_null_values_across_partitions(spark):
     for parts in (1, 4, 12):
         got = S.sequence_window(df, ["k"], ["t"], running={"r": F.col("v")}, num_partitions=parts)
         assert _collect(got, ["id", "r"]) == _collect(expected, ["id", "r"])
+
+
+@settings(max_examples=5, deadline=None)
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 80), parts=st.integers(1, 9),
+       nulls=st.sampled_from([0.0, 0.5]))
+def test_running_range_shares_the_sum_among_peers(spark, seed, n, parts, nulls):
+    rows = [(k, t and t // 10, i, None if i % 5 == 0 else v) for k, t, i, v in _rows(seed, n, 3, 0.4, nulls)]
+    df = _frame(spark, rows)
+    expected = df.select("id", F.sum("v").over(Window.partitionBy("k").orderBy("t")).alias("r"))
+    got = S.running_range(df, ["k"], ["t"], {"r": F.col("v")}, num_partitions=parts)
+    assert got.columns == [*df.columns, "r"]
+    assert _collect(got, ["id", "r"]) == _collect(expected, ["id", "r"])
