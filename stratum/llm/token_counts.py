@@ -9,7 +9,9 @@ a word's last node is the word's. A node looks back along the vocabulary's rever
 pieces only, so a very long pre-token costs time in proportion to its length.
 
 Rows are counted where they lie, without a shuffle; the trie is dropped when it passes
-``MAX_NODES``, which bounds a worker's memory and changes no result.
+``MAX_NODES``, and pre-tokens of ``LONG_WORD`` characters or more, which share no prefix
+worth keeping, are cut by the same step in two flat arrays. Both bound a worker's memory
+and change no result.
 
 Defined results: null and empty texts have 0 tokens; equal scores prefer fewer pieces;
 bytes are pieces, so every text can be cut; repeated rows repeat their result, and other
@@ -20,7 +22,8 @@ from __future__ import annotations
 
 import base64
 import math
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +35,7 @@ from stratum.llm.batches import chunks
 from stratum.llm.bpe import split
 
 MAX_NODES = 600_000
+LONG_WORD = 50_000
 
 
 def piece_scores(raw: bytes) -> dict[bytes, float]:
@@ -42,13 +46,15 @@ def piece_scores(raw: bytes) -> dict[bytes, float]:
 
 
 class Terminals(dict):
-    """Counts at the words' last nodes; an unknown word is inserted first."""
+    """Counts at the words' last nodes; an unknown word is inserted first, a long one only cut."""
 
-    def __init__(self, insert: Callable[[str], int]):
+    def __init__(self, insert: Callable[[str], int], cut: Callable[[str], int], long_word: int):
         super().__init__()
-        self.insert = insert
+        self.insert, self.cut, self.long_word = insert, cut, long_word
 
     def __missing__(self, word: str) -> int:
+        if len(word) >= self.long_word:
+            return self.cut(word)
         n = self[word] = self.insert(word)
         return n
 
@@ -56,7 +62,8 @@ class Terminals(dict):
 class Trie:
     """Prefixes of the words seen so far, with the best cut of each."""
 
-    def __init__(self, scores: dict[bytes, float]):
+    def __init__(self, scores: dict[bytes, float], long_word: int = LONG_WORD):
+        self.long_word = long_word
         # reversed pieces: (node << 8 | byte) -> node, and the score where a piece ends
         self.back: dict[int, int] = {}
         self.back_score: list[float | None] = [None]
@@ -75,7 +82,7 @@ class Trie:
         self.children: dict[int, int] = {}
         self.score = [0.0]
         self.count = [0]
-        self.terminal = Terminals(self.insert)
+        self.terminal = Terminals(self.insert, self.cut, self.long_word)
 
     def insert(self, word: str) -> int:
         """Add a word; the number of pieces of its best cut."""
@@ -85,12 +92,26 @@ class Trie:
             key = path[-1] << 8 | byte
             node = self.children.get(key)
             if node is None:
-                node = self._grow(data, d, path)
-                self.children[key] = node
+                best, pieces = self._best(data, d, self.score, self.count, path)
+                node = self.children[key] = len(self.score)
+                self.score.append(best)
+                self.count.append(pieces)
             path.append(node)
         return self.count[path[-1]]
 
-    def _grow(self, data: bytes, d: int, path: list[int]) -> int:
+    def cut(self, word: str) -> int:
+        """The number of pieces of a word's best cut, without adding the word."""
+        data = word.encode("utf-8")
+        score, count, path = array("d", [0.0]), array("q", [0]), range(len(data) + 1)
+        for d in path[1:]:
+            best, pieces = self._best(data, d, score, count, path)
+            score.append(best)
+            count.append(pieces)
+        return count[-1]
+
+    def _best(self, data: bytes, d: int, score: Sequence[float], count: Sequence[int],
+              path: Sequence[int]) -> tuple[float, int]:
+        """Score and pieces of the best cut of the first ``d`` bytes; ``path[j]`` holds that of ``j``."""
         best, pieces, back = -math.inf, 0, 0
         for j in range(d - 1, -1, -1):
             back = self.back.get(back << 8 | data[j])
@@ -98,12 +119,10 @@ class Trie:
                 break
             piece = self.back_score[back]
             if piece is not None:
-                total, n = self.score[path[j]] + piece, self.count[path[j]] + 1
+                total, n = score[path[j]] + piece, count[path[j]] + 1
                 if total > best or total == best and n < pieces:
                     best, pieces = total, n
-        self.score.append(best)
-        self.count.append(pieces)
-        return len(self.score) - 1
+        return best, pieces
 
     def tokens(self, text: str) -> int:
         total = sum(map(self.terminal.__getitem__, split(text)))

@@ -103,6 +103,14 @@ def base_spans(text):
     return ",".join(f"{n}:{s}:{e}" for s, _, e, n in sorted(found))
 
 
+def test_long_words_are_cut_alike(spark):
+    scores = token_counts.piece_scores(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read())
+    shared, flat = token_counts.Trie(scores), token_counts.Trie(scores, long_word=1)
+    for text in list(texts_of(spark).values())[:20] + [t for t in EDGE if t] + ["x" * 60_000, "漢字" * 30_000]:
+        assert shared.tokens(text) == flat.tokens(text)
+    assert len(flat.score) == 1 and len(shared.score) < token_counts.MAX_NODES
+
+
 def test_secrets_are_the_base_matches(docs, spark):
     cases = spark.createDataFrame([(100, "secret=token: abcdefgh"), (101, "\U0001f600 token=api_key=abcdefgh PASSWORD: 'k-._/+='"),
                                    (102, "passwd=== token = = abcdefg " + "token=abcdef9 é" * 50)], "doc_id long, text string")
