@@ -51,6 +51,21 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
+def packed(f: np.ndarray) -> bytes:
+    """Buckets as 32-bit numbers, or as one bit per possible bucket where that is no longer."""
+    if 32 * len(f) < BUCKETS:
+        return f.tobytes()
+    bits = np.zeros(BUCKETS, bool)
+    bits[f] = True
+    return np.packbits(bits).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if 8 * len(data) < BUCKETS:
+        return np.frombuffer(data, np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8))).astype(np.int32)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights by bucket (ratio included), squared ratios for a text's length, intercept."""
@@ -132,20 +147,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     @F.pandas_udf("binary")
     def buckets(t: pd.Series) -> pd.Series:
-        def pack(x: str | None) -> bytes:
-            f = features(x)
-            if 32 * len(f) <= BUCKETS:
-                return f.tobytes()
-            bits = np.zeros(BUCKETS, bool)
-            bits[f] = True
-            return np.packbits(bits).tobytes()
-        return t.map(pack)
+        return t.map(lambda x: packed(features(x)))
 
     # at most 2 * per_class rows of BUCKETS / 8 bytes
     got = texts.select("y", buckets("t").alias("f")).toPandas()
-    full = BUCKETS // 8
-    rows = [np.frombuffer(f, np.int32) if len(f) < full else
-            np.flatnonzero(np.unpackbits(np.frombuffer(f, np.uint8))).astype(np.int32) for f in got["f"]]
+    rows = [unpacked(f) for f in got["f"]]
     order = np.argsort(got["y"].to_numpy(), kind="stable")
     return fit([rows[i] for i in order], got["y"].to_numpy()[order])
 
