@@ -65,11 +65,14 @@ class Neighbours:
         alive = self.at - self.seen <= self.window
         x0, ids0, seen0 = self.x[alive], self.ids[alive], self.seen[alive]
         both, n = np.concatenate([x0, x]), len(x0)
-        cos = both @ x.T
-        a, b = np.nonzero(cos >= self.cosine - ROUNDING)
-        a, b = a[a < b + n], b[a < b + n]
-        exact = np.einsum("ij,ij->i", both[a], x[b]) >= self.cosine
-        a, b = a[exact], b[exact]
+        found = []
+        for k in range(0, len(both), BLOCK):  # a long run of partners is met block by block
+            part = both[k:k + BLOCK]
+            a, b = np.nonzero(part @ x.T >= self.cosine - ROUNDING)
+            a, b = a[a + k < b + n], b[a + k < b + n]
+            exact = np.einsum("ij,ij->i", part[a], x[b]) >= self.cosine
+            found.append((a[exact] + k, b[exact]))
+        a, b = (np.concatenate(f) for f in zip(*found))
         ids_all = np.concatenate([ids0, ids])
         seen = np.concatenate([seen0, self.at + np.arange(len(x))])
         np.maximum.at(seen, a, self.at + b)
