@@ -9,7 +9,8 @@ small member that holds its last four bytes.
 Reading. The files' lengths are listed by Spark and cut into ranges; a task looks in its
 range for the gzip magic, takes a place for a record only if it decodes to a WARC header,
 and then owns that record, reading past the end of its range as needed. Ranges are read
-by ``pyarrow.fs``, piece by piece, so memory follows the longest record.
+by ``pyarrow.fs`` through one buffer per file, so a small record costs no read of its own,
+and memory follows the longest record.
 
 Defined results: null payloads are empty; a null page id or URL is left out of the record;
 payloads below ``REVISIT_BYTES`` are never revisits; of equal payloads the rows with the
@@ -36,6 +37,7 @@ REVISIT_BYTES = 100
 MAGIC = b"\x1f\x8b\x08"
 RANGE_BYTES = 32 << 20
 READ_BYTES = 1 << 20
+STEP_BYTES = 1 << 14
 TAIL = b"\r\n\r\n"
 LARGE = 1 << 24
 # fixed values of the format
@@ -116,13 +118,29 @@ def _open(path: str):
     return store.open_input_file(name)
 
 
+class Buffered:
+    """Reads of a file through a buffer of ``READ_BYTES`` that follows the reader."""
+
+    def __init__(self, source, size: int):
+        self.source, self.size = source, size
+        self.start, self.data = 0, b""
+
+    def read_at(self, n: int, at: int) -> bytes:
+        """Up to ``n`` bytes from ``at``; enough to hold the magic, unless the file ends."""
+        skip = at - self.start
+        if skip < 0 or len(self.data) - skip < min(len(MAGIC), self.size - at):
+            self.data = self.source.read_at(min(READ_BYTES, self.size - at), at)
+            self.start, skip = at, 0
+        return self.data[skip:skip + n]
+
+
 def _decode(source, at: int, size: int) -> tuple[bytes, int]:
     """Content of the gzip member at ``at`` and the place behind it; zlib.error if none begins there."""
     unpack, out = zlib.decompressobj(31), []
     while not unpack.eof:
         if at >= size:
             raise zlib.error("cut member")
-        data = source.read_at(min(READ_BYTES, size - at), at)
+        data = source.read_at(STEP_BYTES, at)
         out.append(unpack.decompress(data))
         if len(out) == 1 and out[0] and not b"WARC/".startswith(out[0][:5]) and out[0][:4] != TAIL:
             raise zlib.error("no record")
@@ -160,9 +178,9 @@ def _record_at(source, at: int, size: int) -> tuple[dict[str, str], bytes, int]
 
 def records_in(source, size: int, start: int, end: int) -> Iterator[tuple[dict[str, str], bytes]]:
     """Records that begin in [start, end)."""
-    at = start
+    source, at = Buffered(source, size), start
     while at < end:
-        window = source.read_at(min(READ_BYTES, size - at), at)
+        window = source.read_at(STEP_BYTES, at)
         hit = window.find(MAGIC)
         if hit < 0 or at + hit >= end:
             # the magic may straddle two windows
