@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.text import let, whole
+from stratum.llm.text import fold_list, let, whole
 
 MIN_OWNERS = 3
 PLACEHOLDER = "[SECRET]"
@@ -66,17 +66,15 @@ def _spans_of(text: Column, rank: int, kind: Kind) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
 
     def walk(parts: Column) -> Column:
-        def step(acc: Column, k: Column) -> Column:
-            start = acc["at"] + F.length(F.get(parts["gaps"], k))
+        def step(at: Column, k: Column) -> tuple[Column, Column]:
+            start = at + F.length(F.get(parts["gaps"], k))
             end = start + F.length(F.get(parts["found"], k))
             value = F.get(parts["values"], k)
             span = F.struct(start.alias("start"), F.lit(rank).alias("kind"), end.alias("end"),
                             F.sha2(value, 256).alias("hash"), _example(value).alias("example"))
-            kept = F.when(F.length(value) >= kind.least, F.array(span)).otherwise(none)
-            return F.struct(end.alias("at"), F.concat(acc["out"], kept).alias("out"))
+            return end, F.when(F.length(value) >= kind.least, F.array(span)).otherwise(none)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(parts["found"]) - 1),
-                           F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+        return fold_list(F.size(parts["found"]), F.lit(0), step, SPAN)["out"]
 
     parts = F.struct(F.split(text, kind.pattern, -1).alias("gaps"),
                      F.regexp_extract_all(text, pattern, 0).alias("found"),
@@ -147,19 +145,18 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ow
 
 def _covered(live: Column) -> Column:
     """Sorted spans merged into disjoint (start, end)."""
-    kind = "array<struct<start:int,end:int>>"
-    none = F.array().cast(kind)
-
-    def step(acc: Column, s: Column) -> Column:
-        own = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        last = F.struct(acc["last"]["start"].alias("start"), F.greatest(acc["last"]["end"], s["end"]).alias("end"))
-        apart = acc["last"].isNull() | (s["start"] > acc["last"]["end"])
-        done = F.when(apart & acc["last"].isNotNull(), F.concat(acc["out"], F.array(acc["last"]))).otherwise(acc["out"])
-        return F.struct(done.alias("out"), F.when(apart, own).otherwise(last).alias("last"))
-
-    return F.aggregate(
-        live, F.struct(none.alias("out"), F.lit(None).cast("struct<start:int,end:int>").alias("last")), step,
-        lambda acc: F.when(acc["last"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["last"]))))
+    kind = "struct<start:int,end:int>"
+    none = F.array().cast(f"array<{kind}>")
+
+    def step(last: Column, k: Column) -> tuple[Column, Column]:
+        own = F.struct(F.get(live, k)["start"].alias("start"), F.get(live, k)["end"].alias("end"))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], own["end"]).alias("end"))
+        apart = last.isNull() | (own["start"] > last["end"])
+        return (F.when(apart, own).otherwise(longer),
+                F.when(apart & last.isNotNull(), F.array(last)).otherwise(none))
+
+    merged = fold_list(F.size(live), F.lit(None).cast(kind), step, kind)
+    return let(merged, lambda m: F.when(m["at"].isNull(), m["out"]).otherwise(F.concat(m["out"], F.array(m["at"]))))
 
 
 def redacted(text: Column, live: Column, placeholder: str = PLACEHOLDER) -> Column:
