@@ -27,6 +27,7 @@ from stratum.llm import (
     warc,
 )
 from stratum.llm import queries as Q
+from stratum.llm.text import FOLD_BLOCK, fold_list
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.oracle_check import compare, duck
 
@@ -125,6 +126,21 @@ def test_secrets_are_the_base_matches(docs, spark):
     assert "abcdef12" not in clean[8] and clean[5] == EDGE[5] and clean[0] is None
 
 
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"token=ab{i}xyzw1q" for i in range(1000)) + " e"
+    one = spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string")
+    row = secret_scan.find_secrets(one).first()
+    assert row["n_assign"] == row["n_live"] == 1000 and row["spans"] == row["live_spans"] == base_spans(text)
+    assert secret_scan.redact(one).first()["text"] == "[SECRET] " * 1000 + "e"
+
+
+def test_fold_list_over_block_edges(spark):
+    out = fold_list(F.col("n"), F.lit(0), lambda at, k: (at + k, F.array(at)), "int")
+    for n in (0, 1, FOLD_BLOCK - 1, FOLD_BLOCK, FOLD_BLOCK + 1, 3 * FOLD_BLOCK):
+        got = spark.createDataFrame([(n,)], "n int").select(out.alias("o")).first()["o"]
+        assert got["out"] == [k * (k - 1) // 2 for k in range(n)] and got["at"] == n * (n - 1) // 2
+
+
 def test_copied_secrets_are_examples(spark):
     rows = [(i, "token=q7w8e9r0t1", f"owner{i % 4}", "en") for i in range(8)] + [(9, "token=z1x2c3v4b5", "owner1", "en")]
     got = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))
@@ -259,6 +275,12 @@ def test_edited_license_is_found(spark):
     assert {r["doc_id"]: r["n_licenses"] for r in rows.collect()} == {1: 1, 2: 0}
 
 
+@pytest.mark.parametrize("n", [0, 1, toxicity.BUCKETS // 32 - 1, toxicity.BUCKETS // 32, toxicity.BUCKETS])
+def test_features_of_any_number_are_packed(n):
+    f = np.arange(n, dtype=np.int32)
+    assert np.array_equal(toxicity.unpacked(toxicity.packed(f)), f)
+
+
 def test_toxicity_on_held_out_labels(docs, spark):
     base = SF_ORACLE
     d, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
@@ -270,6 +292,37 @@ def test_toxicity_on_held_out_labels(docs, spark):
     assert toxicity.keep_clean(docs, labels.limit(0)).columns == docs.columns
 
 
+def test_a_run_longer_than_a_block_keeps_all_links():
+    rnd = np.random.default_rng(5)
+    n, size = 3 * embedding_dedup.BLOCK, embedding_dedup.BLOCK
+    x = embedding_dedup.unit(np.ones(16) + 0.01 * rnd.standard_normal((n, 16)))
+    near = embedding_dedup.Neighbours(0.9, 8)
+    found = [near.add(x[k:k + size], np.arange(k, k + size)) for k in range(0, n, size)]
+    pairs = {(min(p), max(p)) for a, b in found for p in zip(a.tolist(), b.tolist())}
+    assert len(pairs) == n * (n - 1) // 2
+
+
+def test_reads_come_from_one_buffer():
+    class Counted:
+        data, calls = random.Random(3).randbytes(3 * warc.READ_BYTES), 0
+
+        def read_at(self, n, at):
+            self.calls += 1
+            return self.data[at:at + n]
+
+    source, at, got = Counted(), 0, []
+    buffered = warc.Buffered(source, len(source.data))
+    while at < len(source.data):
+        got.append(buffered.read_at(1000, at))
+        at += len(got[-1])
+    assert b"".join(got) == source.data and source.calls <= 4
+    # the magic is never cut by the buffer's end
+    edge = warc.READ_BYTES - 2
+    buffered = warc.Buffered(source, len(source.data))
+    buffered.read_at(10, 0)
+    assert buffered.read_at(10, edge) == source.data[edge:edge + 10]
+
+
 def test_embedding_links_reach_brute_force(spark):
     table = spark.read.parquet(f"{SF_ORACLE}/embeddings.parquet")
     rows = table.orderBy("vec_id").collect()
