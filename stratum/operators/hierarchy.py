@@ -16,24 +16,26 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .joins import BROADCAST_MAX_ROWS
+from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_bytes
 
 
 CYCLE_CHECK_DEPTH = 256
 
 
-def _materialise(df: DataFrame, count: Column | None = None) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` and aggregate ``count`` (default: rows) in the same job."""
+def _materialise(df: DataFrame, which: Column | None = None) -> tuple[DataFrame, int, int]:
+    """Checkpoint ``df``; the number and bytes of its rows (or of ``which``) come from the same job."""
     obs = Observation()
-    metric = count if count is not None else F.count(F.lit(1))
-    done = df.observe(obs, metric.alias("n")).checkpoint(eager=True)
-    return done, int(obs.get["n"] or 0)
+    of = which if which is not None else F.lit(True)
+    done = df.observe(obs, F.count_if(of).alias("n"),
+                      F.sum(F.when(of, row_bytes(df.schema))).alias("bytes")).checkpoint(eager=True)
+    return done, int(obs.get["n"] or 0), int(obs.get["bytes"] or 0)
 
 
 def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
               separator: str = " → ", max_depth: int | None = None,
               roots: DataFrame | None = None,
               broadcast_rows: int = BROADCAST_MAX_ROWS,
+              broadcast_bytes: int = BROADCAST_MAX_BYTES,
               on_limit: str = "raise") -> DataFrame:
     """Walk from roots (``parent`` IS NULL, or ``roots``) down to every descendant.
 
@@ -45,8 +47,8 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
     The edges are checkpointed once (the root count observed in the same job),
     so the (possibly expensive) edge derivation is not recomputed per level.
     Each level's frontier is
-    checkpointed too, its row count observed in the same job; when that count
-    is small the frontier is broadcast, so the child
+    checkpointed too, its rows and bytes observed in the same job; when both
+    are small the frontier is broadcast, so the child
     table is streamed without a shuffle and a parent with a huge fan-out is no
     hotter than any other rows. A large frontier takes a shuffle join, where
     AQE splits skewed partitions.
@@ -54,15 +56,15 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
     ensure_checkpoint_dir(edges.sparkSession)
     if roots is None:
         # one job: checkpoint the edges and count the roots while writing them
-        edges, size = _materialise(edges, F.count_if(F.col(parent).isNull()))
+        edges, size, held = _materialise(edges, F.col(parent).isNull())
         start = edges.filter(F.col(parent).isNull())
     else:
         edges = edges.checkpoint(eager=True)
-        start, size = roots, None
+        start, size, held = roots, None, 0
     frontier = start.select(*edges.columns, F.lit(0).alias("depth"),
                             F.col(label).cast("string").alias("path"))
     if size is None:
-        frontier, size = _materialise(frontier)
+        frontier, size, held = _materialise(frontier)
     children = edges.filter(F.col(parent).isNotNull())
     levels = [frontier]
     depth, limit = 0, max_depth
@@ -74,9 +76,9 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
             break
         depth += 1
         step = frontier.select(F.col(node).alias("_up"), F.col("path").alias("_path"))
-        if size <= broadcast_rows:  # the level's row count is known exactly
+        if size <= broadcast_rows and held <= broadcast_bytes:  # the level's size is known
             step = F.broadcast(step)
-        frontier, size = _materialise(
+        frontier, size, held = _materialise(
             children.join(step, children[parent] == step["_up"], "inner")
                     .select(*[children[c] for c in edges.columns],
                             F.lit(depth).alias("depth"),

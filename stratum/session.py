@@ -74,12 +74,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder for intermediate tables next to the checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the files under ``paths`` (Hadoop FileSystem summary, no data read)."""
     jvm = spark.sparkContext._jvm

@@ -1,6 +1,6 @@
 """Incremental bronze ingest with Structured Streaming (T-1).
 
-Re-aims the reference's wait-for-file sensor and scheduled load: a file-source
+Re-aims a wait-for-file sensor and scheduled load: a file-source
 stream with ``trigger(availableNow=True)`` picks up every file not seen before,
 writes it to the bronze Parquet table with lineage columns, records progress in
 the checkpoint, and stops. Re-running ingests only new files, and a run killed

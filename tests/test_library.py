@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from stratum.operators import aggregates as A
 from stratum.operators import hierarchy as H
 from stratum.operators import quality as Q
+from stratum.operators import windows as W
 from stratum.operators.joins import fits, sized_broadcast
 from stratum.plans import audit, layers, report
 from stratum.sources import files
@@ -279,6 +280,24 @@ def test_sized_broadcast_checks_rows(spark):
     assert "BroadcastExchange" in report.plan_text(spark.range(1000).join(sized_broadcast(small, 10), "id"))
 
 
+def test_broadcast_is_bound_by_bytes_too(spark):
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("a.b"), F.array(F.lit("yy")).alias("n"))
+    assert fits(wide, 10) and fits(wide, 10, 11_000) and not fits(wide, 10, 10_000)
+    assert fits(wide.limit(0), 0, 0)
+    assert "BroadcastHashJoin" not in report.plan_text(
+        spark.range(1000).hint("merge").join(sized_broadcast(wide, 10, 10_000), "id"))
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(5)], "id int, parent int")
+    walk = H.walk_tree(chain, node="id", parent="parent", label="id", broadcast_bytes=0)
+    assert sorted(r["depth"] for r in walk.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_diff_from_group_mean_is_the_window(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 4), ("b", 7), ("b", None)], "k string, v long")
+    got = W.diff_from_group_mean(df, ["k"], "v", "m", "d").select("k", "v", "m", "d").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("a", 1, 2.5, -1.5), ("a", 4, 2.5, 1.5), ("b", 7, 7.0, 0.0), ("b", None, 7.0, None)], key=str)
+
+
 def test_plans_push_down_and_limit_windows(spark):
     q = entry.queries()
     from tests.conftest import SF_ORACLE
