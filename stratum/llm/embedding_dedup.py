@@ -1,12 +1,17 @@
-"""Embedding near-duplicates by sorted projection passes.
+"""Embedding near-duplicates by passes of hyperplane prefixes, compared block by block.
 
-Each pass hashes every distinct vector to 64 random hyperplane signs and sorts all vectors
-by them, first sign first: vectors at a small angle agree in a long prefix and so stand
-close. Tasks hold ranges of that order and compare every vector with the next ``WINDOW``
-ones; a vector that found a link stays for another ``WINDOW``, so the window bounds the
-work on strangers but never cuts off a run of partners. Cosines are taken in double precision
-and the verified pairs of all passes are united. Windows end at range boundaries, which
-lie elsewhere in each pass.
+Each pass gives every distinct vector a prefix of random hyperplane signs and compares all
+vectors that share it. Two vectors at an angle t agree on a sign with probability 1 - t / pi,
+whatever else the table holds, so a prefix of k signs brings them together with the k-th
+power of it. k follows from the number of distinct vectors (about ``CROWD`` strangers a
+prefix), and the number of passes from k, so that a pair at the very bound is met with
+probability ``RECALL`` at every size and density; closer pairs are met more surely.
+
+A prefix that more than ``BLOCK`` vectors share is cut into blocks, and every two blocks are
+a group of their own that any task may hold: neither a crowded prefix nor its pairs lie in
+one task, and nothing in it is passed over. Cosines are taken in double precision. A pair
+counts in the first pass that brings it together. Tasks return a row for each vector that
+found links, with their number and one vector of its component, never the pairs.
 
 Equal vectors form one class before the passes (combined in their tasks), so a vector that
 a third of all rows hold is compared once; its rows count as links of one another without
@@ -20,6 +25,7 @@ read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,18 +36,28 @@ from pyspark.sql import functions as F
 from stratum.llm.components import connected_components
 
 COSINE = 0.9
-PASSES = 16
-WINDOW = 256
+RECALL = 0.999
+CROWD = 256
 BLOCK = 512
+ROUND = 4
 SEED = 20
 ROUNDING = 1e-9
 
 
-def hashes(x: np.ndarray, n_pass: int, seed: int = SEED) -> np.ndarray:
-    """64 hyperplane signs of each row; their lexicographic order is that of the signed numbers."""
-    planes = np.random.default_rng([seed, n_pass, x.shape[1]]).standard_normal((x.shape[1], 64))
-    signs = np.packbits(x @ planes > 0, axis=1, bitorder="big")
-    return (signs.view(">u8").astype(np.uint64).ravel() ^ np.uint64(1 << 63)).view(np.int64)
+def plan(n: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
+    """Signs of a prefix and number of passes for ``n`` vectors."""
+    bits = min(30, max(0, math.floor(math.log2(max(n, 1) / CROWD))))
+    meet = (1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi) ** bits
+    return bits, 1 if meet >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meet))
+
+
+def hashes(x: np.ndarray, bits: int, passes: int, seed: int = SEED) -> np.ndarray:
+    """The prefix of each row (first axis) in each pass."""
+    out = np.zeros((len(x), passes), np.int32)
+    for p in range(passes if bits else 0):
+        planes = np.random.default_rng([seed, p, x.shape[1]]).standard_normal((x.shape[1], bits))
+        out[:, p] = (x @ planes > 0) @ (1 << np.arange(bits))
+    return out
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
@@ -51,8 +67,20 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def linked(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``x`` and ``y`` of all pairs at or above the bound."""
+    found = [(np.empty(0, np.int64),) * 2]
+    for k in range(0, len(x), BLOCK):  # a long run of partners is met block by block
+        part = x[k:k + BLOCK]
+        a, b = np.nonzero(part @ y.T >= cosine - ROUNDING)
+        exact = np.einsum("ij,ij->i", part[a], y[b]) >= cosine
+        found.append((a[exact] + k, b[exact]))
+    a, b = (np.concatenate(f) for f in zip(*found))
+    return a, b
+
+
 class Neighbours:
-    """Links of a sorted run: each vector against those that follow within the window."""
+    """Links of a run: each vector against those that follow within the window or a run of links."""
 
     def __init__(self, cosine: float, window: int):
         self.cosine, self.window = cosine, window
@@ -63,56 +91,117 @@ class Neighbours:
         if self.x is None:
             self.x = x[:0]
         alive = self.at - self.seen <= self.window
-        x0, ids0, seen0 = self.x[alive], self.ids[alive], self.seen[alive]
-        both, n = np.concatenate([x0, x]), len(x0)
-        found = []
-        for k in range(0, len(both), BLOCK):  # a long run of partners is met block by block
-            part = both[k:k + BLOCK]
-            a, b = np.nonzero(part @ x.T >= self.cosine - ROUNDING)
-            a, b = a[a + k < b + n], b[a + k < b + n]
-            exact = np.einsum("ij,ij->i", part[a], x[b]) >= self.cosine
-            found.append((a[exact] + k, b[exact]))
-        a, b = (np.concatenate(f) for f in zip(*found))
-        ids_all = np.concatenate([ids0, ids])
-        seen = np.concatenate([seen0, self.at + np.arange(len(x))])
+        both, n = np.concatenate([self.x[alive], x]), int(alive.sum())
+        ids_all = np.concatenate([self.ids[alive], ids])
+        seen = np.concatenate([self.seen[alive], self.at + np.arange(len(x))])
+        a, b = linked(both, x, self.cosine)
+        a, b = a[a < b + n], b[a < b + n]
         np.maximum.at(seen, a, self.at + b)
         self.x, self.ids, self.seen = both, ids_all, seen
         self.at += len(x)
         return ids_all[a], ids[b]
 
 
-def links(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW) -> DataFrame:
-    """Distinct (src, dst) of the rows (cid, v) with cosine at or above the bound, as found."""
+def group_pairs(x: np.ndarray, left: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked places of a group: the first ``left`` rows against the others, or all where there are no others."""
+    if left < len(x):
+        a, b = linked(x[:left], x[left:], cosine)
+        return a, b + left
+    near, at = Neighbours(cosine, len(x)), np.arange(len(x))
+    found = [near.add(x[k:k + BLOCK], at[k:k + BLOCK]) for k in range(0, len(x), BLOCK)]
+    a, b = (np.concatenate(f) for f in zip(*found))
+    return a, b
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least place of each place's component under the pairs (a, b)."""
+    root = np.arange(n)
+    while True:
+        ra, rb = root[a], root[b]
+        new = root.copy()
+        np.minimum.at(new, np.maximum(ra, rb), np.minimum(ra, rb))
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root):
+            return root
+        root = new
+
+
+def links(vectors: DataFrame, cosine: float = COSINE, passes: int | None = None, block: int = BLOCK,
+          recall: float = RECALL) -> DataFrame:
+    """(cid, root, links) of the rows (cid, v, n): per pass and group, the rows ``n`` of the newly met partners
+    of a vector and one vector of its component. ``passes`` overrides the number that ``recall`` asks for."""
     kind = "float" if vectors.schema["v"].dataType.elementType.simpleString() == "float" else "double"
     dtype = np.float32 if kind == "float" else np.float64
+    bits, needed = plan(vectors.count(), cosine, recall)
+    passes = passes or needed
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for dim, part in b.groupby(b["v"].str.len(), sort=True):
                 raw = np.stack(part["v"].to_numpy()).astype(dtype)
-                x, data = unit(raw), [r.tobytes() for r in raw]
-                for p in range(passes):
-                    yield pd.DataFrame({"pass": p, "dim": int(dim), "key": hashes(x, p), "cid": part["cid"], "v": data})
+                yield pd.DataFrame({"dim": int(dim), "cid": part["cid"], "n": part["n"], "v": [r.tobytes() for r in raw],
+                                    "keys": list(hashes(unit(raw), bits, passes))})
+
+    def found(group: pd.DataFrame, left: int) -> pd.DataFrame | None:
+        x = unit(np.frombuffer(b"".join(group["v"]), dtype).reshape(len(group), -1))
+        a, b = group_pairs(x, left, cosine)
+        if len(a) == 0:
+            return None
+        keys = np.stack(group["keys"].to_numpy())
+        for p in range(int(group["pass"].iloc[0])):  # pairs of an earlier pass are counted there
+            new = keys[a, p] != keys[b, p]
+            a, b = a[new], b[new]
+        n, cid = group["n"].to_numpy(np.int64), group["cid"].to_numpy(np.int64)
+        count = np.zeros(len(group), np.int64)
+        np.add.at(count, a, n[b])
+        np.add.at(count, b, n[a])
+        hit = count > 0
+        return pd.DataFrame({"cid": cid[hit], "root": cid[roots(len(group), a, b)[hit]], "links": count[hit]})
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, near = None, None
-        for b in batches:
-            for (p, dim), part in b.groupby(["pass", "dim"], sort=False):
-                if run != (p, dim):
-                    run, near = (p, dim), Neighbours(cosine, window)
-                x = unit(np.frombuffer(b"".join(part["v"]), dtype).reshape(len(part), -1))
-                ids = part["cid"].to_numpy(np.int64)
-                for k in range(0, len(part), BLOCK):
-                    s, d = near.add(x[k:k + BLOCK], ids[k:k + BLOCK])
-                    yield pd.DataFrame({"src": np.minimum(s, d), "dst": np.maximum(s, d)})
-
-    keyed = vectors.select("cid", "v").mapInPandas(hashed, "pass int, dim int, key long, cid long, v binary")
-    order = keyed.repartitionByRange("pass", "dim", "key").sortWithinPartitions("pass", "dim", "key", "cid")
-    return order.mapInPandas(compared, "src long, dst long").distinct()
+        names, rest = ["pass", "dim", "key", "i", "j"], None
+        for b in (b for b in batches if len(b)):
+            rows = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            g = rows[names].to_numpy(np.int64)
+            starts = np.concatenate([[0], 1 + np.nonzero((g[1:] != g[:-1]).any(axis=1))[0]])
+            yield from each(rows, starts[:-1], starts[1:])
+            rest = rows.iloc[starts[-1]:]
+        if rest is not None:
+            yield from each(rest, [0], [len(rest)])
+
+    def each(rows: pd.DataFrame, starts, ends) -> Iterator[pd.DataFrame]:
+        own, i, j = (rows[c].to_numpy() for c in ("own", "i", "j"))
+        for s, e in zip(starts, ends):
+            left = e - s if i[s] == j[s] else int((own[s:e] == i[s]).sum())
+            if e - s > 1 and left > 0 and (i[s] == j[s] or left < e - s):
+                out = found(rows.iloc[s:e], left)
+                if out is not None and len(out):
+                    yield out
+
+    keyed = vectors.select("cid", "v", "n").mapInPandas(
+        hashed, "dim int, cid long, n long, v binary, keys array<int>").checkpoint()
+    crowded = (keyed.select("dim", F.posexplode("keys").alias("pass", "key")).groupBy("pass", "dim", "key")
+               .agg(F.count("*").alias("rows")).filter(F.col("rows") > block)
+               .withColumn("blocks", F.ceil(F.col("rows") / block).cast("int")).drop("rows").checkpoint())
+    out = None
+    for first in range(0, passes, ROUND):  # a round's copies of the vectors are gone before the next round's
+        some = F.sequence(F.lit(first), F.lit(min(first + ROUND, passes) - 1))
+        rows = keyed.withColumn("pass", F.explode(some)).withColumn("key", F.get("keys", F.col("pass")))
+        rows = rows.join(crowded, ["pass", "dim", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("cid", "pass"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("pass", "dim", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                           "own", "cid", "n", "v", F.slice("keys", 1, F.col("pass")).alias("keys"))
+        group = ["pass", "dim", "key", "i", "j"]
+        part = rows.repartition(*group).sortWithinPartitions(*group, "own", "cid").mapInPandas(
+            compared, "cid long, root long, links long").checkpoint()
+        out = part if out is None else out.union(part)
+    return out
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
-                    passes: int = PASSES, window: int = WINDOW) -> DataFrame:
+                    passes: int | None = None, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept) per row."""
     v = F.col(vector)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -124,14 +213,11 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector: str = "emb
     classes = (rows.filter("v is not null").groupBy("k1", "k2")
                .agg(F.first("v").alias("v"), F.min("id").alias("least"), F.count("*").alias("n"))
                .withColumn("cid", F.monotonically_increasing_id()).checkpoint())
-    found = links(classes, cosine, passes, window).checkpoint()
-    roots = connected_components(found)
-    sizes = classes.select(F.col("cid").alias("other"), "n")
-    both = found.select(F.col("src").alias("cid"), F.col("dst").alias("other")).union(
-        found.select(F.col("dst").alias("cid"), F.col("src").alias("other")))
-    partners = both.join(sizes, "other").groupBy("cid").agg(F.sum("n").alias("partners"))
+    found = links(classes, cosine, passes, block)
+    roots_ = connected_components(found.select(F.col("cid").alias("src"), F.col("root").alias("dst")))
+    partners = found.groupBy("cid").agg(F.sum("links").alias("partners"))
     members = classes.select("k1", "k2", "cid", "least", "n").join(
-        roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        roots_.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = members.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = members.join(named, "root").join(partners, "cid", "left").select(
         "k1", "k2", "component_id", (F.col("n") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))

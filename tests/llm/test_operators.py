@@ -339,6 +339,31 @@ def test_embedding_links_reach_brute_force(spark):
     assert out == {(i, 5, 1) for i in (1, 2, 9, 11, None)} | {(i, 0, i) for i in (3, 4, 5, 6, 7, 8, 10)}
 
 
+def topic(rnd, n, dim, cosine):
+    """Unit vectors at about ``cosine`` to one another."""
+    x = np.sqrt(cosine) * np.eye(dim)[0] + np.sqrt(1 - cosine) * embedding_dedup.unit(rnd.standard_normal((n, dim)))
+    return embedding_dedup.unit(x)
+
+
+def test_embedding_recall_in_a_dense_topic(spark):
+    rnd = np.random.default_rng(7)
+    x = topic(rnd, 10_000, 64, 0.8)
+    step = rnd.standard_normal((2_000, 64))
+    step -= (step * x[:2_000]).sum(axis=1, keepdims=True) * x[:2_000]
+    x = np.concatenate([x, 0.92 * x[:2_000] + np.sqrt(1 - 0.92 ** 2) * embedding_dedup.unit(step)])
+    exact = np.concatenate([(x[k:k + 2_000] @ x.T >= 0.9).sum(axis=1) - 1 for k in range(0, len(x), 2_000)])
+    frame = spark.createDataFrame(list(zip(range(len(x)), x.tolist())), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(frame).collect()}
+    assert all(got[i] <= exact[i] for i in range(len(x))) and sum(got.values()) >= 0.995 * exact.sum()
+
+
+def test_embedding_passes_keep_recall_at_every_size():
+    for n in (1, 500, 10**4, 10**6, 10**8):
+        bits, passes = embedding_dedup.plan(n)
+        assert n / 2 ** bits <= 2 * embedding_dedup.CROWD
+        assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes >= 0.999 - 1e-12
+
+
 def python_quality(text):
     """The quality verdict, counted plainly."""
     text = text or ""
