@@ -364,6 +364,25 @@ def test_embedding_passes_keep_recall_at_every_size():
         assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes >= 0.999 - 1e-12
 
 
+def test_embedding_group_of_near_copies_is_spread(spark):
+    n, block = 2_000, 128
+    x = np.ones(16) + 0.01 * np.random.default_rng(5).standard_normal((n, 16))
+    x = np.concatenate([x, np.random.default_rng(6).standard_normal((n, 16))])
+    unit = embedding_dedup.unit(x)
+    exact = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    frame = spark.createDataFrame(list(zip(range(2 * n), x.tolist())), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(frame, block=block).collect()}
+    assert [got[i]["n_links"] for i in range(n)] == exact[:n].tolist() and {got[i]["component_id"] for i in range(n)} == {0}
+
+    classes = frame.select(F.col("vec_id").alias("cid"), F.col("embedding").alias("v"), F.lit(1).cast("long").alias("n"))
+    found = embedding_dedup.links(classes, block=block)
+    rows = found.filter(F.col("cid") < n)
+    # every pair counts once, no row stands for a pair, and no task returns the whole group
+    assert rows.agg(F.sum("links")).first()[0] == exact[:n].sum() and rows.count() < n * n / 20
+    per_task = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert per_task[1] > 4 and per_task[0] < rows.count() / 2
+
+
 def python_quality(text):
     """The quality verdict, counted plainly."""
     text = text or ""
