@@ -42,11 +42,19 @@ BASE = (
     Kind("access", r"AKIA[A-Z0-9]{16,}"),
     Kind("hex", r"[0-9a-f]{24,}"),
 )
+# lines of base64, parted by line ends as written, escaped or quoted; chained, as nested counts are bounded
+_GAP = r"""[\t\n\r \\"'+,>#*]"""
+_LINES = (r"[A-Za-z0-9+/]{16,}" + (rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{16,}}){{0,60}}" * 4)
+          + rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{1,15}})?={{0,2}}")
+# a key block: to its end mark, or to the end of its lines where there is none; the value is all after the header
+PEM = (r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+       r"([^-]*(?:-[^-]+){0,12}-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+       rf"|{_GAP}{{0,8}}(?:[nr]{_GAP}{{0,8}})?(?:[A-Za-z-]{{1,30}}: [^\n]{{0,200}}[\n\r\t ]{{1,8}}){{0,4}}{_LINES})")
 # published formats of issued keys
 ISSUED = (
     Kind("issued", r"(?:gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|AIza)[A-Za-z0-9_-]{16,}"),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Kind("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Kind("pem", PEM, 1, 16),
     Kind("url", r"[a-z][a-z0-9+]{1,20}://[^\s:/@]{1,80}:([^\s:/@]{3,200})@", 1),
 )
 KINDS = BASE + ISSUED
