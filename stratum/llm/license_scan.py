@@ -10,7 +10,9 @@ template's windows. Candidates are verified exactly: the share of the template's
 occur in the text must reach ``CONTAINMENT``.
 
 A text without a single shingle of any template cannot reach it and is passed over before
-windows are built, which loses nothing. All of it is one projection: no shuffle, no user
+windows are built, which loses nothing; before that, so is a text without any of ``MARKS``, for
+templates of which so many shingles hold such a word that the others alone cannot reach
+``CONTAINMENT``. All of it is one projection: no shuffle, no user
 function. Templates are a small fixed table, so they travel as a literal.
 
 Defined results: null and empty texts, and texts below five words, hold no license;
@@ -21,6 +23,7 @@ is rejected; other columns are not read.
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +62,84 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# standard headers of licenses whose texts ask for one
+TEMPLATES |= {
+    "GPL-2.0-notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
+    "LGPL-2.1-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."),
+    "LGPL-3.0-notice": (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version."),
+    "AGPL-3.0-notice": (
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version."),
+    "EPL-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    "EPL-1.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "v1.0 which accompanies this distribution"),
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain.",
+    "BSD-style-notice": "Use of this source code is governed by a BSD-style license",
+    "CC0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights",
+}
+# names in one-line wordings, as "licensed under the ..."
+NAMES = {
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License", "Apache-2.0 license"),
+    "MIT": ("MIT License", "terms of the MIT License"),
+    "ISC": ("ISC License", "terms of the ISC License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    "BSD": ("BSD License",),
+    "GPL-2.0": ("GNU General Public License v2.0", "GNU General Public License, version 2", "GNU GPL v2", "GPLv2 license"),
+    "GPL-3.0": ("GNU General Public License v3.0", "GNU General Public License, version 3", "GNU GPL v3", "GPLv3 license"),
+    "GPL": ("terms of the GNU General Public License",),
+    "LGPL": ("GNU Lesser General Public License", "terms of the GNU Lesser General Public License", "GNU LGPL"),
+    "AGPL": ("GNU Affero General Public License", "terms of the GNU Affero General Public License", "GNU AGPL"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0"),
+    "EPL": ("Eclipse Public License", "terms of the Eclipse Public License"),
+    "Unlicense": ("Unlicense license", "terms of the Unlicense"),
+    "Zlib": ("zlib License", "zlib/libpng License"),
+    "BSL-1.0": ("Boost Software License",),
+    "CC0-1.0": ("CC0 1.0 Universal", "CC0 1.0 license", "Creative Commons Zero license"),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0 International License", "CC BY 4.0 license"),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0 license"),
+    "CC-BY-NC-4.0": ("Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0 license"),
+}
+SPDX = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0",
+        "EPL-2.0", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")
+
+
+def _wordings() -> dict[str, str]:
+    """One-line wordings that are not templates as yet."""
+    seen, out = {t.lower().rstrip(".") for t in TEMPLATES.values()}, {}
+    for name, forms in NAMES.items():
+        for verb in ("Licensed", "Released", "Distributed", "Available"):
+            for k, form in enumerate(forms):
+                if f"{verb} under the {form}".lower() not in seen:
+                    out[f"{name}-{verb.lower()}-{k}"] = f"{verb} under the {form}"
+    return out | {f"{name}-spdx": f"SPDX-License-Identifier: {name}" for name in SPDX}
+
+
+TEMPLATES |= _wordings()
+# whole license texts
+TEMPLATES |= {f"{p.stem}-text": p.read_text(encoding="utf-8")
+              for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+# words of which a text must hold one, to reach a template most of whose shingles hold one
+MARKS = (
+    "license", "licensed", "licenses", "licensor", "licensee", "sublicense", "unlicense", "copyright", "copyrighted",
+    "software", "warranty", "warranties", "permission", "redistribution", "redistributions", "redistribute",
+    "redistributing", "distribute", "distributing", "modify", "modification", "derivative", "patent", "patents", "liable",
+    "disclaimer", "disclaimed", "merchantability", "contributor", "contributors", "convey", "conveying", "affirmer",
+    "binary", "package", "governed", "artistic", "bsd", "gnu", "gpl", "gplv2", "gplv3", "lgpl", "zlib", "eclipse", "cc", "cc0",
+    "creative", "commons", "attribution", "sharealike", "noncommercial")
 TABLE = "array<struct<id:string,hashes:array<bigint>,keys:array<bigint>,shingles:array<string>>>"
 
 
@@ -111,11 +192,14 @@ def band_keys(hashes: Column, levels: tuple[int, ...], step: dict[int, int]) ->
 def template_table(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
     """Hashes, band values and shingles of every template (a small fixed table, kept on the driver)."""
     rows = spark.createDataFrame(list(templates.items()), "id string, text string")
-    w = license_words(F.col("text"))
-    rows = rows.select("id", shingle_hashes(w).alias("hashes"), shingle_texts(w).alias("shingles"))
     every = {size: 1 for size in LEVELS}
-    level = F.size("hashes")
-    keys = F.coalesce(*[F.when(level >= s, band_keys(F.col("hashes"), (s,), every)) for s in sorted(LEVELS, reverse=True)])
+    # words and hashes are evaluated once a template, which whole license texts need
+    both = let(license_words(F.col("text")), lambda w: F.struct(
+        shingle_hashes(w).alias("hashes"), shingle_texts(w).alias("shingles")))
+    rows = rows.select("id", let(both, lambda b: F.struct(b["hashes"].alias("hashes"), b["shingles"].alias("shingles"), F.coalesce(
+        *[F.when(F.size(b["hashes"]) >= s, band_keys(b["hashes"], (s,), every)) for s in sorted(LEVELS, reverse=True)]
+    ).alias("keys"))).alias("x")).select("id", "x.*")
+    keys = F.col("keys")
     out = [r.asDict() for r in rows.select("id", F.array_distinct("hashes").alias("hashes"), keys.alias("keys"),
                                            F.array_distinct("shingles").alias("shingles")).collect()]
     short = [r["id"] for r in out if not r["shingles"]]
@@ -124,17 +208,23 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> list[dict]
     return out
 
 
+def marked(shingles: list[str], containment: float) -> bool:
+    """Whether a text without any of ``MARKS`` cannot hold enough of the template's distinct shingles."""
+    return sum(not set(s.split()) & set(MARKS) for s in shingles) < containment * len(shingles)
+
+
 def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                   templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """(id, n_licenses, licenses): verified templates as ``id:shared/all`` shingles, comma-joined, by id."""
     table = template_table(docs.sparkSession, templates or TEMPLATES)
     known = sorted({h for t in table for h in t["hashes"]})
+    plain = [t for t in table if not marked(t["shingles"], containment)]
+    unmarked = sorted({h for t in plain for h in t["hashes"]})
     literal = F.from_json(F.lit(json.dumps(table)), TABLE)
     any_of = F.from_json(F.lit(json.dumps(known)), "array<bigint>")
     step = {size: max(1, size // 4) for size in LEVELS}
 
     rows = docs.select(F.col(id_col), license_words(whole(F.col(text))).alias("_w"))
-    rows = rows.select(id_col, "_w", shingle_hashes(F.col("_w")).alias("_h"))
 
     def verified(x: Column) -> Column:
         def check(t: Column) -> Column:
@@ -145,8 +235,14 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         return F.filter(F.transform(candidates, check),
                         lambda c: c["shared"] >= F.lit(containment) * c["all"])
 
-    doc = F.struct(band_keys(F.col("_h"), LEVELS, step).alias("keys"), shingle_texts(F.col("_w")).alias("shingles"))
-    found = F.when(F.arrays_overlap(F.col("_h"), any_of), let(doc, verified))
+    def retrieved(h: Column) -> Column:
+        doc = F.struct(band_keys(h, LEVELS, step).alias("keys"), shingle_texts(F.col("_w")).alias("shingles"))
+        return F.when(F.arrays_overlap(h, any_of), let(doc, verified))
+
+    may = F.arrays_overlap(F.col("_w"), F.array(*[F.lit(m) for m in MARKS]))
+    if unmarked:
+        may |= F.arrays_overlap(shingle_hashes(F.col("_w")), F.from_json(F.lit(json.dumps(unmarked)), "array<bigint>"))
+    found = F.when(may, let(shingle_hashes(F.col("_w")), retrieved))
     out = rows.select(id_col, F.array_sort(found).alias("_f"))
     return out.select(
         id_col, F.coalesce(F.size("_f"), F.lit(0)).cast("long").alias("n_licenses"),

@@ -310,6 +310,30 @@ def test_edited_license_is_found(spark):
     assert {r["doc_id"]: r["n_licenses"] for r in rows.collect()} == {1: 1, 2: 0}
 
 
+def test_common_licenses_and_wordings_are_found(spark):
+    lines = ["Distributed under the MIT License", "licensed under the Apache License 2.0", "released under the ISC license",
+             "This project is licensed under the GNU Lesser General Public License", "SPDX-License-Identifier: Apache-2.0",
+             "available under the terms of the Eclipse Public License", "Distributed under the zlib license",
+             "licensed under the GNU Affero General Public License", "This is free and unencumbered software released "
+             "into the public domain", "licensed under the CC0 1.0 Universal"]
+    texts = {p: t for p, t in license_scan.TEMPLATES.items() if p.endswith("-text")}
+    assert {f"{n}-text" for n in ("MIT", "ISC", "Zlib", "Unlicense", "GPL-3.0", "LGPL-2.1", "CC0-1.0")} <= set(texts)
+    rows = [(f"line {i}", f"about it: {t}, as said") for i, t in enumerate(lines)]
+    rows += [(p, f"Copyright (c) 2020 Someone\n\n{t}\nint main") for p, t in texts.items()]
+    rows += [("none", "a software license is a text"), ("empty", None)]
+    got = {r["doc_id"]: r for r in license_scan.find_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert [t for i, t in enumerate(lines) if not got[f"line {i}"]["n_licenses"]] == []
+    assert [p for p in texts if f"{p}:" not in got[p]["licenses"]] == []
+    assert got["none"]["n_licenses"] == got["empty"]["n_licenses"] == 0
+
+
+def test_templates_without_marks_are_found(spark):
+    plain = {"plain": "one two three four five six"}
+    rows = spark.createDataFrame([(1, "zero one two three four five six seven"), (2, "one two three")], "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.find_licenses(rows, templates=plain).collect()}
+    assert got == {1: "plain:2/2", 2: ""}
+
+
 @pytest.mark.parametrize("n", [0, 1, toxicity.BUCKETS // 32 - 1, toxicity.BUCKETS // 32, toxicity.BUCKETS])
 def test_features_of_any_number_are_packed(n):
     f = np.arange(n, dtype=np.int32)
