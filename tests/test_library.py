@@ -614,3 +614,13 @@ def test_shuffle_volumes_stay_small_where_claimed(spark):
     assert got.get("class_summary", 0) < 16_000     # partial aggregation
     assert got.get("diff_from_avg", 0) < 16_000     # broadcast means, map-side top-k
     assert got["dedup_lineitem"] > 100_000          # full rows must move for a dedup
+
+
+def test_upsert_query_reduces_repeated_ids(spark, tmp_dir):
+    from stratum.plans.catalogue import QUERIES
+    rows = [(1, 7, "view", 1.0, "2024-01-01 00:00:00"), (1, 7, "view", 2.0, "2024-01-02 00:00:00"),
+            (2, 7, "error", 3.0, "2024-01-01 00:00:00")]
+    (spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, ts string")
+     .withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_dir}/repeated/events.parquet"))
+    got = QUERIES["upsert_latest"](spark, f"{tmp_dir}/repeated").collect()
+    assert sorted((r["event_id"], r["value"]) for r in got) == [(1, 2.0), (2, 4.0)]
