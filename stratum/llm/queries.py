@@ -9,6 +9,7 @@ from stratum.llm import (
     embedding_dedup,
     license_scan,
     packing,
+    phrases,
     quality,
     secret_scan,
     simhash,
@@ -59,9 +60,14 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_counts, op3_bpe_round_trip, op4_secret_scans, op5_best_fit_packing,
-    op6_simhash_near_dedup, op7_warc_round_trip, op8_license_scans, op9_toxicity, op10_embedding_near_dedup)}
+    op6_simhash_near_dedup, op7_warc_round_trip, op8_license_scans, op9_toxicity, op10_embedding_near_dedup,
+    op13_phrase_collocations)}
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
@@ -154,4 +160,25 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> f THEN f END AS refers_to
 FROM g""",
+    # every phrase counted, without a sample
+    "op13_phrase_collocations": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, list_slice(ws, i, i + k - 1) AS ws
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 6) r(k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, ws, count(*)::HUGEINT AS a FROM g GROUP BY ALL HAVING a >= {phrases.THRESHOLD}),
+cut AS (SELECT lang, ws, k, a, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+s AS (SELECT cut.lang, cut.ws, cut.a, c, x.a AS l, y.a AS r, n, (1000 * cut.a * n) // (x.a * y.a) AS score
+      FROM cut JOIN total USING (lang) JOIN f x ON x.lang = cut.lang AND x.ws = list_slice(cut.ws, 1, c)
+      JOIN f y ON y.lang = cut.lang AND y.ws = list_slice(cut.ws, c + 1, cut.k)),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, c) = 1),
+free AS (SELECT *, array_to_string(ws, ' ') AS phrase FROM best b WHERE NOT EXISTS (
+           SELECT 1 FROM f WHERE f.lang = b.lang AND f.k > len(b.ws) AND f.a >= b.a
+           AND contains(' ' || array_to_string(f.ws, ' ') || ' ', ' ' || array_to_string(b.ws, ' ') || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= {phrases.TOP}""",
 }
