@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm import (
     bpe,
+    conversation_repair,
     embedding_dedup,
     license_scan,
     packing,
@@ -60,6 +61,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
@@ -67,7 +72,7 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_counts, op3_bpe_round_trip, op4_secret_scans, op5_best_fit_packing,
     op6_simhash_near_dedup, op7_warc_round_trip, op8_license_scans, op9_toxicity, op10_embedding_near_dedup,
-    op13_phrase_collocations)}
+    op11_conversation_repair, op13_phrase_collocations)}
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
@@ -108,6 +113,60 @@ SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans
 FROM d LEFT JOIN g ON d.r = g.r"""
 
 
+def _repair_sql() -> str:
+    """The dynamic program over (cost, audit, text) structs, which compare in that order, row by row."""
+    def edit(at: str, cost: str, letter: str, line: str, when: str = "true") -> str:
+        return (f"CASE WHEN {when} AND {at} IS NOT NULL THEN {{'c': {at}.c + {cost}, 'p': {at}.p || '{letter}', "
+                f"'t': {at}.t || {line}}} END")
+
+    least = lambda *x: f"list_min([{', '.join(x)}])"
+    gap = lambda at, role: edit(at, "5", "I", f"chr(10) || '{role}:'")
+    drop = lambda at: edit(at, "2", "D", "''")
+    keep = lambda at, initial: edit(at, "stays", "K", "chr(10) || role || ':' || text", f"free AND initial = '{initial}'")
+    turn = lambda at, role: edit(at, "stays + 1", "R", f"chr(10) || '{role}:' || text", "free")
+    to_user = least("u", *[gap(x, "user") for x in "zsa"])
+    state = "STRUCT(c BIGINT, p VARCHAR, t VARCHAR)"
+    u_new = least(drop("u1"), *[f(x, v) for x in ("z", "s", "a1") for f, v in ((keep, "u"), (turn, "user"))])
+    a_new = least(drop("a1"), keep("u1", "a"), turn("u1", "assistant"))
+    return rf"""
+WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations),
+hashed AS (SELECT *, xor(list_reduce(flatten(list_transform(string_split(id, ''),
+             lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+             lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), 4294967295::BIGINT), 4294967295) % 20 AS kind
+           FROM src),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+              CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hashed, range(2) r(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+rows_ AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+f AS (SELECT *, left(role, 1) AS initial,
+        CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+             WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+             WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM rows_),
+g AS (SELECT *, fault NOT IN ('b', 'd') AS free, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS stays FROM f),
+sums AS (SELECT conv_id, count(*) AS n, count(*) FILTER (WHERE fault = 'b') AS blank,
+           count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+           count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+           coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM g GROUP BY conv_id),
+walk AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'p': '', 't': ''}}::{state} AS z, NULL::{state} AS s,
+           NULL::{state} AS u, NULL::{state} AS a FROM sums
+         UNION ALL
+         SELECT conv_id, i, {drop("z")}, {least(drop("s"), keep("z", "s"))}, {u_new}, {a_new}
+         FROM (SELECT q.conv_id, g.i, g.role, g.text, g.initial, g.free, g.stays, z, s, u1,
+                      {least("a", gap("u1", "assistant"))} AS a1
+               FROM (SELECT *, {to_user} AS u1 FROM walk) q
+               JOIN g ON g.conv_id IS NOT DISTINCT FROM q.conv_id AND g.i = q.i + 1)),
+ended AS (SELECT conv_id, i, {least("z", "a", gap("u1", "assistant"))} AS b FROM (SELECT *, {to_user} AS u1 FROM walk))
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.p, '') AS audit,
+       sha256(coalesce(b.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM c.conv_id AND ended.i = sums.n"""
+
+
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.TEMPLATES.items())
 
 ORACLE = {
@@ -160,6 +219,7 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> f THEN f END AS refers_to
 FROM g""",
+    "op11_conversation_repair": _repair_sql(),
     # every phrase counted, without a sample
     "op13_phrase_collocations": rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
