@@ -2,19 +2,21 @@
 
 A sample proposes the phrases that seem frequent: level by level, at a lowered threshold,
 over a ``SHARE`` of the pieces (the runs between delimiters that phrases cannot cross),
-drawn at random. One pass over all rows then counts exactly what the sample proposed and
-its negative border, that is every phrase whose first and last parts (one word shorter)
-were proposed; the border of the single words is every word. A border phrase that proves
-frequent is a failure of the sample. Failures join the proposals, and a further pass
-counts what they newly allow: the phrases of proposed parts that hold a failure, each
-followed to its longest extension in the same pass, so that this one expansion closes the
-search. The sample decides whether it is needed, and never what is found.
-
-Tasks test proposals in a Bloom filter of bounded size, whose bits Spark gathers; what it
-lets through by mistake is counted too, and a filled filter only costs work. A task counts
-a phrase by exact numbers within a chunk of texts and sends one row a chunk and phrase,
-which are summed before and after the shuffle, so a word, phrase or copied text that a
-third of all rows hold arrives as one row a chunk.
+drawn at random. A pass over all rows then counts what the sample proposed and its
+negative border, that is every phrase whose first and last parts (one word shorter) were
+proposed; the border of the single words is every word. It counts by hash, in a few bytes
+a phrase and task, which never counts too little. A second pass counts by text, exactly,
+the phrases whose hash reached the threshold. A border phrase among them is a failure of
+the sample: what failures newly allow, the phrases of proposed parts that hold one, each
+followed to its longest extension, is counted in the same pass. A further pass runs only
+for failures whose hash hid them behind a proposed phrase. So the sample decides how much
+is counted, and never what is found.
+
+Tasks test proposals in Bloom filters of bounded size, whose bits Spark gathers; what they
+let through by mistake is counted too, and a filled filter only costs work. A task numbers
+the phrases of a chunk of texts and sends one count a chunk and phrase, which are summed
+before and after the shuffle, so a word, phrase or copied text that a third of all rows
+hold arrives as one count a task.
 
 Defined results: null texts are empty; a null language is ``und``; an empty table, or one
 without a frequent phrase, gives no rows; repeated rows count as often as they stand; only
@@ -25,6 +27,7 @@ chunk, or the longest run without any delimiter. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +42,11 @@ LONGEST = 5
 TOP = 2000
 SHARE = 0.05
 LOWERED = 0.4
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 FILTER_BITS = 1 << 27
+# bits of a phrase's hash, those that name its group, and bytes of input a group is made for
+HASH_BITS, GROUP_BITS, GROUP_BYTES = 52, 12, 8 << 20
+HELD = 1_500_000
 SALTS = 64
 SCHEMA = "lang string, n int, phrase string, h long, a long"
 
@@ -50,14 +56,14 @@ _MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", BREAK * 9 + b" ")
 
 
 class Filter:
-    """Bloom filter of two probes over 64-bit hashes: never misses a member."""
+    """Bloom filter of two probes over hashes of ``HASH_BITS`` bits: never misses a member."""
 
     def __init__(self, words: np.ndarray):
         self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
         found = np.ones(len(h), bool)
-        for p in (h & self.mask, (h >> np.uint64(32)) & self.mask):
+        for p in (h & self.mask, (h >> np.uint64(25)) & self.mask):
             found &= (self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
         return found
 
@@ -68,7 +74,7 @@ def gathered(phrases: DataFrame) -> Filter:
     wanted = min(FILTER_BITS, 16 * phrases.count())
     while bits < wanted:
         bits *= 2
-    probe = F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 32))).alias("p")
+    probe = F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 25))).alias("p")
     at = phrases.select(probe).select(F.col("p").bitwiseAND(F.lit(bits - 1)).alias("p"))
     rows = at.groupBy(F.shiftright("p", 6).alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("b"))
@@ -86,55 +92,54 @@ def mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def counted(data: bytes, lang: str, low: int, high: int, known: Filter | None,
-            fresh: Filter | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(n, phrases, hashes, counts) of the phrases of low..high words in ``data``.
-
-    Phrases of two words and more count where both their parts are ``known``. Where
-    ``fresh`` is given they also must hold a fresh part, and such phrases are extended
-    whether known or not, for no earlier pass has counted them. ``low`` 0 adds the number
-    of all words.
-    """
-    tokens = data.replace(BREAK, b" \n ").split(b" ")
-    names = {b"": 0, BREAK: 1}
-    names.update(zip((w for w in dict.fromkeys(tokens) if w not in names), range(2, 1 << 62)))
-    ids = np.fromiter(map(names.__getitem__, tokens), np.int64, len(tokens))
-    del tokens
-    ids = ids[ids > 0]
-    words = np.array([w.decode("utf-8", "replace") for w in names], object)
-    seed = xxhash.xxh32_intdigest(lang.encode())
-    hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in names], np.uint64)
-    count = np.bincount(ids, minlength=len(words))
-    count[:2] = 0
-    seen = np.flatnonzero(count)
-    if low == 0:
-        yield 0, np.array([""], object), np.zeros(1, np.uint64), np.array([count.sum()])
-    if low <= 1:
-        yield 1, words[seen], hashes[seen], count[seen]
-    pid, text, h = np.where(ids > 1, ids, -1), words, hashes
-    holds = np.zeros(len(words), bool) if fresh is None else fresh(hashes)
-    for n in range(2, high + 1):
-        member = np.append(known(h) | holds, False)  # the last entry is that of -1
-        alive = member[pid]
-        at = np.flatnonzero(alive[:-1] & alive[1:])
-        if not len(at):
-            return
-        pairs, inverse, count = np.unique(pid[at] * len(words) + ids[at + n - 1], return_inverse=True, return_counts=True)
-        first, last = pairs // len(words), pairs % len(words)
-        text = text[first] + " " + words[last]
-        h = mixed(h[first], hashes[last])
-        send = np.ones(len(pairs), bool)
-        if fresh is not None:
-            some = np.empty(len(pairs), np.int64)
-            some[inverse] = at
-            send = holds[pid[some]] | holds[pid[some + 1]]
-            holds = send | fresh(h)
-        else:
-            holds = np.zeros(len(pairs), bool)
-        if n >= low and send.any():
-            yield n, text[send], h[send], count[send]
-        pid = np.full(len(ids), -1)
-        pid[at] = inverse
+class Level:
+    """The phrases of ``n`` words of a chunk: hash, count and one place of each, and which hold a fresh one."""
+
+    def __init__(self, n: int, h: np.ndarray, count: np.ndarray, place: np.ndarray, new: np.ndarray):
+        self.n, self.chain, self.count, self.place, self.new = n, h, count, place, new
+        self.h = h >> np.uint64(64 - HASH_BITS)
+
+
+class Chunk:
+    """Words of a chunk of pieces by number, and its phrases level by level."""
+
+    def __init__(self, data: bytes, lang: str):
+        tokens = data.replace(BREAK, b" \n ").split(b" ")
+        names = {b"": 0, BREAK: 1}
+        names.update(zip((w for w in dict.fromkeys(tokens) if w not in names), range(2, 1 << 62)))
+        ids = np.fromiter(map(names.__getitem__, tokens), np.int64, len(tokens))
+        self.ids, self.words = ids[ids > 0], list(names)
+        seed = xxhash.xxh32_intdigest(lang.encode())
+        self.hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
+
+    def text(self, level: Level, which: np.ndarray) -> list[str]:
+        rows = self.ids[level.place[which][:, None] + np.arange(level.n)].tolist()
+        return [b" ".join([self.words[i] for i in row]).decode("utf-8", "replace") for row in rows]
+
+    def levels(self, high: int, known: Filter | None, fresh: Filter | None = None) -> Iterator[Level]:
+        """Single words, then the phrases of 2..high words whose parts are known or hold a fresh phrase."""
+        ids, v = self.ids, len(self.words)
+        place = np.zeros(v, np.int64)
+        place[ids] = np.arange(len(ids))
+        count = np.bincount(ids, minlength=v)
+        count[:2] = 0
+        level = Level(1, self.hashes, count, place, np.zeros(v, bool))
+        yield level
+        pid = np.where(ids > 1, ids, -1)
+        for n in range(2, high + 1):
+            holds = level.new if fresh is None else level.new | fresh(level.h)
+            alive = np.append(known(level.h) | holds, False)[pid]  # the last entry is that of -1
+            at = np.flatnonzero(alive[:-1] & alive[1:])
+            if not len(at):
+                return
+            pairs, inverse, count = np.unique(pid[at] * v + ids[at + n - 1], return_inverse=True, return_counts=True)
+            place = np.empty(len(pairs), np.int64)
+            place[inverse] = at
+            level = Level(n, mixed(level.chain[pairs // v], self.hashes[pairs % v]), count, place,
+                          holds[pid[place]] | holds[pid[place + 1]])
+            yield level
+            pid = np.full(len(ids), -1)
+            pid[at] = inverse
 
 
 def pieces(texts: Iterator[str]) -> Iterator[bytes]:
@@ -159,31 +164,109 @@ def pieces(texts: Iterator[str]) -> Iterator[bytes]:
         yield BREAK.join(held)
 
 
-def phrase_counts(docs: DataFrame, low: int, high: int, known: Broadcast | None = None,
+def chunks_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Chunk]]:
+    """(lang, chunk) over the rows (lang, text) of a task."""
+    each: dict[str, list[str]] = {}
+    size = 0
+    for b in batches:
+        for lang, text in zip(b["lang"], b["text"]):
+            each.setdefault(lang, []).append(text)
+            size += len(text)
+            if size > CHUNK_CHARS:
+                for k in each:
+                    yield from ((k, Chunk(data, k)) for data in pieces(iter(each[k])))
+                each, size = {}, 0
+    for k in each:
+        yield from ((k, Chunk(data, k)) for data in pieces(iter(each[k])))
+
+
+def phrase_counts(docs: DataFrame, low: int, high: int, known: Broadcast | None = None, wanted: Broadcast | None = None,
                   fresh: Broadcast | None = None) -> DataFrame:
-    """(lang, n, phrase, h, a): exact counts over the rows (lang, text) of ``docs``."""
+    """(lang, n, phrase, h, a): exact counts over the rows (lang, text) of ``docs``.
+
+    Of the phrases of ``low``..``high`` words whose parts are ``known`` or hold a ``fresh``
+    phrase, those that hold one, and those ``wanted`` (None: all). ``low`` 0 adds the
+    number of all words.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        each: dict[str, list[str]] = {}
-        size = 0
+        want, new = wanted and wanted.value, fresh and fresh.value
+        for lang, chunk in chunks_of(batches):
+            if low == 0:
+                yield pd.DataFrame({"lang": [lang], "n": 0, "phrase": "", "h": 0, "a": int((chunk.ids > 1).sum())})
+            for x in chunk.levels(high, known and known.value, new):
+                send = x.count > 0 if want is None else (x.count > 0) & (x.new | want(x.h))
+                if x.n >= low and send.any():
+                    yield pd.DataFrame({"lang": lang, "n": x.n, "phrase": chunk.text(x, send),
+                                        "h": x.h[send].view(np.int64), "a": x.count[send]})
 
-        def flush() -> Iterator[pd.DataFrame]:
-            for lang, texts in each.items():
-                for data in pieces(iter(texts)):
-                    for n, text, h, a in counted(data, lang, low, high, known and known.value, fresh and fresh.value):
-                        yield pd.DataFrame({"lang": lang, "n": n, "phrase": text, "h": h.view(np.int64), "a": a})
-            each.clear()
+    return docs.mapInPandas(count, SCHEMA).groupBy("lang", "n", "phrase").agg(
+        F.min("h").alias("h"), F.sum("a").alias("a"))
 
+
+def _summed(h: np.ndarray, count: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes with their counts, up to ``most``."""
+    order = np.argsort(h, kind="stable")
+    h, count = h[order], count[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, np.int64)
+    return h[first], np.minimum(np.add.reduceat(count, first) if len(h) else count, most)
+
+
+def frequent_hashes(docs: DataFrame, high: int, known: Broadcast, threshold: int) -> DataFrame:
+    """(h): hashes whose phrases of 1..high words with known parts occur ``threshold`` times or more together.
+
+    Tasks send blocks of packed hashes and counts, by the leading bits of the hash; a
+    phrase takes six bytes. Counts beyond the threshold are of no use and are cut to it.
+    """
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    bits = max(GROUP_BITS, min(HASH_BITS - 32, math.ceil(math.log2(max(1, min(size, 1 << 62) // GROUP_BYTES)))))
+    rest, kind = HASH_BITS - bits, np.uint8 if threshold < 256 else np.uint32
+
+    def packed(h: np.ndarray, count: np.ndarray) -> pd.DataFrame:
+        group = (h >> np.uint64(rest)).astype(np.int64)
+        low, mid, count = h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint8), count.astype(kind)
+        cuts = [*np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(h)] if len(h) else [0]
+        return pd.DataFrame({"g": group[cuts[:-1]], "low": [low[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
+                             "mid": [mid[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
+                             "count": [count[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]})
+
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for _, chunk in chunks_of(batches):
+            for x in chunk.levels(high, known.value):
+                some = x.count > 0
+                held.append((x.h[some], x.count[some]))
+                n += len(held[-1][0])
+            if n > HELD:
+                held = [_summed(*map(np.concatenate, zip(*held)), threshold)]
+                n = len(held[0][0])
+                if n > HELD // 2:
+                    yield packed(*held[0])
+                    held, n = [], 0
+        if held:
+            yield packed(*_summed(*map(np.concatenate, zip(*held)), threshold))
+
+    def total(group: int, parts: list[tuple[bytes, bytes, bytes]]) -> pd.DataFrame:
+        low, mid, count = (np.frombuffer(b"".join(p), t) for p, t in zip(zip(*parts), (np.uint32, np.uint8, kind)))
+        # the bits above the group's are cut off with the byte's; the group gives them back
+        h = low.astype(np.uint64) | (mid.astype(np.uint64) << np.uint64(32))
+        h = (h & np.uint64((1 << rest) - 1)) | np.uint64(group << rest)
+        h, count = _summed(h, count.astype(np.int64), threshold)
+        return pd.DataFrame({"h": h[count >= threshold].view(np.int64)})
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, parts = None, []
         for b in batches:
-            for lang, text in zip(b["lang"], b["text"]):
-                each.setdefault(lang, []).append(text)
-                size += len(text)
-                if size > CHUNK_CHARS:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+            for g, *part in b[["g", "low", "mid", "count"]].itertuples(index=False):
+                if g != at and parts:
+                    yield total(at, parts)
+                    parts = []
+                at = g
+                parts.append(part)
+        if parts:
+            yield total(at, parts)
 
-    return docs.mapInPandas(count, SCHEMA).groupBy("lang", "n", "phrase").agg(
-        F.min("h").alias("h"), F.sum("a").alias("a"))
+    return docs.mapInPandas(sent, "g long, low binary, mid binary, count binary").repartition("g").sortWithinPartitions(
+        "g").mapInPandas(totals, "h long")
 
 
 def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -228,17 +311,20 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", th
     """(lang, phrase, n, a) of every phrase of 1..longest words with a >= threshold; (lang, total) words; the passes."""
     sc, rows = docs.sparkSession.sparkContext, _rows(docs, text, lang)
     known = proposed(rows, threshold, longest, share)
-    counts = phrase_counts(rows, 0, longest, sc.broadcast(gathered(known))).filter(
+    wanted = frequent_hashes(rows, longest, sc.broadcast(gathered(known)), threshold).checkpoint()
+    failed = wanted.join(known.select("h"), "h", "left_anti")
+    wider, passes = known.select("h").union(failed), 2
+    found = phrase_counts(rows, 0, longest, *[sc.broadcast(gathered(x)) for x in (wider, wanted, failed)]).filter(
         (F.col("n") == 0) | (F.col("a") >= threshold)).checkpoint()
-    total = counts.filter("n = 0").select("lang", F.col("a").alias("total"))
-    found, passes = counts.filter("n > 0"), 1
-    missed = found.filter(F.col("n") < longest).select("lang", "n", "phrase", "h").join(
-        known, ["lang", "n", "phrase"], "left_anti").checkpoint()
+    total = found.filter("n = 0").select("lang", F.col("a").alias("total"))
+    found = found.filter("n > 0")
+    # A frequent phrase that is not counted yet holds a failure that was not followed, and each of
+    # its parts is proposed, frequent, or holds such a failure: one more pass closes the search.
+    missed = (found.filter(F.col("n") < longest).join(known, ["lang", "n", "phrase"], "left_anti")
+              .join(failed, "h", "left_anti").select("h").checkpoint())
     if not missed.isEmpty():
-        # A frequent phrase that is not counted yet holds a failure, and each of its parts is
-        # proposed, a failure, or holds one: this pass counts it, which closes the search.
-        wider, passes = gathered(known.union(missed)), 2
-        found = found.union(phrase_counts(rows, 2, longest, sc.broadcast(wider), sc.broadcast(gathered(missed)))
+        wider, none, passes = wider.union(found.select("h")), missed.limit(0), 3
+        found = found.union(phrase_counts(rows, 2, longest, *[sc.broadcast(gathered(x)) for x in (wider, none, missed)])
                             .filter(F.col("a") >= threshold))
     # a phrase that two passes counted has the same count in both
     return found.groupBy("lang", "phrase").agg(F.max("n").alias("n"), F.max("a").alias("a")), total, passes
