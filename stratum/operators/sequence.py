@@ -38,6 +38,8 @@ PID, POS, ROW, N, START, TOTAL, HALO = "_pid", "_pos", "_row", "_n", "_start", "
 INTERNAL = (PID, POS, ROW, N, START, TOTAL, HALO)
 _LOW33 = (1 << 33) - 1
 _FAR = 1 << 62
+# the planner gives a checkpointed frame the largest long, less the share of columns left out
+_UNKNOWN = 1 << 55
 # estimated input bytes that one range should hold
 RANGE_BYTES = 256 << 20
 
@@ -56,8 +58,8 @@ def _num_partitions(df: DataFrame, wanted: int | None) -> int:
         return wanted
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an unknown size is reported as the largest long; leave such inputs at the setting
-    return least if estimate >= _FAR else max(least, -(-estimate // RANGE_BYTES))
+    # inputs of unknown size are left at the setting
+    return least if estimate >= _UNKNOWN else max(least, -(-estimate // RANGE_BYTES))
 
 
 def range_layout(df: DataFrame, order: Sequence[Column | str],
