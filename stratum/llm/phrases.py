@@ -48,7 +48,7 @@ FILTER_BITS = 1 << 27
 HASH_BITS, GROUP_BITS, GROUP_BYTES = 52, 12, 8 << 20
 HELD = 1_500_000
 SALTS = 64
-SCHEMA = "lang string, n int, phrase string, h long, a long"
+SCHEMA = "lang string, n int, phrase string, h long, a long, holds boolean"
 
 BREAK = b"\n"
 # fixed values: delimiters of pieces, and of words within a piece
@@ -182,25 +182,26 @@ def chunks_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Chunk]]:
 
 def phrase_counts(docs: DataFrame, low: int, high: int, known: Broadcast | None = None, wanted: Broadcast | None = None,
                   fresh: Broadcast | None = None) -> DataFrame:
-    """(lang, n, phrase, h, a): exact counts over the rows (lang, text) of ``docs``.
+    """(lang, n, phrase, h, a, holds): exact counts over the rows (lang, text) of ``docs``.
 
     Of the phrases of ``low``..``high`` words whose parts are ``known`` or hold a ``fresh``
-    phrase, those that hold one, and those ``wanted`` (None: all). ``low`` 0 adds the
-    number of all words.
+    phrase, those that hold one (``holds``), and those ``wanted`` (None: all). ``low`` 0
+    adds the number of all words.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         want, new = wanted and wanted.value, fresh and fresh.value
         for lang, chunk in chunks_of(batches):
             if low == 0:
-                yield pd.DataFrame({"lang": [lang], "n": 0, "phrase": "", "h": 0, "a": int((chunk.ids > 1).sum())})
+                yield pd.DataFrame({"lang": [lang], "n": 0, "phrase": "", "h": 0,
+                                    "a": int((chunk.ids > 1).sum()), "holds": False})
             for x in chunk.levels(high, known and known.value, new):
                 send = x.count > 0 if want is None else (x.count > 0) & (x.new | want(x.h))
                 if x.n >= low and send.any():
                     yield pd.DataFrame({"lang": lang, "n": x.n, "phrase": chunk.text(x, send),
-                                        "h": x.h[send].view(np.int64), "a": x.count[send]})
+                                        "h": x.h[send].view(np.int64), "a": x.count[send], "holds": x.new[send]})
 
     return docs.mapInPandas(count, SCHEMA).groupBy("lang", "n", "phrase").agg(
-        F.min("h").alias("h"), F.sum("a").alias("a"))
+        F.min("h").alias("h"), F.sum("a").alias("a"), F.bool_or("holds").alias("holds"))
 
 
 def _summed(h: np.ndarray, count: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +219,8 @@ def frequent_hashes(docs: DataFrame, high: int, known: Broadcast, threshold: int
     phrase takes six bytes. Counts beyond the threshold are of no use and are cut to it.
     """
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    bits = max(GROUP_BITS, min(HASH_BITS - 32, math.ceil(math.log2(max(1, min(size, 1 << 62) // GROUP_BYTES)))))
+    groups = size // GROUP_BYTES if size < 1 << 55 else 1  # beyond, the planner does not know
+    bits = max(GROUP_BITS, min(HASH_BITS - 32, math.ceil(math.log2(max(1, groups)))))
     rest, kind = HASH_BITS - bits, np.uint8 if threshold < 256 else np.uint32
 
     def packed(h: np.ndarray, count: np.ndarray) -> pd.DataFrame:
@@ -299,7 +301,7 @@ def proposed(rows: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
     least, out = max(2, int(LOWERED * threshold * share)), None
     for n in range(1, longest):
         known = spark.sparkContext.broadcast(gathered(out)) if out is not None else None
-        level = phrase_counts(some, n, n, known).filter(F.col("a") >= least).drop("a").checkpoint()
+        level = phrase_counts(some, n, n, known).filter(F.col("a") >= least).drop("a", "holds").checkpoint()
         if level.isEmpty():
             return level if out is None else out
         out = level if out is None else out.union(level)
@@ -320,7 +322,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", th
     found = found.filter("n > 0")
     # A frequent phrase that is not counted yet holds a failure that was not followed, and each of
     # its parts is proposed, frequent, or holds such a failure: one more pass closes the search.
-    missed = (found.filter(F.col("n") < longest).join(known, ["lang", "n", "phrase"], "left_anti")
+    missed = (found.filter(~F.col("holds") & (F.col("n") < longest)).join(known, ["lang", "n", "phrase"], "left_anti")
               .join(failed, "h", "left_anti").select("h").checkpoint())
     if not missed.isEmpty():
         wider, none, passes = wider.union(found.select("h")), missed.limit(0), 3
