@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,8 @@ KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
 # fixed values: costs of the edits, and of a truncated row that stays
 REROLE_COST, DELETE_COST, INSERT_COST, TRUNCATED_COST = 1, 2, 5, 5
 BLOCK = 1024
+# answers of short blocks that a task keeps, and blocks a task gets: bytes tell little of their work
+CACHED, TASK_BLOCKS = 1 << 14, 5_000
 # states of the grammar, and the state that the next user or assistant row leads to
 NOTHING, SYSTEM, USER, ASSISTANT = range(4)
 NEXT = (USER, USER, ASSISTANT, USER)
@@ -153,6 +156,7 @@ def run_block(audits: Audits, rows: str, entry: int) -> Best:
     return best
 
 
+@lru_cache(CACHED)
 def block_moves(rows: str, first: bool) -> list[int]:
     """Costs then ranks (4 x 4 each, by entry and exit state, -1: impossible) of a block."""
     costs, ranks = [-1] * 16, [-1] * 16
@@ -189,6 +193,7 @@ def chosen(blocks: list[list[int]]) -> tuple[int, list[tuple[int, int]], str]:
     return cost, path[::-1], tail
 
 
+@lru_cache(CACHED)
 def traced(rows: str, entry: int, leave: int) -> str:
     audits = Audits()
     return audits.text(run_block(audits, rows, entry)[leave][1])
@@ -258,6 +263,7 @@ def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
         "key", "block", F.array_join("rows.letter", "").alias("letters"), "blank", "duplicate", "truncated",
         F.get("roles", F.lit(0)).alias("head"), F.element_at("roles", -1).alias("last"),
         F.when(F.size("roles") > 1, illegal).otherwise(0).cast("long").alias("illegal")).checkpoint()
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // TASK_BLOCKS))
     starts = blocks.groupBy("key").agg(F.min("block").alias("start"))
 
     def moved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +271,7 @@ def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
             yield b.assign(moves=[block_moves(x, bool(f)) for x, f in zip(b.pop("letters"), b.pop("first"))])
 
     moves = blocks.join(starts, "key").select(
-        "key", "block", "letters", (F.col("block") == F.col("start")).alias("first"), "head", "last").mapInPandas(
+        "key", "block", "letters", (F.col("block") == F.col("start")).alias("first"), "head", "last").repartition(tasks, "key", "block").mapInPandas(
         moved, "key string, block long, head string, last string, moves array<int>")
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,7 +305,7 @@ def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     counts = ["blank", "duplicate", "truncated", "illegal", "cost"]
     parts = blocks.join(path, ["key", "block"]).select(
         "key", "block", "letters", "entry", "leave", "tail", "blank", "duplicate", "truncated",
-        (F.col("illegal") + F.col("edges")).alias("illegal"), "cost").mapInPandas(
+        (F.col("illegal") + F.col("edges")).alias("illegal"), "cost").repartition(tasks, "key", "block").mapInPandas(
         audited, "key string, block long, " + ", ".join(f"{c} long" for c in counts) + ", audit string").checkpoint()
 
     def digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
