@@ -1,8 +1,8 @@
 """Lake layers: bronze stamping, partitioned writes, atomic publish, upserts.
 
-Writes never overwrite a path that the same plan reads. ``publish`` writes to a
-staging folder, validates it, and only then replaces the target, so a failed
-run leaves the previous table intact (H3 / G-6). Partitioned writes shuffle by
+Writes never overwrite a path that the same plan reads. ``publish`` (see
+:mod:`stratum.plans.versions`) writes a version of its own, validates it, and only then
+points the table to it, so a failed run leaves the previous one intact (H3 / G-6). Partitioned writes shuffle by
 the partition columns first, so each value is written by one task (H6) rather
 than one file per task per value; a salt column splits hot values over several
 tasks.
@@ -10,15 +10,16 @@ tasks.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import sized_broadcast
 from ..operators.windows import keep_latest
 from ..session import ensure_checkpoint_dir
+from .versions import current_version, publish, published_path, read_published  # noqa: F401
 
 
 def _file_name(df: DataFrame):
@@ -131,71 +132,6 @@ def upsert_latest(current: DataFrame, changes: DataFrame, keys: Sequence[str],
     return keep_latest(touched.unionByName(changes), keys, version).unionByName(untouched)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _previous(spark: SparkSession, target: str) -> list:
-    """Paths of set-aside versions of ``target``, the newest first."""
-    fs, pattern, _ = _fs(spark, target.rstrip("/") + "._previous-*")
-    found = sorted(fs.globStatus(pattern) or [], key=lambda st: st.getModificationTime(), reverse=True)
-    return [st.getPath() for st in found]
-
-
-def published_path(spark: SparkSession, target: str) -> str:
-    """Where the current complete version of a published table is.
-
-    ``target`` itself, or the version set aside by a publish that stopped between its two
-    renames.
-    """
-    fs, tgt, _ = _fs(spark, target)
-    aside = [] if fs.exists(tgt) else _previous(spark, target)
-    return aside[0].toString() if aside else target
-
-
-def publish(df: DataFrame, target: str, partition_cols: Sequence[str] = (),
-            validate=None) -> int:
-    """All-or-nothing table replacement (G-6): stage, validate, swap.
-
-    Staging and set-aside folders have names of their own, so writers do not share them. A
-    complete version exists at every moment: ``published_path`` finds it, and the next
-    publish first puts back a version that a stopped one left aside. The row count is
-    observed during the staging write (no second pass). ``validate(staged_df, rows)`` may
-    raise to abort; the target is untouched in that case. Returns the rows published.
-    """
-    from pyspark.sql import Observation
-
-    spark = df.sparkSession
-    base, run = target.rstrip("/"), uuid.uuid4().hex
-    fs, tgt, jvm = _fs(spark, target)
-    if not fs.exists(tgt):
-        for aside in _previous(spark, target)[:1]:
-            fs.rename(aside, tgt)
-    obs = Observation(f"publish-{run}")
-    staged = f"{base}._staging-{run}"
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_cols:
-        writer = writer.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
-    else:
-        writer = writer.write
-    writer.parquet(staged)
-    rows = int(obs.get["rows"])
-    if validate is not None:
-        validate(spark.read.parquet(staged), rows)
-    stg, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, f"{base}._previous-{run}"))
-    if fs.exists(tgt):
-        fs.rename(tgt, old)
-    if not fs.rename(stg, tgt):
-        if fs.exists(old):
-            fs.rename(old, tgt)
-        raise RuntimeError(f"could not publish {staged} to {target}")
-    for aside in _previous(spark, target):
-        fs.delete(aside, True)
-    return rows
-
-
 def rebuild_if_changed(source: DataFrame, key: str, ts: str, state: str, build) -> bool:
     """Call ``build()`` only when the source's checksum differs from the recorded one (D-15).
 
@@ -207,9 +143,7 @@ def rebuild_if_changed(source: DataFrame, key: str, ts: str, state: str, build)
     spark = source.sparkSession
     measured = checksum(source, key, ts)
     now = spark.createDataFrame(measured.collect(), measured.schema)
-    path = published_path(spark, state)
-    fs, p, _ = _fs(spark, path)
-    if not rebuild_needed(now, spark.read.parquet(path) if fs.exists(p) else None):
+    if not rebuild_needed(now, read_published(spark, state) if current_version(spark, state) else None):
         return False
     build()
     publish(now, state)
@@ -224,7 +158,7 @@ def layer_report(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
     """
     out = None
     for name, path in layers.items():
-        per_file = (spark.read.parquet(path)
+        per_file = (read_published(spark, path)
                     .groupBy("_metadata.file_path", "_metadata.file_size")
                     .agg(F.count(F.lit(1)).alias("_rows")))
         row = per_file.agg(F.lit(name).alias("layer"), F.lit(path).alias("path"),
@@ -280,21 +214,30 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    try:
+        return spark.read.parquet(path).inputFiles()
+    except AnalysisException:  # no table yet
+        return []
+
+
 def write_checked(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Write Parquet and verify the read-back row count (K-7).
 
     The written count is observed during the write (no extra pass over the
-    input); only the read-back count scans the output.
+    input); only the read-back count scans the output. An append reads back the files that
+    it added; another writer's files among them would count, and raise.
     """
     from pyspark.sql import Observation
 
-    obs = Observation("write_checked")
+    spark, obs = df.sparkSession, Observation("write_checked")
+    before = set(_files(spark, path)) if mode == "append" else set()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
     written = int(obs.get["rows"])
-    if mode == "overwrite":
-        read_back = df.sparkSession.read.parquet(path).count()
-        if read_back != written:
-            raise RuntimeError(f"wrote {written} rows but read back {read_back} from {path}")
+    added = [f for f in _files(spark, path) if f not in before]
+    read_back = spark.read.schema(df.schema).parquet(*added).count() if added else 0
+    if read_back != written:
+        raise RuntimeError(f"wrote {written} rows but read back {read_back} from {path}")
     return written
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import test_unique
-from .layers import publish
+from .versions import publish, read_published
 
 TestFn = Callable[[DataFrame], DataFrame]
 
@@ -102,7 +102,7 @@ class Project:
                         raise ValueError("table models need a target_dir")
                     path = f"{self.target_dir.rstrip('/')}/{name}"
                     publish(df, path, m.partition_by)
-                    df = self.spark.read.parquet(path)
+                    df = read_published(self.spark, path)
             df.createOrReplaceTempView(name)
             self.frames[name] = df
         return self.frames

@@ -2,8 +2,9 @@
 
 import datetime as dt
 import os
-import time
 import re
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from stratum.operators import hierarchy as H
 from stratum.operators import quality as Q
 from stratum.operators import windows as W
 from stratum.operators.joins import fits, sized_broadcast
-from stratum.plans import audit, layers, report
+from stratum.plans import audit, layers, report, versions
 from stratum.sources import files
 from stratum.streaming.ingest import ingest_available
 from tests.conftest import SF_SMALL
@@ -144,30 +145,90 @@ def test_publish_is_all_or_nothing(spark, tmp_dir):
         raise ValueError("validation failed")
     with pytest.raises(ValueError):
         layers.publish(spark.range(100).withColumnRenamed("id", "k"), target, validate=reject)
-    assert spark.read.parquet(target).count() == 5  # prior state survives
+    assert layers.read_published(spark, target).count() == 5  # prior state survives
     assert layers.publish(spark.range(7).withColumnRenamed("id", "k"), target) == 7
-    assert spark.read.parquet(target).count() == 7
+    assert layers.read_published(spark, target).count() == 7
     rep = layers.layer_report(spark, {"gold": target}).collect()[0]
     assert rep["n_rows"] == 7 and rep["n_files"] >= 1 and rep["bytes"] > 0
 
 
-def test_a_stopped_publish_leaves_one_complete_version(spark, tmp_dir):
+def test_a_stopped_publish_leaves_one_complete_version(spark, tmp_dir, monkeypatch):
     target = os.path.join(tmp_dir, "gold")
-
-    def now():
-        return spark.read.parquet(layers.published_path(spark, target)).count()
+    count = lambda: versions.read_published(spark, target).count()
     layers.publish(spark.range(5), target)
-    spark.range(9).write.parquet(target + "._staging-dead")        # stopped before the swap
-    assert now() == 5
-    os.rename(target, target + "._previous-dead")                  # stopped between the renames
-    assert now() == 5
-    with pytest.raises(ValueError):                                # the next run puts it back first
+
+    class Stopped(BaseException):
+        pass
+
+    def stop(*a, **k):
+        raise Stopped
+    for step, rows in (("_point", 5), ("create_if_absent", 5), ("_clean", 9)):
+        with monkeypatch.context() as m:
+            m.setattr(versions, step, stop)
+            with pytest.raises(Stopped):
+                layers.publish(spark.range(9), target)
+        assert count() == rows
+    # stopped between the pointer's creation and its filling: passed over
+    assert versions.create_if_absent(spark, versions._pointer(target, 3)) and count() == 9
+    with pytest.raises(versions.StaleVersion):
+        layers.publish(spark.range(6), target, expect=2)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "LEASE_S", 0)
+        assert layers.publish(spark.range(6), target, expect=2) == 6 and count() == 6
+    with pytest.raises(ValueError):
         layers.publish(spark.range(3), target, validate=_reject)
-    assert spark.read.parquet(target).count() == 5
-    spark.range(4).write.parquet(target + "._previous-old")        # stopped before the clean-up
-    assert now() == 5
-    assert layers.publish(spark.read.parquet(target).limit(2), target) == 2
-    assert now() == 2 and not [f for f in os.listdir(tmp_dir) if "_previous" in f]
+    assert count() == 6
+    assert layers.publish(versions.read_published(spark, target).limit(2), target) == 2 and count() == 2
+    assert len(os.listdir(os.path.join(target, versions.POINTERS))) <= 4  # with check sums
+
+
+def test_two_writers_never_mix_and_readers_see_whole_versions(spark, tmp_dir):
+    target, seen, errors = os.path.join(tmp_dir, "gold"), [], []
+    layers.publish(spark.range(1), target)
+
+    def write(n):
+        try:
+            for _ in range(3):
+                layers.publish(spark.range(n), target, keep=50)
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+    writers = [threading.Thread(target=write, args=(n,)) for n in (100, 2000)]
+    for w in writers:
+        w.start()
+    while any(w.is_alive() for w in writers):
+        seen.append(versions.read_published(spark, target).count())
+    assert not errors and set(seen) <= {1, 100, 2000}
+    assert versions.current_version(spark, target)[0] == 7  # no number was used twice
+
+
+def test_a_writer_on_an_old_version_is_told_so(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "gold")
+    layers.publish(spark.range(1), target, expect=0)
+    number, _ = versions.current_version(spark, target)
+
+    def overtaken(df, rows):
+        layers.publish(spark.range(50), target)
+    with pytest.raises(versions.StaleVersion):
+        layers.publish(spark.range(2), target, expect=number, validate=overtaken)
+    assert versions.read_published(spark, target).count() == 50
+    with pytest.raises(versions.StaleVersion):
+        layers.publish(spark.range(2), target, expect=number)
+    assert layers.publish(spark.range(2), target, expect=versions.current_version(spark, target)[0]) == 2
+
+
+def test_append_reads_back_what_it_added(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    assert layers.write_checked(spark.range(5), path, "append") == 5
+    assert layers.write_checked(spark.range(7), path, "append") == 7
+    assert spark.read.parquet(path).count() == 12
+    lost = spark.range(9)
+    files = layers._files
+    try:  # a file that vanishes between write and read-back is noticed
+        layers._files = lambda s, p: files(s, p)[:1]
+        with pytest.raises(RuntimeError, match="read back"):
+            layers.write_checked(lost, path, "append")
+    finally:
+        layers._files = files
 
 
 def _reject(df, rows):
@@ -182,7 +243,7 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_dir):
         layers.publish(df, os.path.join(tmp_dir, "t"), ["p"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-    assert len([f for f in os.listdir(os.path.join(tmp_dir, "t", "p=0")) if f.endswith(".parquet")]) > 1
+    assert len([f for f in os.listdir(os.path.join(layers.published_path(spark, os.path.join(tmp_dir, "t")), "p=0")) if f.endswith(".parquet")]) > 1
 
 
 def test_upsert_touches_only_named_keys(spark):
