@@ -11,6 +11,7 @@ midnight timestamps and money as exact two-decimal doubles.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from ..operators import quality as Q
 from ..operators import sequence as S
 from ..operators import windows as W
 from ..operators.joins import sized_broadcast
+from ..session import ensure_checkpoint_dir
 from ..sources.files import Tables
 from . import oracle as o
 
@@ -967,6 +969,45 @@ def upsert_latest(spark, base):
     return upsert(current, changes, ["event_id"], ["updated_at"])
 
 
+@query("upsert_stored", """
+WITH base AS (SELECT event_id, user_id, event_type, value, ts AS updated_at FROM events),
+upd AS (SELECT event_id, user_id, event_type, value + 1.0 AS value, ts + INTERVAL 30 HOUR AS updated_at
+        FROM events WHERE event_type = 'error')
+SELECT *, date_trunc('day', updated_at)::TIMESTAMP AS day FROM (SELECT * FROM base UNION ALL SELECT * FROM upd)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY updated_at DESC) = 1""")
+def upsert_stored(spark, base):
+    """Events stored by day with key filters; error events come back 30 hours later and move to another day (K-10, K-11)."""
+    from .incremental import create_keyed, merge_into
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/events-{uuid.uuid4().hex}"
+    e = _t(spark, base).events.select("event_id", "user_id", "event_type", "value", F.col("ts").alias("updated_at"))
+    day = F.to_date("updated_at").alias("day")
+    create_keyed(e.select("*", day), path, ["event_id"], ["updated_at"], "day")
+    late = (e.filter(F.col("event_type") == "error").withColumn("value", F.col("value") + F.lit(1.0))
+             .withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 30 HOURS")))
+    merge_into(path, late.select("*", day), ["event_id"], ["updated_at"], "day")
+    return spark.read.parquet(path).withColumn("day", F.col("day").cast("timestamp_ntz"))
+
+
+@query("changed_days", """
+WITH a AS (SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_id, user_id, event_type, value, ts FROM events),
+b AS (SELECT day, event_id, user_id, event_type,
+             CASE WHEN value > 350 THEN value + 1.0 ELSE value END AS value, ts FROM a WHERE NOT value < 0.05),
+d AS (SELECT DISTINCT day FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL
+                                (SELECT * FROM b EXCEPT ALL SELECT * FROM a)))
+SELECT d.day, (SELECT count(*) FROM a WHERE a.day = d.day) AS n_before,
+       (SELECT count(*) FROM b WHERE b.day = d.day) AS n_after FROM d""")
+def changed_days(spark, base):
+    """Days whose events differ between two versions, found from the table's checksum down by month and day (D-15)."""
+    from .incremental import changed_partitions, partition_checksums
+    cols = ["event_id", "user_id", "event_type", "value", "ts"]
+    old = _t(spark, base).events.select(*cols, F.to_date("ts").alias("day"))
+    new = old.filter(~F.coalesce(F.col("value") < F.lit(0.05), F.lit(False))).withColumn(
+        "value", F.when(F.col("value") > F.lit(350.0), F.col("value") + F.lit(1.0)).otherwise(F.col("value")))
+    found = changed_partitions(partition_checksums(old, "day"), partition_checksums(new, "day"),
+                               [lambda c: F.date_trunc("month", c)])
+    return found.select(F.col("part").cast("timestamp_ntz").alias("day"), "n_before", "n_after")
+
+
 @query("late_window", f"""
 WITH e AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_date, ts, value FROM events),
 days AS (SELECT DISTINCT event_date FROM e WHERE ts >= (SELECT MAX(ts) FROM e) - INTERVAL 3 DAY)
