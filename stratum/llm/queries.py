@@ -87,38 +87,54 @@ _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
 
 
+# the kinds written for RE2, whose matches need no possessive groups: name, pattern, group, least characters
+_GAP, _B64 = r"""[\t\n\r \\"'+,>#*]""", "[A-Za-z0-9+/]"
+_KINDS = [
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("issued", "(?:gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|AIza)[A-Za-z0-9_-]{16,}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("pem", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----((?:[^-]|-{1,4}[^-])*-----END [A-Z0-9 ]*PRIVATE KEY-----"
+            rf"|{_GAP}*(?:[nr]{_GAP}*)?(?:[A-Za-z-]+: [^\n]*\n[\n\r\t ]*)*{_B64}{{16,}}(?:{_GAP}+{_B64}{{16,}})*"
+            rf"(?:{_GAP}+{_B64}{{1,15}})?={{0,2}})", 1, 16),
+    ("url", r"://[^\x09-\x0D\x20:/@]+:([^\x09-\x0D\x20:/@]{3,})@", 1, 3),
+]
+
+
 def _secrets_sql() -> str:
-    """Spans from the gaps between matches, as in the operator, but with DuckDB's functions."""
+    """Spans from the gaps between matches, as in the operator, but with DuckDB's functions and own patterns."""
     esc = lambda x: x.replace("'", "''")
     found = " UNION ALL ".join(
-        f"""SELECT r, owner, repo, {i} AS kind, {k.least} AS least,
-                   unnest(regexp_extract_all(t, '{esc(k.pattern)}', {k.group})) AS v,
-                   unnest(regexp_extract_all(t, '{esc(k.pattern)}')) AS m,
-                   unnest(string_split_regex(t, '{esc(k.pattern)}')[:-2]) AS gap,
-                   unnest(range(len(regexp_extract_all(t, '{esc(k.pattern)}')))) AS i FROM d"""
-        for i, k in enumerate(secret_scan.KINDS))
-    name = "CASE kind " + " ".join(f"WHEN {i} THEN '{k.name}'" for i, k in enumerate(secret_scan.KINDS)) + " END"
-    n = ", ".join(f"count(*) FILTER (WHERE kind = {i})::BIGINT AS n_{k.name}" for i, k in enumerate(secret_scan.BASE))
-    zero = ", ".join(f"coalesce(n_{k.name}, 0)::BIGINT AS n_{k.name}" for k in secret_scan.BASE)
+        f"""SELECT r, owner, repo, {i} AS kind, {least} AS least,
+                   unnest(regexp_extract_all(t, '{esc(p)}', {group})) AS v,
+                   unnest(regexp_extract_all(t, '{esc(p)}')) AS m,
+                   unnest(string_split_regex(t, '{esc(p)}')[:-2]) AS gap,
+                   unnest(range(len(regexp_extract_all(t, '{esc(p)}')))) AS i FROM d"""
+        for i, (_, p, group, least) in enumerate(_KINDS))
+    name = "CASE kind " + " ".join(f"WHEN {i} THEN '{k[0]}'" for i, k in enumerate(_KINDS)) + " END"
+    n = ", ".join(f"count(*) FILTER (WHERE kind = {i})::BIGINT AS n_{k[0]}" for i, k in enumerate(_KINDS[:3]))
+    zero = ", ".join(f"coalesce(n_{k[0]}, 0)::BIGINT AS n_{k[0]}" for k in _KINDS[:3])
     listed = lambda only: f"coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE {only}), '')"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner,
                   [coalesce(source, ''), coalesce(lang, '')] AS repo, coalesce(text, '') AS t FROM documents),
 f AS ({found}),
 p AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM f),
-q AS (SELECT r, owner, kind, v, (e - length(m))::BIGINT AS s,
+q AS (SELECT r, owner, repo, kind, v, (e - length(m))::BIGINT AS s,
              {name} || ':' || (e - length(m))::BIGINT || ':' || e::BIGINT AS span FROM p WHERE length(v) >= least),
-copied AS (SELECT v FROM q GROUP BY v HAVING count(DISTINCT owner) >= {secret_scan.MIN_OWNERS}),
-j AS (SELECT q.*, copied.v IS NULL
-             AND NOT regexp_matches(lower(q.v), 'example|sample|dummy|placeholder|changeme|redacted|xxxx|your[_-]?')
-             AND len(list_distinct(string_split(lower(q.v), ''))) > 4 AS live
-      FROM q LEFT JOIN copied ON q.v = copied.v),
-g AS (SELECT r, {n}, {listed(f"kind < {len(secret_scan.BASE)}")} AS base, {listed("true")} AS spans,
+held AS (SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos FROM q GROUP BY v),
+j AS (SELECT q.*, owners, repos, owners < 3 AND (kind = 5 OR
+             NOT regexp_matches(lower(q.v), '(^|[^a-z])(example|sample|dummy|placeholder|changeme|redacted|xxxx+|your)([^a-z]|$)')
+             AND len(list_distinct(string_split(lower(q.v), ''))) > 4) AS live
+      FROM q JOIN held ON q.v = held.v),
+g AS (SELECT r, {n}, {listed("kind < 3")} AS base, {listed("true")} AS spans,
              {listed("live")} AS live_spans, count(*) FILTER (WHERE live)::BIGINT AS n_live,
-             count(*) FILTER (WHERE NOT live)::BIGINT AS n_copied FROM j GROUP BY r)
+             count(*) FILTER (WHERE NOT live)::BIGINT AS n_copied,
+             string_agg(owners || '/' || repos, ',' ORDER BY s, kind) AS held_by FROM j GROUP BY r)
 SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
        coalesce(live_spans, '') AS live_spans, coalesce(n_live, 0)::BIGINT AS n_live,
-       coalesce(n_copied, 0)::BIGINT AS n_copied
+       coalesce(n_copied, 0)::BIGINT AS n_copied, coalesce(held_by, '') AS held_by
 FROM d LEFT JOIN g ON d.r = g.r"""
 
 

@@ -5,12 +5,16 @@ Spans are found per row by built-in regular expression functions: the gaps betwe
 are hashed at once; only hashes leave the row. Ownership is aggregated over the corpus:
 (value, owner, repository) is made distinct before counting, so a value that a third of
 all rows contain is combined in its tasks and arrives once per task. A value held by
-``min_owners`` or more owners is a copied example; one that looks like a placeholder is an
-example too; the rest is owner-specific and treated as live.
+``min_owners`` or more owners is a copied example; one that names itself a placeholder is
+an example too, but never a private key, whose body holds any word by chance; the rest is
+owner-specific and treated as live. A span's numbers of owners and repositories are both
+returned: many repositories of one owner still are that owner's credential.
 
-Defined results: null and empty texts have no spans; a null owner or repository counts as
+Defined results: null, empty and very long texts are scanned whole, and spans have no
+greatest length; null and empty texts have no spans; a null owner or repository counts as
 one unnamed owner or repository; repeated rows are judged alike; spans of one kind never
-overlap, spans of different kinds may; the input's other columns are not read.
+overlap, spans of different kinds may; an empty table gives no rows; the input's other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,12 +32,13 @@ PLACEHOLDER = "[SECRET]"
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern; ``group`` is the secret value, which needs ``least`` characters."""
+    """A pattern; ``group`` is the secret value, which needs ``least`` characters. ``words``: placeholder words count."""
 
     name: str
     pattern: str
     group: int = 0
     least: int = 1
+    words: bool = True
 
 
 # fixed values: kinds of the base scan, in their order
@@ -42,30 +47,33 @@ BASE = (
     Kind("access", r"AKIA[A-Z0-9]{16,}"),
     Kind("hex", r"[0-9a-f]{24,}"),
 )
-# lines of base64, parted by line ends as written, escaped or quoted; chained, as nested counts are bounded
+# Repeated groups are possessive, so that a match of any length takes no stack.
+# lines of base64, parted by line ends as written, escaped or quoted
 _GAP = r"""[\t\n\r \\"'+,>#*]"""
-_LINES = (r"[A-Za-z0-9+/]{16,}" + (rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{16,}}){{0,60}}" * 4)
-          + rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{1,15}})?={{0,2}}")
+_LINES = rf"[A-Za-z0-9+/]{{16,}}+(?:{_GAP}++[A-Za-z0-9+/]{{16,}}+)*+(?:{_GAP}++[A-Za-z0-9+/]{{1,15}}+)?={{0,2}}"
 # a key block: to its end mark, or to the end of its lines where there is none; the value is all after the header
-PEM = (r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"
-       r"([^-]*(?:-[^-]+){0,12}-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----"
-       rf"|{_GAP}{{0,8}}(?:[nr]{_GAP}{{0,8}})?(?:[A-Za-z-]{{1,30}}: [^\n]{{0,200}}[\n\r\t ]{{1,8}}){{0,4}}{_LINES})")
+PEM = (r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----"
+       r"((?:[^-]++|-{1,4}+(?!-))*+-----END [A-Z0-9 ]*PRIVATE KEY-----"
+       rf"|{_GAP}*+(?:[nr]{_GAP}*+)?(?:[A-Za-z-]++: [^\n]*+\n[\n\r\t ]*+)*+{_LINES})")
 # published formats of issued keys
 ISSUED = (
     Kind("issued", r"(?:gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|AIza)[A-Za-z0-9_-]{16,}"),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Kind("pem", PEM, 1, 16),
-    Kind("url", r"[a-z][a-z0-9+]{1,20}://[^\s:/@]{1,80}:([^\s:/@]{3,200})@", 1),
+    Kind("pem", PEM, 1, 16, words=False),
+    Kind("url", r"://[^\x09-\x0D\x20:/@]++:([^\x09-\x0D\x20:/@]{3,}+)@", 1),
 )
 KINDS = BASE + ISSUED
 SPAN = "struct<start:int,kind:int,end:int,hash:string,example:boolean>"
+FOUND = "struct<start:int,kind:int,end:int,live:boolean,owners:bigint,repos:bigint>"
+# fixed values: words by which a value names itself an example
+_WORDS = r"(^|[^a-z])(example|sample|dummy|placeholder|changeme|redacted|x{4,}|your)([^a-z]|$)"
 
 
-def _example(value: Column) -> Column:
+def _example(value: Column, kind: Kind) -> Column:
     """Values that name themselves an example, or hardly vary."""
     low = F.lower(value)
-    return (low.rlike("example|sample|dummy|placeholder|changeme|redacted|xxxx|your[_-]?")
-            | (F.size(F.array_distinct(F.split(low, ""))) <= 4))
+    few = F.size(F.array_distinct(F.split(low, ""))) <= 4
+    return low.rlike(_WORDS) | few if kind.words else F.lit(False)
 
 
 def _spans_of(text: Column, rank: int, kind: Kind) -> Column:
@@ -79,7 +87,7 @@ def _spans_of(text: Column, rank: int, kind: Kind) -> Column:
             end = start + F.length(F.get(parts["found"], k))
             value = F.get(parts["values"], k)
             span = F.struct(start.alias("start"), F.lit(rank).alias("kind"), end.alias("end"),
-                            F.sha2(value, 256).alias("hash"), _example(value).alias("example"))
+                            F.sha2(value, 256).alias("hash"), _example(value, kind).alias("example"))
             return end, F.when(F.length(value) >= kind.least, F.array(span)).otherwise(none)
 
         return fold_list(F.size(parts["found"]), F.lit(0), step, SPAN)["out"]
@@ -114,14 +122,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged(found: DataFrame, min_owners: int = MIN_OWNERS) -> DataFrame:
-    """(row, live array of spans, n_copied) of rows with candidates."""
-    copied = ownership(found).filter(F.col("n_owners") >= min_owners).select(F.col("hash").alias("copied"))
+    """(row, judged array of spans with their verdicts, owners and repositories) of rows with candidates."""
+    held = ownership(found).withColumnRenamed("hash", "held")
     each = found.select("row", F.explode("spans").alias("s"))
-    each = each.join(copied, each["s"]["hash"] == copied["copied"], "left")
-    live = F.col("copied").isNull() & ~F.col("s.example")
-    return each.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.when(live, F.struct("s.start", "s.kind", "s.end")))).alias("live"),
-        F.count_if(~live).alias("n_copied"))
+    each = each.join(held, each["s"]["hash"] == held["held"])
+    live = (F.col("n_owners") < min_owners) & ~F.col("s.example")
+    span = F.struct("s.start", "s.kind", "s.end", live.alias("live"), F.col("n_owners").alias("owners"),
+                    F.col("n_repos").alias("repos"))
+    return each.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("judged"))
 
 
 def _names(kinds: tuple[Kind, ...]) -> Column:
@@ -136,7 +144,10 @@ def joined(array: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str = "source",
                  repository: tuple[str, ...] = ("source", "lang"), min_owners: int = MIN_OWNERS) -> DataFrame:
-    """One row per input row: counts and digest of the base kinds, all spans, and the verdict."""
+    """One row per input row: counts and digest of the base kinds, all spans, and the verdict.
+
+    ``held_by`` gives each span's owners/repositories, in the order of ``spans``.
+    """
     found = scan(docs, id_col, text, owner, list(repository))
     verdict = judged(found, min_owners)
     n = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
@@ -144,11 +155,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ow
     rows = found.select(
         "row", F.col("id").alias(id_col), *[n(i).alias(f"n_{k.name}") for i, k in enumerate(BASE)],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    all_ = F.coalesce("judged", F.array().cast(f"array<{FOUND}>"))
+    live = F.filter(all_, lambda s: s["live"])
     return rows.join(verdict, "row", "left").select(
         id_col, *[f"n_{k.name}" for k in BASE], "base_sha256", "spans",
-        F.coalesce(joined(F.col("live")), F.lit("")).alias("live_spans"),
-        F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"),
-        F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"))
+        joined(live).alias("live_spans"), F.size(live).cast("long").alias("n_live"),
+        (F.size(all_) - F.size(live)).cast("long").alias("n_copied"),
+        F.array_join(F.transform(all_, lambda s: F.concat_ws("/", s["owners"], s["repos"])), ",").alias("held_by"))
 
 
 def _covered(live: Column) -> Column:
@@ -196,7 +209,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: s
     their own spans, and adaptive execution broadcasts the list where it is small.
     """
     found = scan(docs, id_col, text, owner, list(repository))
-    live = (found.join(judged(found, min_owners), "row").filter(F.size("live") > 0)
+    found_live = F.filter("judged", lambda s: s["live"])
+    live = (found.join(judged(found, min_owners), "row").withColumn("live", found_live).filter(F.size("live") > 0)
             .groupBy("id", "text_hash").agg(F.first("live").alias("live")))
     rows = docs.select(F.struct("*").alias("_r"), F.col(id_col).alias("_id"),
                        F.xxhash64(whole(F.col(text))).alias("_h"))
