@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.text import fold_list, let, whole
+from stratum.operators.joins import sized_broadcast
 
 MIN_OWNERS = 3
 PLACEHOLDER = "[SECRET]"
@@ -206,14 +207,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: s
     """``docs`` with live secrets replaced; every row stays, with all its columns.
 
     The spans to replace are joined by id and text hash, so rows that repeat an id keep
-    their own spans, and adaptive execution broadcasts the list where it is small.
+    their own spans; within the broadcast bound the texts are not shuffled for it.
     """
     found = scan(docs, id_col, text, owner, list(repository))
     found_live = F.filter("judged", lambda s: s["live"])
     live = (found.join(judged(found, min_owners), "row").withColumn("live", found_live).filter(F.size("live") > 0)
-            .groupBy("id", "text_hash").agg(F.first("live").alias("live")))
+            .groupBy("id", "text_hash").agg(F.first("live").alias("live")).checkpoint())
     rows = docs.select(F.struct("*").alias("_r"), F.col(id_col).alias("_id"),
                        F.xxhash64(whole(F.col(text))).alias("_h"))
+    live = sized_broadcast(live)
     out = rows.join(live, F.col("_id").eqNullSafe(live["id"]) & (F.col("_h") == live["text_hash"]), "left")
     new = F.when(F.col("live").isNull(), F.col("_r")[text]).otherwise(redacted(F.col("_r")[text], F.col("live")))
     return out.select(*[new.alias(c) if c == text else F.col("_r")[c].alias(c) for c in docs.columns])

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm.components import connected_components
 from stratum.llm.text import hex_u64, whole
+from stratum.operators.joins import fits
 
 SEED = 42
 SHINGLE = 3
@@ -148,12 +149,26 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
 
     Of rows of one group that share this id, the one of smallest text hash stays, so a
     repeated id costs no group its row; a group without any id keeps a row likewise. Only
-    ids, hashes and fingerprints are grouped, combined in their tasks.
+    ids, hashes and fingerprints are grouped, combined in their tasks. The keys of rows that
+    go, and of kept rows that stand more than once, are the smaller part: within the
+    broadcast bound they meet the rows where those lie, and only repeated ones are shuffled.
+    Beyond the bound the rows are shuffled by key.
     """
     fps = fingerprints(docs, id_col, text, shingle, keyed=True).checkpoint()
     labels = components_of(fps, id_col, max_bits, segments)
     chosen = (fps.join(labels, "fp").filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-              .groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2"))
+              .groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2").distinct().checkpoint())
     rows = docs.select(F.struct("*").alias("row"), *row_keys(id_col, text))
-    kept = rows.join(chosen, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
-    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    own = [F.col("row")[c].alias(c) for c in docs.columns]
+    keys = fps.groupBy("k1", "k2").agg(F.count("*").alias("n")).join(
+        chosen.withColumn("stays", F.lit(True)), ["k1", "k2"], "left").select(
+        "k1", "k2", F.col("stays").isNull().alias("goes"), "n")
+    few = keys.filter("goes or n > 1").checkpoint()
+    if not fits(few):
+        return rows.join(chosen, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*own)
+    once = rows.join(F.broadcast(few), ["k1", "k2"], "left_anti").select(*own)
+    repeated = few.filter("not goes").select("k1", "k2")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(rows.join(F.broadcast(repeated), ["k1", "k2"], "left_semi")
+                            .dropDuplicates(["k1", "k2"]).select(*own))

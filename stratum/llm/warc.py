@@ -31,6 +31,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators.joins import sized_broadcast
 from stratum.session import ensure_checkpoint_dir
 
 REVISIT_BYTES = 100
@@ -91,7 +92,8 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
         F.col(id_col).cast("long").alias("page"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.encode(F.col(html).cast("string"), "UTF-8"), F.lit(b"")).alias("payload"))
     base = base.withColumn("digest", F.sha2("payload", 256))
-    again = revisits(base, "page", "payload")
+    # within the broadcast bound the payloads are not shuffled to learn what they repeat
+    again = sized_broadcast(revisits(base, "page", "payload").checkpoint())
     rows = base.join(again, base["page"].eqNullSafe(again["page"]) & (base["digest"] == again["digest"]), "left").select(
         base["page"], "url", "payload", "refers_to")
 
