@@ -3,7 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``documents``. ``run`` writes every stage's result as Parquet into the shared
 checkpoint folder and reads it back as the next one's input, so a lost executor costs at
-most the running stage.
+most the running stage; a stage's table is deleted when the next one is written.
+
+Defined results: null and empty texts fail the quality rules and go, as does any document
+that a stage rejects; texts of any length are read whole; of repeated rows one stays
+(SimHash); ties go to the smallest id; an empty table gives no rows; further columns of
+documents are carried to the last stage.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import packing, quality, secret_scan, simhash, toxicity
+from stratum.plans.versions import file_system
 from stratum.session import ensure_checkpoint_dir
 from stratum.sources.files import read_table
 
@@ -62,4 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            fs, path, _ = file_system(spark, f"{folder}/{k - 1}")
+            fs.delete(path, True)
     return STAGES[-1][1](spark, docs, sf_dir)
