@@ -6,6 +6,10 @@ still just a join. Each level is checkpointed, which keeps plans (and recovery
 after an executor loss) short. A ``max_depth`` guard stops cycles, which the
 recursive SQL form would follow until its own limit.
 
+``walk_paths`` walks whole trees by doubling: every inner node's pointer to an ancestor
+is joined with the table of pointers itself, so a depth of d takes log2 d rounds, whatever
+the number of levels; leaves meet their parent's path once, at the end.
+
 ``walk_tree_sql`` is the same walk as one ``WITH RECURSIVE`` statement (Spark
 4.1), handy for small trees and for parity with SQL-first users.
 """
@@ -16,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_bytes
+from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_bytes, sized_broadcast
 
 
 CYCLE_CHECK_DEPTH = 256
@@ -99,6 +103,45 @@ def walk_tree(edges: DataFrame, node: str, parent: str, label: str,
     return out
 
 
+def walk_paths(edges: DataFrame, node: str, parent: str, label: str | None = None,
+               separator: str = " → ") -> DataFrame:
+    """The edge columns, ``depth`` (root = 0) and, with ``label``, ``path`` of every node below a root.
+
+    A root has no ``parent``. Rows whose line of parents ends at a node that is not there are
+    left out, as the walk from the roots never meets them; a circle raises, and its nodes are
+    named. Pointers are kept for nodes with children only, one checkpoint a round; a parent
+    with a great many children is one row of the side that its children are joined with, so
+    adaptive execution may split them.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    text = F.col(label).cast("string") if label else F.lit(None).cast("string")
+    open_, closed = F.col("__up").isNotNull(), F.col("__up").isNull()
+    inner = edges.select(F.col(parent).alias("__is")).filter("__is is not null").distinct()
+    at = edges.join(inner, F.col(node) == F.col("__is"), "left_semi").select(
+        F.col(node).alias("__node"), F.col(parent).alias("__up"), text.alias("__path"), F.lit(0).alias("__depth")).checkpoint()
+    size, span = at.count(), 1
+    done, at = at.filter(closed), at.filter(open_)
+    while not at.isEmpty():
+        if span > size:  # no line of parents is longer than there are nodes
+            met = [str(r[0]) for r in at.select("__up").distinct().orderBy("__up").limit(20).collect()]
+            raise RecursionError(f"circle of parents through {', '.join(met)}{' ...' if len(met) == 20 else ''}")
+        far = at.unionByName(done)
+        far = far.select(*[F.col(c).alias("__far" + c) for c in far.columns])
+        # a finished line has no pointer; __depth counts the steps that the path spans
+        both = at.join(far, F.col("__up") == F.col("__far__node")).select(
+            "__node", F.col("__far__up").alias("__up"),
+            F.concat(F.col("__far__path"), F.lit(separator), "__path").alias("__path"),
+            (F.col("__depth") + F.col("__far__depth") + 1).alias("__depth")).checkpoint()
+        done, at, span = done.unionByName(both.filter(closed)), both.filter(open_), span * 2
+    extra = [F.lit(0).alias("depth"), *([text.alias("path")] if label else [])]
+    roots = edges.filter(F.col(parent).isNull()).select(*edges.columns, *extra)
+    above = sized_broadcast(done.select("__node", "__path", "__depth"))
+    below = edges.filter(F.col(parent).isNotNull()).join(above, F.col(parent) == F.col("__node")).select(
+        *edges.columns, (F.col("__depth") + 1).alias("depth"),
+        *([F.concat(F.col("__path"), F.lit(separator), text).alias("path")] if label else []))
+    return roots.unionByName(below)
+
+
 def walk_tree_sql(spark, edges_view: str, node: str, parent: str, label: str,
                   separator: str = " → ", max_level: int = 100) -> DataFrame:
     """``WITH RECURSIVE`` form over a registered view."""

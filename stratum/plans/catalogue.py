@@ -686,7 +686,7 @@ def org_chart(spark, base):
     customers = t.customer.join(sized_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_name").alias("name"), F.col("n_name").alias("parent_name"), F.lit("customer").alias("role"))
     edges = roots.unionByName(nations).unionByName(customers)
-    walk = H.walk_tree(edges, node="name", parent="parent_name", label="name")
+    walk = H.walk_paths(edges, node="name", parent="parent_name", label="name")
     return walk.select("depth", "name", "role", "path")
 
 
@@ -705,7 +705,7 @@ def turn_chain(spark, base):
         ":", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")))
     # turn 0 has no parent, so it is the root of each conversation's chain
     edges = cv.select("conv_id", "turn", "role", key.alias("_node"), parent.alias("_parent"))
-    walk = H.walk_tree(edges, node="_node", parent="_parent", label="role", separator=" > ")
+    walk = H.walk_paths(edges, node="_node", parent="_parent", label="role", separator=" > ")
     return walk.select("conv_id", "turn", "role", "depth", "path")
 
 
