@@ -275,24 +275,28 @@ def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
         moved, "key string, block long, head string, last string, moves array<int>")
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["key", "block", "entry", "leave", "tail", "cost", "edges"]
         key, held = None, []
 
-        def close() -> pd.DataFrame:
+        def close() -> list[tuple]:
             cost, path, tail = chosen([m for _, _, _, m in held])
             edges = [0] + [int(a[2] + b[1] not in ("su", "ua", "au")) for a, b in zip(held, held[1:])]
-            return pd.DataFrame({"key": key, "block": [h[0] for h in held], "entry": [p[0] for p in path],
-                                 "leave": [p[1] for p in path], "tail": [""] * (len(held) - 1) + [tail],
-                                 "cost": [cost] + [0] * (len(held) - 1), "edges": edges})
+            last = len(held) - 1
+            return [(key, h[0], *p, tail if i == last else "", 0 if i else cost, e)
+                    for i, (h, p, e) in enumerate(zip(held, path, edges))]
 
         for b in batches:
+            done = []  # one frame a batch, for a frame a conversation costs more than its work
             for k, *rest in b[["key", "block", "head", "last", "moves"]].itertuples(index=False):
                 if k != key:
                     if held:
-                        yield close()
+                        done += close()
                     key, held = k, []
                 held.append(rest)
+            if done:
+                yield pd.DataFrame(done, columns=names)
         if held:
-            yield close()
+            yield pd.DataFrame(close(), columns=names)
 
     path = moves.repartition("key").sortWithinPartitions("key", "block").mapInPandas(
         linked, "key string, block long, entry int, leave int, tail string, cost long, edges long")
