@@ -118,6 +118,9 @@ def upsert_latest(current: DataFrame, changes: DataFrame, keys: Sequence[str],
     and the rest of the table passes through untouched, so shuffled bytes follow the change
     set and not the table. Beyond the bound both sides are shuffled by key.
     """
+    # among equal versions the greatest row stays, so that the result does not depend on the layout
+    version = [*version, *(f.name for f in sorted(current.schema.fields, key=lambda f: f.name)
+                           if f.name not in keys and f.name not in version and "map<" not in f.dataType.simpleString())]
     if not current_unique:
         return keep_latest(current.unionByName(changes), keys, version)
     ensure_checkpoint_dir(current.sparkSession)

@@ -253,6 +253,8 @@ def test_upsert_touches_only_named_keys(spark):
     slim, plain = [sorted(map(str, layers.upsert_latest(current, changes, ["k"], ["ver"], u).collect()))
                    for u in (True, False)]
     assert slim == plain and len(slim) == 5
+    tie = spark.createDataFrame([(1, v, 9) for v in (5, 7, 6)], cols)
+    assert layers.upsert_latest(current, tie.repartition(3), ["k"], ["ver"]).filter("k = 1").first()["v"] == 7
 
 
 def test_writer_enforces_not_null_and_defaults(spark):
