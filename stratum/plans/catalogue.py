@@ -22,6 +22,8 @@ from ..functions.numeric import cents, exact_mean, exact_sum, flag_sum, from_cen
 from ..operators import aggregates as A
 from ..operators import hierarchy as H
 from ..operators import quality as Q
+from ..operators import quantiles as N
+from ..operators import sampling as P
 from ..operators import sequence as S
 from ..operators import windows as W
 from ..operators.joins import sized_broadcast
@@ -327,11 +329,67 @@ def fill_median(spark, base):
     """Negative balances set to NULL, then filled with the exact median of the rest (A-4, F-4, M-1)."""
     c = _t(spark, base).customer.withColumn(
         "_bal", C.null_if("c_acctbal", F.col("c_acctbal") < 0))
-    med = S.exact_median(c, "_bal").scalar()
+    med = N.quantile(c, "_bal").scalar()
     return c.select("c_custkey", "c_acctbal",
                     rounded(F.coalesce(F.col("_bal"), med), 2).alias("balance_filled"))
 
 
+@query("median_by_group", f"""
+SELECT l_returnflag, l_linestatus, {o.r("(MIN(v) + MAX(v)) / 2.0", 4)} AS median_price FROM (
+  SELECT l_returnflag, l_linestatus, l_extendedprice AS v,
+         ROW_NUMBER() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_extendedprice) AS i,
+         COUNT(*) OVER (PARTITION BY l_returnflag, l_linestatus) AS n FROM lineitem)
+WHERE i IN ((n + 1) // 2, n // 2 + 1) GROUP BY ALL""")
+def median_by_group(spark, base):
+    """Exact median price of each return flag and line status, by narrowing (A-4)."""
+    out = N.group_quantile(_t(spark, base).lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice", 0.5, "_m")
+    return out.select("l_returnflag", "l_linestatus", rounded(F.col("_m"), 4).alias("median_price"))
+
+
+@query("sample_rows", """
+SELECT event_id, user_id, event_type FROM events
+ORDER BY md5('7:' || CAST(event_id AS VARCHAR)), event_id LIMIT 100""")
+def sample_rows(spark, base):
+    """A repeatable sample of 100 events (O-3)."""
+    return P.sample_rows(_t(spark, base).events.select("event_id", "user_id", "event_type"), 100, ["event_id"], seed=7)
+
+
+@query("sample_by_group", """
+SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders
+QUALIFY ROW_NUMBER() OVER (PARTITION BY o_orderpriority
+                           ORDER BY md5('7:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 20""")
+def sample_by_group(spark, base):
+    """A repeatable sample of 20 orders of each priority (O-3, S-10)."""
+    rows = _t(spark, base).orders.select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return P.sample_rows(rows, 20, ["o_orderkey"], seed=7, strata=["o_orderpriority"])
+
+
+@query("csv_rejects", """
+SELECT reason, COUNT(*) AS n_lines, CAST(SUM(event_id) AS BIGINT) AS id_sum FROM (
+  SELECT event_id, CASE WHEN event_type = 'error' THEN 'short: 2 of 4 fields'
+                        WHEN event_type = 'purchase' THEN 'long: 5 of 4 fields'
+                        WHEN value < 1 THEN 'value is no double' ELSE 'accepted' END AS reason FROM events)
+GROUP BY reason""")
+def csv_rejects(spark, base):
+    """Events as CSV lines, damaged by their kind, read back into typed rows and rejects with a reason (S-1, S-2)."""
+    from ..sources.rejects import split_csv
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    e = _t(spark, base).events
+    field = lambda c: F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+    value = F.when(F.col("value") < 1, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    whole = F.concat_ws(",", F.col("event_id").cast("string"), field("event_type"), value, field("props"))
+    line = (F.when(F.col("event_type") == "error", F.concat_ws(",", F.col("event_id").cast("string"), field("event_type")))
+            .when(F.col("event_type") == "purchase", F.concat(whole, F.lit(",extra"))).otherwise(whole))
+    # a text file has no header of its own: every file begins with one
+    e.select(line.alias("event_id,event_type,value,props")).write.option("header", True).option("quote", "\u0000") \
+        .option("escapeQuotes", False).option("sep", "\u0001").csv(path)
+    both = split_csv(spark, path, "event_id long, event_type string, value double, props string", f"{path}-split")
+    bad = both.rejected.select(F.col("_reason").alias("reason"),
+                               F.regexp_extract("_raw", r"^(\d+)", 1).cast("long").alias("event_id"))
+    rows = both.accepted.select(F.lit("accepted").alias("reason"), "event_id").unionByName(bad)
+    return rows.groupBy("reason").agg(_all().alias("n_lines"), F.sum("event_id").alias("id_sum"))
+
+
 @query("ratio_column", f"""
 SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount,
        {o.r("l_extendedprice / NULLIF(l_discount, 0)", 2)} AS price_per_discount
