@@ -140,7 +140,9 @@ MARKS = (
     "disclaimer", "disclaimed", "merchantability", "contributor", "contributors", "convey", "conveying", "affirmer",
     "binary", "package", "governed", "artistic", "bsd", "gnu", "gpl", "gplv2", "gplv3", "lgpl", "zlib", "eclipse", "cc", "cc0",
     "creative", "commons", "attribution", "sharealike", "noncommercial")
-TABLE = "array<struct<id:string,hashes:array<bigint>,keys:array<bigint>,shingles:array<string>>>"
+TABLE = "array<struct<id:string,shingles:array<string>>>"
+# band values by their residue, with the places in the table that have them
+LOOKUP = "array<array<struct<k:bigint,t:array<int>>>>"
 
 
 def license_words(text: Column) -> Column:
@@ -208,6 +210,18 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> list[dict]
     return out
 
 
+def band_lookup(table: list[dict]) -> list[list[dict]]:
+    """The band values of all templates, dealt to about as many residues as there are values."""
+    places: dict[int, list[int]] = {}
+    for i, t in enumerate(table):
+        for k in set(t["keys"]):
+            places.setdefault(k, []).append(i)
+    slots: list[list[dict]] = [[] for _ in range(max(1, len(places)))]
+    for k, at in places.items():
+        slots[k % len(slots)].append({"k": k, "t": at})
+    return slots
+
+
 def marked(shingles: list[str], containment: float) -> bool:
     """Whether a text without any of ``MARKS`` cannot hold enough of the template's distinct shingles."""
     return sum(not set(s.split()) & set(MARKS) for s in shingles) < containment * len(shingles)
@@ -220,19 +234,29 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     known = sorted({h for t in table for h in t["hashes"]})
     plain = [t for t in table if not marked(t["shingles"], containment)]
     unmarked = sorted({h for t in plain for h in t["hashes"]})
-    literal = F.from_json(F.lit(json.dumps(table)), TABLE)
+    literal = F.from_json(F.lit(json.dumps([{"id": t["id"], "shingles": t["shingles"]} for t in table])), TABLE)
+    slots = band_lookup(table)
+    lookup = F.from_json(F.lit(json.dumps(slots)), LOOKUP)
     any_of = F.from_json(F.lit(json.dumps(known)), "array<bigint>")
     step = {size: max(1, size // 4) for size in LEVELS}
 
     rows = docs.select(F.col(id_col), license_words(whole(F.col(text))).alias("_w"))
 
+    def places(keys: Column) -> Column:
+        """Places of the templates that share a band value: one slot is read for each value."""
+        def met(k: Column) -> Column:
+            slot = F.get(lookup, F.pmod(k, F.lit(len(slots))).cast("int"))
+            return F.flatten(F.transform(F.filter(slot, lambda e: e["k"] == k), lambda e: e["t"]))
+
+        return F.array_distinct(F.flatten(F.transform(keys, met)))
+
     def verified(x: Column) -> Column:
-        def check(t: Column) -> Column:
+        def check(i: Column) -> Column:
+            t = F.get(literal, i)
             shared = F.size(F.array_intersect(t["shingles"], x["shingles"]))
             return F.struct(t["id"].alias("id"), shared.alias("shared"), F.size(t["shingles"]).alias("all"))
 
-        candidates = F.filter(literal, lambda t: F.arrays_overlap(t["keys"], x["keys"]))
-        return F.filter(F.transform(candidates, check),
+        return F.filter(F.transform(places(x["keys"]), check),
                         lambda c: c["shared"] >= F.lit(containment) * c["all"])
 
     def retrieved(h: Column) -> Column:
