@@ -1,17 +1,30 @@
-"""Embedding near-duplicates by passes of hyperplane prefixes, compared block by block.
-
-Each pass gives every distinct vector a prefix of random hyperplane signs and compares all
-vectors that share it. Two vectors at an angle t agree on a sign with probability 1 - t / pi,
-whatever else the table holds, so a prefix of k signs brings them together with the k-th
-power of it. k follows from the number of distinct vectors (about ``CROWD`` strangers a
-prefix), and the number of passes from k, so that a pair at the very bound is met with
-probability ``RECALL`` at every size and density; closer pairs are met more surely.
-
-A prefix that more than ``BLOCK`` vectors share is cut into blocks, and every two blocks are
-a group of their own that any task may hold: neither a crowded prefix nor its pairs lie in
-one task, and nothing in it is passed over. Cosines are taken in double precision. A pair
-counts in the first pass that brings it together. Tasks return a row for each vector that
-found links, with their number and one vector of its component, never the pairs.
+"""Embedding near-duplicates by sorted projection passes with bounded neighbour windows.
+
+Each pass sorts all distinct vectors by their concatenated random hashes: signs of random
+hyperplanes, a prefix of ``k`` signs first and ``TAIL`` further ones after it. The order is laid
+out by range, so a task streams a stretch of it and compares every vector with the ``block``
+vectors before it. Two vectors at an angle t agree on a sign with probability 1 - t / pi,
+whatever else the table holds, so one pass gives them the same prefix with the k-th power of
+it. k follows from the number of distinct vectors (about ``CROWD`` strangers a prefix), and the
+number of passes from k, so that a pair at the very bound shares a prefix with probability
+``RECALL`` at every size and density; closer pairs do more surely. Vectors that share a prefix
+are one run of the order, which no range cuts, so a run within the window is met whole, and the
+window also meets neighbours beyond their run. ``recall=1`` asks for no prefix at all, hence
+for all pairs, block by block over the tasks.
+
+A run longer than the window is cut into blocks, and every two blocks are a group of their own
+that any task may hold: neither a crowded run nor its pairs lie in one task, and nothing in it
+is passed over. Vectors within half the bound's angle of one centre all link with one another
+(angles obey the triangle inequality), so a tight group that crowds a prefix is counted by its
+size and never compared with itself; its blocks meet those of other vectors only, and work
+grows with its rows and not with their square. The centres come from a bounded sample
+(``SAMPLED`` vectors of each prefix that holds more than ``1 / PREFIXES`` of all) and change no
+result, only what is compared.
+
+Cosines are taken in double precision. A pair that shares prefixes counts in the first pass
+where it does; one that the window alone meets shares none in any pass, travels as a pair and
+is made distinct over the passes. Tasks return a row for each vector that found links, with
+their number and one vector of its component; verified links are united over all passes.
 
 Equal vectors form one class before the passes (combined in their tasks), so a vector that
 a third of all rows hold is compared once; its rows count as links of one another without
@@ -19,8 +32,8 @@ being paired. Links, components and vectors stay distributed.
 
 Defined results: vectors that are null, empty or zero, or that hold null or non-finite
 components link with nothing; only vectors of equal length are compared; rows that repeat
-an id are rows of their own; a row without an id names no component; other columns are not
-read.
+an id are rows of their own; a row without an id names no component; an empty table gives no
+rows; texts are not read, nor are other columns.
 """
 
 from __future__ import annotations
@@ -31,6 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratum.llm.components import connected_components
@@ -42,10 +56,15 @@ BLOCK = 512
 ROUND = 4
 SEED = 20
 ROUNDING = 1e-9
+TAIL = 16
+TASK_ROWS = 50_000
+PREFIXES, SAMPLED = 1024, 8
 
 
 def plan(n: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
-    """Signs of a prefix and number of passes for ``n`` vectors."""
+    """Signs of a prefix and number of passes for ``n`` vectors; a recall of 1 compares all pairs."""
+    if recall >= 1:
+        return 0, 1
     bits = min(30, max(0, math.floor(math.log2(max(n, 1) / CROWD))))
     meet = (1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi) ** bits
     return bits, 1 if meet >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meet))
@@ -127,41 +146,140 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+class Window:
+    """Links of a sorted stream: each vector against the ``size`` vectors before it in its pass and length."""
+
+    def __init__(self, cosine: float, size: int):
+        self.cosine, self.size = cosine, size
+        self.stretch, self.rows, self.x = None, None, None
+
+    def add(self, rows: pd.DataFrame, x: np.ndarray) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+        """(rows with those before them, places a, places b) of the links of one stretch, at most ``size`` rows at once."""
+        stretch, old = (rows["pass"].iloc[0], x.shape[1]), 0
+        if stretch == self.stretch:
+            old = len(self.rows)
+            rows, x = pd.concat([self.rows, rows], ignore_index=True), np.concatenate([self.x, x])
+        a, b = linked(x, x[old:], self.cosine)
+        b = b + old
+        near = (a < b) & (b - a <= self.size)
+        self.stretch, self.rows, self.x = stretch, rows.iloc[-self.size:], x[-self.size:]
+        return rows, a[near], b[near]
+
+
+def centres(sample: np.ndarray, cosine: float) -> np.ndarray:
+    """Mean directions of the sample's dense places, those that cover most vectors first."""
+    half = math.cos(math.acos(max(-1.0, min(1.0, cosine))) / 2)
+    left, out = sample, []
+    while len(left):
+        near = np.concatenate([(left[k:k + BLOCK] @ left.T >= cosine).sum(axis=1) for k in range(0, len(left), BLOCK)])
+        top = int(near.argmax())
+        if near[top] < SAMPLED // 2:
+            break
+        centre = unit(left[left @ left[top] >= cosine].mean(axis=0, keepdims=True))[0]
+        covered = left @ centre >= half
+        if covered.sum() >= SAMPLED // 2:
+            out.append(centre)
+        covered[top] = True
+        left = left[~covered]
+    return np.array(out).reshape(len(out), sample.shape[1])
+
+
+def tight_groups(keyed: DataFrame, total: int, dtype: type, cosine: float, block: int) -> DataFrame:
+    """``keyed`` with the tight group of each vector in ``tight`` (-1: none)."""
+    first = F.get("keys", F.lit(0))
+    hot = (keyed.groupBy("dim", first.alias("key")).agg(F.count("*").alias("rows"))
+           .filter(F.col("rows") > max(4 * block, total // PREFIXES)).select("dim", "key"))
+    # fewer than PREFIXES prefixes by the filter, hence a bounded broadcast and a bounded sample
+    place = W.partitionBy("dim", "key").orderBy(F.xxhash64("cid"), "cid")
+    sample = (keyed.select("dim", first.alias("key"), "cid", "v").join(F.broadcast(hot), ["dim", "key"], "left_semi")
+              .withColumn("place", F.row_number().over(place)).filter(F.col("place") <= SAMPLED)
+              .select("dim", "cid", "v").orderBy("dim", "cid").collect())
+    found, number = {}, 0
+    for dim in sorted({r["dim"] for r in sample}):
+        raw = np.stack([np.frombuffer(r["v"], dtype) for r in sample if r["dim"] == dim])
+        of_dim = centres(unit(raw), cosine)
+        if len(of_dim):
+            found[dim] = (number, of_dim)
+            number += len(of_dim)
+    if not found:
+        return keyed.withColumn("tight", F.lit(-1))
+    # a margin keeps rounding from placing a vector in a group that it might not link with
+    half = math.cos(math.acos(max(-1.0, min(1.0, cosine))) / 2) + 1e-7
+
+    def assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            tight = np.full(len(b), -1, np.int32)
+            for dim, (base, of_dim) in found.items():
+                at = np.nonzero(b["dim"].to_numpy() == dim)[0]
+                if len(at):
+                    x = unit(np.frombuffer(b"".join(b["v"].iloc[at]), dtype).reshape(len(at), -1))
+                    inside = x @ of_dim.T >= half
+                    tight[at] = np.where(inside.any(axis=1), base + inside.argmax(axis=1), -1)
+            yield b.assign(tight=tight)
+
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema)
+    return keyed.mapInPandas(assigned, f"{columns}, tight int").checkpoint()
+
+
 def links(vectors: DataFrame, cosine: float = COSINE, passes: int | None = None, block: int = BLOCK,
-          recall: float = RECALL) -> DataFrame:
+          recall: float = RECALL, absorb: bool = False) -> DataFrame:
     """(cid, root, links) of the rows (cid, v, n): per pass and group, the rows ``n`` of the newly met partners
-    of a vector and one vector of its component. ``passes`` overrides the number that ``recall`` asks for."""
+    of a vector and one vector of its component. ``passes`` overrides the number that ``recall`` asks for;
+    ``absorb`` counts tight groups by their size."""
     kind = "float" if vectors.schema["v"].dataType.elementType.simpleString() == "float" else "double"
     dtype = np.float32 if kind == "float" else np.float64
-    bits, needed = plan(vectors.count(), cosine, recall)
+    total = vectors.count()
+    bits, needed = plan(total, cosine, recall)
     passes = passes or needed
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for dim, part in b.groupby(b["v"].str.len(), sort=True):
                 raw = np.stack(part["v"].to_numpy()).astype(dtype)
+                x = unit(raw)
                 yield pd.DataFrame({"dim": int(dim), "cid": part["cid"], "n": part["n"], "v": [r.tobytes() for r in raw],
-                                    "keys": list(hashes(unit(raw), bits, passes))})
+                                    "keys": list(hashes(x, bits, passes)), "tails": list(hashes(x, TAIL, passes, SEED + 1))})
 
-    def found(group: pd.DataFrame, left: int) -> pd.DataFrame | None:
-        x = unit(np.frombuffer(b"".join(group["v"]), dtype).reshape(len(group), -1))
-        a, b = group_pairs(x, left, cosine)
+    def counted(rows: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame | None:
+        """Links of a pass among its rows: those whose first shared prefix is this pass's, and those that share none."""
+        tight = rows["tight"].to_numpy()
+        apart = (tight[a] < 0) | (tight[a] != tight[b])  # a tight group is counted by its size
+        a, b = a[apart], b[apart]
         if len(a) == 0:
             return None
-        keys = np.stack(group["keys"].to_numpy())
-        for p in range(int(group["pass"].iloc[0])):  # pairs of an earlier pass are counted there
-            new = keys[a, p] != keys[b, p]
-            a, b = a[new], b[new]
-        n, cid = group["n"].to_numpy(np.int64), group["cid"].to_numpy(np.int64)
-        count = np.zeros(len(group), np.int64)
+        keys, n, cid = np.stack(rows["keys"].to_numpy()), rows["n"].to_numpy(np.int64), rows["cid"].to_numpy(np.int64)
+        first = np.full(len(a), passes)
+        for p in range(passes - 1, -1, -1):
+            first[keys[a, p] == keys[b, p]] = p
+        alone = first == passes
+        lo, hi = np.where(cid[a] < cid[b], a, b)[alone], np.where(cid[a] < cid[b], b, a)[alone]
+        pairs = pd.DataFrame({"cid": cid[lo], "root": cid[hi], "links": n[hi], "back": pd.array(n[lo], "Int64")})
+        now = first == rows["pass"].iloc[0]
+        a, b = a[now], b[now]
+        count = np.zeros(len(rows), np.int64)
         np.add.at(count, a, n[b])
         np.add.at(count, b, n[a])
         hit = count > 0
-        return pd.DataFrame({"cid": cid[hit], "root": cid[roots(len(group), a, b)[hit]], "links": count[hit]})
+        own = pd.DataFrame({"cid": cid[hit], "root": cid[roots(len(rows), a, b)[hit]], "links": count[hit],
+                            "back": pd.array([pd.NA] * int(hit.sum()), "Int64")})
+        return pd.concat([own, pairs], ignore_index=True)
+
+    def units(rows: pd.DataFrame) -> np.ndarray:
+        return unit(np.frombuffer(b"".join(rows["v"]), dtype).reshape(len(rows), -1))
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, rest = ["pass", "dim", "key", "i", "j"], None
-        for b in (b for b in batches if len(b)):
+        names, rest, window = ["pass", "dim", "key", "i", "j"], None, Window(cosine, block)
+        for batch in (b for b in batches if len(b)):
+            short = batch["blocks"].to_numpy() == 1
+            for _, stretch in batch[short].groupby(["pass", "dim"], sort=True):
+                for k in range(0, len(stretch), block):
+                    part = stretch.iloc[k:k + block]
+                    out = counted(*window.add(part, units(part)))
+                    if out is not None and len(out):
+                        yield out
+            b = batch[~short]
+            if not len(b):
+                continue
             rows = b if rest is None else pd.concat([rest, b], ignore_index=True)
             g = rows[names].to_numpy(np.int64)
             starts = np.concatenate([[0], 1 + np.nonzero((g[1:] != g[:-1]).any(axis=1))[0]])
@@ -175,34 +293,62 @@ def links(vectors: DataFrame, cosine: float = COSINE, passes: int | None = None,
         for s, e in zip(starts, ends):
             left = e - s if i[s] == j[s] else int((own[s:e] == i[s]).sum())
             if e - s > 1 and left > 0 and (i[s] == j[s] or left < e - s):
-                out = found(rows.iloc[s:e], left)
+                group = rows.iloc[s:e]
+                out = counted(group, *group_pairs(units(group), left, cosine))
                 if out is not None and len(out):
                     yield out
 
     keyed = vectors.select("cid", "v", "n").mapInPandas(
-        hashed, "dim int, cid long, n long, v binary, keys array<int>").checkpoint()
-    crowded = (keyed.select("dim", F.posexplode("keys").alias("pass", "key")).groupBy("pass", "dim", "key")
-               .agg(F.count("*").alias("rows")).filter(F.col("rows") > block)
-               .withColumn("blocks", F.ceil(F.col("rows") / block).cast("int")).drop("rows").checkpoint())
+        hashed, "dim int, cid long, n long, v binary, keys array<int>, tails array<int>").checkpoint()
+    keyed = tight_groups(keyed, total, dtype, cosine, block) if absorb else keyed.withColumn("tight", F.lit(-1))
+    run = W.partitionBy("pass", "dim", "key")
+    crowded = (keyed.select("dim", "tight", F.posexplode("keys").alias("pass", "key")).groupBy("pass", "dim", "key", "tight")
+               .agg(F.count("*").alias("rows")).withColumn("run", F.sum("rows").over(run)).filter(F.col("run") > block)
+               .withColumn("mine", F.ceil(F.col("rows") / block).cast("int"))
+               .withColumn("blocks", F.sum("mine").over(run).cast("int"))
+               .withColumn("before", (F.sum("mine").over(run.orderBy("tight")) - F.col("mine")).cast("int"))
+               .drop("rows", "run").checkpoint())
+    # an explicit number, since work follows vectors and not bytes; each pass of a round has its share of the ranges,
+    # so a table worth it gets as many ranges a pass as a shuffle has partitions
+    parts, copies = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), total * ROUND
+    tasks = max(parts, min(ROUND * parts, copies // BLOCK), copies // TASK_ROWS)
     out = None
     for first in range(0, passes, ROUND):  # a round's copies of the vectors are gone before the next round's
         some = F.sequence(F.lit(first), F.lit(min(first + ROUND, passes) - 1))
         rows = keyed.withColumn("pass", F.explode(some)).withColumn("key", F.get("keys", F.col("pass")))
-        rows = rows.join(crowded, ["pass", "dim", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        rows = rows.withColumn("own", F.pmod(F.xxhash64("cid", "pass"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.join(crowded, ["pass", "dim", "key", "tight"], "left")
+        one, none = F.lit(1), F.lit(0)
+        rows = rows.withColumn("blocks", F.coalesce("blocks", one)).withColumn("mine", F.coalesce("mine", one))
+        rows = rows.withColumn("before", F.coalesce("before", none))
+        rows = rows.withColumn("own", F.col("before") + F.pmod(F.xxhash64("cid", "pass"), F.col("mine")).cast("int"))
+        # blocks of a tight group meet those of other vectors only
+        inside = F.col("tight") >= 0
+        outside = lambda k: ~inside | (k < F.col("before")) | (k >= F.col("before") + F.col("mine"))
+        met = F.when(F.col("blocks") == 1, F.array(none)).otherwise(
+            F.filter(F.sequence(none, F.col("blocks") - 1), outside))
+        rows = rows.withColumn("other", F.explode(met))
         rows = rows.select("pass", "dim", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                           "own", "cid", "n", "v", F.slice("keys", 1, F.col("pass")).alias("keys"))
+                           "own", F.get("tails", F.col("pass")).alias("tail"), "blocks", "tight", "cid", "n", "v", "keys")
         group = ["pass", "dim", "key", "i", "j"]
-        part = rows.repartition(*group).sortWithinPartitions(*group, "own", "cid").mapInPandas(
-            compared, "cid long, root long, links long").checkpoint()
+        # ranges of these columns cut neither a run nor a pair of blocks
+        part = rows.repartitionByRange(tasks, *group).sortWithinPartitions(*group, "own", "tail", "cid").mapInPandas(
+            compared, "cid long, root long, links long, back long").checkpoint()
         out = part if out is None else out.union(part)
+    alone = out.filter("back is not null").distinct()
+    out = (out.filter("back is null").select("cid", "root", "links").union(alone.select("cid", "root", "links"))
+           .union(alone.select(F.col("root").alias("cid"), F.col("cid").alias("root"), F.col("back").alias("links"))))
+    if absorb:
+        sizes = (keyed.filter("tight >= 0").groupBy("tight")
+                 .agg(F.sum("n").alias("size"), F.min("cid").alias("root")))
+        # no more groups than sampled vectors
+        out = out.union(keyed.filter("tight >= 0").join(F.broadcast(sizes), "tight")
+                        .select("cid", "root", (F.col("size") - F.col("n")).alias("links")).filter("links > 0"))
     return out
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
-                    passes: int | None = None, block: int = BLOCK) -> DataFrame:
-    """(id, n_links, component_id, kept) per row."""
+                    passes: int | None = None, block: int = BLOCK, recall: float = RECALL) -> DataFrame:
+    """(id, n_links, component_id, kept) per row; with ``recall=1`` all pairs are compared."""
     v = F.col(vector)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = v.isNotNull() & (F.size(v) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
@@ -213,7 +359,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector: str = "emb
     classes = (rows.filter("v is not null").groupBy("k1", "k2")
                .agg(F.first("v").alias("v"), F.min("id").alias("least"), F.count("*").alias("n"))
                .withColumn("cid", F.monotonically_increasing_id()).checkpoint())
-    found = links(classes, cosine, passes, block)
+    found = links(classes, cosine, passes, block, recall, absorb=True).checkpoint()
     roots_ = connected_components(found.select(F.col("cid").alias("src"), F.col("root").alias("dst")))
     partners = found.groupBy("cid").agg(F.sum("links").alias("partners"))
     members = classes.select("k1", "k2", "cid", "least", "n").join(

@@ -6,10 +6,12 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import chat_format, conversation_repair, phrases
+from stratum.llm import chat_format, conversation_repair, embedding_dedup, phrases
 from stratum.llm.conversation_repair import Audits
 from tests.conftest import SF_SMALL
 
@@ -289,3 +291,77 @@ def test_scores_pass_64_bits(spark):
     total = spark.createDataFrame([("en", 50 * big)], "lang string, total long")
     got = phrases.scored(spark.createDataFrame(rows, "lang string, phrase string, n int, a long"), total).first()
     assert got["score"] == 1000 * big * 50 * big // (6 * big * big)
+
+
+def unit_rows(rnd, n, dim):
+    x = rnd.standard_normal((n, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def planted_vectors(seed, n, copies, dim=32):
+    """Strangers, a tight group of jittered copies, and partners at about 0.91 of 200 strangers."""
+    rnd = np.random.default_rng(seed)
+    x = unit_rows(rnd, n, dim)
+    group = unit_rows(rnd, 1, dim) + 0.02 * rnd.standard_normal((copies, dim))
+    step = rnd.standard_normal((200, dim))
+    step -= (step * x[:200]).sum(axis=1, keepdims=True) * x[:200]
+    near = 0.91 * x[:200] + np.sqrt(1 - 0.91 ** 2) * step / np.linalg.norm(step, axis=1, keepdims=True)
+    edge = group[0] / np.linalg.norm(group[0]) + 0.085 * rnd.standard_normal((50, dim))  # some link with part of the group
+    return np.concatenate([x, group, near, edge])
+
+
+def vector_frame(spark, x):
+    return spark.createDataFrame(list(zip(range(len(x)), x.tolist())), "vec_id long, embedding array<double>")
+
+
+def links_of(x, cosine=0.9):
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return (y @ y.T >= cosine).sum(axis=1) - 1
+
+
+def test_embedding_tight_group_and_its_neighbours_have_all_links(spark):
+    x = planted_vectors(11, 4_000, 2_500)
+    exact = links_of(x)
+    assert 0 < (exact[-50:] < 2_400).sum()
+    every = embedding_dedup.near_duplicates(vector_frame(spark, x), block=128, recall=1).collect()
+    assert {r["vec_id"]: r["n_links"] for r in every} == dict(enumerate(exact.tolist()))
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(vector_frame(spark, x), block=128).collect()}
+    assert all(got[i] <= exact[i] for i in got) and sum(got.values()) >= 0.999 * exact.sum()
+
+
+def test_embedding_work_on_a_tight_group_follows_its_rows(spark, monkeypatch):
+    def moved(copies):
+        x = planted_vectors(12, 2_000, copies, 16)
+        classes = vector_frame(spark, x).select(F.col("vec_id").alias("cid"), F.col("embedding").alias("v"),
+                                                F.lit(1).cast("long").alias("n")).checkpoint()
+        counter = spark.sparkContext.accumulator(0)
+        plain = embedding_dedup.unit
+
+        def counting(raw):
+            counter.add(len(raw))
+            return plain(raw)
+        monkeypatch.setattr(embedding_dedup, "unit", counting)
+        embedding_dedup.links(classes, block=64, passes=2, absorb=True).count()
+        return counter.value
+    small, large = moved(1_000), moved(8_000)
+    assert large <= 12 * small
+
+
+def test_embedding_window_meets_neighbours_beyond_a_prefix():
+    rnd = np.random.default_rng(3)
+    x = unit_rows(rnd, 300, 8)
+    rows = pd.DataFrame({"pass": 0, "cid": np.arange(300)})
+    window, found = embedding_dedup.Window(0.8, 50), set()
+    for k in range(0, 300, 50):
+        part, a, b = window.add(rows.iloc[k:k + 50], x[k:k + 50])
+        assert len(part) <= 100
+        found |= set(zip(part["cid"].to_numpy()[a].tolist(), part["cid"].to_numpy()[b].tolist()))
+    near = np.argwhere(np.triu(x @ x.T >= 0.8, 1))
+    assert found == {(a, b) for a, b in near.tolist() if b - a <= 50}
+    # another pass starts anew
+    _, a, _ = window.add(pd.DataFrame({"pass": 1, "cid": [1]}), x[-1:])
+    assert len(a) == 0
+
+
+def test_embedding_empty_table(spark):
+    assert embedding_dedup.near_duplicates(vector_frame(spark, np.empty((0, 4)))).count() == 0
