@@ -4,6 +4,11 @@ Parquet has no UPDATE, so a run is a sequence of events (``running`` then
 ``success``/``dq_warning``/``failed``) and its current state is the latest
 event per run id, computed with one aggregate. NOT NULL columns are enforced
 by the schema when rows are created; ids are UUIDs instead of SERIAL.
+
+Every event is a file of its own until ``compact`` folds them: the folded log is a published
+version (see :mod:`stratum.plans.versions`), and readers take it together with the loose
+files. An event that is in both counts once, so readers see the same history before, during
+and after. A loose file is deleted by the compaction after the one that folded it.
 """
 
 from __future__ import annotations
@@ -13,10 +18,12 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .versions import current_version, file_system, publish, read_published
 
 RUN_EVENTS = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -26,6 +33,7 @@ RUN_EVENTS = T.StructType([
     T.StructField("started_at", T.TimestampNTZType(), True),
     T.StructField("finished_at", T.TimestampNTZType(), True),
     T.StructField("event_at", T.TimestampNTZType(), False),
+    T.StructField("scheduled_for", T.DateType(), True),
 ])
 
 DQ_LOG = T.StructType([
@@ -38,6 +46,7 @@ DQ_LOG = T.StructType([
     T.StructField("checked_at", T.TimestampNTZType(), False),
 ])
 
+FOLDED = "_folded"
 STATUSES = ("running", "success", "dq_warning", "failed")
 
 
@@ -64,7 +73,8 @@ class AuditLog:
         self.checks_path = root.rstrip("/") + "/data_quality_log"
 
     # ------------------------------------------------------------ events
-    def _append_run(self, row: tuple) -> None:
+    def _append_run(self, row: tuple, scheduled_for: dt.date | None = None) -> None:
+        row = (*row, scheduled_for)
         self.spark.createDataFrame([row], RUN_EVENTS).write.mode("append").parquet(self.runs_path)
 
     def start(self, pipeline: str) -> RunContext:
@@ -80,10 +90,16 @@ class AuditLog:
         at = _now()
         self._append_run((ctx.run_id, ctx.pipeline, status, rows_loaded, ctx.started_at, at, at))
 
-    def record_success(self, pipeline: str, rows_loaded: int | None) -> None:
-        """G-5: one success row per scheduled run, without a start event."""
+    def record_success(self, pipeline: str, rows_loaded: int | None, scheduled_for: dt.date | None = None) -> None:
+        """G-5: one success row per scheduled run and date, without a start event."""
         at = _now()
-        self._append_run((str(uuid.uuid4()), pipeline, "success", rows_loaded, None, at, at))
+        self._append_run((str(uuid.uuid4()), pipeline, "success", rows_loaded, None, at, at), scheduled_for)
+
+    def succeeded(self, pipeline: str, scheduled_for: dt.date) -> bool:
+        """Whether a success entry of the pipeline names the schedule date (G-5)."""
+        return not self._events(self.runs_path, RUN_EVENTS).filter(
+            (F.col("pipeline") == pipeline) & (F.col("status") == "success")
+            & (F.col("scheduled_for") == F.lit(scheduled_for))).isEmpty()
 
     @contextlib.contextmanager
     def run(self, pipeline: str):
@@ -109,10 +125,54 @@ class AuditLog:
             F.lit(str(at)).cast("timestamp_ntz").alias("checked_at"))
         rows.write.mode("append").parquet(self.checks_path)
 
+    # ------------------------------------------------------------ folding
+    def _loose(self, path: str) -> list[str]:
+        try:
+            return sorted(self.spark.read.parquet(path).inputFiles())
+        except AnalysisException:  # no event yet
+            return []
+
+    def _events(self, path: str, schema: T.StructType) -> DataFrame:
+        """Folded and loose events; one that is in both appears twice."""
+        folded = read_published(self.spark, path + FOLDED) if current_version(self.spark, path + FOLDED) else None
+        loose = self._loose(path)
+        parts = [self.spark.read.schema(schema).parquet(*loose)] if loose else []
+        parts += [] if folded is None else [folded]
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+    def compact(self) -> None:
+        """Fold all events so far into one published version, while appends go on (G-1, G-2).
+
+        Two compactions at once are told apart by the version they built on: one is refused.
+        """
+        for path, schema in ((self.runs_path, RUN_EVENTS), (self.checks_path, DQ_LOG)):
+            now, loose = current_version(self.spark, path + FOLDED), self._loose(path)
+            if not loose:
+                continue
+            new = self.spark.read.schema(schema).parquet(*loose)
+            done = []
+            if now:
+                old = self.spark.read.schema(schema).parquet(now[1])
+                # a file may go if the version that readers have had since the last compaction holds all its events
+                event = [c for c in ("run_id", "status", "event_at", "id") if c in schema.names and
+                         (c != "run_id" or "id" not in schema.names)]
+                held = old.select(*event).withColumn("_held", F.lit(True)).distinct()
+                done = [r[0] for r in (new.select("*", F.col("_metadata.file_path").alias("_file"))
+                                       .join(held, event, "left").groupBy("_file")
+                                       .agg(F.count_if(F.col("_held").isNull()).alias("missing"))
+                                       .filter("missing = 0").select("_file").collect())]
+                new = old.unionByName(new)
+            publish(new.distinct(), path + FOLDED, expect=now[0] if now else 0)
+            for name in done:
+                fs, file, _ = file_system(self.spark, name)
+                fs.delete(file, False)
+
     # ------------------------------------------------------------ views
     def runs(self) -> DataFrame:
         """Current state per run: latest event wins, start time from the first."""
-        ev = self.spark.read.schema(RUN_EVENTS).parquet(self.runs_path)
+        ev = self._events(self.runs_path, RUN_EVENTS)
         latest = F.max_by(F.struct("status", "rows_loaded", "finished_at"), "event_at")
         return (ev.groupBy("run_id", "pipeline")
                   .agg(F.min("started_at").alias("started_at"), latest.alias("_l"))
@@ -126,7 +186,7 @@ class AuditLog:
         return r.orderBy(order.desc(), F.col("run_id").desc()).limit(n)
 
     def checks(self, n: int = 8) -> DataFrame:
-        c = self.spark.read.schema(DQ_LOG).parquet(self.checks_path)
+        c = self._events(self.checks_path, DQ_LOG).dropDuplicates(["id"])
         return c.orderBy(F.col("checked_at").desc(), F.col("id").desc()).limit(n)
 
 

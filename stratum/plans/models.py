@@ -11,14 +11,25 @@ from __future__ import annotations
 
 import graphlib
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import test_unique
 from .versions import publish, read_published
 
+
+class ModelFailures(RuntimeError):
+    """Nodes that failed, and their descendants that were left out."""
+
+    def __init__(self, failed: dict[str, Exception], skipped: list[str]):
+        self.failed, self.skipped = failed, skipped
+        super().__init__(f"failed: {sorted(failed)}, left out: {skipped}")
+
+
 TestFn = Callable[[DataFrame], DataFrame]
 
 
@@ -90,23 +101,66 @@ class Project:
             raise KeyError(f"unknown dependencies: {sorted(unknown)}")
         return list(graphlib.TopologicalSorter(graph).static_order())
 
-    def run(self) -> dict[str, DataFrame]:
-        for name in self.order():
-            if name in self.sources:
-                df = self.sources[name]()
-            else:
-                m = self.models[name]
-                df = m.fn(**{d: self.frames[d] for d in m.deps})
-                if m.materialize == "table":
-                    if not self.target_dir:
-                        raise ValueError("table models need a target_dir")
-                    path = f"{self.target_dir.rstrip('/')}/{name}"
-                    publish(df, path, m.partition_by)
-                    df = read_published(self.spark, path)
-            df.createOrReplaceTempView(name)
-            self.frames[name] = df
+    def _build(self, name: str) -> DataFrame:
+        if name in self.sources:
+            return self.sources[name]()
+        m = self.models[name]
+        df = m.fn(**{d: self.frames[d] for d in m.deps})
+        if m.materialize == "table":
+            if not self.target_dir:
+                raise ValueError("table models need a target_dir")
+            path = f"{self.target_dir.rstrip('/')}/{name}"
+            publish(df, path, m.partition_by)
+            df = read_published(self.spark, path)
+        return df
+
+    def run(self, threads: int = 1) -> dict[str, DataFrame]:
+        """Build all nodes, up to ``threads`` independent ones at once, each in a pool of its own.
+
+        With more than one thread a failing node stops its descendants only: the others are
+        built, and then ``ModelFailures`` names what failed and what was left out. Pools share
+        the executors evenly where ``spark.scheduler.mode`` is FAIR.
+        """
+        if threads <= 1:
+            for name in self.order():
+                self._keep(name, self._build(name))
+            return self.frames
+        self.order()  # names unknown dependencies before anything is built
+        graph = graphlib.TopologicalSorter({**{n: () for n in self.sources}, **{m.name: m.deps for m in self.models.values()}})
+        graph.prepare()
+        failed: dict[str, Exception] = {}
+        skipped, running = set(), {}
+
+        def build(name: str) -> DataFrame:
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return self._build(name)
+
+        with ThreadPoolExecutor(threads) as pool:
+            while graph.is_active():
+                for name in graph.get_ready():
+                    deps = self.models[name].deps if name in self.models else ()
+                    if any(d in failed or d in skipped for d in deps):
+                        skipped.add(name)
+                        graph.done(name)
+                    else:
+                        running[pool.submit(inheritable_thread_target(self.spark)(build), name)] = name
+                if not running:
+                    continue
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    name = running.pop(future)
+                    if future.exception():
+                        failed[name] = future.exception()
+                    else:
+                        self._keep(name, future.result())
+                    graph.done(name)
+        if failed:
+            raise ModelFailures(failed, sorted(skipped))
         return self.frames
 
+    def _keep(self, name: str, df: DataFrame) -> None:
+        df.createOrReplaceTempView(name)
+        self.frames[name] = df
+
     def test(self) -> DataFrame:
         """(model, test_name, failures) for every test, as one frame.
 
