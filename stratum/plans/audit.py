@@ -75,7 +75,7 @@ class AuditLog:
     # ------------------------------------------------------------ events
     def _append_run(self, row: tuple, scheduled_for: dt.date | None = None) -> None:
         row = (*row, scheduled_for)
-        self.spark.createDataFrame([row], RUN_EVENTS).write.mode("append").parquet(self.runs_path)
+        self.spark.createDataFrame([row], RUN_EVENTS).coalesce(1).write.mode("append").parquet(self.runs_path)
 
     def start(self, pipeline: str) -> RunContext:
         """G-1: a ``running`` event with a fresh run id."""
@@ -147,7 +147,8 @@ class AuditLog:
 
         Two compactions at once are told apart by the version they built on: one is refused.
         """
-        for path, schema in ((self.runs_path, RUN_EVENTS), (self.checks_path, DQ_LOG)):
+        for path, schema, event in ((self.runs_path, RUN_EVENTS, ["run_id", "status", "event_at"]),
+                                    (self.checks_path, DQ_LOG, ["id"])):
             now, loose = current_version(self.spark, path + FOLDED), self._loose(path)
             if not loose:
                 continue
@@ -156,13 +157,10 @@ class AuditLog:
             if now:
                 old = self.spark.read.schema(schema).parquet(now[1])
                 # a file may go if the version that readers have had since the last compaction holds all its events
-                event = [c for c in ("run_id", "status", "event_at", "id") if c in schema.names and
-                         (c != "run_id" or "id" not in schema.names)]
-                held = old.select(*event).withColumn("_held", F.lit(True)).distinct()
-                done = [r[0] for r in (new.select("*", F.col("_metadata.file_path").alias("_file"))
-                                       .join(held, event, "left").groupBy("_file")
-                                       .agg(F.count_if(F.col("_held").isNull()).alias("missing"))
-                                       .filter("missing = 0").select("_file").collect())]
+                held = old.select(*event).distinct()
+                missing = {r[0] for r in (new.select("*", F.col("_metadata.file_name").alias("_file"))
+                                          .join(held, event, "left_anti").select("_file").distinct().collect())}
+                done = [f for f in loose if f.rsplit("/", 1)[-1] not in missing]
                 new = old.unionByName(new)
             publish(new.distinct(), path + FOLDED, expect=now[0] if now else 0)
             for name in done:

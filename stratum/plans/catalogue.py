@@ -581,6 +581,20 @@ def table_profile(spark, base):
                         F.lit(len(cols)).alias("n_columns")))
 
 
+PROFILED = ("o_orderstatus", "o_orderpriority")
+
+
+@query("profile_merged", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null,
+               COUNT(DISTINCT {c}) AS n_distinct FROM orders""" for c in PROFILED))
+def profile_merged(spark, base):
+    """Profile of orders merged from the states of its years (S-10); sketches of so few values are exact."""
+    from .profiles import merged, partition_states
+
+    rows = _t(spark, base).orders.select(F.year("o_orderdate").alias("o_year"), *PROFILED)
+    return merged(partition_states(rows, ["o_year"])).select("column_name", "n_rows", "n_null", "n_distinct")
+
+
 @query("bronze_stamp", f"""
 SELECT *, TIMESTAMP '{RUN_TS}' AS _ingested_at, 'nation.parquet' AS _source_file FROM nation""")
 def bronze_stamp(spark, base):
