@@ -1,6 +1,7 @@
 """Conversation repair, chat formatting and phrase mining against brute force, and their edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -11,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import chat_format, conversation_repair, embedding_dedup, phrases
+from stratum.llm import chat_format, conversation_repair, embedding_dedup, phrases, toxicity
 from stratum.llm.conversation_repair import Audits
 from tests.conftest import SF_SMALL
 
@@ -365,3 +366,68 @@ def test_embedding_window_meets_neighbours_beyond_a_prefix():
 
 def test_embedding_empty_table(spark):
     assert embedding_dedup.near_duplicates(vector_frame(spark, np.empty((0, 4)))).count() == 0
+
+
+def plain_grams(text):
+    """Buckets of all character n-grams, one n-gram at a time."""
+    words = (text or "").lower().split()
+    line, out, full = f" {' '.join(words)} " if words else "", set(), (1 << 64) - 1
+    for n in range(toxicity.SHORTEST, toxicity.LONGEST + 1):
+        for i in range(len(line) - n + 1):
+            h = 0
+            for c in line[i:i + n]:
+                h = (h + ord(c) + 1) * 0x9E3779B97F4A7C15 & full
+                h ^= h >> 29
+            out.add((h * 0xBF58476D1CE4E5B9 & full) >> (64 - toxicity.BUCKET_BITS))
+    return out
+
+
+def plain_scores(train, texts):
+    """Naive Bayes ratios, the logistic fit and the scores by dictionaries, feature by feature."""
+    grams, ys = [plain_grams(t) for t, _ in train], [y for _, y in train]
+    n = {y: ys.count(y) for y in (0, 1)}
+    held = {y: Counter(g for f, label in zip(grams, ys) if label == y for g in f) for y in (0, 1)}
+    ratio = lambda g: (math.log((held[1][g] + 1) / (n[1] + 2)) - math.log((held[0][g] + 1) / (n[0] + 2)))
+
+    def vector(f):
+        size = math.sqrt(sum(ratio(g) ** 2 for g in f))
+        return {g: ratio(g) / size for g in f} if size else {}
+    rows, w, speed, b, b_speed = [vector(f) for f in grams], Counter(), Counter(), 0.0, 0.0
+    for k in range(toxicity.ITERATIONS):
+        ahead = {g: w[g] + k / (k + 3) * speed[g] for g in set().union(*rows)}
+        b_ahead, slope, b_slope = b + k / (k + 3) * b_speed, Counter(), 0.0
+        for x, y in zip(rows, ys):
+            z = sum(ahead[g] * v for g, v in x.items()) + b_ahead
+            err = (1 / (1 + math.exp(-z)) - y) * 0.5 / n[y]
+            b_slope += err
+            for g, v in x.items():
+                slope[g] += err * v
+        for g, a in ahead.items():
+            new = a - 2 * (slope[g] + toxicity.PENALTY * a)
+            w[g], speed[g] = new, new - w[g]
+        new = b_ahead - 2 * b_slope
+        b, b_speed = new, new - b
+    return [1 / (1 + math.exp(-sum(w[g] * v for g, v in vector(plain_grams(t)).items()) - b)) for t in texts]
+
+
+def test_toxicity_equals_a_plain_program(spark):
+    kind, rude = ["you are kind", "thanks a lot, friend", "a fine day", "well done"], ["you fool", "vile FOOL  you", "go away, fool"]
+    texts = [kind[k % 4] + f" {k}" if k % 2 else rude[k % 3] + f" {k}" for k in range(24)] + [None, "", "x", "fool " * 2_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # id 1 has two labels and counts as toxic; a null label is ignored
+    labels = [(k, int(k % 2 == 0)) for k in range(24)] + [(1, 1), (26, None)]
+    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
+    known = {k: max(y for i, y in labels if i == k) for k in range(24) if zlib.crc32(str(k).encode()) % 5}
+    want = plain_scores([(texts[k], y) for k, y in sorted(known.items())], texts)
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, frame).collect()}
+    assert [got[k]["score"] for k in range(len(texts))] == pytest.approx(want, abs=1e-4)
+    assert [got[k]["held_out"] for k in range(24)] == [k not in known for k in range(24)]
+
+
+@pytest.mark.parametrize("name", ["op2", "op3", "op4", "op8", "op9"])
+def test_empty_documents_give_no_rows(spark, name, monkeypatch):
+    from stratum.llm import queries
+    plain = queries.read_table
+    monkeypatch.setattr(queries, "read_table", lambda *a: plain(*a).limit(0))
+    query = next(fn for key, fn in queries.QUERIES.items() if key.startswith(f"{name}_"))
+    assert query(spark, SF_SMALL).count() == 0
